@@ -1,0 +1,20 @@
+"""Arrow-batched dictionary lookups (the one Python helper in the text path).
+
+No ``from __future__ import annotations`` here: ``pandas_udf`` reads the
+type hints at definition time.
+"""
+
+import pandas as pd
+from pyspark.sql.functions import pandas_udf
+
+
+def token_id_lookup(spark, vocab: dict, unknown: int):
+    """``array<string> -> array<int>`` through a broadcast dict (hash lookups)."""
+    bc = spark.sparkContext.broadcast(vocab)
+
+    @pandas_udf("array<int>")
+    def lookup(col: pd.Series) -> pd.Series:
+        v = bc.value
+        return col.map(lambda ts: None if ts is None else [v.get(t, unknown) for t in ts])
+
+    return lookup
