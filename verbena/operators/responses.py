@@ -88,7 +88,7 @@ def parse_responses(responses: DataFrame, key: str = "batch_id",
 
 def align_responses(rows: DataFrame, responses: DataFrame, key: str = "batch_id",
                     pos: str = "pos", comment: str = "comment",
-                    response: str = "response") -> DataFrame:
+                    response: str = "response", answered_only: bool = False) -> DataFrame:
     """J4 + R6 + R7 + R8: labels onto the rows of each batch.
 
     ``rows`` has one row per comment with ``key`` and its ``pos`` in the
@@ -96,10 +96,12 @@ def align_responses(rows: DataFrame, responses: DataFrame, key: str = "batch_id"
     missing parts, null answers and batches without an answer give the row's
     own comment with 1, 9; extra parts are ignored.  The answer is split once
     per batch (before the join), and the join is a plain equi-join on the
-    batch key: no positional self-join.
+    batch key: no positional self-join.  ``answered_only=True`` keeps only
+    rows whose batch has an answer row (a streaming answer table joined to a
+    static row table).
     """
     parsed = responses.select(F.col(key), split_response(F.col(response)).alias("__vb_parts"))
-    joined = rows.join(parsed, key, "left")
+    joined = parsed.join(rows, key, "inner") if answered_only else rows.join(parsed, key, "left")
     part = F.get(F.col("__vb_parts"), F.col(pos).cast("int"))
     own = F.col(comment)
     label = F.when(part.isNull(), _default(own)).otherwise(parse_part(part))

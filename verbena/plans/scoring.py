@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType
+from pyspark.sql.types import ArrayType, DoubleType
 
 
 def linear_scorer(width: int = 3) -> Callable:
@@ -27,23 +27,22 @@ def linear_scorer(width: int = 3) -> Callable:
 
 
 def score_with(df: DataFrame, features: str, make_predict_fn: Callable, n_classes: int,
-               batch_size: int = 1024) -> DataFrame:
+               width: int | None = None, batch_size: int = 1024) -> DataFrame:
     """Add ``probabilities``, ``pred`` (argmax, first on ties) and ``confidence``.
 
-    ``make_predict_fn()`` returns ``f(np.ndarray[n, d]) -> np.ndarray[n, n_classes]``.
+    ``make_predict_fn()`` returns ``f(np.ndarray[n, width]) -> np.ndarray[n, n_classes]``.
+    ``width`` is the feature length; when omitted it is read from one row.
     """
     try:
         from pyspark.ml.functions import predict_batch_udf
     except ImportError as e:  # pragma: no cover - needs pyspark.ml
         raise RuntimeError("pyspark.ml is required for score_with") from e
-    dtype = df.schema[features].dataType
-    width = None
-    if isinstance(dtype, ArrayType) and isinstance(dtype.elementType, (FloatType, DoubleType)):
-        width = None  # variable; the model reads the row width from the batch
+    if width is None:
+        first = df.select(F.size(F.col(features))).first()
+        width = int(first[0]) if first is not None else 1
     udf = predict_batch_udf(make_predict_fn, return_type=ArrayType(DoubleType()),
-                            batch_size=batch_size, input_tensor_shapes=[[width] if width else None])
+                            batch_size=batch_size, input_tensor_shapes=[[width]])
     from ..functions.scoring import argmax, confidence
-    p = udf(F.col(features).cast("array<double>"))
-    out = df.withColumn("probabilities", p)
+    out = df.withColumn("probabilities", udf(F.col(features).cast("array<double>")))
     return out.withColumns({"pred": argmax(F.col("probabilities")),
                             "confidence": confidence(F.col("probabilities"))})
