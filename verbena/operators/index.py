@@ -11,10 +11,10 @@
 
 The position inside a partition comes from ``monotonically_increasing_id``,
 which is consecutive within a partition.  The explicit partition count keeps
-AQE from coalescing the range exchange, and the counts branch reads the very
-same exchange (``ReusedExchange``), so both passes see the same bounds.  With
-``materialize=True`` the sorted data is checkpointed to the shared folder
-first, cutting lineage for very long jobs.
+AQE from coalescing the range exchange.  The numbered rows are checkpointed
+(reliably, to the shared folder) before they are counted, so the counting
+pass and the numbering pass read identical partitions; ``materialize=False``
+skips that only for inputs whose range exchange is known to be reused.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def _as_cols(cols) -> list[Column]:
 
 def row_index(df: DataFrame, order_by: Sequence, name: str = "row_idx",
               group_by: Sequence[str] = (), num_partitions: int | None = None,
-              materialize: bool = False) -> DataFrame:
+              materialize: bool = True) -> DataFrame:
     """Add ``name``: 0-based position of each row in ``order_by`` order.
 
     With ``group_by`` the position restarts in every group (rank within a
@@ -57,6 +57,11 @@ def row_index(df: DataFrame, order_by: Sequence, name: str = "row_idx",
             .withColumn(_MID, F.monotonically_increasing_id()))
     base = base.withColumn(_LOC, F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33))
     if materialize:
+        # Both passes must see the very same partition of every row.  Range
+        # bounds are sampled each time an exchange runs, and the counting pass
+        # reads fewer columns (so it is a different exchange): the sorted,
+        # numbered rows are written once to the shared checkpoint folder
+        # (reliable: a lost executor does not lose them) and read twice.
         from ..session import shared_dir
         shared_dir(df.sparkSession, "row-index")  # makes sure a checkpoint dir is set
         base = base.checkpoint(eager=True)
