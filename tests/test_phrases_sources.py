@@ -35,12 +35,12 @@ def test_phrase_fit_and_both_apply_paths(spark):
     assert ("new", "york") in pairs
     small = {r.doc_id: r.phrased for r in apply_phrases(df, "t", sc, "phrased").collect()}
     import verbena.operators.phrases as P
-    old = P.MAX_INLINE_ENTRIES
-    P.MAX_INLINE_ENTRIES = 0
+    old = P.MAX_INLINE_SET
+    P.MAX_INLINE_SET = 0
     try:
         big = {r.doc_id: r.phrased for r in apply_phrases(df, "t", sc, "phrased", key="doc_id").collect()}
     finally:
-        P.MAX_INLINE_ENTRIES = old
+        P.MAX_INLINE_SET = old
     assert small == big
     assert small[2] == "new_york new_york"
 

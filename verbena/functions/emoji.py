@@ -98,14 +98,31 @@ def _class_for(chars) -> str:
     return "[" + "".join(parts) + "]"
 
 
+# Code point ranges that hold emoji bases (a superset of any lexicon)
+CANDIDATE_BASE = r"[\x{2190}-\x{21FF}\x{2300}-\x{23FF}\x{2460}-\x{27BF}\x{2900}-\x{2BFF}\x{3030}\x{303D}\x{3297}\x{3299}\x{1F000}-\x{1FAFF}]"
+
+
 def sequence_pattern(lexicon: Mapping[str, str]) -> str:
-    """Regex for one emoji sequence over the lexicon's base code points."""
-    bases = {k[0] for k in lexicon if k}
-    base = _class_for(bases)
+    """Regex for one candidate emoji sequence.
+
+    The base is a short class of whole blocks, not the exact lexicon: a Java
+    character class is tested range by range, so hundreds of ranges would be
+    scanned for every character of every text.  A candidate that is not in
+    the lexicon is put back unchanged, so the wider class changes nothing.
+    Lexicon bases outside the blocks are added to the class.
+    """
+    extra = {k[0] for k in lexicon if k and not _in_candidate_blocks(ord(k[0]))}
+    base = CANDIDATE_BASE if not extra else f"(?:{CANDIDATE_BASE}|{_class_for(extra)})"
     unit = base + MODIFIERS + "*"
     return f"{unit}(?:\\x{{200D}}{unit})*"
 
 
+def _in_candidate_blocks(cp: int) -> bool:
+    return (0x2190 <= cp <= 0x21FF or 0x2300 <= cp <= 0x23FF or 0x2460 <= cp <= 0x27BF
+            or 0x2900 <= cp <= 0x2BFF or cp in (0x3030, 0x303D, 0x3297, 0x3299)
+            or 0x1F000 <= cp <= 0x1FAFF)
+
+
 def demojize(c: Column, lexicon: Mapping[str, str] | None = None) -> Column:
     """Replace every known emoji sequence by ``:name:``; unknown ones stay."""
     lex = builtin_lexicon() if lexicon is None else dict(lexicon)

@@ -19,17 +19,52 @@ class DictionaryTooLarge(ValueError):
     pass
 
 
+_CACHE: dict = {}
+
+
 def map_literal(mapping: Mapping, key_type: str = "string", value_type: str = "string") -> Column:
+    """A constant map column; built once per active JVM and dictionary (building
+    thousands of literals is a driver round trip each)."""
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    key = (id(sc), key_type, value_type, tuple(mapping.items()))
+    hit = _CACHE.get(key)
+    if hit is None:
+        hit = _CACHE[key] = _build_map_literal(mapping, key_type, value_type)
+        if len(_CACHE) > 64:
+            _CACHE.pop(next(iter(_CACHE)))
+    return hit
+
+
+def _build_map_literal(mapping: Mapping, key_type: str, value_type: str) -> Column:
     if len(mapping) > MAX_INLINE_ENTRIES:
         raise DictionaryTooLarge(
             f"{len(mapping)} entries > {MAX_INLINE_ENTRIES}; use the join form")
     if not mapping:
         return F.create_map().cast(f"map<{key_type},{value_type}>")
-    keys = F.array(*[F.lit(k) for k in mapping.keys()]).cast(f"array<{key_type}>")
-    values = F.array(*[F.lit(v) for v in mapping.values()]).cast(f"array<{value_type}>")
+    keys = string_array_literal([str(k) for k in mapping.keys()]).cast(f"array<{key_type}>")
+    values = string_array_literal([str(v) for v in mapping.values()]).cast(f"array<{value_type}>")
     return F.map_from_arrays(keys, values)
 
 
+SEP = "\u0001"
+
+
+def string_array_literal(values: list[str]) -> Column:
+    """``array<string>`` constant from one joined literal (one driver call, not one
+    per element); constant folding turns ``split(literal)`` into a literal."""
+    if any(SEP in v for v in values):
+        return F.array(*[F.lit(v) for v in values])
+    if not values:
+        return F.array().cast("array<string>")
+    return F.split(F.lit(SEP.join(values)), SEP, -1)
+
+
+def sql_string(v: str) -> str:
+    """A Spark SQL string literal (backslash escapes are on by default)."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def bounded_dict(df, key: str, value: str, limit: int = MAX_INLINE_ENTRIES) -> dict | None:
     """Collect a two-column table as a dict only if it has at most ``limit`` rows.
 
@@ -41,3 +76,7 @@ def bounded_dict(df, key: str, value: str, limit: int = MAX_INLINE_ENTRIES) -> d
     if len(rows) > limit:
         return None
     return {r[0]: r[1] for r in rows}
+
+
+# Largest set used for a hash-set membership test (``IN`` list -> ``InSet``)
+MAX_INLINE_SET = 250_000

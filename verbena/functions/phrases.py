@@ -14,7 +14,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
 
-from .maps import MAX_INLINE_ENTRIES
+from .maps import MAX_INLINE_SET, sql_string
 from .text import tokens
 
 
@@ -50,10 +50,21 @@ def bigram_hits(toks: Column, keys: list[str]) -> Column:
         F.concat(t, F.lit(" "), n).isin(keys), F.lit(False)))
 
 
+def bigram_hits_sql(tokens_col: str, keys: list[str]) -> Column:
+    """The same test written as SQL text over a named token column: the whole
+    ``IN`` list is parsed on the JVM in one call (building it literal by literal
+    from Python costs a driver round trip per phrase)."""
+    in_list = ", ".join(sql_string(k) for k in keys)
+    t = f"`{tokens_col}`"
+    return F.expr(
+        f"zip_with({t}, slice({t}, 2, greatest(size({t}), 1)), "
+        f"(a, b) -> coalesce(concat(a, ' ', b) IN ({in_list}), false))")
+
+
 def join_phrases(c: Column, phrases: Mapping[str, str] | set) -> Column:
     """Join the bigrams in ``phrases`` (keys ``'a b'``) inside whitespace tokens."""
     keys = sorted(phrases.keys() if isinstance(phrases, Mapping) else phrases)
-    if len(keys) > MAX_INLINE_ENTRIES:
+    if len(keys) > MAX_INLINE_SET:
         raise ValueError("phrase set too large to inline; use operators.phrases.apply_phrases")
     toks = tokens(c)
     if not keys:

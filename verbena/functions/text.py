@@ -82,11 +82,12 @@ def preprocess_multitask(c: Column | str, abbreviations: Mapping[str, str] | Non
 
     x = F.coalesce(_c(c).cast("string"), F.lit(""))
     x = demojize(x, lexicon)
-    x = collapse_ws(x)
-    x = lowercase(strip_symbols(x))
+    # T6 then T4 in one regex pass: whitespace runs and single symbols both
+    # become one space, and neither step touches what the other produces.
+    x = lowercase(F.regexp_replace(x, WS + "+|" + SYMBOL, " "))
     if abbreviations:  # plan-time branch (T7 skipped for an empty dictionary)
-        x = expand_abbreviations(x, abbreviations)
-    return strip(x)
+        return strip(expand_abbreviations(x, abbreviations))
+    return F.trim(x)  # only ASCII spaces are left: trim equals str.strip() here
 
 
 def preprocess_sentiment(c: Column | str, abbreviations: Mapping[str, str] | None = None,

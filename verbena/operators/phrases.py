@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.maps import MAX_INLINE_ENTRIES, bounded_dict
-from ..functions.phrases import greedy_join, join_phrases, next_tokens
+from ..functions.maps import MAX_INLINE_SET, bounded_dict
+from ..functions.phrases import bigram_hits_sql, greedy_join, next_tokens
 from ..functions.text import tokens
 
 
@@ -22,13 +22,20 @@ def _bigrams(toks):
 
 def phrase_scores(df: DataFrame, text: str, min_count: int = 5, delta: float = 5.0,
                   threshold: float = 0.0) -> DataFrame:
-    """``(a, b, n_ab, n_a, n_b, score)`` for bigrams passing both cuts."""
+    """``(a, b, n_ab, n_a, n_b, score)`` for bigrams passing both cuts.
+
+    Unigrams and bigrams are counted in one pass and one shuffle (a unigram is
+    a gram with a null second word); both reads of the counts share that
+    exchange.
+    """
     toks = df.select(tokens(F.col(text)).alias("t"))
-    uni = toks.select(F.explode("t").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    bi = (toks.select(F.explode(_bigrams(F.col("t"))).alias("p"))
-          .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
-          .agg(F.count(F.lit(1)).alias("n_ab"))
-          .filter(F.col("n_ab") >= min_count))
+    unis = F.transform("t", lambda w: F.struct(w.alias("a"), F.lit(None).cast("string").alias("b")))
+    grams = toks.select(F.explode(F.concat(unis, _bigrams(F.col("t")))).alias("g"))
+    counts = grams.groupBy(F.col("g.a").alias("a"), F.col("g.b").alias("b")).agg(
+        F.count(F.lit(1)).alias("n"))
+    uni = counts.filter(F.col("b").isNull()).select(F.col("a").alias("w"), "n")
+    bi = (counts.filter(F.col("b").isNotNull() & (F.col("n") >= min_count))
+          .select("a", "b", F.col("n").alias("n_ab")))
     ua = uni.select(F.col("w").alias("a"), F.col("n").alias("n_a"))
     ub = uni.select(F.col("w").alias("b"), F.col("n").alias("n_b"))
     scored = bi.join(ua, "a").join(ub, "b").withColumn(
@@ -41,15 +48,19 @@ def apply_phrases(df: DataFrame, text: str, phrases: DataFrame, out: str = "phra
                   key: str | None = None) -> DataFrame:
     """Join known phrases inside ``text`` into ``out``.
 
-    A phrase table of at most ``MAX_INLINE_ENTRIES`` rows becomes a constant
-    map (no shuffle).  A larger one is joined: every bigram position is
+    A phrase table of at most ``MAX_INLINE_SET`` rows becomes a constant hash
+    set (``IN`` list, no shuffle).  A larger one is joined: every bigram position is
     exploded and looked up (shuffle on the bigram), hit flags are put back in
     order per row by ``key`` (a unique row key) and the same greedy pass runs.
     """
     keyed = phrases.select(F.concat_ws(" ", "a", "b").alias("k"), F.lit(True).alias("v"))
-    small = bounded_dict(keyed, "k", "v", MAX_INLINE_ENTRIES)
+    small = bounded_dict(keyed, "k", "v", MAX_INLINE_SET)
     if small is not None:
-        return df.withColumn(out, join_phrases(F.col(text), small))
+        staged = df.withColumn("__vb_t", tokens(F.col(text)))
+        if not small:
+            return staged.withColumn(out, F.array_join("__vb_t", " ")).drop("__vb_t")
+        hit = bigram_hits_sql("__vb_t", sorted(small))
+        return staged.withColumn(out, greedy_join(F.col("__vb_t"), hit)).drop("__vb_t")
     if key is None:
         raise ValueError("a large phrase table needs a unique row key")
     t = tokens(F.col(text))
