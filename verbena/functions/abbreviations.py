@@ -16,6 +16,12 @@ from .maps import map_literal
 from .text import tokens
 
 
+def needs_unicode_strip(abbreviations: Mapping[str, str]) -> bool:
+    """True when a value could leave non-ASCII-space whitespace at a text edge,
+    i.e. when ``trim`` would not equal Python's ``strip`` after expansion."""
+    return any(v.strip(" ").strip() != v.strip(" ") for v in abbreviations.values())
+
+
 def expand_abbreviations(c: Column, abbreviations: Mapping[str, str]) -> Column:
     if not abbreviations:  # the reference skips the step: spaces survive
         return c

@@ -86,7 +86,9 @@ def preprocess_multitask(c: Column | str, abbreviations: Mapping[str, str] | Non
     # become one space, and neither step touches what the other produces.
     x = lowercase(F.regexp_replace(x, WS + "+|" + SYMBOL, " "))
     if abbreviations:  # plan-time branch (T7 skipped for an empty dictionary)
-        return strip(expand_abbreviations(x, abbreviations))
+        from .abbreviations import needs_unicode_strip
+        x = expand_abbreviations(x, abbreviations)
+        return strip(x) if needs_unicode_strip(abbreviations) else F.trim(x)
     return F.trim(x)  # only ASCII spaces are left: trim equals str.strip() here
 
 

@@ -11,7 +11,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balance(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def balance(df: DataFrame) -> DataFrame:
+    """Spread an input that has fewer splits than the cluster has cores.
+
+    A parquet split cannot be smaller than a row group, so a small file of
+    long texts may arrive as a handful of partitions and leave cores idle in
+    the text-heavy steps.  Only then the rows are dealt out round-robin; a
+    large input (more splits than cores) is left exactly as read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def sentiment_of_labels() -> F.Column:
