@@ -114,6 +114,13 @@ def mean_loss(df: DataFrame, prob: str, actual: str, offset: int = 0) -> F.Colum
     return F.avg(-F.log(F.get(F.col(prob), (F.col(actual) - F.lit(offset)).cast("int"))))
 
 
+def dataset_counts(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows and distinct labels (the class count of a head), one pass."""
+    g = df.groupBy(*by) if by else df.groupBy()
+    return g.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_distinct(F.col(label)).alias("n_classes"))
+
+
 def joint_score(f1_a, f1_b):
     """The mean of the two weighted F1 scores (model selection)."""
     return (f1_a + f1_b) / 2.0

@@ -432,3 +432,10 @@ x AS (SELECT *, list_transform(l, lambda v: exp(v - list_max(l))) AS el FROM e),
 p AS (SELECT vec_id, list_transform(el, lambda v: v / list_sum(el)) AS pr FROM x)
 SELECT vec_id, CAST(list_position(pr, list_max(pr)) - 1 AS INTEGER) AS pred, round(list_max(pr), 6) AS confidence
 FROM p"""
+
+SQL["shuffle_order"] = f"""
+WITH {LAB}
+SELECT id, row_number() OVER (ORDER BY md5('42:' || id), id) - 1 AS order_idx FROM lab"""
+
+SQL["dataset_counts"] = SQL["recode_and_union"].replace("WITH ", "WITH u0 AS (WITH ", 1) + """)
+SELECT source, count(*) AS n_rows, count(DISTINCT label) AS n_classes FROM u0 GROUP BY source"""

@@ -30,8 +30,8 @@ from ..operators.split import stratified_split
 from ..operators.validate import validate_domain
 
 NUM_FEATURES = 1 << 14
-DEFAULT_GRID = ({"regParam": 0.01, "maxIter": 60}, {"regParam": 0.1, "maxIter": 60},
-                {"regParam": 0.001, "maxIter": 60})
+DEFAULT_GRID = ({"regParam": 0.01, "maxIter": 40}, {"regParam": 0.1, "maxIter": 40},
+                {"regParam": 0.001, "maxIter": 40})
 
 
 def feature_stages(text: str = "processed_text", num_features: int = NUM_FEATURES):
@@ -70,19 +70,19 @@ def _with_targets(df: DataFrame, heads: Sequence[HeadSpec], cols: dict) -> DataF
                            for h in heads})
 
 
+def fit_heads(feats: DataFrame, heads: Sequence[HeadSpec], params: dict) -> list:
+    """One LR per head on already computed features."""
+    return [_head(h.name, h.label, params).fit(feats) for h in heads]
+
+
 def train_heads(features: PipelineModel, train: DataFrame, heads: Sequence[HeadSpec],
                 params: dict) -> PipelineModel:
     """M1 / M2: fit one LR per head on shared, already fitted features."""
     feats = features.transform(train)
-    stages = list(features.stages)
-    for h in heads:
-        stages.append(_head(h.name, h.label, params).fit(feats))
-    return PipelineModel(stages=stages)
+    return PipelineModel(stages=list(features.stages) + fit_heads(feats, heads, params))
 
 
-def predictions(model: PipelineModel, df: DataFrame, heads: Sequence[HeadSpec]) -> DataFrame:
-    """Scored rows with ``pred_<head>`` in the original coding and the probability array."""
-    out = model.transform(df)
+def _finish(out: DataFrame, heads: Sequence[HeadSpec]) -> DataFrame:
     for h in heads:
         out = out.withColumns({
             f"pred_{h.name}": (F.col(f"pred_{h.name}").cast("int") + h.offset),
@@ -91,6 +91,11 @@ def predictions(model: PipelineModel, df: DataFrame, heads: Sequence[HeadSpec])
     return out.drop("tokens", "tf", "features", *[f"raw_{h.name}" for h in heads])
 
 
+def predictions(model: PipelineModel, df: DataFrame, heads: Sequence[HeadSpec]) -> DataFrame:
+    """Scored rows with ``pred_<head>`` in the original coding and the probability array."""
+    return _finish(model.transform(df), heads)
+
+
 def evaluate_heads(scored: DataFrame, heads: Sequence[HeadSpec], actual: dict,
                    domains: dict) -> dict:
     """Confusion, report and summary for all heads in one pass."""
@@ -115,20 +120,35 @@ class Selection:
 def select_best(features: PipelineModel, train: DataFrame, val: DataFrame,
                 heads: Sequence[HeadSpec], actual: dict, domains: dict,
                 grid: Sequence[dict] = DEFAULT_GRID, patience: int = 3) -> Selection:
-    """M4: strict improvement, counter reset on improvement, stop after ``patience``."""
+    """M4: strict improvement, counter reset on improvement, stop after ``patience``.
+
+    Train and validation features are computed once and kept (memory, spilling
+    to disk) for all candidates; every fit and evaluation is distributed.
+    """
+    from pyspark import StorageLevel
+    tr = features.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
+    va = features.transform(val).persist(StorageLevel.MEMORY_AND_DISK)
     best, best_score, best_params, waited, history = None, float("-inf"), None, 0, []
-    for params in grid:
-        model = train_heads(features, train, heads, params)
-        ev = evaluate_heads(predictions(model, val, heads), heads, actual, domains)
-        score = joint_score(ev["summary"])
-        history.append((dict(params), score))
-        if score > best_score:
-            best, best_score, best_params, waited = model, score, dict(params), 0
-        else:
-            waited += 1
-            if waited >= patience:
-                break
-    return Selection(best, best_params, best_score, history)
+    try:
+        for params in grid:
+            models = fit_heads(tr, heads, params)
+            scored = va
+            for m in models:
+                scored = m.transform(scored)
+            ev = evaluate_heads(_finish(scored, heads), heads, actual, domains)
+            score = joint_score(ev["summary"])
+            history.append((dict(params), score))
+            if score > best_score:
+                best, best_score, best_params, waited = models, score, dict(params), 0
+            else:
+                waited += 1
+                if waited >= patience:
+                    break
+    finally:
+        tr.unpersist()
+        va.unpersist()
+    model = PipelineModel(stages=list(features.stages) + list(best))
+    return Selection(model, best_params, best_score, history)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

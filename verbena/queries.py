@@ -326,6 +326,22 @@ def q_label_stream(spark, sf):
     return label_stream_from_tables(spark, sf).select("doc_id", "id", "comment", "label", "task")
 
 
+def q_shuffle_order(spark, sf):
+    """O1: the repeatable training order (md5 of seed:id, then id) as a 0-based index."""
+    from .operators.split import order_key
+    lab = D.labelled_comments(spark, sf).select("id")
+    return row_index(lab, [order_key("id", 42), F.col("id")], "order_idx")
+
+
+def q_dataset_counts(spark, sf):
+    a, b, c = _sources_table(spark, sf)
+    u = union_sources(
+        adapter_a(a, "sentence", "sentiment", keep=["doc_id"]).withColumn("source", F.lit("A")),
+        adapter_b(b, keep=["doc_id"]).withColumn("source", F.lit("B")),
+        adapter_c(c, keep=["doc_id"]).withColumn("source", F.lit("C")))
+    return M.dataset_counts(u, "label", ["source"])
+
+
 QUERIES = {
     "labelled_counts": q_labelled_counts,
     "clean_comments": q_clean_comments,
@@ -344,6 +360,8 @@ QUERIES = {
     "validate_labels": q_validate_labels,
     "recode_and_union": q_recode_and_union,
     "decode_labels": q_decode_labels,
+    "shuffle_order": q_shuffle_order,
+    "dataset_counts": q_dataset_counts,
     "stratified_split_multitask": q_stratified_split_multitask,
     "stratified_split_sentiment": q_stratified_split_sentiment,
     "fit_vocab": q_fit_vocab,
