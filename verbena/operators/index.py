@@ -11,10 +11,11 @@
 
 The position inside a partition comes from ``monotonically_increasing_id``,
 which is consecutive within a partition.  The explicit partition count keeps
-AQE from coalescing the range exchange.  The numbered rows are checkpointed
-(reliably, to the shared folder) before they are counted, so the counting
-pass and the numbering pass read identical partitions; ``materialize=False``
-skips that only for inputs whose range exchange is known to be reused.
+AQE from coalescing the range exchange.  The numbered rows (with their
+partition number and position stored as columns) are written as a table in
+the shared checkpoint folder before they are counted, so the counting pass
+and the numbering pass read identical numbers; ``materialize=False`` skips
+that only for inputs whose range exchange is known to be reused.
 """
 
 from __future__ import annotations
@@ -39,13 +40,14 @@ def _as_cols(cols) -> list[Column]:
 
 def row_index(df: DataFrame, order_by: Sequence, name: str = "row_idx",
               group_by: Sequence[str] = (), num_partitions: int | None = None,
-              materialize: bool = True) -> DataFrame:
+              materialize: bool = True, group_size: str | None = None) -> DataFrame:
     """Add ``name``: 0-based position of each row in ``order_by`` order.
 
     With ``group_by`` the position restarts in every group (rank within a
     group).  Use ``group_by`` only for a small, known set of groups (the
     broadcast table has partitions x groups rows); many groups should use a
-    window partitioned by the group instead.  ``order_by`` must be a total
+    window partitioned by the group instead.  ``group_size`` adds each
+    group's row count, taken from the same small table.  ``order_by`` must be a total
     order (unique), otherwise ties take an arbitrary but consistent order.
     """
     group_by = list(group_by)
@@ -61,27 +63,36 @@ def row_index(df: DataFrame, order_by: Sequence, name: str = "row_idx",
         # bounds are sampled each time an exchange runs, and the counting pass
         # reads fewer columns (so it is a different exchange): the sorted,
         # numbered rows are written once to the shared checkpoint folder
-        # (reliable: a lost executor does not lose them) and read twice.
+        # (a lost executor does not lose them) and read twice.
+        # A parquet table (not an RDD checkpoint) so that the counting pass
+        # reads only the two small columns it needs.
         from ..session import shared_dir
-        shared_dir(df.sparkSession, "row-index")  # makes sure a checkpoint dir is set
-        base = base.checkpoint(eager=True)
+        path = shared_dir(df.sparkSession, "row-index")
+        base.write.mode("overwrite").parquet(path)
+        base = df.sparkSession.read.parquet(path)
     counts = base.groupBy(_PID, *group_by).agg(
         F.count(F.lit(1)).alias("__vb_n"), F.min(_LOC).alias("__vb_first"))
     w = Window.partitionBy(*group_by).orderBy(_PID) if group_by else Window.orderBy(_PID)
+    extra = []
+    if group_size:
+        whole = Window.partitionBy(*group_by) if group_by else Window.partitionBy()
+        extra = [F.sum("__vb_n").over(whole).alias(group_size)]
     offsets = counts.select(
         _PID, *group_by, "__vb_first",
-        (F.sum("__vb_n").over(w) - F.col("__vb_n")).alias("__vb_off"))
+        (F.sum("__vb_n").over(w) - F.col("__vb_n")).alias("__vb_off"), *extra)
+    # The offsets table has one row per (partition, group): its size is bounded
+    # by the partition count times the (few) groups, never by the data, so it
+    # is broadcast and the numbered rows are not shuffled again.
     if group_by:
-        # null-safe: a null group is a group too.  Partitions x groups rows:
-        # AQE broadcasts it at run time when it is small, else it shuffles.
+        # null-safe: a null group is a group too
         ren = {g: f"__vb_g{i}" for i, g in enumerate(group_by)}
         offs = offsets.select(F.col(_PID).alias("__vb_opid"), "__vb_first", "__vb_off",
+                              *([group_size] if group_size else []),
                               *[F.col(g).alias(r) for g, r in ren.items()])
         cond = [F.col(_PID) == F.col("__vb_opid")] + [
             F.col(g).eqNullSafe(F.col(r)) for g, r in ren.items()]
-        out = base.join(offs, cond).drop("__vb_opid", *ren.values())
+        out = base.join(F.broadcast(offs), cond).drop("__vb_opid", *ren.values())
     else:
-        # at most one row per partition: a size bound that does not grow with the data
         out = base.join(F.broadcast(offsets), _PID)
     idx = F.col("__vb_off") + F.col(_LOC) - F.col("__vb_first")
     return out.withColumn(name, idx).drop(_PID, _MID, _LOC, "__vb_first", "__vb_off")

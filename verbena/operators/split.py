@@ -40,32 +40,25 @@ def stratified_split(df: DataFrame, strata: Sequence[str], key: str = "id",
 
     ``test=0`` gives a two-way train / val split (the sentiment variant:
     ``test=0, val=0.1``).  Rows with a null stratum get a null split (D11),
-    they are kept, not dropped.
+    they are kept, not dropped.  One read of the input: the stratum sizes come
+    from the row index's own per-partition counts.
     """
     strata = list(strata)
     t, v = _frac(test), _frac(val)
-    ok = F.lit(True)
-    for s in strata:
-        ok = ok & F.col(s).isNotNull()
-    good = df.filter(ok)
-    ranked = row_index(good, [order_key(key, seed), F.col(key)], "__vb_rank", group_by=strata,
-                       num_partitions=num_partitions)
-    sizes = good.groupBy(*strata).agg(F.count(F.lit(1)).alias("__vb_n"))
+    ranked = row_index(df, [order_key(key, seed), F.col(key)], "__vb_rank", group_by=strata,
+                       num_partitions=num_partitions, group_size="__vb_n")
+    # quotas are arithmetic on the stratum size carried by every row: no join
     n = F.col("__vb_n")
     test_n = F.floor((n * t + SCALE // 2) / SCALE) if t else F.lit(0)
     rest = n - test_n
     if v:
-        denom = 2 * (SCALE - t)
-        val_n = F.floor((rest * (2 * v) + (SCALE - t)) / denom)
+        val_n = F.floor((rest * (2 * v) + (SCALE - t)) / (2 * (SCALE - t)))
     else:
         val_n = F.lit(0)
-    quotas = sizes.select(*strata, test_n.cast("long").alias("__vb_t"),
-                          val_n.cast("long").alias("__vb_v"))
     rk = F.col("__vb_rank")
-    out = ranked.join(quotas, strata).withColumn(
-        split_col,
-        F.when(rk < F.col("__vb_t"), "test")
-        .when(rk < F.col("__vb_t") + F.col("__vb_v"), "val")
-        .otherwise("train")).drop("__vb_rank", "__vb_t", "__vb_v")
-    rejected = df.filter(~ok).withColumn(split_col, F.lit(None).cast("string"))
-    return out.unionByName(rejected)
+    missing = F.lit(False)
+    for s_ in strata:
+        missing = missing | F.col(s_).isNull()
+    split = (F.when(missing, F.lit(None).cast("string"))
+             .when(rk < test_n, "test").when(rk < test_n + val_n, "val").otherwise("train"))
+    return ranked.withColumn(split_col, split).drop("__vb_rank", "__vb_n")
