@@ -439,3 +439,11 @@ SELECT id, row_number() OVER (ORDER BY md5('42:' || id), id) - 1 AS order_idx FR
 
 SQL["dataset_counts"] = SQL["recode_and_union"].replace("WITH ", "WITH u0 AS (WITH ", 1) + """)
 SELECT source, count(*) AS n_rows, count(DISTINCT label) AS n_classes FROM u0 GROUP BY source"""
+
+SQL["prompt_sentences"] = f"""
+WITH c AS (SELECT doc_id, {clean('text')} AS comment FROM documents),
+s AS (SELECT doc_id, unnest(list_transform({sentences('comment')}, lambda x, i: {{'i': i, 'x': x}})) AS u FROM c),
+s2 AS (SELECT doc_id, CAST(u.i - 1 AS INTEGER) AS sentence_no, u.x AS sentence FROM s),
+done AS (SELECT DISTINCT sentence FROM s2 WHERE doc_id IN (SELECT doc_id FROM labels))
+SELECT doc_id, sentence_no, {q(PROMPT_TEMPLATE)} || '"' || sentence || '"' AS prompt
+FROM s2 WHERE sentence NOT IN (SELECT sentence FROM done)"""

@@ -101,6 +101,18 @@ def q_prompt_batches(spark, sf):
     return p.select("batch_id", F.size("items").cast("int").alias("n_rows"), "prompt")
 
 
+def q_prompt_sentences(spark, sf):
+    """T11-T13 + J2: one prompt per sentence not labelled before (single mode)."""
+    from .plans.labelling import plan_sentences
+    c = prepare_comments(D.comments(spark, sf).select("doc_id", "id", "comment",
+                                                      F.lit("1").alias("label")), keep=("doc_id",))
+    done = explode_sentences(
+        c.join(D.table(spark, sf, "labels").select("doc_id"), "doc_id").select("comment")
+    ).select(F.col("sentence").alias("source_sentence"))
+    s = plan_sentences(c, done, PROMPT_TEMPLATE)
+    return s.select("doc_id", F.col("sentence_no").cast("int"), "prompt")
+
+
 def q_parse_batch_responses(spark, sf):
     rows, _ = _batched(spark, sf)
     resp = D.synthetic_responses(rows)
@@ -351,6 +363,7 @@ QUERIES = {
     "split_sentences": q_split_sentences,
     "abbreviation_last_wins": q_abbreviation_last_wins,
     "prompt_batches": q_prompt_batches,
+    "prompt_sentences": q_prompt_sentences,
     "parse_batch_responses": q_parse_batch_responses,
     "parse_single_responses": q_parse_single_responses,
     "align_responses": q_align_responses,

@@ -2,9 +2,10 @@
 
 ``label_stream``: the labeler's answers arrive as files; each micro-batch is
 joined to the (static, already written) table of rows waiting for labels,
-parsed and aligned (R1-R8), stripped of rows already in the output (J1, so a
-restart or a replayed batch adds nothing twice) and appended to the output
-dataset.  Offsets live in the checkpoint folder (ST2).
+parsed and aligned (R1-R8) and written to its own folder of the output
+dataset (a replayed micro-batch overwrites its folder, so nothing is added
+twice).  Offsets live in the checkpoint folder; rows labelled before the
+stream existed are removed from the waiting table once (ST2, J1).
 
 ``score_stream``: a fitted ``PipelineModel`` (or any DataFrame function) on a
 stream of texts, appended to a sink (ST3).
@@ -30,7 +31,8 @@ def label_stream(spark: SparkSession, responses_dir: str, rows: DataFrame, outpu
 
     ``rows``: one row per comment with ``batch_id``, ``pos``, ``id``,
     ``comment`` (write it once to a table and read it back, so micro-batches
-    do not recompute it).  ``trigger`` defaults to every 10 seconds, the
+    do not recompute it); rows labelled before the stream existed are removed
+    from it first with ``pending_rows`` (J1), once, not per micro-batch.  ``trigger`` defaults to every 10 seconds, the
     reference's flush interval; ``{"availableNow": True}`` drains and stops.
     """
     answers = spark.readStream.schema(RESPONSE_SCHEMA).parquet(responses_dir)
@@ -39,15 +41,21 @@ def label_stream(spark: SparkSession, responses_dir: str, rows: DataFrame, outpu
         labelled = labelled.select(*output_columns)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        done = read_progress(batch.sparkSession, output)
-        fresh = resume_by_id(batch, done.select(key), key) if key in done.columns else batch
-        fresh.write.mode("append").parquet(output)
+        # one folder per micro-batch, overwritten on a replay: a batch that is
+        # run again after a failure replaces its own rows instead of adding them
+        batch.write.mode("overwrite").parquet(f"{output.rstrip('/')}/epoch={epoch_id}")
 
     w = labelled.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": "10 seconds"}))
     return w.start()
 
 
+def pending_rows(rows: DataFrame, output: str, key: str = "id") -> DataFrame:
+    """ST2 / J1: rows whose key is not in the output written so far."""
+    done = read_progress(rows.sparkSession, output)
+    return resume_by_id(rows, done.select(key), key) if key in done.columns else rows
+
+
 def score_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], output: str,
                  checkpoint: str, trigger: dict | None = None, fmt: str = "parquet"):
     """ST3: ``score`` (e.g. ``model.transform`` + a prediction shape) on every micro-batch."""
@@ -71,7 +79,7 @@ def label_stream_from_tables(spark: SparkSession, sf_dir: str, drops: int = 3) -
 
     base = shared_dir(spark, "label-stream")
     rows, _ = _batched(spark, sf_dir)
-    rows.write.mode("overwrite").parquet(f"{base}/rows")
+    pending_rows(rows, f"{base}/out").write.mode("overwrite").parquet(f"{base}/rows")
     rows = spark.read.parquet(f"{base}/rows")
     answers = synthetic_responses(rows)
     for d in range(drops):
