@@ -28,3 +28,35 @@ def test_multitask_beats_majority(spark):
         base = top / n * (2 * (top / n) / (1 + top / n))
         assert summary[head].support == n
         assert summary[head].f1 >= base - 1e-9
+
+
+def test_label_stream_restart_adds_nothing(spark, tmp_path):
+    from verbena.queries import _batched
+    from verbena.sources.derived import synthetic_responses
+    from verbena.streaming.labelling import label_stream, pending_rows
+    base = str(tmp_path)
+    rows, _ = _batched(spark, SF001)
+    rows.write.parquet(f"{base}/rows")
+    rows = spark.read.parquet(f"{base}/rows")
+    answers = synthetic_responses(rows)
+    answers.filter("batch_id < 20").write.parquet(f"{base}/answers")
+    cols = ["doc_id", "id", "comment", "label", "task"]
+    q = label_stream(spark, f"{base}/answers", rows, f"{base}/out", f"{base}/ck",
+                     {"availableNow": True}, output_columns=cols)
+    q.awaitTermination()
+    first = spark.read.parquet(f"{base}/out").count()
+    assert first == 100
+    # same checkpoint, nothing new: nothing is added
+    q = label_stream(spark, f"{base}/answers", rows, f"{base}/out", f"{base}/ck",
+                     {"availableNow": True}, output_columns=cols)
+    q.awaitTermination()
+    assert spark.read.parquet(f"{base}/out").count() == first
+    # more answers arrive: only their rows are added
+    answers.filter("batch_id >= 20").write.mode("append").parquet(f"{base}/answers")
+    q = label_stream(spark, f"{base}/answers", rows, f"{base}/out", f"{base}/ck",
+                     {"availableNow": True}, output_columns=cols)
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    assert out.count() == 200 and out.select("id").distinct().count() == 200
+    # a fresh stream over the same output: every row is already labelled
+    assert pending_rows(rows, f"{base}/out").count() == 0
