@@ -90,3 +90,22 @@ def test_model_save_load_and_score_stream(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "scored"))
     assert out.count() == lab.count()
     assert set(out.columns) == {"text", "sentiment", "sentiment_confidence", "task", "task_confidence"}
+
+
+def test_run_batch_labelling_appends_and_resumes(spark, tmp_path):
+    from verbena.plans.labelling import prepare_comments, run_batch_labelling
+    from verbena.sources.comments import read_progress
+    from verbena.sources.derived import comments, synthetic_responses
+    from verbena.operators.index import batch_rows
+    c = prepare_comments(comments(spark, SF001).select("doc_id", "id", "comment",
+                                                       F.lit("1").alias("label")), keep=("doc_id",))
+    rows, _ = batch_rows(c, ["doc_id"], 5, ("id", "comment"))
+    answers = synthetic_responses(rows)
+    out = str(tmp_path / "labelled")
+    first = c.filter(F.col("doc_id") < 50)
+    run_batch_labelling(first, answers, out, ["doc_id"], read_progress(spark, out))
+    assert read_progress(spark, out).count() == 50
+    # the second run skips the 50 rows labelled before and appends the rest
+    run_batch_labelling(c, answers, out, ["doc_id"], read_progress(spark, out))
+    done = read_progress(spark, out)
+    assert done.count() == 200 and done.select("id").distinct().count() == 200

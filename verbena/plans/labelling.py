@@ -71,3 +71,19 @@ def label_sentences(sentences: DataFrame, responses: DataFrame | None = None,
                           "comment": F.col("__vb_l.corrected_text"),
                           "label": F.col("__vb_l.label"), "task": F.col("__vb_l.task")})
             .drop("__vb_l", response, "sentence", "prompt"))
+
+
+def run_batch_labelling(comments: DataFrame, responses: DataFrame, output: str,
+                        order_by: Sequence, progress: DataFrame | None = None,
+                        size: int = 5, fmt: str = "parquet") -> None:
+    """The whole batch job on answers already collected: rows still to label
+    (J1 against ``progress``), batches of ``size`` (A1), answers aligned and
+    parsed (R1-R8), appended to ``output`` (U2, never rewritten).
+
+    Nothing is returned on purpose: a lazy frame built on ``progress`` would
+    change meaning once its own rows are in the output; read ``output``.
+    """
+    from ..sources.sinks import write_labelled
+    rows, _ = plan_batches(comments, order_by, progress, size)
+    labelled = label_batches(rows, responses)
+    write_labelled(labelled, output, fmt=fmt, mode="append")
