@@ -28,10 +28,13 @@ _PID, _MID, _LOC = "__vb_pid", "__vb_mid", "__vb_loc"
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
+    """Range partitions: at least ``spark.sql.shuffle.partitions`` and at least
+    as many as the input has splits, so a partition stays near one input split
+    at any scale (AQE does not resize an exchange with an explicit count)."""
     if num_partitions:
         return int(num_partitions)
     spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions(), 1)
 
 
 def _as_cols(cols) -> list[Column]:
