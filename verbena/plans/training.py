@@ -71,8 +71,17 @@ def _with_targets(df: DataFrame, heads: Sequence[HeadSpec], cols: dict) -> DataF
 
 
 def fit_heads(feats: DataFrame, heads: Sequence[HeadSpec], params: dict) -> list:
-    """One LR per head on already computed features."""
-    return [_head(h.name, h.label, params).fit(feats) for h in heads]
+    """One LR per head on already computed features.
+
+    The heads do not depend on each other, so their fits are submitted from
+    separate driver threads and Spark runs their jobs side by side.
+    """
+    if len(heads) == 1:
+        return [_head(heads[0].name, heads[0].label, params).fit(feats)]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(heads)) as pool:
+        futures = [pool.submit(_head(h.name, h.label, params).fit, feats) for h in heads]
+        return [f.result() for f in futures]
 
 
 def train_heads(features: PipelineModel, train: DataFrame, heads: Sequence[HeadSpec],
