@@ -13,16 +13,20 @@ COMMENT_SCHEMA = "id string, comment string, label string, task string"
 
 
 def read_comments(spark: SparkSession, path: str, sep: str = ",",
-                  schema: str | StructType | None = None, fmt: str = "csv") -> DataFrame:
+                  schema: str | StructType | None = None, fmt: str = "csv",
+                  multi_line: bool = True) -> DataFrame:
     """A delimited file with a header row (quoted, multi-line cells allowed).
 
     Without a schema every column is read as a string (no inference pass over
-    the data); parquet / orc / json go through the generic reader.
+    the data); parquet / orc / json go through the generic reader.  A
+    multi-line CSV file cannot be split, so each file is one task: for very
+    large files whose cells hold no line breaks pass ``multi_line=False``
+    (files are then split), or convert them to parquet once.
     """
     if fmt != "csv":
         r = spark.read.format(fmt)
         return (r.schema(schema) if schema is not None else r).load(path)
-    r = (spark.read.option("header", True).option("sep", sep).option("multiLine", True)
+    r = (spark.read.option("header", True).option("sep", sep).option("multiLine", multi_line)
          .option("quote", '"').option("escape", '"').option("inferSchema", False))
     if schema is not None:
         r = r.schema(schema)
