@@ -75,3 +75,20 @@ def test_encode_join_path_equals_map_path(spark):
     finally:
         V.MAX_INLINE_ENTRIES = old
     assert small == big
+
+
+def test_prediction_shapes(spark):
+    from verbena.operators.predict import predict_codes, predict_emotion, predict_named
+    from verbena.operators.metrics import confusion_matrix, confusion_wide
+    df = spark.createDataFrame([("a", [0.0, 2.0, 1.0], [0.0] * 8 + [5.0])],
+                               "t string, s array<double>, k array<double>")
+    c = predict_codes(df, "t", "s", "k").first()
+    assert (c.id_text, c.sentiment, c.task) == ("a", 1, 9)
+    n = predict_named(df, "t", "s", "k").first()
+    assert (n.sentiment, n.task) == ("Trung tính", "Khác")
+    e = predict_emotion(df, "t", "s").first()
+    assert e.emotion == "Trung tính" and 0.5 < e.confidence < 1
+    pairs = spark.createDataFrame([(0, 0), (0, 1), (2, 2), (2, 2)], "a int, p int")
+    wide = {r.actual: (r.p0, r.p1, r.p2)
+            for r in confusion_wide(confusion_matrix(pairs, "a", "p", [0, 1, 2]), [0, 1, 2]).collect()}
+    assert wide == {0: (1, 1, 0), 1: (0, 0, 0), 2: (0, 0, 2)}

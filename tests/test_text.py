@@ -83,3 +83,12 @@ def test_prompt_batch_replaces_pipes(spark):
     df = spark.createDataFrame([(["a|b", "c"],)], "xs array<string>")
     got = df.select(build_prompt_batch("T:", F.col("xs"))).first()[0]
     assert got == 'T:"a b|c"'
+
+
+def test_expand_with_table_equals_inline(spark):
+    from verbena.sources.abbreviations import expand_with_table
+    table = spark.createDataFrame([(0, "sp", "sản phẩm"), (1, "ko", "không"), (2, "sp", "sản phẩm 2")],
+                                  "line_no long, abbr string, full string")
+    df = spark.createDataFrame([(1, "sp  ko tot"), (2, ""), (3, "x")], "k long, t string")
+    got = {r.k: r.t for r in expand_with_table(df, "t", "k", table).collect()}
+    assert got == {1: "sản phẩm 2 không tot", 2: "", 3: "x"}
