@@ -24,28 +24,70 @@ from ..sources.comments import read_progress
 RESPONSE_SCHEMA = "batch_id long, response string"
 
 
-def label_stream(spark: SparkSession, responses_dir: str, rows: DataFrame, output: str,
-                 checkpoint: str, trigger: dict | None = None, key: str = "id",
-                 output_columns: list[str] | None = None):
+# batches per folder of the waiting-rows table (the unit of partition pruning)
+BATCH_GROUP = 4096
+
+
+def write_waiting_rows(rows: DataFrame, path: str, output: str | None = None,
+                       key: str = "id", group: int = BATCH_GROUP) -> None:
+    """Write the rows still to label, partitioned by ``batch_id div group``.
+
+    Rows already in ``output`` are removed first (J1, once).  A micro-batch of
+    answers then reads only the folders of its own batch ids.
+    """
+    r = pending_rows(rows, output, key) if output else rows
+    (r.withColumn("batch_group", F.floor(F.col("batch_id") / F.lit(group)).cast("long"))
+     .write.mode("overwrite").partitionBy("batch_group").parquet(path))
+
+
+def label_stream(spark: SparkSession, responses_dir: str, rows: DataFrame | str, output: str,
+                 checkpoint: str, trigger: dict | None = None,
+                 output_columns: list[str] | None = None, group: int = BATCH_GROUP):
     """Start the labelling stream; returns the ``StreamingQuery``.
 
-    ``rows``: one row per comment with ``batch_id``, ``pos``, ``id``,
-    ``comment`` (write it once to a table and read it back, so micro-batches
-    do not recompute it); rows labelled before the stream existed are removed
-    from it first with ``pending_rows`` (J1), once, not per micro-batch.  ``trigger`` defaults to every 10 seconds, the
+    ``rows``: the rows waiting for labels (``batch_id``, ``pos``, ``id``,
+    ``comment``, ...).  Best given as the path of a table written by
+    ``write_waiting_rows``: each micro-batch then reads only the
+    ``batch_group`` folders between its smallest and largest batch id
+    (partition pruning), instead of scanning every waiting row.  A DataFrame
+    is joined to the stream as a static side (simple, but read whole for
+    every micro-batch).  ``trigger`` defaults to every 10 seconds, the
     reference's flush interval; ``{"availableNow": True}`` drains and stops.
+    Each micro-batch writes its own ``epoch=N`` folder in overwrite mode, so
+    a replay after a failure replaces its rows instead of adding them.
     """
     answers = spark.readStream.schema(RESPONSE_SCHEMA).parquet(responses_dir)
-    labelled = align_responses(rows, answers, answered_only=True)
-    if output_columns:
-        labelled = labelled.select(*output_columns)
-
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        # one folder per micro-batch, overwritten on a replay: a batch that is
-        # run again after a failure replaces its own rows instead of adding them
-        batch.write.mode("overwrite").parquet(f"{output.rstrip('/')}/epoch={epoch_id}")
-
-    w = labelled.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    target = output.rstrip("/")
+
+    def finish(df: DataFrame, epoch_id: int) -> None:
+        if output_columns:
+            df = df.select(*output_columns)
+        df.write.mode("overwrite").parquet(f"{target}/epoch={epoch_id}")
+
+    if isinstance(rows, str):
+        rows_path = rows
+
+        def write(batch: DataFrame, epoch_id: int) -> None:
+            batch = batch.withColumn("batch_group", F.floor(F.col("batch_id") / F.lit(group)).cast("long"))
+            batch = batch.persist()  # read twice: its range, then the join
+            try:
+                lo, hi = batch.agg(F.min("batch_group"), F.max("batch_group")).first()
+                if lo is None:
+                    return
+                waiting = (batch.sparkSession.read.parquet(rows_path)
+                           .filter(F.col("batch_group").between(lo, hi)))
+                # only rows whose batch is answered in this micro-batch; the rest wait
+                labelled = align_responses(waiting.drop("batch_group"), batch.drop("batch_group"),
+                                           key="batch_id", answered_only=True)
+                finish(labelled, epoch_id)
+            finally:
+                batch.unpersist()
+
+        w = answers.writeStream.foreachBatch(write)
+    else:
+        labelled = align_responses(rows, answers, answered_only=True)
+        w = labelled.writeStream.foreachBatch(finish)
+    w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"processingTime": "10 seconds"}))
     return w.start()
 
@@ -79,14 +121,13 @@ def label_stream_from_tables(spark: SparkSession, sf_dir: str, drops: int = 3) -
 
     base = shared_dir(spark, "label-stream")
     rows, _ = _batched(spark, sf_dir)
-    pending_rows(rows, f"{base}/out").write.mode("overwrite").parquet(f"{base}/rows")
-    rows = spark.read.parquet(f"{base}/rows")
-    answers = synthetic_responses(rows)
+    write_waiting_rows(rows, f"{base}/rows", f"{base}/out")
+    answers = synthetic_responses(spark.read.parquet(f"{base}/rows"))
     for d in range(drops):
         (answers.filter(F.col("batch_id") % drops == d)
          .write.mode("append").parquet(f"{base}/answers"))
     cols = ["doc_id", "id", "comment", "label", "task", "batch_id"]
-    q = label_stream(spark, f"{base}/answers", rows, f"{base}/out", f"{base}/ckpt",
+    q = label_stream(spark, f"{base}/answers", f"{base}/rows", f"{base}/out", f"{base}/ckpt",
                      {"availableNow": True}, output_columns=cols)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
