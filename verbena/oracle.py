@@ -350,16 +350,37 @@ SELECT doc_id,
        CAST(list_resize(list_resize([1], len(ids) + 2, 1), {MAX_LEN}, 0) AS INTEGER[]) AS attention_mask
 FROM f"""
 
-SQL["phrase_scores"] = f"""
-WITH {DOCS},
+PHRASES = DOCS + f""",
 uni AS (SELECT w, count(*) AS n FROM (SELECT unnest(toks) AS w FROM toks) GROUP BY w),
 bg AS (SELECT unnest(list_transform(range(1, len(toks)), lambda i: {{'a': toks[i], 'b': toks[i + 1]}})) AS p
        FROM toks),
 bi AS (SELECT p.a AS a, p.b AS b, count(*) AS n_ab FROM bg GROUP BY ALL HAVING count(*) >= {PHRASE_MIN_COUNT}),
 sc AS (SELECT bi.a, bi.b, n_ab, ua.n AS n_a, ub.n AS n_b,
               (n_ab - {PHRASE_DELTA}) / (CAST(ua.n AS DOUBLE) * ub.n) AS score
-       FROM bi JOIN uni ua ON ua.w = bi.a JOIN uni ub ON ub.w = bi.b)
-SELECT a, b, n_ab, n_a, n_b, round(score * 1e9, 6) AS score FROM sc WHERE score > {PHRASE_THRESHOLD}"""
+       FROM bi JOIN uni ua ON ua.w = bi.a JOIN uni ub ON ub.w = bi.b)"""
+
+SQL["phrase_scores"] = f"""
+WITH {PHRASES}
+SELECT a, b, n_ab, n_a, n_b, round(score * 1e6, 3) AS score FROM sc WHERE score > {PHRASE_THRESHOLD}"""
+
+# greedy left-to-right joining: H/N flag per bigram position, 'H(.?)' -> 'S\1' marks the starts
+SQL["apply_phrases"] = f"""
+WITH {PHRASES},
+ph AS (SELECT a || ' ' || b AS k FROM sc WHERE score > {PHRASE_THRESHOLD}),
+bgp AS (SELECT doc_id, u.i AS i, u.k AS k FROM (
+          SELECT doc_id, unnest(list_transform(range(1, len(toks)),
+                                               lambda i: {{'i': i, 'k': toks[i] || ' ' || toks[i + 1]}})) AS u
+          FROM toks)),
+hits AS (SELECT bgp.doc_id, string_agg(CASE WHEN ph.k IS NULL THEN 'N' ELSE 'H' END, '' ORDER BY bgp.i) AS flags
+         FROM bgp LEFT JOIN ph ON bgp.k = ph.k GROUP BY bgp.doc_id),
+f AS (SELECT t.doc_id, t.toks, regexp_replace(coalesce(h.flags, '') || 'N', 'H(.?)', 'S\1', 'g') AS st
+      FROM toks t LEFT JOIN hits h USING (doc_id))
+SELECT doc_id,
+       array_to_string(list_filter(list_transform(toks, lambda x, i:
+           CASE WHEN substr(st, i, 1) = 'S' THEN x || '_' || toks[i + 1]
+                WHEN i > 1 AND substr(st, i - 1, 1) = 'S' THEN NULL ELSE x END),
+         lambda y: y IS NOT NULL), ' ') AS phrased
+FROM f"""
 
 SQL["confusion_matrix"] = f"WITH {confusion_cte()} SELECT head, actual, predicted, n FROM cm"
 

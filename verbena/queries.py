@@ -245,7 +245,7 @@ def q_phrase_scores(spark, sf):
     from .operators.phrases import phrase_scores
     p = phrase_scores(_processed_docs(spark, sf), "processed_text", PHRASE_MIN_COUNT,
                       PHRASE_DELTA, PHRASE_THRESHOLD)
-    return p.withColumn("score", F.round(F.col("score") * 1e9, 6))
+    return p.withColumn("score", F.round(F.col("score") * 1e6, 3))
 
 
 def q_apply_phrases(spark, sf):
