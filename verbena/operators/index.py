@@ -27,6 +27,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 _PID, _MID, _LOC = "__vb_pid", "__vb_mid", "__vb_loc"
 
 
+def input_partitions(df: DataFrame) -> int | None:
+    """How many partitions ``df`` has as planned (None where that is unknown)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a remote session without RDDs
+        return None
+
+
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     """Range partitions: at least ``spark.sql.shuffle.partitions`` and at least
     as many as the input has splits, so a partition stays near one input split
@@ -34,7 +42,7 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return int(num_partitions)
     spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions(), 1)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), input_partitions(df) or 1, 1)
 
 
 def _as_cols(cols) -> list[Column]:

@@ -22,8 +22,13 @@ def balance(df: DataFrame) -> DataFrame:
     the text-heavy steps.  Only then the rows are dealt out round-robin; a
     large input (more splits than cores) is left exactly as read.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    from ..operators.index import input_partitions
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a remote session)
+        return df
+    n = input_partitions(df)
+    if n is not None and n < cores:
         return df.repartition(cores)
     return df
 
