@@ -70,3 +70,13 @@ def test_split_null_label_kept(spark):
     out = stratified_split(df, ["label"], "id", 0.0, 0.1)
     assert out.count() == 30
     assert out.filter("label is null").first()["split"] is None
+
+
+def test_hash_split_shares(spark):
+    df = spark.range(20000).select(F.col("id").cast("string").alias("id"))
+    out = stratified_split(df, [], "id", 0.15, 0.15, 42, mode="hash")
+    shares = {r.split: r["count"] / 20000 for r in out.groupBy("split").count().collect()}
+    assert abs(shares["test"] - 0.15) < 0.01 and abs(shares["val"] - 0.15) < 0.01
+    again = stratified_split(df.filter("id < '5'"), [], "id", 0.15, 0.15, 42, mode="hash")
+    a = {r.id: r.split for r in out.filter("id < '5'").collect()}
+    assert a == {r.id: r.split for r in again.collect()}

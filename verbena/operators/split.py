@@ -33,16 +33,36 @@ def order_key(key: str, seed: int = 42):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
+def hash_split(df: DataFrame, key: str = "id", test: float = 0.15, val: float = 0.15,
+               seed: int = 42, split_col: str = "split") -> DataFrame:
+    """``mode='hash'``: one pass, no sort, no shuffle.
+
+    Each row's ``md5('seed:id')`` is read as a uniform number in [0, 1):
+    below ``test`` is test, below ``test + val`` is val, the rest train.  Every
+    stratum gets the shares in expectation (not exactly); the same id always
+    lands in the same part, whatever else is in the table.
+    """
+    u = F.conv(F.substring(order_key(key, seed), 1, 13), 16, 10).cast("double") / float(16 ** 13)
+    return df.withColumn(split_col, F.when(u < test, "test").when(u < test + val, "val")
+                         .otherwise("train"))
+
+
 def stratified_split(df: DataFrame, strata: Sequence[str], key: str = "id",
                      test: float = 0.15, val: float = 0.15, seed: int = 42,
-                     split_col: str = "split", num_partitions: int | None = None) -> DataFrame:
+                     split_col: str = "split", num_partitions: int | None = None,
+                     mode: str = "exact") -> DataFrame:
     """Add ``split`` in ``train``/``val``/``test``.
 
     ``test=0`` gives a two-way train / val split (the sentiment variant:
     ``test=0, val=0.1``).  Rows with a null stratum get a null split (D11),
     they are kept, not dropped.  One read of the input: the stratum sizes come
-    from the row index's own per-partition counts.
+    from the row index's own per-partition counts.  ``mode='hash'`` trades the
+    exact quotas for a single pass without any sort (``hash_split``).
     """
+    if mode == "hash":
+        return hash_split(df, key, test, val, seed, split_col)
+    if mode != "exact":
+        raise ValueError("mode must be 'exact' or 'hash'")
     strata = list(strata)
     t, v = _frac(test), _frac(val)
     ranked = row_index(df, [order_key(key, seed), F.col(key)], "__vb_rank", group_by=strata,
