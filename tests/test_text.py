@@ -92,3 +92,16 @@ def test_expand_with_table_equals_inline(spark):
     df = spark.createDataFrame([(1, "sp  ko tot"), (2, ""), (3, "x")], "k long, t string")
     got = {r.k: r.t for r in expand_with_table(df, "t", "k", table).collect()}
     assert got == {1: "sản phẩm 2 không tot", 2: "", 3: "x"}
+
+
+def test_large_dictionary_hashed(spark):
+    d = {f"k{i}": f"v{i}" for i in range(500)}
+    got = col(spark, ["k1 x k499  k250", ""], lambda c: expand_abbreviations(c, d))
+    assert got == ["v1 x v499 v250", ""]
+
+
+def test_hashed_map_ints(spark):
+    from verbena.functions.maps import hashed_map
+    look = hashed_map(spark, {f"t{i}": i for i in range(300)}, "string", "int")
+    df = spark.createDataFrame([("t0",), ("t299",), ("zz",)], "k string")
+    assert [r[0] for r in df.select(look(F.col("k"))).collect()] == [0, 299, None]

@@ -1,8 +1,8 @@
 """T7 expand_abbreviations.
 
 Whitespace tokens, each replaced by its dictionary value when present, joined
-by one space.  A bounded dictionary is a constant map in the projection (no
-shuffle).  A dictionary too large for that goes through
+by one space.  A bounded dictionary is a constant (hashed) map in the
+projection (no shuffle, no Python).  A dictionary too large for that goes through
 ``verbena.operators.abbreviations.expand_with_table`` (explode + join).
 """
 
@@ -25,8 +25,13 @@ def needs_unicode_strip(abbreviations: Mapping[str, str]) -> bool:
 def expand_abbreviations(c: Column, abbreviations: Mapping[str, str]) -> Column:
     if not abbreviations:  # the reference skips the step: spaces survive
         return c
-    m = map_literal(abbreviations)
-    keys = list(abbreviations.keys())
-    # hash-set membership first (InSet); the map (a linear scan) only for hits
-    return F.array_join(F.transform(tokens(c), lambda w: F.when(
-        w.isin(keys), F.coalesce(F.try_element_at(m, w), w)).otherwise(w)), " ")
+    if len(abbreviations) <= 32:
+        m = map_literal(abbreviations)
+        return F.array_join(F.transform(
+            tokens(c), lambda w: F.coalesce(F.try_element_at(m, w), w)), " ")
+    # larger dictionaries: hashed buckets of small map literals (a few
+    # comparisons per token, whatever the dictionary size)
+    from pyspark.sql import SparkSession
+    from .maps import hashed_map
+    look = hashed_map(SparkSession.getActiveSession(), abbreviations)
+    return F.array_join(F.transform(tokens(c), lambda w: F.coalesce(look(w), w)), " ")

@@ -80,3 +80,35 @@ def bounded_dict(df, key: str, value: str, limit: int = MAX_INLINE_ENTRIES) -> d
 
 # Largest set used for a hash-set membership test (``IN`` list -> ``InSet``)
 MAX_INLINE_SET = 250_000
+
+
+def hashed_map(spark, mapping: Mapping, key_type: str = "string", value_type: str = "string",
+               bucket_size: int = 16):
+    """A constant dictionary with hashed lookups, built from map literals.
+
+    A single Spark map literal is searched key by key.  Here the keys are
+    dealt into ``len / bucket_size`` buckets by Spark's own ``hash`` (the
+    buckets are computed by Spark, so lookups agree), each bucket is a small
+    map literal, and a lookup reads one bucket: about ``bucket_size``
+    comparisons whatever the dictionary size.  Returns ``lookup(col) -> col``
+    (null when the key is absent).
+    """
+    if len(mapping) > MAX_INLINE_ENTRIES:
+        raise DictionaryTooLarge(f"{len(mapping)} entries > {MAX_INLINE_ENTRIES}")
+    keys = list(mapping.keys())
+    n_buckets = max(1, -(-len(keys) // bucket_size))
+    if n_buckets == 1:
+        m = map_literal(mapping, key_type, value_type)
+        return lambda c: F.try_element_at(m, c.cast(key_type))
+    kdf = spark.createDataFrame([(k,) for k in keys], f"k {key_type}")
+    ids = [r[0] for r in kdf.select(F.pmod(F.hash("k"), F.lit(n_buckets))).collect()]
+    buckets: list[dict] = [dict() for _ in range(n_buckets)]
+    for k, b in zip(keys, ids):
+        buckets[b][k] = mapping[k]
+    table = F.array(*[_build_map_literal(b, key_type, value_type) for b in buckets])
+
+    def lookup(c: Column) -> Column:
+        k = c.cast(key_type)
+        return F.try_element_at(F.get(table, F.pmod(F.hash(k), F.lit(n_buckets))), k)
+
+    return lookup

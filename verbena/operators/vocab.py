@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.maps import MAX_INLINE_ENTRIES, bounded_dict, map_literal
+from ..functions.maps import MAX_INLINE_ENTRIES, bounded_dict, hashed_map
 from ..functions.text import tokens
 from .index import row_index
 
@@ -39,20 +39,6 @@ def fit_vocab(df: DataFrame, text: str, size: int | None = None,
     return ranked.select("token", (F.col("__vb_i") + FIRST_ID).cast("int").alias("token_id"), "n")
 
 
-SCAN_LIMIT = 256
-
-
-def _hashed_lookup(spark, vocab: dict):
-    """Token ids through a dict in Arrow batches (a hash lookup per token).
-
-    Only the already truncated token arrays (at most ``max_len - 2`` per row)
-    cross into Python; the dictionary is a broadcast variable of bounded size
-    (``MAX_INLINE_ENTRIES``), loaded once per executor.
-    """
-    from ..functions.lookups import token_id_lookup
-    return token_id_lookup(spark, vocab, UNK)
-
-
 def _frame(ids, max_len: int):
     body = F.slice(ids, 1, max_len - 2)
     n = F.size(body)
@@ -66,8 +52,8 @@ def encode_fixed(df: DataFrame, text: str, vocab: DataFrame, max_len: int = 128,
                  key: str | None = None) -> DataFrame:
     """Add ``input_ids`` and ``attention_mask`` (``array<int>`` of ``max_len``).
 
-    A vocabulary of at most ``MAX_INLINE_ENTRIES`` tokens is a constant map
-    (no shuffle).  A larger one is joined: the first ``max_len - 2`` tokens of
+    A vocabulary of at most ``MAX_INLINE_ENTRIES`` tokens is a constant hashed
+    dictionary (``hashed_map``: no shuffle, no Python).  A larger one is joined: the first ``max_len - 2`` tokens of
     each row are exploded (bounded per row), joined to the vocabulary and put
     back in order by ``key`` (a unique row key, required then).
     """
@@ -76,12 +62,9 @@ def encode_fixed(df: DataFrame, text: str, vocab: DataFrame, max_len: int = 128,
     toks = F.slice(tokens(F.col(text)), 1, max_len - 2)
     small = bounded_dict(vocab, "token", "token_id", MAX_INLINE_ENTRIES)
     if small is not None:
-        if len(small) <= SCAN_LIMIT:
-            # a map literal is scanned linearly: fine for a handful of entries
-            m = map_literal(small, "string", "int")
-            ids = F.transform(toks, lambda t: F.coalesce(F.try_element_at(m, t), F.lit(UNK)))
-        else:
-            ids = _hashed_lookup(df.sparkSession, small)(toks)
+        # hashed buckets of small map literals: a few comparisons per token
+        look = hashed_map(df.sparkSession, small, "string", "int")
+        ids = F.transform(toks, lambda t: F.coalesce(look(t), F.lit(UNK)))
         input_ids, mask = _frame(ids, max_len)
         return df.withColumns({"input_ids": input_ids, "attention_mask": mask})
     if key is None:
