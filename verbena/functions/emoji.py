@@ -9,7 +9,7 @@ Plan: one regex finds emoji sequences (base, optional variation selector /
 skin tone, ZWJ continuations; longest match first by construction),
 ``regexp_extract_all`` returns them in order, ``split`` returns the text
 between them, and the two arrays are spliced back with the names looked up
-in a constant map.  Rows without an emoji skip the splice (``rlike`` guard).
+in a constant hashed map.  Rows without an emoji skip the splice (``rlike`` guard).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
 
-from .maps import map_literal
+from .maps import hashed_map
 
 # Code point blocks treated as emoji bases by the built-in lexicon
 EMOJI_BLOCKS = [
@@ -133,14 +133,13 @@ def demojize(c: Column, lexicon: Mapping[str, str] | None = None) -> Column:
     for k, v in lex.items():
         names[k] = f":{v}:"
         names.setdefault(k.replace(VS16, ""), f":{v}:")
-    m = map_literal(names)
+    from pyspark.sql import SparkSession
+    look = hashed_map(SparkSession.getActiveSession(), names)  # a few comparisons per emoji
     pat = sequence_pattern(lex)
     found = F.regexp_extract_all(c, F.lit(pat), 0)
     pieces = F.split(c, pat, -1)
     named = F.transform(found, lambda s: F.coalesce(
-        F.try_element_at(m, s),
-        F.try_element_at(m, F.regexp_replace(s, "\\x{FE0F}", "")),
-        s))
+        look(s), look(F.regexp_replace(s, "\\x{FE0F}", "")), s))
     # zip_with: the lambda reads only its arguments (no per-element re-evaluation)
     spliced = F.array_join(F.zip_with(pieces, named, lambda p, n: F.concat(
         F.coalesce(p, F.lit("")), F.coalesce(n, F.lit("")))), "")

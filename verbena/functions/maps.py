@@ -95,6 +95,15 @@ def hashed_map(spark, mapping: Mapping, key_type: str = "string", value_type: st
     """
     if len(mapping) > MAX_INLINE_ENTRIES:
         raise DictionaryTooLarge(f"{len(mapping)} entries > {MAX_INLINE_ENTRIES}")
+    ck = ("hashed", id(spark.sparkContext), key_type, value_type, bucket_size,
+          tuple(mapping.items()))
+    hit = _CACHE.get(ck)
+    if hit is None:
+        hit = _CACHE[ck] = _hashed_map(spark, mapping, key_type, value_type, bucket_size)
+    return hit
+
+
+def _hashed_map(spark, mapping: Mapping, key_type: str, value_type: str, bucket_size: int):
     keys = list(mapping.keys())
     n_buckets = max(1, -(-len(keys) // bucket_size))
     if n_buckets == 1:
