@@ -468,3 +468,5 @@ s2 AS (SELECT doc_id, CAST(u.i - 1 AS INTEGER) AS sentence_no, u.x AS sentence F
 done AS (SELECT DISTINCT sentence FROM s2 WHERE doc_id IN (SELECT doc_id FROM labels))
 SELECT doc_id, sentence_no, {q(PROMPT_TEMPLATE)} || '"' || sentence || '"' AS prompt
 FROM s2 WHERE sentence NOT IN (SELECT sentence FROM done)"""
+
+SQL["score_stream"] = SQL["predict_codes"]

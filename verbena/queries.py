@@ -354,6 +354,14 @@ def q_dataset_counts(spark, sf):
     return M.dataset_counts(u, "label", ["source"])
 
 
+def q_score_stream(spark, sf):
+    """ST3: the codes-shape scoring run as a stream; equals ``predict_codes``."""
+    from .streaming.labelling import score_stream_from_tables
+    out = score_stream_from_tables(spark, sf)
+    return out.select("id_text", "sentiment", _r6(F.col("sentiment_confidence")).alias("sentiment_confidence"),
+                      "task", _r6(F.col("task_confidence")).alias("task_confidence"))
+
+
 QUERIES = {
     "labelled_counts": q_labelled_counts,
     "clean_comments": q_clean_comments,
@@ -393,4 +401,5 @@ QUERIES = {
     "train_sentiment": q_train_sentiment,
     "train_multitask": q_train_multitask,
     "label_stream": q_label_stream,
+    "score_stream": q_score_stream,
 }

@@ -131,3 +131,22 @@ def label_stream_from_tables(spark: SparkSession, sf_dir: str, drops: int = 3) -
                      {"availableNow": True}, output_columns=cols)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
+
+
+def score_stream_from_tables(spark: SparkSession, sf_dir: str, drops: int = 3) -> DataFrame:
+    """ST3 over the driver's tables: logits rows arrive as files in ``drops``
+    drops, each micro-batch is scored (codes shape, M9), the output is read back.
+    It must equal the batch scoring of the same rows."""
+    from ..operators.predict import predict_codes
+    from ..session import shared_dir
+    from ..sources.derived import logits
+
+    base = shared_dir(spark, "score-stream")
+    lg = logits(spark, sf_dir).select("vec_id", "sentiment_logits", "task_logits")
+    for d in range(drops):
+        lg.filter(F.col("vec_id") % drops == d).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(lg.schema).parquet(f"{base}/in")
+    q = score_stream(stream, lambda df: predict_codes(df, "vec_id", "sentiment_logits", "task_logits"),
+                     f"{base}/out", f"{base}/ckpt", {"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
