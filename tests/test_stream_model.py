@@ -60,3 +60,10 @@ def test_label_stream_restart_adds_nothing(spark, tmp_path):
     assert out.count() == 200 and out.select("id").distinct().count() == 200
     # a fresh stream over the same output: every row is already labelled
     assert pending_rows(rows, f"{base}/out").count() == 0
+
+
+def test_score_stream_equals_batch(spark):
+    from verbena.queries import q_predict_codes, q_score_stream
+    a = {tuple(r) for r in q_score_stream(spark, SF001).collect()}
+    b = {tuple(r) for r in q_predict_codes(spark, SF001).collect()}
+    assert a == b and len(a) > 0
