@@ -67,3 +67,13 @@ def test_score_stream_equals_batch(spark):
     a = {tuple(r) for r in q_score_stream(spark, SF001).collect()}
     b = {tuple(r) for r in q_predict_codes(spark, SF001).collect()}
     assert a == b and len(a) > 0
+
+
+def test_losses_in_one_pass(spark):
+    import math
+    from verbena.operators import metrics as M
+    df = spark.createDataFrame([(0, 0, [0.5, 0.25, 0.25]), (1, 0, [0.5, 0.25, 0.25])],
+                               "a int, p int, pr array<double>")
+    ev = M.evaluate(df, [M.Head("h", "a", "p", [0, 1, 2], prob="pr")])
+    loss = ev["summary"].first()["loss"]
+    assert math.isclose(loss, (-math.log(0.5) - math.log(0.25)) / 2)

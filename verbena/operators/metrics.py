@@ -22,6 +22,8 @@ class Head:
     actual: str
     predicted: str
     domain: Sequence[int]
+    prob: str | None = None   # optional probability array: adds the mean loss (A7)
+    offset: int = 0           # class index = actual - offset (topic: 1)
 
 
 SENTIMENT_HEAD = Head("sentiment", "label", "pred_label", SENTIMENTS)
@@ -30,24 +32,39 @@ TASK_HEAD = Head("task", "task", "pred_task", TASKS)
 
 def confusion_long(df: DataFrame, heads: Sequence[Head]) -> DataFrame:
     """A2, dense long form ``(head, actual, predicted, n)`` over each domain."""
+    def loss(h: Head):
+        if not h.prob:
+            return F.lit(None).cast("double")
+        return -F.log(F.get(F.col(h.prob), (F.col(h.actual).cast("int") - F.lit(h.offset))))
+
     pairs = F.explode(F.array(*[
         F.struct(F.lit(h.name).alias("head"), F.col(h.actual).cast("int").alias("actual"),
-                 F.col(h.predicted).cast("int").alias("predicted")) for h in heads]))
+                 F.col(h.predicted).cast("int").alias("predicted"), loss(h).alias("loss"))
+        for h in heads]))
     counts = (df.select(pairs.alias("p")).select("p.*")
-              .groupBy("head", "actual", "predicted").agg(F.count(F.lit(1)).alias("n")))
+              .groupBy("head", "actual", "predicted")
+              .agg(F.count(F.lit(1)).alias("n"), F.sum("loss").alias("loss_sum"),
+                   F.count("loss").alias("loss_n")))
     spark = df.sparkSession
     grid = spark.createDataFrame(
-        [(h.name, a, p, 0) for h in heads for a in h.domain for p in h.domain],
-        "head string, actual int, predicted int, n long")
+        [(h.name, a, p, 0, None, 0) for h in heads for a in h.domain for p in h.domain],
+        "head string, actual int, predicted int, n long, loss_sum double, loss_n long")
     # codes outside the domain are kept (they count against accuracy)
     return (counts.unionByName(grid).groupBy("head", "actual", "predicted")
-            .agg(F.sum("n").alias("n")))
+            .agg(F.sum("n").alias("n"), F.sum("loss_sum").alias("loss_sum"),
+                 F.sum("loss_n").alias("loss_n")))
+
+
+def head_losses(cm: DataFrame) -> DataFrame:
+    """A7 per head from the same pass: ``(head, loss)`` (null without probabilities)."""
+    return cm.groupBy("head").agg((F.sum("loss_sum") / F.sum("loss_n")).alias("loss"))
 
 
 def confusion_matrix(df: DataFrame, actual: str, predicted: str,
                      domain: Sequence[int]) -> DataFrame:
     """A2 for one head, long form ``(actual, predicted, n)``."""
-    return confusion_long(df, [Head("h", actual, predicted, domain)]).drop("head")
+    return confusion_long(df, [Head("h", actual, predicted, domain)]).select(
+        "actual", "predicted", "n")
 
 
 def confusion_wide(cm_long: DataFrame, domain: Sequence[int]) -> DataFrame:
@@ -130,8 +147,9 @@ def evaluate(df: DataFrame, heads: Sequence[Head] = (SENTIMENT_HEAD, TASK_HEAD))
     """One pass over ``df``; returns small DataFrames keyed by name."""
     cm = confusion_long(df, heads)
     cm = cm.cache()  # a few dozen rows, reused by every metric below
+    summary = weighted_metrics(cm).join(head_losses(cm), "head", "left")
     return {
         "confusion": cm,
         "report": classification_report(cm),
-        "summary": weighted_metrics(cm),
+        "summary": summary,
     }

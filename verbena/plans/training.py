@@ -108,7 +108,8 @@ def predictions(model: PipelineModel, df: DataFrame, heads: Sequence[HeadSpec])
 def evaluate_heads(scored: DataFrame, heads: Sequence[HeadSpec], actual: dict,
                    domains: dict) -> dict:
     """Confusion, report and summary for all heads in one pass."""
-    mh = [M.Head(h.name, actual[h.name], f"pred_{h.name}", domains[h.name]) for h in heads]
+    mh = [M.Head(h.name, actual[h.name], f"pred_{h.name}", domains[h.name],
+                 prob=f"prob_{h.name}", offset=h.offset) for h in heads]
     return M.evaluate(scored, mh)
 
 
@@ -228,11 +229,20 @@ def run_sentiment(sources: DataFrame, abbreviations: dict | None = None,
     return {"selection": sel, "unlabelled": unlabelled, **ev}
 
 
+LOSS_WEIGHTS = {"sentiment": 0.45, "task": 0.55}
+
+
+def joint_loss(summary: DataFrame, weights: dict = LOSS_WEIGHTS) -> DataFrame:
+    """M3: ``sum(weight * loss)`` over the heads, as one row."""
+    w = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(v))])
+    return summary.agg(F.sum(F.col("loss") * F.try_element_at(w, F.col("head"))).alias("joint_loss"))
+
+
 def train_multitask_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.derived import labelled_comments
     lab = labelled_comments(spark, sf_dir).select("id", "comment", "label", "task")
     res = run_multitask(lab, grid=DEFAULT_GRID[:2])
-    return res["summary"].select("head", "accuracy", "precision", "recall", "f1", "support")
+    return res["summary"].select("head", "accuracy", "precision", "recall", "f1", "support", "loss")
 
 
 def train_sentiment_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,4 +252,4 @@ def train_sentiment_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = union_sources(adapter_a(a, "sentence", "sentiment", keep=["doc_id"]),
                         adapter_b(b, keep=["doc_id"]), adapter_c(c, keep=["doc_id"]))
     res = run_sentiment(src, grid=DEFAULT_GRID[:2])
-    return res["summary"].select("head", "accuracy", "precision", "recall", "f1", "support")
+    return res["summary"].select("head", "accuracy", "precision", "recall", "f1", "support", "loss")
