@@ -18,6 +18,8 @@ def test_multitask_beats_majority(spark):
     lab = labelled_comments(spark, SF01).select("id", "comment", "label", "task")
     res = run_multitask(lab, grid=DEFAULT_GRID[:1])
     summary = {r.head: r for r in res["summary"].collect()}
+    jl = res["joint_loss"].first()["joint_loss"]
+    assert abs(jl - (0.45 * summary["sentiment"].loss + 0.55 * summary["task"].loss)) < 1e-9
     # majority class baseline on the same test rows, by weighted F1
     cm = res["confusion"]
     for head in ("sentiment", "task"):

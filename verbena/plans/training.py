@@ -199,7 +199,7 @@ def run_multitask(labelled: DataFrame, abbreviations: dict | None = None,
     if model_path:
         save_model(sel.model, model_path)
     ev = evaluate_heads(predictions(sel.model, test, heads), heads, cols, domains)
-    return {"selection": sel, **ev}
+    return {"selection": sel, "joint_loss": joint_loss(ev["summary"]), **ev}
 
 
 def run_sentiment(sources: DataFrame, abbreviations: dict | None = None,
