@@ -87,37 +87,38 @@ def hashed_map(spark, mapping: Mapping, key_type: str = "string", value_type: st
     """A constant dictionary with hashed lookups, built from map literals.
 
     A single Spark map literal is searched key by key.  Here the keys are
-    dealt into ``len / bucket_size`` buckets by Spark's own ``hash`` (the
-    buckets are computed by Spark, so lookups agree), each bucket is a small
-    map literal, and a lookup reads one bucket: about ``bucket_size``
-    comparisons whatever the dictionary size.  Returns ``lookup(col) -> col``
-    (null when the key is absent).
+    dealt into ``len / bucket_size`` buckets by CRC-32 of their UTF-8 bytes
+    (``crc32`` in Spark, ``zlib.crc32`` here: the same standard checksum), each
+    bucket is a small map literal, and a lookup reads one bucket: about
+    ``bucket_size`` comparisons whatever the dictionary size.  Keys are
+    compared as strings.  Returns ``lookup(col) -> col`` (null when absent).
     """
     if len(mapping) > MAX_INLINE_ENTRIES:
         raise DictionaryTooLarge(f"{len(mapping)} entries > {MAX_INLINE_ENTRIES}")
-    ck = ("hashed", id(spark.sparkContext), key_type, value_type, bucket_size,
-          tuple(mapping.items()))
+    ck = ("hashed", id(spark.sparkContext) if spark is not None else None, key_type, value_type,
+          bucket_size, tuple(mapping.items()))
     hit = _CACHE.get(ck)
     if hit is None:
-        hit = _CACHE[ck] = _hashed_map(spark, mapping, key_type, value_type, bucket_size)
+        hit = _CACHE[ck] = _hashed_map(mapping, value_type, bucket_size)
     return hit
 
 
-def _hashed_map(spark, mapping: Mapping, key_type: str, value_type: str, bucket_size: int):
-    keys = list(mapping.keys())
-    n_buckets = max(1, -(-len(keys) // bucket_size))
+def _hashed_map(mapping: Mapping, value_type: str, bucket_size: int):
+    import zlib
+
+    items = [(str(k), v) for k, v in mapping.items()]
+    n_buckets = max(1, -(-len(items) // bucket_size))
     if n_buckets == 1:
-        m = map_literal(mapping, key_type, value_type)
-        return lambda c: F.try_element_at(m, c.cast(key_type))
-    kdf = spark.createDataFrame([(k,) for k in keys], f"k {key_type}")
-    ids = [r[0] for r in kdf.select(F.pmod(F.hash("k"), F.lit(n_buckets))).collect()]
+        m = _build_map_literal(dict(items), "string", value_type)
+        return lambda c: F.try_element_at(m, c.cast("string"))
     buckets: list[dict] = [dict() for _ in range(n_buckets)]
-    for k, b in zip(keys, ids):
-        buckets[b][k] = mapping[k]
-    table = F.array(*[_build_map_literal(b, key_type, value_type) for b in buckets])
+    for k, v in items:
+        buckets[zlib.crc32(k.encode("utf-8")) % n_buckets][k] = v
+    table = F.array(*[_build_map_literal(b, "string", value_type) for b in buckets])
 
     def lookup(c: Column) -> Column:
-        k = c.cast(key_type)
-        return F.try_element_at(F.get(table, F.pmod(F.hash(k), F.lit(n_buckets))), k)
+        k = c.cast("string")
+        slot = (F.crc32(k) % F.lit(n_buckets)).cast("int")
+        return F.try_element_at(F.get(table, slot), k)
 
     return lookup
