@@ -1,21 +1,19 @@
 """Registered queries over the driver's tables, and their SQL oracle.
 
 Every query reads whole tables (``documents``, ``labels``, ``embeddings``)
-through ``sources.derived`` and returns a DataFrame; ``ORACLE`` holds the
-same computation as DuckDB SQL.  Column names and types match on both sides;
-doubles are rounded to 6 places on both sides.
+through ``sources.derived`` and returns a DataFrame; ``oracle.SQL`` holds the
+same computation as DuckDB SQL (``oracle.py``).  Column names and types match
+on both sides; doubles are rounded on both sides.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .functions.abbreviations import expand_abbreviations
 from .functions.emoji import demojize
 from .functions.labels import SENTIMENT_NAMES, TASK_NAMES, decode_label, task_to_index
 from .functions.scoring import softmax
-from .functions.text import (clean_text, collapse_ws, lowercase, preprocess_multitask,
-                             preprocess_sentiment, strip, strip_symbols)
+from .functions.text import clean_text, preprocess_multitask, preprocess_sentiment
 from .operators import metrics as M
 from .operators.index import batch_rows, row_index
 from .operators.predict import predict_codes, predict_emotion, predict_named
