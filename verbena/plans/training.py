@@ -30,8 +30,8 @@ from ..operators.split import stratified_split
 from ..operators.validate import validate_domain
 
 NUM_FEATURES = 1 << 14
-DEFAULT_GRID = ({"regParam": 0.01, "maxIter": 40}, {"regParam": 0.1, "maxIter": 40},
-                {"regParam": 0.001, "maxIter": 40})
+DEFAULT_GRID = ({"regParam": 0.01, "maxIter": 25}, {"regParam": 0.1, "maxIter": 25},
+                {"regParam": 0.001, "maxIter": 25})
 
 
 def feature_stages(text: str = "processed_text", num_features: int = NUM_FEATURES):
