@@ -33,17 +33,33 @@ EMOJI_BLOCKS = [
 # Common emoji outside those blocks
 EXTRA_EMOJI = "☀☁☂☃☄☎☑☔☕☘☝☠☢☣☦☪☮☯☸☹☺♀♂♈♉♊♋♌♍♎♏♐♑♒♓♟♠♣♥♦♨♻♾♿⚒⚓⚔⚕⚖⚗⚙⚛⚜⚠⚡⚧⚪⚫⚰⚱⚽⚾⛄⛅⛈⛎⛏⛑⛓⛔⛩⛪⛰⛱⛲⛳⛴⛵⛷⛸⛹⛺⛽✂✅✈✉✊✋✌✍✏✒✔✖✝✡✨✳✴❄❇❌❎❓❔❕❗❣❤➕➖➗➡➰➿⬅⬆⬇⬛⬜⭐⭕"
 # CLDR short names used where they differ from unicodedata names
+# (code point order)
 CLDR_NAMES = {
+    "☹": "frowning_face",
+    "☺": "smiling_face",
+    "✅": "check_mark_button",
+    "✔": "check_mark",
     "❤": "red_heart",
+    "⭐": "star",
+    "👌": "OK_hand",
     "👍": "thumbs_up",
     "👎": "thumbs_down",
-    "👌": "OK_hand",
-    "🙏": "folded_hands",
-    "😍": "smiling_face_with_heart-eyes",
-    "😡": "enraged_face",
     "👏": "clapping_hands",
+    "💯": "hundred_points",
+    "😁": "beaming_face_with_smiling_eyes",
+    "😃": "grinning_face_with_big_eyes",
+    "😄": "grinning_face_with_smiling_eyes",
+    "😅": "grinning_face_with_sweat",
+    "😆": "grinning_squinting_face",
     "😊": "smiling_face_with_smiling_eyes",
-    "☺": "smiling_face",
+    "😋": "face_savoring_food",
+    "😍": "smiling_face_with_heart-eyes",
+    "😘": "face_blowing_a_kiss",
+    "😡": "enraged_face",
+    "😤": "face_with_steam_from_nose",
+    "🙏": "folded_hands",
+    "🤩": "star-struck",
+    "🥺": "pleading_face",
 }
 
 VS16 = "\ufe0f"
