@@ -69,3 +69,12 @@ def test_resume_twice_adds_nothing(spark, tmp_path):
     # numbers read back still match string ids
     done_numeric = spark.createDataFrame([(1,), (2,)], "id long")
     assert resume_by_id(todo, done_numeric).count() == 8
+
+
+def test_abbreviations_last_wins_across_files(spark, tmp_path):
+    d = tmp_path / "dicts"
+    d.mkdir()
+    (d / "a.txt").write_text("k:một\nx:y\n", encoding="utf-8")
+    (d / "b.txt").write_text("k:hai\n", encoding="utf-8")
+    from verbena.sources.abbreviations import read_abbreviations_txt
+    assert dictionary(read_abbreviations_txt(spark, str(d))) == {"k": "hai", "x": "y"}

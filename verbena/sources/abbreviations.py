@@ -1,4 +1,4 @@
-"""Abbreviation dictionaries (S5-S7) as tables ``(line_no, abbr, full)``.
+"""Abbreviation dictionaries (S5-S7) as tables ``(source_file, line_no, abbr, full)``.
 
 ``dictionary()`` turns the table into the ``abbr -> full`` mapping used by
 ``expand_abbreviations``: a duplicate key keeps its **last** line.
@@ -15,24 +15,29 @@ CSV_ABBR, CSV_FULL = "viết_tắt", "từ_đầy_đủ"
 
 
 def _line_numbers(df: DataFrame) -> DataFrame:
-    # file order: one file is split in offset order, and ids grow with it
-    return df.withColumn("line_no", F.monotonically_increasing_id())
+    """``(source_file, line_no)``: the position of a line among all input lines.
+
+    Within one file the splits keep their offset order, and the generated ids
+    grow with it; across files the file name orders them.
+    """
+    return (df.withColumn("source_file", F.input_file_name())
+            .withColumn("line_no", F.monotonically_increasing_id()))
 
 
 def read_abbreviations_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with columns ``viết_tắt``, ``từ_đầy_đủ``."""
     df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
           .csv(path))
-    return _line_numbers(df).select("line_no", F.col(CSV_ABBR).alias("abbr"),
+    return _line_numbers(df).select("source_file", "line_no", F.col(CSV_ABBR).alias("abbr"),
                                     F.col(CSV_FULL).alias("full"))
 
 
 def read_abbreviations_json(spark: SparkSession, path: str) -> DataFrame:
     """One JSON object ``{abbr: full}`` per file."""
-    raw = spark.read.text(path, wholetext=True)
+    raw = spark.read.text(path, wholetext=True).withColumn("source_file", F.input_file_name())
     m = F.from_json(F.col("value"), "map<string,string>")
-    return (raw.select(F.posexplode(F.map_entries(m)).alias("line_no", "e"))
-            .select(F.col("line_no").cast("long"), F.col("e.key").alias("abbr"),
+    return (raw.select("source_file", F.posexplode(F.map_entries(m)).alias("line_no", "e"))
+            .select("source_file", F.col("line_no").cast("long"), F.col("e.key").alias("abbr"),
                     F.col("e.value").alias("full")))
 
 
@@ -46,7 +51,8 @@ def parse_abbreviation_lines(lines: DataFrame, value: str = "value",
     from ..functions.text import strip
     s = strip(F.col(value))
     pieces = F.split(s, ":", -1)
-    return lines.select(F.col(line_no), F.get(pieces, 0).alias("abbr"),
+    keep = [F.col("source_file")] if "source_file" in lines.columns else []
+    return lines.select(*keep, F.col(line_no), F.get(pieces, 0).alias("abbr"),
                         F.get(pieces, 1).alias("full"), (F.size(pieces) == 2).alias("ok"),
                         F.col(value).contains(":").alias("has_colon"))
 
@@ -59,7 +65,7 @@ def read_abbreviations_txt(spark: SparkSession, path: str, strict: bool = False)
         bad = parsed.filter(~F.col("ok")).count()
         if bad:
             raise ValueError(f"{bad} dictionary lines are not 'key:value'")
-    return parsed.filter("ok").select("line_no", "abbr", "full")
+    return parsed.filter("ok").select("source_file", "line_no", "abbr", "full")
 
 
 def read_abbreviations(spark: SparkSession, path: str) -> DataFrame:
@@ -74,8 +80,13 @@ def read_abbreviations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def last_wins(table: DataFrame) -> DataFrame:
-    """S5 rule: ``(abbr, full)`` with the last line of every key (partial aggregation)."""
-    return table.groupBy("abbr").agg(F.max_by("full", "line_no").alias("full"))
+    """S5 rule: ``(abbr, full)`` with the last line of every key (partial aggregation).
+
+    Lines are ordered by ``(source_file, line_no)`` when the file is known.
+    """
+    order = (F.struct("source_file", "line_no") if "source_file" in table.columns
+             else F.col("line_no"))
+    return table.groupBy("abbr").agg(F.max_by("full", order).alias("full"))
 
 
 def dictionary(table: DataFrame, limit: int = MAX_INLINE_ENTRIES) -> dict[str, str]:
