@@ -22,12 +22,17 @@ class DictionaryTooLarge(ValueError):
 _CACHE: dict = {}
 
 
+def _app_id() -> str | None:
+    """Cached columns belong to one running application (JVM)."""
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    return sc.applicationId if sc is not None else None
+
+
 def map_literal(mapping: Mapping, key_type: str = "string", value_type: str = "string") -> Column:
     """A constant map column; built once per active JVM and dictionary (building
     thousands of literals is a driver round trip each)."""
-    from pyspark import SparkContext
-    sc = SparkContext._active_spark_context
-    key = (id(sc), key_type, value_type, tuple(mapping.items()))
+    key = (_app_id(), key_type, value_type, tuple(mapping.items()))
     hit = _CACHE.get(key)
     if hit is None:
         hit = _CACHE[key] = _build_map_literal(mapping, key_type, value_type)
@@ -95,8 +100,7 @@ def hashed_map(spark, mapping: Mapping, key_type: str = "string", value_type: st
     """
     if len(mapping) > MAX_INLINE_ENTRIES:
         raise DictionaryTooLarge(f"{len(mapping)} entries > {MAX_INLINE_ENTRIES}")
-    ck = ("hashed", id(spark.sparkContext) if spark is not None else None, key_type, value_type,
-          bucket_size, tuple(mapping.items()))
+    ck = ("hashed", _app_id(), key_type, value_type, bucket_size, tuple(mapping.items()))
     hit = _CACHE.get(ck)
     if hit is None:
         hit = _CACHE[ck] = _hashed_map(mapping, value_type, bucket_size)
