@@ -30,8 +30,12 @@ SENTIMENT_HEAD = Head("sentiment", "label", "pred_label", SENTIMENTS)
 TASK_HEAD = Head("task", "task", "pred_task", TASKS)
 
 
-def confusion_long(df: DataFrame, heads: Sequence[Head]) -> DataFrame:
-    """A2, dense long form ``(head, actual, predicted, n)`` over each domain."""
+def confusion_long(df: DataFrame, heads: Sequence[Head], materialize: bool = True) -> DataFrame:
+    """A2, dense long form ``(head, actual, predicted, n, loss_sum, loss_n)`` over each domain.
+
+    The input is read once (one partial aggregation); the small result is
+    materialized (``small_table``) because every metric reads it again.
+    """
     def loss(h: Head):
         if not h.prob:
             return F.lit(None).cast("double")
@@ -50,9 +54,30 @@ def confusion_long(df: DataFrame, heads: Sequence[Head]) -> DataFrame:
         [(h.name, a, p, 0, None, 0) for h in heads for a in h.domain for p in h.domain],
         "head string, actual int, predicted int, n long, loss_sum double, loss_n long")
     # codes outside the domain are kept (they count against accuracy)
-    return (counts.unionByName(grid).groupBy("head", "actual", "predicted")
-            .agg(F.sum("n").alias("n"), F.sum("loss_sum").alias("loss_sum"),
-                 F.sum("loss_n").alias("loss_n")))
+    cm = (counts.unionByName(grid).groupBy("head", "actual", "predicted")
+          .agg(F.sum("n").alias("n"), F.sum("loss_sum").alias("loss_sum"),
+               F.sum("loss_n").alias("loss_n")))
+    return small_table(cm) if materialize else cm
+
+
+# Largest confusion table kept on the driver (one row per head, actual, predicted)
+SMALL_TABLE_ROWS = 100_000
+
+
+def small_table(df: DataFrame, limit: int = SMALL_TABLE_ROWS) -> DataFrame:
+    """Run ``df`` once and keep its (few) rows as a local table.
+
+    Every metric is read from the confusion table several times (support,
+    predictions, diagonal, averages); without this each read would scan and
+    aggregate the input again.  The table has one row per (head, actual,
+    predicted): bounded by the label domains, not by the data.  A table
+    above ``limit`` rows (labels far outside the domains) is persisted
+    instead of being brought to the driver.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df.persist()
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def head_losses(cm: DataFrame) -> DataFrame:
@@ -145,8 +170,7 @@ def joint_score(f1_a, f1_b):
 
 def evaluate(df: DataFrame, heads: Sequence[Head] = (SENTIMENT_HEAD, TASK_HEAD)) -> dict:
     """One pass over ``df``; returns small DataFrames keyed by name."""
-    cm = confusion_long(df, heads)
-    cm = cm.cache()  # a few dozen rows, reused by every metric below
+    cm = confusion_long(df, heads)  # one pass over df, kept as a small local table
     summary = weighted_metrics(cm).join(head_losses(cm), "head", "left")
     return {
         "confusion": cm,
