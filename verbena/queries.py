@@ -171,17 +171,27 @@ def q_skip_rows(spark, sf):
     return skip_rows(c, START_ROW, ["doc_id"], index_col="row_idx")
 
 
-def _sources_table(spark, sf):
+def _labelled_by_source(spark, sf):
+    """The labelled rows, read once and written partitioned by source letter
+    (``doc_id % 3``): each source below reads only its own folder."""
+    from .session import shared_dir
+    path = shared_dir(spark, "sources")
+    letter = F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col("doc_id") % 3 + 1).cast("int"))
+    D.labelled_comments(spark, sf).withColumn("src", letter).write.partitionBy("src").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _sources_table(spark, sf, lab=None):
     """Sources A / B / C in their own codings; every 50th row (``% 50 = 7``) an unknown code."""
-    lab = D.labelled_comments(spark, sf)
-    k = F.col("doc_id") % 3
+    lab = _labelled_by_source(spark, sf) if lab is None else lab
+    k = F.col("src")
     unknown = F.col("doc_id") % 50 == 7
-    a = lab.filter(k == 0).select("doc_id", F.col("comment").alias("sentence"),
+    a = lab.filter(k == "A").select("doc_id", F.col("comment").alias("sentence"),
                                   F.when(unknown, 5).otherwise(F.col("label")).alias("sentiment"))
-    b = lab.filter(k == 1).select("doc_id", "comment", F.when(unknown, "BAD").otherwise(
+    b = lab.filter(k == "B").select("doc_id", "comment", F.when(unknown, "BAD").otherwise(
         F.element_at(F.create_map(F.lit(0), F.lit("NEG"), F.lit(1), F.lit("NEU"), F.lit(2), F.lit("POS")),
                      F.col("label"))).alias("label"))
-    c = lab.filter(k == 2).select("doc_id", "comment", F.when(unknown, 7).otherwise(
+    c = lab.filter(k == "C").select("doc_id", "comment", F.when(unknown, 7).otherwise(
         F.when(F.col("label") == 0, 0).when(F.col("label") == 2, 1).otherwise(9)).alias("label"))
     return a, b, c
 
@@ -195,8 +205,8 @@ def q_recode_and_union(spark, sf):
 
 
 def q_validate_labels(spark, sf):
-    a, b, c = _sources_table(spark, sf)
-    lab = D.labelled_comments(spark, sf)
+    lab = _labelled_by_source(spark, sf)
+    a, b, c = _sources_table(spark, sf, lab)
     mixed = lab.select("label", "task").unionByName(
         a.select(F.col("sentiment").alias("label"), F.lit(9).alias("task"))).unionByName(
         c.select("label", (F.col("doc_id") % 11).alias("task")))
