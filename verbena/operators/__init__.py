@@ -1,0 +1 @@
+"""verbena.operators"""

@@ -1,0 +1 @@
+"""verbena.plans"""
