@@ -109,3 +109,14 @@ def test_run_batch_labelling_appends_and_resumes(spark, tmp_path):
     run_batch_labelling(c, answers, out, ["doc_id"], read_progress(spark, out))
     done = read_progress(spark, out)
     assert done.count() == 200 and done.select("id").distinct().count() == 200
+
+
+def test_read_order_and_skip_rows_on_csv(spark, tmp_path):
+    from verbena.sources.comments import read_comments, skip_rows, with_read_order
+    path = tmp_path / "c.csv"
+    lines = ["id,comment,label"] + [f'{i},"dòng {i}\nhai",1' for i in range(30)]
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    df = with_read_order(read_comments(spark, str(path)))
+    rest = skip_rows(df, 25, ["read_order"])
+    assert sorted(int(r.id) for r in rest.collect()) == [25, 26, 27, 28, 29]
+    assert rest.first()["comment"].startswith("dòng")

@@ -46,6 +46,17 @@ def default_column(df: DataFrame, name: str = "task", value: str = "9") -> DataF
     return df if name in df.columns else df.withColumn(name, F.lit(value))
 
 
+def with_read_order(df: DataFrame, name: str = "read_order") -> DataFrame:
+    """A file-order key for tables that have none (W1 needs an explicit order).
+
+    ``(input file, generated id)``: within one file the splits keep their
+    offset order and the ids grow with it.  Call it directly on the read
+    DataFrame, before any shuffle.
+    """
+    return df.withColumn(name, F.struct(F.input_file_name().alias("file"),
+                                        F.monotonically_increasing_id().alias("pos")))
+
+
 def skip_rows(df: DataFrame, start_row: int, order_by: Sequence,
               index_col: str | None = None) -> DataFrame:
     """Drop the first ``start_row`` rows in ``order_by`` order.
