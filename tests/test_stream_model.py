@@ -79,3 +79,18 @@ def test_losses_in_one_pass(spark):
     ev = M.evaluate(df, [M.Head("h", "a", "p", [0, 1, 2], prob="pr")])
     loss = ev["summary"].first()["loss"]
     assert math.isclose(loss, (-math.log(0.5) - math.log(0.25)) / 2)
+
+
+def test_parallel_selection_same_choice(spark):
+    from verbena.plans import training as T
+    from verbena.functions.text import preprocess_multitask
+    from verbena.sources.derived import labelled_comments
+    lab = labelled_comments(spark, SF001).withColumn("processed_text", preprocess_multitask(F.col("comment")))
+    lab = T._with_targets(lab, [T.SENTIMENT], {"sentiment": "label"})
+    feats = T.fit_features(lab)
+    grid = [{"regParam": r, "maxIter": 5} for r in (1.0, 0.1, 0.01)]
+    args = (feats, lab, lab, [T.SENTIMENT], {"sentiment": "label"}, {"sentiment": [0, 1, 2]}, grid, 1)
+    one = T.select_best(*args, parallelism=1)
+    many = T.select_best(*args, parallelism=3)
+    assert one.params == many.params
+    assert [h[0] for h in many.history] == [h[0] for h in one.history]

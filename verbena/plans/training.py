@@ -129,31 +129,53 @@ class Selection:
 
 def select_best(features: PipelineModel, train: DataFrame, val: DataFrame,
                 heads: Sequence[HeadSpec], actual: dict, domains: dict,
-                grid: Sequence[dict] = DEFAULT_GRID, patience: int = 3) -> Selection:
+                grid: Sequence[dict] = DEFAULT_GRID, patience: int = 3,
+                parallelism: int = 1) -> Selection:
     """M4: strict improvement, counter reset on improvement, stop after ``patience``.
 
     Train and validation features are computed once and kept (memory, spilling
     to disk) for all candidates; every fit and evaluation is distributed.
+    With ``parallelism > 1`` that many candidates are fitted at once (their
+    jobs share the cluster); the patience rule is then applied to the scores
+    in grid order, so the chosen model is the same as one at a time.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark import StorageLevel
     tr = features.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
     va = features.transform(val).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def attempt(params: dict):
+        models = fit_heads(tr, heads, params)
+        scored = va
+        for m in models:
+            scored = m.transform(scored)
+        ev = evaluate_heads(_finish(scored, heads), heads, actual, domains)
+        return models, joint_score(ev["summary"])
+
     best, best_score, best_params, waited, history = None, float("-inf"), None, 0, []
     try:
-        for params in grid:
-            models = fit_heads(tr, heads, params)
-            scored = va
-            for m in models:
-                scored = m.transform(scored)
-            ev = evaluate_heads(_finish(scored, heads), heads, actual, domains)
-            score = joint_score(ev["summary"])
-            history.append((dict(params), score))
-            if score > best_score:
-                best, best_score, best_params, waited = models, score, dict(params), 0
+        grid = list(grid)
+        step = max(1, int(parallelism))
+        stop = False
+        for start in range(0, len(grid), step):
+            chunk = grid[start:start + step]
+            if step == 1:
+                results = [attempt(chunk[0])]
             else:
-                waited += 1
-                if waited >= patience:
-                    break
+                with ThreadPoolExecutor(max_workers=len(chunk)) as pool:
+                    results = list(pool.map(attempt, chunk))
+            for params, (models, score) in zip(chunk, results):
+                history.append((dict(params), score))
+                if score > best_score:
+                    best, best_score, best_params, waited = models, score, dict(params), 0
+                else:
+                    waited += 1
+                    if waited >= patience:
+                        stop = True
+                        break
+            if stop:
+                break
     finally:
         tr.unpersist()
         va.unpersist()
@@ -182,7 +204,7 @@ def _materialize(df: DataFrame) -> DataFrame:
 
 def run_multitask(labelled: DataFrame, abbreviations: dict | None = None,
                   grid: Sequence[dict] = DEFAULT_GRID, patience: int = 3,
-                  model_path: str | None = None) -> dict:
+                  model_path: str | None = None, parallelism: int = 2) -> dict:
     """Load -> check -> preprocess -> split -> fit -> select -> test -> report."""
     checked = validate_domain(labelled, "label", "task", mode="fail")
     data = checked.withColumn("processed_text", preprocess_multitask(F.col("comment"), abbreviations))
@@ -195,7 +217,7 @@ def run_multitask(labelled: DataFrame, abbreviations: dict | None = None,
     test = split.filter(F.col("split") == "test")
     features = fit_features(train)
     domains = {"sentiment": [0, 1, 2], "task": list(range(1, 10))}
-    sel = select_best(features, train, val, heads, cols, domains, grid, patience)
+    sel = select_best(features, train, val, heads, cols, domains, grid, patience, parallelism)
     if model_path:
         save_model(sel.model, model_path)
     ev = evaluate_heads(predictions(sel.model, test, heads), heads, cols, domains)
@@ -204,7 +226,8 @@ def run_multitask(labelled: DataFrame, abbreviations: dict | None = None,
 
 def run_sentiment(sources: DataFrame, abbreviations: dict | None = None,
                   grid: Sequence[dict] = DEFAULT_GRID, patience: int = 3,
-                  key: str = "doc_id", test: DataFrame | None = None) -> dict:
+                  key: str = "doc_id", test: DataFrame | None = None,
+                  parallelism: int = 2) -> dict:
     """The one-head experiment: union of sources, 10 % validation by label.
 
     Rows whose label could not be recoded (null, D11) are left out of the
@@ -220,7 +243,7 @@ def run_sentiment(sources: DataFrame, abbreviations: dict | None = None,
     val = split.filter(F.col("split") == "val")
     features = fit_features(train)
     domains = {"sentiment": [0, 1, 2]}
-    sel = select_best(features, train, val, heads, cols, domains, grid, patience)
+    sel = select_best(features, train, val, heads, cols, domains, grid, patience, parallelism)
     target = val if test is None else _with_targets(
         test.withColumn("processed_text", preprocess_sentiment(F.col("text"), abbreviations)),
         heads, cols)
