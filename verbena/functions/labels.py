@@ -40,15 +40,15 @@ def recode_label(c: Column, mapping: Mapping, key_type: str = "string",
 
 def decode_label(c: Column, names: Mapping[int, str], fallback: str | None = UNKNOWN) -> Column:
     """L2: code to name; unmatched gives ``fallback`` (``None``: null)."""
-    v = F.try_element_at(_typed_map(names, "int", "string"), c.cast("int"))
+    v = F.try_element_at(_typed_map(names, "int", "string"), c.try_cast("int"))
     return v if fallback is None else F.coalesce(v, F.lit(fallback))
 
 
 def task_to_index(c: Column) -> Column:
     """L3: topic 1..9 to 0..8."""
-    return c.cast("int") - F.lit(1)
+    return c.try_cast("int") - F.lit(1)
 
 
 def index_to_task(c: Column) -> Column:
     """L3: 0..8 back to 1..9."""
-    return c.cast("int") + F.lit(1)
+    return c.try_cast("int") + F.lit(1)

@@ -42,8 +42,8 @@ def confusion_long(df: DataFrame, heads: Sequence[Head], materialize: bool = Tru
         return -F.log(F.get(F.col(h.prob), (F.col(h.actual).cast("int") - F.lit(h.offset))))
 
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(h.name).alias("head"), F.col(h.actual).cast("int").alias("actual"),
-                 F.col(h.predicted).cast("int").alias("predicted"), loss(h).alias("loss"))
+        F.struct(F.lit(h.name).alias("head"), F.col(h.actual).try_cast("int").alias("actual"),
+                 F.col(h.predicted).try_cast("int").alias("predicted"), loss(h).alias("loss"))
         for h in heads]))
     counts = (df.select(pairs.alias("p")).select("p.*")
               .groupBy("head", "actual", "predicted")

@@ -44,7 +44,7 @@ def sentiment_of_labels() -> F.Column:
 
 
 def task_of_source() -> F.Column:
-    return (F.substring(F.col("source"), 4, 1000).cast("int") % 9 + 1).cast("int")
+    return (F.substring(F.col("source"), 4, 1000).try_cast("int") % 9 + 1).cast("int")
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
