@@ -105,3 +105,8 @@ def test_hashed_map_ints(spark):
     look = hashed_map(spark, {f"t{i}": i for i in range(300)}, "string", "int")
     df = spark.createDataFrame([("t0",), ("t299",), ("zz",)], "k string")
     assert [r[0] for r in df.select(look(F.col("k"))).collect()] == [0, 299, None]
+
+
+def test_demojize_skin_tone_and_zwj(spark):
+    got = col(spark, ["ok 👍🏻!", "a👨‍💻b", "x❤️y"], demojize)
+    assert got == ["ok :thumbs_up_light_skin_tone:!", "a:man_personal_computer:b", "x:red_heart:y"]

@@ -20,7 +20,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
 
-from .maps import hashed_map
+from .maps import hashed_map, map_literal
 
 # Code point blocks treated as emoji bases by the built-in lexicon
 EMOJI_BLOCKS = [
@@ -62,6 +62,15 @@ CLDR_NAMES = {
     "🥺": "pleading_face",
 }
 
+# CLDR names of the five skin tone modifiers (U+1F3FB..U+1F3FF)
+SKIN_TONES = {
+    "\U0001F3FB": "light_skin_tone",
+    "\U0001F3FC": "medium-light_skin_tone",
+    "\U0001F3FD": "medium_skin_tone",
+    "\U0001F3FE": "medium-dark_skin_tone",
+    "\U0001F3FF": "dark_skin_tone",
+}
+
 VS16 = "\ufe0f"
 ZWJ = "\u200d"
 MODIFIERS = r"[\x{FE0F}\x{1F3FB}-\x{1F3FF}]"
@@ -140,22 +149,41 @@ def _in_candidate_blocks(cp: int) -> bool:
 
 
 def demojize(c: Column, lexicon: Mapping[str, str] | None = None) -> Column:
-    """Replace every known emoji sequence by ``:name:``; unknown ones stay."""
+    """Replace every emoji sequence by ``:name:``.
+
+    A sequence found in the lexicon (with or without the presentation
+    selector) takes its name.  Otherwise it is named from its parts: each
+    unit's base name, plus its skin tone (``thumbs_up_light_skin_tone``), units
+    joined by ``_``.  A sequence with a base outside the lexicon stays as it is.
+    """
     lex = builtin_lexicon() if lexicon is None else dict(lexicon)
     if not lex:
         return c
     # keys are looked up with and without the emoji presentation selector
-    names = {}
+    plain = {}
     for k, v in lex.items():
-        names[k] = f":{v}:"
-        names.setdefault(k.replace(VS16, ""), f":{v}:")
+        plain[k] = v
+        plain.setdefault(k.replace(VS16, ""), v)
     from pyspark.sql import SparkSession
-    look = hashed_map(SparkSession.getActiveSession(), names)  # a few comparisons per emoji
+    look = hashed_map(SparkSession.getActiveSession(), plain)  # a few comparisons per emoji
+    tones = map_literal(SKIN_TONES)
+
+    def unit_name(u: Column) -> Column:
+        base = look(F.regexp_replace(u, MODIFIERS, ""))
+        tone = F.try_element_at(tones, F.regexp_extract(u, "[\\x{1F3FB}-\\x{1F3FF}]", 0))
+        return F.when(tone.isNull(), base).otherwise(F.concat(base, F.lit("_"), tone))
+
+    def name_of(s: Column) -> Column:
+        whole = F.coalesce(look(s), look(F.regexp_replace(s, "\\x{FE0F}", "")))
+        parts = F.transform(F.split(s, "\\x{200D}", -1), unit_name)
+        composed = F.when(F.forall(parts, lambda x: x.isNotNull()), F.array_join(parts, "_"))
+        named = F.coalesce(whole, composed)
+        return F.when(named.isNull(), s).otherwise(F.concat(F.lit(":"), named, F.lit(":")))
+
     pat = sequence_pattern(lex)
     found = F.regexp_extract_all(c, F.lit(pat), 0)
     pieces = F.split(c, pat, -1)
-    named = F.transform(found, lambda s: F.coalesce(
-        look(s), look(F.regexp_replace(s, "\\x{FE0F}", "")), s))
+    named = F.transform(found, name_of)
     # zip_with: the lambda reads only its arguments (no per-element re-evaluation)
     spliced = F.array_join(F.zip_with(pieces, named, lambda p, n: F.concat(
         F.coalesce(p, F.lit("")), F.coalesce(n, F.lit("")))), "")
