@@ -45,11 +45,23 @@ def _build_map_literal(mapping: Mapping, key_type: str, value_type: str) -> Colu
     if len(mapping) > MAX_INLINE_ENTRIES:
         raise DictionaryTooLarge(
             f"{len(mapping)} entries > {MAX_INLINE_ENTRIES}; use the join form")
+    return F.expr(_map_sql(mapping, key_type, value_type))
+
+
+def _map_sql(mapping: Mapping, key_type: str, value_type: str) -> str:
+    """SQL text of one constant map; parsed and folded on the JVM in one call."""
     if not mapping:
-        return F.create_map().cast(f"map<{key_type},{value_type}>")
-    keys = string_array_literal([str(k) for k in mapping.keys()]).cast(f"array<{key_type}>")
-    values = string_array_literal([str(v) for v in mapping.values()]).cast(f"array<{value_type}>")
-    return F.map_from_arrays(keys, values)
+        return f"cast(map() as map<{key_type},{value_type}>)"
+    keys = [str(k) for k in mapping.keys()]
+    values = [str(v) for v in mapping.values()]
+    if any(SEP in x for x in keys + values):
+        ks = ", ".join(sql_string(k) for k in keys)
+        vs = ", ".join(sql_string(v) for v in values)
+        return (f"map_from_arrays(cast(array({ks}) as array<{key_type}>), "
+                f"cast(array({vs}) as array<{value_type}>))")
+    sep = sql_string(SEP)
+    return (f"map_from_arrays(cast(split({sql_string(SEP.join(keys))}, {sep}, -1) as array<{key_type}>), "
+            f"cast(split({sql_string(SEP.join(values))}, {sep}, -1) as array<{value_type}>))")
 
 
 SEP = "\u0001"
@@ -118,7 +130,8 @@ def _hashed_map(mapping: Mapping, value_type: str, bucket_size: int):
     buckets: list[dict] = [dict() for _ in range(n_buckets)]
     for k, v in items:
         buckets[zlib.crc32(k.encode("utf-8")) % n_buckets][k] = v
-    table = F.array(*[_build_map_literal(b, "string", value_type) for b in buckets])
+    # one SQL text for all buckets: a single driver call, folded to one literal
+    table = F.expr("array(" + ", ".join(_map_sql(b, "string", value_type) for b in buckets) + ")")
 
     def lookup(c: Column) -> Column:
         k = c.cast("string")
