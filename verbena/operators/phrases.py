@@ -25,14 +25,20 @@ def phrase_scores(df: DataFrame, text: str, min_count: int = 5, delta: float = 5
     """``(a, b, n_ab, n_a, n_b, score)`` for bigrams passing both cuts.
 
     Unigrams and bigrams are counted in one pass and one shuffle (a unigram is
-    a gram with a null second word); both reads of the counts share that
-    exchange.
+    a gram with a null second word); the counts are written once as a table
+    and read by the three joins.
     """
     toks = df.select(tokens(F.col(text)).alias("t"))
     unis = F.transform("t", lambda w: F.struct(w.alias("a"), F.lit(None).cast("string").alias("b")))
     grams = toks.select(F.explode(F.concat(unis, _bigrams(F.col("t")))).alias("g"))
     counts = grams.groupBy(F.col("g.a").alias("a"), F.col("g.b").alias("b")).agg(
         F.count(F.lit(1)).alias("n"))
+    # the counts are read three times below (bigrams, first word, second word):
+    # write them once to the shared folder instead of re-reading every text
+    from ..session import shared_dir
+    path = shared_dir(df.sparkSession, "phrase-counts")
+    counts.write.mode("overwrite").parquet(path)
+    counts = df.sparkSession.read.parquet(path)
     uni = counts.filter(F.col("b").isNull()).select(F.col("a").alias("w"), "n")
     bi = (counts.filter(F.col("b").isNotNull() & (F.col("n") >= min_count))
           .select("a", "b", F.col("n").alias("n_ab")))
