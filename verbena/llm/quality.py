@@ -222,5 +222,5 @@ def keep_quality(docs: DataFrame, labels: DataFrame, target: Column, id_col: str
                  **options) -> DataFrame:
     """The rows of ``docs`` (all columns) that ``importance_resample`` keeps."""
     sel, _ = fit_selection(docs, labels, target, id_col, text_col, **options)
-    return with_log_weight(docs, sel.model, text_col).where(sel.kept(F.col("__vl_weight"), docs[id_col])) \
+    return with_log_weight(docs, sel.model, text_col).where(sel.kept(F.col("__vl_weight"), F.col(id_col))) \
         .drop("__vl_weight")
