@@ -34,7 +34,7 @@ from .suffix_arrays import repeated_starts
 
 GRAM, RUN = 20, 512
 GROUP_SEGMENTS = 20_000
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 _U = np.uint64
 
 
@@ -123,11 +123,12 @@ _SPOT = [StructField("text_id", BinaryType()), StructField("start", LongType())]
 
 
 def _cut(base: DataFrame, todo: DataFrame, length: int, single: bool) -> DataFrame:
-    """``key, text_id, start, bytes`` of the wanted segments (``text_id, start, windows, m, n``): whole, or window by window.
+    """``key, text_id, start, part`` of the wanted segments (``text_id, start, windows, m``): whole, or window by window.
 
     One text of each ``text_id`` is enough, as equal texts have equal segments."""
-    lists = materialise(todo.groupBy("text_id").agg(F.collect_list(F.struct("start", "windows", "m", "n")).alias("todo")), "todo")
-    schema = StructType([StructField("key", LongType()), *_SPOT, StructField("n", LongType()), StructField("part", BinaryType())])
+    lists = materialise(todo.groupBy("text_id").agg(F.flatten(F.collect_list(F.array(
+        "start", F.col("windows").cast("long"), "m"))).alias("todo")), "todo")
+    schema = StructType([StructField("key", LongType()), *_SPOT, StructField("part", BinaryType())])
     wanted = with_text_id(base).drop("doc_id").join(sized(lists), "text_id").select("text_id", "text", "todo")
 
     def run(batches):
@@ -136,10 +137,10 @@ def _cut(base: DataFrame, todo: DataFrame, length: int, single: bool) -> DataFra
             out, size = [], 0
             for i, (tid, todo_) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 raw = bytes(data[offsets[i]: offsets[i + 1]])
-                for t in todo_:
-                    for a, w in ((t["start"] + j, 1) for j in range(t["windows"])) if single else ((t["start"], t["windows"]),):
+                for start, windows, m in zip(todo_[::3], todo_[1::3], todo_[2::3], strict=True):
+                    for a, w in ((start + j, 1) for j in range(windows)) if single else ((start, windows),):
                         part = raw[a: a + w + length - 1]
-                        out.append((xxhash.xxh3_64_intdigest(part) - (1 << 63) if single else t["m"], tid, a, t["n"], part))
+                        out.append((xxhash.xxh3_64_intdigest(part) - (1 << 63) if single else m, tid, a, part))
                         size += len(part)
                 if size > 4 * CHUNK_BYTES:
                     yield out_batch(schema, [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)])
@@ -147,7 +148,7 @@ def _cut(base: DataFrame, todo: DataFrame, length: int, single: bool) -> DataFra
             if out:
                 yield out_batch(schema, [pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)])
 
-    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary()]
     return wanted.mapInArrow(run, schema)
 
 
@@ -209,6 +210,26 @@ def repeated_windows(base: DataFrame, length: int, group_segments: int = GROUP_S
     return out
 
 
+def _merged(lists: DataFrame, length: int) -> DataFrame:
+    """Window runs ``[first, last, ...]`` as disjoint byte spans ``[begin, end, ...]``, left to right."""
+    schema = lists.schema
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for runs in batch.column(1).to_pylist():
+                flat = []
+                for a, b in sorted(zip(runs[::2], runs[1::2], strict=True)):
+                    if flat and a <= flat[-1]:
+                        flat[-1] = max(flat[-1], b + length)
+                    else:
+                        flat += a, b + length
+                out.append(flat)
+            yield out_batch(schema, [batch.column(0), pa.array(out, pa.list_(pa.int64()))])
+
+    return lists.mapInArrow(run, schema)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 200,
                    with_text: bool = False, group_segments: int = GROUP_SEGMENTS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256 [, kept_bytes]`` for every row of ``docs``.
@@ -221,7 +242,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     base = pick(docs, id_col, text_col)
     spans = repeated_windows(base, length, group_segments)
-    lists = materialise(spans.groupBy("text_id").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
+    lists = materialise(_merged(spans.groupBy("text_id").agg(
+        F.flatten(F.collect_list(F.array("first", "last"))).alias("spans")), length), "spans")
     ids = id_field(base)
     schema = StructType([ids, StructField("n_bytes", LongType()), StructField("n_removed", LongType()),
                          StructField("n_spans", LongType()), StructField("kept_sha256", StringType()),
@@ -233,16 +255,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             removed, count, sha, kept = [], [], [], []
             for i, runs in enumerate(batch.column(2).to_pylist()):
                 raw = bytes(data[offsets[i]: offsets[i + 1]])
-                out, last, n = [], 0, 0
-                for a, b in sorted((r["first"], r["last"] + length) for r in runs or ()):
-                    if n and a <= last:
-                        last = max(last, b)
-                    else:
-                        out.append(raw[last:a])
-                        n, last = n + 1, b
-                rest = b"".join(out) + raw[last:]
+                runs = runs or []
+                rest = b"".join(raw[a:b] for a, b in zip([0, *runs[1::2]], [*runs[::2], len(raw)], strict=True))
                 removed.append(len(raw) - len(rest))
-                count.append(n)
+                count.append(len(runs) // 2)
                 sha.append(hashlib.sha256(rest).hexdigest())
                 if with_text:
                     kept.append(rest)
