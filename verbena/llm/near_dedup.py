@@ -8,8 +8,9 @@ links; the odd sketches estimate their similarity, and what may reach the
 threshold is confirmed on the full shingle sets.
 
 A large group of near copies never emits all its pairs: in each band group the
-members are first compared with one hub, links become components, and only
-members that are still in different components are compared further.
+members are first compared with one hub (the member that shares most bands with
+most others), then with a random one, and only members that no link has joined
+yet are compared further, each pair in the first band that it shares.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 from .common import chunk_rows, id_field, materialise, mix64, out_batch, pick, sized, texts, word_hashes
 
 ROWS, BANDS = 4, 30
-SAMPLES = ROWS * BANDS
-SKETCH_LONGS = 4
+SAMPLES = 240  # for the sketch; the bands take the first ROWS * BANDS of them
+SKETCH_LONGS = 8
 #: Candidates whose sketch estimates less than the threshold minus this are dropped (over 4.5 standard deviations).
-SLACK = 0.25
+SLACK = 0.16
 _U = np.uint64
 _RNG = np.random.default_rng(20240607)
 _FACTOR = _RNG.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * _U(2) + _U(1)
@@ -61,7 +62,7 @@ def min_hashes(s: np.ndarray) -> np.ndarray:
 
 
 def odd_sketch(samples: np.ndarray) -> np.ndarray:
-    bits = np.bincount((samples >> _U(56)).astype(np.int64) % (64 * SKETCH_LONGS), minlength=64 * SKETCH_LONGS) & 1
+    bits = np.bincount((samples >> _U(48)).astype(np.int64) % (64 * SKETCH_LONGS), minlength=64 * SKETCH_LONGS) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -95,7 +96,7 @@ def signatures(base: DataFrame, width: int) -> DataFrame:
                     v = min_hashes(s)
                     cls.append(set_key(s))
                     sketch.append(odd_sketch(v))
-                    band = (v.reshape(BANDS, ROWS) * _STEP[:ROWS]).sum(axis=1, dtype=np.uint64)
+                    band = (v[: ROWS * BANDS].reshape(BANDS, ROWS) * _STEP[:ROWS]).sum(axis=1, dtype=np.uint64)
                     bands.append(mix64(band + np.arange(BANDS, dtype=np.uint64)).view(np.int64))
             kind = pa.list_(pa.int64())
             yield out_batch(schema, [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()),
@@ -160,20 +161,21 @@ def confirmed(pairs: DataFrame, members: DataFrame, width: int, percent: int) ->
     return full.mapInArrow(run, schema)
 
 
-def connected(edges: DataFrame) -> DataFrame:
-    """``node, root`` of the graph of ``edges`` (a, b): alternating large and small stars until nothing changes."""
+def star(e: DataFrame, large: bool) -> DataFrame:
+    """One large-star or small-star step: neighbours move to the least node that they know of."""
+    both = e.unionAll(e.select("b", "a")) if large else e.select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+    out = both.join(low, F.col("a") == F.col("u"))
+    if large:
+        out = out.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    else:
+        out = out.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(out.select("a", F.col("m").alias("b")))
+    return out.where(F.col("a") != F.col("b")).distinct()
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        both = e.unionAll(e.select("b", "a")) if large else e.select(
-            F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
-        out = both.join(low, F.col("a") == F.col("u"))
-        if large:
-            out = out.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            out = out.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(out.select("a", F.col("m").alias("b")))
-        return out.where(F.col("a") != F.col("b")).distinct()
 
+def connected(edges: DataFrame) -> DataFrame:
+    """``node, root`` of the graph of ``edges`` (a, b): alternating large and small stars until nothing changes."""
     last = None
     while True:
         edges = materialise(star(star(edges, True), False), "stars")
@@ -184,51 +186,55 @@ def connected(edges: DataFrame) -> DataFrame:
         last = now
 
 
+def _first_common_band(a: Column, b: Column) -> Column:
+    return F.array_position(F.zip_with(a, b, lambda x, y: x == y), True) - 1
+
+
 def class_components(base: DataFrame, classes: DataFrame, width: int, percent: int, hub_rounds: int = 2) -> DataFrame:
     """``cls, root`` for the classes that are linked with another; ``classes`` has ``cls, doc, sketch, bands``."""
-    spark = base.sparkSession
-    nodes = classes.select("cls", "doc", "sketch", F.posexplode("bands").alias("band", "value")) \
-        .select(F.xxhash64("band", "value").alias("bucket"), "cls", "doc", "sketch")
-    shared = nodes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    nodes = classes.select("cls", F.posexplode("bands").alias("band", "value")) \
+        .select(F.xxhash64("band", "value").alias("bucket"), "band", "cls")
+    shared = nodes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     buckets = materialise(nodes.join(shared, "bucket"), "buckets")
-    wanted = materialise(buckets.select("cls", "doc").distinct(), "wanted")
-    members = materialise(class_texts(base, wanted, width), "members")
-    buckets = buckets.drop("doc")
-    pair = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
-    links, checked = spark.createDataFrame([], pair), spark.createDataFrame([], pair)
-    roots, left = None, buckets.withColumn("root", F.col("cls"))
+    weight = buckets.groupBy("cls").agg(F.sum("n").alias("weight"))
+    wanted = materialise(classes.select("cls", "doc", "sketch", "bands").join(weight, "cls"), "wanted")
+    members = materialise(class_texts(base, wanted.select("cls", "doc"), width), "members")
+    left = buckets.select("bucket", "band", "cls").join(wanted.select("cls", "sketch", "bands", "weight"), "cls") \
+        .withColumn("root", F.col("cls"))
+    left = all_members = materialise(left, "members-by-band")
     limit = most_differing_bits(percent / 100 - SLACK)
-
-    def open_buckets() -> DataFrame:
-        """Members of the bands that still span several components."""
-        now = buckets.join(sized(roots.toDF("cls", "root")), "cls", "left") \
-            .withColumn("root", F.coalesce("root", "cls"))
-        many = now.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y")
-        return materialise(now.join(many.select("bucket"), "bucket"), "open")
-
+    links = checked = None
     for turn in range(hub_rounds + 1):
-        me, other = left.alias("l"), None
         if turn < hub_rounds:
-            other = left.groupBy("bucket").agg(F.min(F.struct(
-                F.xxhash64(F.lit(turn), "cls").alias("h"), "cls", "sketch", "root")).alias("hub")) \
+            first = -F.col("weight") if turn == 0 else F.xxhash64("bucket", "cls")
+            other = left.groupBy("bucket").agg(F.min(F.struct(first.alias("f"), "cls", "sketch", "root")).alias("hub")) \
                 .select(F.col("bucket").alias("rb"), F.col("hub.cls").alias("rc"), F.col("hub.sketch").alias("rs"),
                         F.col("hub.root").alias("rr"))
-            apart = F.col("l.root") != F.col("rr")
+            apart = F.col("root") != F.col("rr")
         else:
-            other = left.toDF("rb", "rc", "rs", "rr")
-            apart = (F.col("l.root") != F.col("rr")) & (F.col("l.cls") < F.col("rc"))
-        pairs = me.join(other, (F.col("l.bucket") == F.col("rb")) & apart
-                        & (_differing(F.col("l.sketch"), F.col("rs")) <= limit)) \
-            .select(F.least("l.cls", "rc").alias("a"), F.greatest("l.cls", "rc").alias("b")).distinct()
-        pairs = materialise(pairs.join(checked, ["a", "b"], "left_anti"), "pairs")
+            other = left.select(F.col("bucket").alias("rb"), F.col("cls").alias("rc"), F.col("sketch").alias("rs"),
+                                F.col("root").alias("rr"), F.col("bands").alias("rx"))
+            apart = (F.col("root") != F.col("rr")) & (F.col("cls") < F.col("rc"))
+        near = apart & (_differing(F.col("sketch"), F.col("rs")) <= limit)
+        if turn == hub_rounds:
+            near = near & (_first_common_band(F.col("bands"), F.col("rx")) == F.col("band"))
+        pairs = left.join(other, (F.col("bucket") == F.col("rb")) & near) \
+            .select(F.least("cls", "rc").alias("a"), F.greatest("cls", "rc").alias("b")).distinct()
+        if checked is not None:
+            pairs = pairs.join(checked, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "pairs")
         found = materialise(confirmed(pairs, members, width, percent), "links")
-        links, checked = links.unionAll(found), checked.unionAll(pairs)
-        roots = materialise(connected(links), "roots")
-        if turn < hub_rounds:
-            left = open_buckets()
-            if left.isEmpty():
-                break
-    return roots.toDF("cls", "root")
+        links = found if links is None else links.unionAll(found)
+        checked = pairs if checked is None else checked.unionAll(pairs)
+        if turn == hub_rounds:
+            break
+        # not yet the components: one step that joins a hub's members is enough to leave most pairs out
+        near_roots = materialise(star(star(links, True), False).groupBy("a").agg(F.min("b").alias("r")), "joined")
+        now = all_members.drop("root").join(sized(near_roots.toDF("cls", "r")), "cls", "left") \
+            .withColumn("root", F.coalesce("r", "cls")).drop("r")
+        many = now.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y")
+        left = materialise(now.join(many.select("bucket"), "bucket"), "open")
+    return connected(links).toDF("cls", "root")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
