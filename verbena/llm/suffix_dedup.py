@@ -34,7 +34,7 @@ from .suffix_arrays import repeated_starts
 
 GRAM, RUN = 20, 512
 GROUP_SEGMENTS = 20_000
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 _U = np.uint64
 
 
