@@ -63,18 +63,48 @@ def test_encode_length_and_mask(spark):
     assert out[3].input_ids[-1] == 2 and sum(out[3].attention_mask) == 128
 
 
-def test_encode_join_path_equals_map_path(spark):
-    docs = spark.createDataFrame([(1, "a b c a"), (2, ""), (3, "c c d")], "doc_id long, processed_text string")
+def test_encode_with_and_without_key(spark):
+    docs = spark.createDataFrame([(1, "a b c a"), (2, ""), (3, "c c d"), (4, None)], "doc_id long, processed_text string")
     vocab = fit_vocab(docs, "processed_text")
-    small = {r.doc_id: r.input_ids for r in encode_fixed(docs, "processed_text", vocab, 8).collect()}
-    import verbena.operators.vocab as V
-    old = V.MAX_INLINE_ENTRIES
-    V.MAX_INLINE_ENTRIES = 1
-    try:
-        big = {r.doc_id: r.input_ids for r in encode_fixed(docs, "processed_text", vocab, 8, key="doc_id").collect()}
-    finally:
-        V.MAX_INLINE_ENTRIES = old
-    assert small == big
+    numbered = {r.doc_id: r.input_ids for r in encode_fixed(docs, "processed_text", vocab, 8).collect()}
+    keyed = {r.doc_id: r.input_ids for r in encode_fixed(docs, "processed_text", vocab, 8, key="doc_id").collect()}
+    assert numbered == keyed and keyed[4] == keyed[2] == [0, 2, 1, 1, 1, 1, 1, 1]
+
+
+def test_loss_keeps_the_worst_rows(spark):
+    import math
+    from verbena.functions.scoring import LOSS_FLOOR, logit_log_loss
+    from verbena.operators.metrics import mean_loss, unscorable
+    df = spark.createDataFrame([([1 / 3] * 3, 0), ([1.0, 0.0, 0.0], 1), ([1.0, 0.0, 0.0], 9), (None, 0), ([1.0], None)],
+                               "p array<double>, y int")
+    got = df.agg(mean_loss(df, "p", "y").alias("m"), unscorable("p", "y").alias("u")).first()
+    assert math.isclose(got.m, (math.log(3) - math.log(LOSS_FLOOR)) / 2) and got.u == 3
+    far = spark.createDataFrame([([0.0, 800.0], 0)], "x array<double>, y int")
+    assert far.select(logit_log_loss(F.col("x"), F.col("y"))).first()[0] == 800.0
+
+
+def test_hash_split_keeps_null_strata_apart(spark):
+    from verbena.operators.split import stratified_split
+    df = spark.createDataFrame([(str(i), i % 3 or None) for i in range(60)], "id string, label int")
+    got = stratified_split(df, ["label"], mode="hash").collect()
+    assert all((r.split is None) == (r.label is None) for r in got)
+
+
+def test_one_label_per_row(spark):
+    from verbena.operators.responses import align_responses
+    rows = spark.createDataFrame([(0, 0, "a"), (0, 1, "b")], "batch_id long, pos int, comment string")
+    answers = spark.createDataFrame([(0, "x(2-1)|y(0-2)"), (0, "z(1-1)|z(1-1)"), (0, None)], "batch_id long, response string")
+    got = align_responses(rows, answers).orderBy("pos").collect()
+    assert [(r.comment, r.label, r.task) for r in got] == [("x", "2", "1"), ("y", "0", "2")]
+
+
+def test_dictionary_without_blank_cells(spark):
+    from verbena.sources.abbreviations import dictionary, expand_with_table
+    table = spark.createDataFrame([(0, "a", None), (1, None, "x"), (2, "b", "bee")], "line_no long, abbr string, full string")
+    assert dictionary(table) == {"b": "bee"}
+    df = spark.createDataFrame([(1, "a  b"), (2, None)], "k long, t string")
+    assert {r.k: r.t for r in expand_with_table(df, "t", "k", table).collect()} == {1: "a bee", 2: None}
+    assert {r.k: r.t for r in expand_with_table(df, "t", "k", table.limit(0)).collect()} == {1: "a  b", 2: None}
 
 
 def test_prediction_shapes(spark):

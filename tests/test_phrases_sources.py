@@ -27,21 +27,17 @@ def test_greedy_join_matches_python(spark):
     assert got == [greedy(t.split(), phrases) for t in texts]
 
 
-def test_phrase_fit_and_both_apply_paths(spark):
+def test_phrase_fit_and_apply(spark):
     texts = ["new york is big", "i love new york", "new york new york", "york new"] * 3
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, t string")
     sc = phrase_scores(df, "t", min_count=2, delta=1.0)
     pairs = {(r.a, r.b) for r in sc.collect()}
     assert ("new", "york") in pairs
-    small = {r.doc_id: r.phrased for r in apply_phrases(df, "t", sc, "phrased").collect()}
-    import verbena.operators.phrases as P
-    old = P.MAX_INLINE_SET
-    P.MAX_INLINE_SET = 0
-    try:
-        big = {r.doc_id: r.phrased for r in apply_phrases(df, "t", sc, "phrased", key="doc_id").collect()}
-    finally:
-        P.MAX_INLINE_SET = old
-    assert small == big
+    numbered = {r.doc_id: r.phrased for r in apply_phrases(df, "t", sc, "phrased").collect()}
+    small = {r.doc_id: r.phrased for r in apply_phrases(df, "t", sc, "phrased", key="doc_id").collect()}
+    assert small == numbered
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "new")], "doc_id long, t string")
+    assert [r.phrased for r in apply_phrases(odd, "t", sc).orderBy("doc_id").collect()] == [None, "", "new"]
     assert small[2] == "new_york new_york"
 
 

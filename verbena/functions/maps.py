@@ -52,8 +52,10 @@ def _map_sql(mapping: Mapping, key_type: str, value_type: str) -> str:
     """SQL text of one constant map; parsed and folded on the JVM in one call."""
     if not mapping:
         return f"cast(map() as map<{key_type},{value_type}>)"
-    keys = [str(k) for k in mapping.keys()]
-    values = [str(v) for v in mapping.values()]
+    pairs = [(str(k), str(v)) for k, v in mapping.items() if k is not None and v is not None]
+    if not pairs:
+        return _map_sql({}, key_type, value_type)
+    keys, values = [k for k, _ in pairs], [v for _, v in pairs]
     if any(SEP in x for x in keys + values):
         ks = ", ".join(sql_string(k) for k in keys)
         vs = ", ".join(sql_string(v) for v in values)
@@ -122,7 +124,7 @@ def hashed_map(spark, mapping: Mapping, key_type: str = "string", value_type: st
 def _hashed_map(mapping: Mapping, value_type: str, bucket_size: int):
     import zlib
 
-    items = [(str(k), v) for k, v in mapping.items()]
+    items = [(str(k), v) for k, v in mapping.items() if k is not None and v is not None]
     n_buckets = max(1, -(-len(items) // bucket_size))
     if n_buckets == 1:
         m = _build_map_literal(dict(items), "string", value_type)

@@ -3,8 +3,8 @@
 ``row_index`` gives a stable 0-based position in a total order:
 
 1. range-partition on the order key into a fixed number of partitions and sort
-   within each partition (one range exchange, sampled bounds, so even a
-   skewed key spreads over many tasks);
+   within each partition (one range exchange, sampled bounds; rows with equal
+   keys stay together, so the order should be unique);
 2. count rows per partition (and per group, if ranking within a few groups);
 3. prefix-sum those counts (a table of at most partitions x groups rows, the
    only thing broadcast) and add each row's position inside its partition.
@@ -27,22 +27,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 _PID, _MID, _LOC = "__vb_pid", "__vb_mid", "__vb_loc"
 
 
-def input_partitions(df: DataFrame) -> int | None:
-    """How many partitions ``df`` has as planned (None where that is unknown)."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a remote session without RDDs
-        return None
-
-
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    """Range partitions: at least ``spark.sql.shuffle.partitions`` and at least
-    as many as the input has splits, so a partition stays near one input split
-    at any scale (AQE does not resize an exchange with an explicit count)."""
-    if num_partitions:
-        return int(num_partitions)
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), input_partitions(df) or 1, 1)
+    """Range partitions: as asked for, or ``spark.sql.shuffle.partitions``, which the
+    cluster sizes to its data (AQE does not resize an exchange with an explicit count)."""
+    return int(num_partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _as_cols(cols) -> list[Column]:

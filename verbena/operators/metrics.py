@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.scoring import row_log_loss
 from ..functions.labels import SENTIMENTS, TASKS
 
 
@@ -39,7 +40,7 @@ def confusion_long(df: DataFrame, heads: Sequence[Head], materialize: bool = Tru
     def loss(h: Head):
         if not h.prob:
             return F.lit(None).cast("double")
-        return -F.log(F.get(F.col(h.prob), (F.col(h.actual).cast("int") - F.lit(h.offset))))
+        return row_log_loss(F.col(h.prob), F.col(h.actual).cast("int") - F.lit(h.offset))
 
     pairs = F.explode(F.array(*[
         F.struct(F.lit(h.name).alias("head"), F.col(h.actual).try_cast("int").alias("actual"),
@@ -152,8 +153,13 @@ def classification_report(cm: DataFrame) -> DataFrame:
 
 
 def mean_loss(df: DataFrame, prob: str, actual: str, offset: int = 0) -> F.Column:
-    """A7 expression: mean of ``-log p[actual - offset]`` over rows."""
-    return F.avg(-F.log(F.get(F.col(prob), (F.col(actual) - F.lit(offset)).cast("int"))))
+    """A7 expression: mean of ``-log p[actual - offset]`` over the scorable rows."""
+    return F.avg(row_log_loss(F.col(prob), F.col(actual) - F.lit(offset)))
+
+
+def unscorable(prob: str, actual: str, offset: int = 0) -> F.Column:
+    """Rows that ``mean_loss`` leaves out: no label, no probabilities, or a label outside them."""
+    return F.count_if(row_log_loss(F.col(prob), F.col(actual) - F.lit(offset)).isNull())
 
 
 def dataset_counts(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:

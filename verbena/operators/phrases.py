@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.maps import MAX_INLINE_SET, bounded_dict
-from ..functions.phrases import bigram_hits_sql, greedy_join, next_tokens
+from ..functions.phrases import greedy_join, next_tokens
 from ..functions.text import tokens
 
 
@@ -37,6 +36,7 @@ def phrase_scores(df: DataFrame, text: str, min_count: int = 5, delta: float = 5
     # write them once to the shared folder instead of re-reading every text
     from ..session import shared_dir
     path = shared_dir(df.sparkSession, "phrase-counts")
+    counts = counts.where(F.col("b").isNull() | (F.col("n") >= min_count))  # rare bigrams are never read again
     counts.write.mode("overwrite").parquet(path)
     counts = df.sparkSession.read.parquet(path)
     uni = counts.filter(F.col("b").isNull()).select(F.col("a").alias("w"), "n")
@@ -54,25 +54,22 @@ def apply_phrases(df: DataFrame, text: str, phrases: DataFrame, out: str = "phra
                   key: str | None = None) -> DataFrame:
     """Join known phrases inside ``text`` into ``out``.
 
-    A phrase table of at most ``MAX_INLINE_SET`` rows becomes a constant hash
-    set (``IN`` list, no shuffle).  A larger one is joined: every bigram position is
-    exploded and looked up (shuffle on the bigram), hit flags are put back in
-    order per row by ``key`` (a unique row key) and the same greedy pass runs.
+    Every bigram position is exploded and looked up by a join (broadcast by AQE
+    where the phrase table is small, whatever its size otherwise); hit flags
+    are put back in order per row and the greedy pass runs.  ``key`` is a
+    unique row key; without one the rows are numbered in a table in the shared
+    folder.  A null text stays null.
     """
-    keyed = phrases.select(F.concat_ws(" ", "a", "b").alias("k"), F.lit(True).alias("v"))
-    small = bounded_dict(keyed, "k", "v", MAX_INLINE_SET)
-    if small is not None:
-        staged = df.withColumn("__vb_t", tokens(F.col(text)))
-        if not small:
-            return staged.withColumn(out, F.array_join("__vb_t", " ")).drop("__vb_t")
-        hit = bigram_hits_sql("__vb_t", sorted(small))
-        return staged.withColumn(out, greedy_join(F.col("__vb_t"), hit)).drop("__vb_t")
     if key is None:
-        raise ValueError("a large phrase table needs a unique row key")
+        from ..session import shared_dir
+        path = shared_dir(df.sparkSession, "phrases")
+        df.withColumn("__vb_row", F.monotonically_increasing_id()).write.parquet(path)
+        return apply_phrases(df.sparkSession.read.parquet(path), text, phrases, out, "__vb_row").drop("__vb_row")
+    keyed = phrases.select(F.concat_ws(" ", "a", "b").alias("k"), F.lit(True).alias("v")).distinct()
     t = tokens(F.col(text))
     pos = df.select(F.col(key).alias("__vb_k"), F.posexplode(_bigrams(t)).alias("__vb_p", "bg"))
     pos = pos.select("__vb_k", "__vb_p", F.concat_ws(" ", "bg.a", "bg.b").alias("k"))
-    hits = (pos.join(keyed.filter("v"), "k", "left")
+    hits = (pos.join(keyed, "k", "left")
             .groupBy("__vb_k").agg(F.array_sort(F.collect_list(
                 F.struct("__vb_p", F.coalesce("v", F.lit(False)).alias("h")))).alias("__vb_h")))
     joined = df.join(hits, df[key] == hits["__vb_k"], "left")

@@ -29,21 +29,29 @@ def _frac(x: float) -> int:
     return v
 
 
+def _missing(strata: Sequence[str]):
+    out = F.lit(False)
+    for s in strata:
+        out = out | F.col(s).isNull()
+    return out
+
+
 def order_key(key: str, seed: int = 42):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
 def hash_split(df: DataFrame, key: str = "id", test: float = 0.15, val: float = 0.15,
-               seed: int = 42, split_col: str = "split") -> DataFrame:
+               seed: int = 42, split_col: str = "split", strata: Sequence[str] = ()) -> DataFrame:
     """``mode='hash'``: one pass, no sort, no shuffle.
 
     Each row's ``md5('seed:id')`` is read as a uniform number in [0, 1):
     below ``test`` is test, below ``test + val`` is val, the rest train.  Every
     stratum gets the shares in expectation (not exactly); the same id always
-    lands in the same part, whatever else is in the table.
+    lands in the same part, whatever else is in the table.  A row with a null
+    in ``strata`` gets a null split, as in the exact mode (D11).
     """
     u = F.conv(F.substring(order_key(key, seed), 1, 13), 16, 10).cast("double") / float(16 ** 13)
-    return df.withColumn(split_col, F.when(u < test, "test").when(u < test + val, "val")
+    return df.withColumn(split_col, F.when(_missing(strata), F.lit(None).cast("string")).when(u < test, "test").when(u < test + val, "val")
                          .otherwise("train"))
 
 
@@ -60,7 +68,7 @@ def stratified_split(df: DataFrame, strata: Sequence[str], key: str = "id",
     exact quotas for a single pass without any sort (``hash_split``).
     """
     if mode == "hash":
-        return hash_split(df, key, test, val, seed, split_col)
+        return hash_split(df, key, test, val, seed, split_col, strata)
     if mode != "exact":
         raise ValueError("mode must be 'exact' or 'hash'")
     strata = list(strata)
@@ -76,9 +84,6 @@ def stratified_split(df: DataFrame, strata: Sequence[str], key: str = "id",
     else:
         val_n = F.lit(0)
     rk = F.col("__vb_rank")
-    missing = F.lit(False)
-    for s_ in strata:
-        missing = missing | F.col(s_).isNull()
-    split = (F.when(missing, F.lit(None).cast("string"))
+    split = (F.when(_missing(strata), F.lit(None).cast("string"))
              .when(rk < test_n, "test").when(rk < test_n + val_n, "val").otherwise("train"))
     return ranked.withColumn(split_col, split).drop("__vb_rank", "__vb_n")

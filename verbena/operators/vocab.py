@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.maps import MAX_INLINE_ENTRIES, bounded_dict, hashed_map
 from ..functions.text import tokens
 from .index import row_index
 
@@ -52,23 +51,20 @@ def encode_fixed(df: DataFrame, text: str, vocab: DataFrame, max_len: int = 128,
                  key: str | None = None) -> DataFrame:
     """Add ``input_ids`` and ``attention_mask`` (``array<int>`` of ``max_len``).
 
-    A vocabulary of at most ``MAX_INLINE_ENTRIES`` tokens is a constant hashed
-    dictionary (``hashed_map``: no shuffle, no Python).  A larger one is joined: the first ``max_len - 2`` tokens of
-    each row are exploded (bounded per row), joined to the vocabulary and put
-    back in order by ``key`` (a unique row key, required then).
+    The first ``max_len - 2`` tokens of each row are exploded (bounded per
+    row), joined to the vocabulary (broadcast by AQE where it is small, whatever
+    its size otherwise) and put back in order.  ``key`` is a unique row key;
+    without one the rows are numbered in a table in the shared folder.  A null
+    text is encoded like an empty one.
     """
     if max_len < 2:
         raise ValueError("max_len must be at least 2")
-    toks = F.slice(tokens(F.col(text)), 1, max_len - 2)
-    small = bounded_dict(vocab, "token", "token_id", MAX_INLINE_ENTRIES)
-    if small is not None:
-        # hashed buckets of small map literals: a few comparisons per token
-        look = hashed_map(df.sparkSession, small, "string", "int")
-        ids = F.transform(toks, lambda t: F.coalesce(look(t), F.lit(UNK)))
-        input_ids, mask = _frame(ids, max_len)
-        return df.withColumns({"input_ids": input_ids, "attention_mask": mask})
     if key is None:
-        raise ValueError("a large vocabulary needs a unique row key")
+        from ..session import shared_dir
+        path = shared_dir(df.sparkSession, "encode")
+        df.withColumn("__vb_row", F.monotonically_increasing_id()).write.parquet(path)
+        return encode_fixed(df.sparkSession.read.parquet(path), text, vocab, max_len, "__vb_row").drop("__vb_row")
+    toks = F.slice(tokens(F.col(text)), 1, max_len - 2)
     exploded = df.select(F.col(key).alias("__vb_k"), F.posexplode(toks).alias("__vb_p", "token"))
     looked = exploded.join(vocab.select("token", "token_id"), "token", "left")
     ids = (looked.groupBy("__vb_k").agg(F.array_sort(F.collect_list(F.struct(

@@ -31,7 +31,8 @@ from ..operators.validate import validate_domain
 
 NUM_FEATURES = 1 << 14
 DEFAULT_GRID = ({"regParam": 0.01, "maxIter": 25}, {"regParam": 0.1, "maxIter": 25},
-                {"regParam": 0.001, "maxIter": 25})
+                {"regParam": 0.001, "maxIter": 25}, {"regParam": 0.3, "maxIter": 25},
+                {"regParam": 0.03, "maxIter": 25})
 
 
 def feature_stages(text: str = "processed_text", num_features: int = NUM_FEATURES):
@@ -264,7 +265,7 @@ def joint_loss(summary: DataFrame, weights: dict = LOSS_WEIGHTS) -> DataFrame:
 def train_multitask_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.derived import labelled_comments
     lab = labelled_comments(spark, sf_dir).select("id", "comment", "label", "task")
-    res = run_multitask(lab, grid=DEFAULT_GRID[:2])
+    res = run_multitask(lab, grid=DEFAULT_GRID)
     return res["summary"].select("head", "accuracy", "precision", "recall", "f1", "support", "loss")
 
 
@@ -274,5 +275,5 @@ def train_sentiment_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b, c = _sources_table(spark, sf_dir)
     src = union_sources(adapter_a(a, "sentence", "sentiment", keep=["doc_id"]),
                         adapter_b(b, keep=["doc_id"]), adapter_c(c, keep=["doc_id"]))
-    res = run_sentiment(src, grid=DEFAULT_GRID[:2])
+    res = run_sentiment(src, grid=DEFAULT_GRID)
     return res["summary"].select("head", "accuracy", "precision", "recall", "f1", "support", "loss")

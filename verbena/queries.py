@@ -32,7 +32,6 @@ from .sources.adapters import adapter_a, adapter_b, adapter_c, union_sources
 ABBREVIATION_LINES = [(0, "the", "THE1"), (1, "de", "von"), (2, "the", "le mot"), (3, "is", "est")]
 PROMPT_TEMPLATE = "Label each comment: "
 START_ROW = 37
-VOCAB_SIZE = 5000
 MAX_LEN = 128
 PHRASE_MIN_COUNT, PHRASE_DELTA, PHRASE_THRESHOLD = 5, 5.0, 0.0
 LOSS_WEIGHTS = (0.45, 0.55)
@@ -239,12 +238,12 @@ def _processed_docs(spark, sf):
 
 
 def q_fit_vocab(spark, sf):
-    return fit_vocab(_processed_docs(spark, sf), "processed_text", VOCAB_SIZE)
+    return fit_vocab(_processed_docs(spark, sf), "processed_text")
 
 
 def q_encode_fixed(spark, sf):
     docs = _processed_docs(spark, sf)
-    vocab = fit_vocab(docs, "processed_text", VOCAB_SIZE)
+    vocab = fit_vocab(docs, "processed_text")
     return encode_fixed(docs, "processed_text", vocab, MAX_LEN, key="doc_id").select(
         "doc_id", "input_ids", "attention_mask")
 
@@ -293,9 +292,15 @@ def _probs(spark, sf):
 
 
 def q_mean_loss(spark, sf):
-    p = _probs(spark, sf)
+    # vec_id % 50 = 7: probability 0 of the true sentiment; % 50 = 9: a label outside the domain
+    p = _probs(spark, sf).withColumns({
+        "ps": F.when(F.col("vec_id") % 50 == 7, F.transform("ps", lambda v, i: F.when(i == F.col("actual_label"), 0.0)
+                                                            .otherwise(v))).otherwise(F.col("ps")),
+        "actual_label": F.when(F.col("vec_id") % 50 == 9, 7).otherwise(F.col("actual_label"))})
     return p.agg(_r6(M.mean_loss(p, "ps", "actual_label")).alias("sentiment_loss"),
-                 _r6(M.mean_loss(p, "pt", "actual_task", 1)).alias("task_loss"))
+                 _r6(M.mean_loss(p, "pt", "actual_task", 1)).alias("task_loss"),
+                 M.unscorable("ps", "actual_label").alias("sentiment_unscorable"),
+                 M.unscorable("pt", "actual_task", 1).alias("task_unscorable"))
 
 
 def q_joint_loss(spark, sf):

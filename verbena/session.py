@@ -26,6 +26,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.verbena.spread", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("VERBENA_DRIVER_MEMORY", "16g"))
         .getOrCreate()
@@ -37,13 +38,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (tests, local runs) a scratch folder is created and registered, so that
-    later ``checkpoint()`` calls and written tables land in one place.
+    ``spark.checkpoint.dir`` is read from the session.  Where it is unset, a
+    local session (one machine) gets a scratch folder; on a cluster, whose
+    executors could not see it, that is an error.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="verbena-ckpt-")
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base

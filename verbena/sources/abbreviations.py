@@ -80,12 +80,14 @@ def read_abbreviations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def last_wins(table: DataFrame) -> DataFrame:
-    """S5 rule: ``(abbr, full)`` with the last line of every key (partial aggregation).
+    """S5 rule: ``(abbr, full)`` with the last line of every key (partial aggregation); a
+    line without a key or an expansion is left out.
 
     Lines are ordered by ``(source_file, line_no)`` when the file is known.
     """
     order = (F.struct("source_file", "line_no") if "source_file" in table.columns
              else F.col("line_no"))
+    table = table.where(F.col("abbr").isNotNull() & F.col("full").isNotNull())
     return table.groupBy("abbr").agg(F.max_by("full", order).alias("full"))
 
 
@@ -106,11 +108,14 @@ def expand_with_table(df: DataFrame, text: str, key: str, table: DataFrame,
     """
     from ..functions.text import tokens
     d = last_wins(table)
+    if d.isEmpty():  # nothing to look up: texts stay as they are, runs of spaces too
+        return df.withColumn(out or text, F.col(text))
     ex = df.select(F.col(key).alias("__vb_k"), F.posexplode(tokens(F.col(text))).alias("__vb_p", "abbr"))
     looked = ex.join(d, "abbr", "left").select(
         "__vb_k", "__vb_p", F.coalesce("full", "abbr").alias("w"))
     back = looked.groupBy("__vb_k").agg(
         F.array_sort(F.collect_list(F.struct("__vb_p", "w"))).alias("__vb_ws"))
     joined = df.join(back, df[key] == back["__vb_k"], "left")
-    val = F.coalesce(F.array_join(F.transform("__vb_ws", lambda s: s["w"]), " "), F.lit(""))
+    val = F.when(F.col(text).isNotNull(), F.coalesce(
+        F.array_join(F.transform("__vb_ws", lambda s: s["w"]), " "), F.lit("")))
     return joined.withColumn(out or text, val).drop("__vb_k", "__vb_ws")

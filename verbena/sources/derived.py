@@ -10,32 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-# tables whose rows carry long texts: per-row work is heavy enough to spread
-TEXT_TABLES = {"documents", "pages", "conversations"}
+#: Session setting: deal the rows of a table out over this many partitions after reading (unset: as read).
+SPREAD = "spark.verbena.spread"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table.  A small file of long texts may be one split; a session that wants
+    its rows spread says so with ``spark.verbena.spread`` (the rows are the same)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return balance(df) if name in TEXT_TABLES else df
-
-
-def balance(df: DataFrame) -> DataFrame:
-    """Spread an input that has fewer splits than the cluster has cores.
-
-    A parquet split cannot be smaller than a row group, so a small file of
-    long texts may arrive as a handful of partitions and leave cores idle in
-    the text-heavy steps.  Only then the rows are dealt out round-robin; a
-    large input (more splits than cores) is left exactly as read.
-    """
-    from ..operators.index import input_partitions
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a remote session)
-        return df
-    n = input_partitions(df)
-    if n is not None and n < cores:
-        return df.repartition(cores)
-    return df
+    spread = spark.conf.get(SPREAD, None)
+    return df.repartition(int(spread)) if spread else df
 
 
 def sentiment_of_labels() -> F.Column:
@@ -93,7 +77,7 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def response_part(comment: F.Column, doc_id: F.Column) -> F.Column:
     """The made-up labeler's answer for one row (FIXTURES §3)."""
-    s = F.translate(F.substring(comment, 1, 20), "|()\n\r", "     ")
+    s = F.translate(comment, "|()\n\r", "     ")
     lab = (doc_id % 3).cast("string")
     tsk = (doc_id % 9 + 1).cast("string")
     k = doc_id % 10
