@@ -13,7 +13,7 @@ GOLDEN = [
     ("x(2-10)", "x", "2", "9"), ("x(2-)", "x", "2", "9"), ("x(-3)", "x", "1", "3"), ("x()", "x", "1", "9"),
     ("x(21)", "x", "1", "9"), ("x(2-1-3)", "x(2-1-3)", "1", "9"), ("plain", "plain", "1", "9"), ("", "", "1", "9"),
     ("(2-2)", "", "2", "2"), ("a(b)(2-1)", "a", "1", "9"), ("a(b", "a(b", "1", "9"), ("a)b(c", "a)b", "1", "9"),
-    ("x(1-9", "x(1-9", "1", "9"), ("x( 2-1 )", "x", "2", "1"), ("x((2-1))", "x", "1", "1")]
+    ("x(1-9", "x(1-9", "1", "9"), ("x( 2-1 )", "x", "2", "1"), ("x((2-1))", "x", "1", "9")]
 
 
 @pytest.mark.parametrize("part,corrected,label,task", GOLDEN)
