@@ -203,7 +203,7 @@ def class_components(base: DataFrame, classes: DataFrame, width: int, percent: i
         .withColumn("root", F.col("cls"))
     left = all_members = materialise(left, "members-by-band")
     limit = most_differing_bits(percent / 100 - SLACK)
-    links = checked = None
+    linked = checked = None
     for turn in range(hub_rounds + 1):
         if turn < hub_rounds:
             first = -F.col("weight") if turn == 0 else F.xxhash64("bucket", "cls")
@@ -224,17 +224,18 @@ def class_components(base: DataFrame, classes: DataFrame, width: int, percent: i
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         found = materialise(confirmed(pairs, members, width, percent), "links")
-        links = found if links is None else links.unionAll(found)
+        linked = found if linked is None else linked.unionAll(found)
         checked = pairs if checked is None else checked.unionAll(pairs)
         if turn == hub_rounds:
             break
-        # not yet the components: one step that joins a hub's members is enough to leave most pairs out
-        near_roots = materialise(star(star(links, True), False).groupBy("a").agg(F.min("b").alias("r")), "joined")
+        # not always the components yet, but a step keeps them and joins what the hubs have linked so far
+        linked = materialise(star(star(linked, True), False), "joined")
+        near_roots = materialise(linked.groupBy("a").agg(F.min("b").alias("r")), "near-roots")
         now = all_members.drop("root").join(sized(near_roots.toDF("cls", "r")), "cls", "left") \
             .withColumn("root", F.coalesce("r", "cls")).drop("r")
         many = now.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y")
         left = materialise(now.join(many.select("bucket"), "bucket"), "open")
-    return connected(links).toDF("cls", "root")
+    return connected(linked).toDF("cls", "root")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
