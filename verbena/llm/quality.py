@@ -22,7 +22,7 @@ from .common import LOWER, SPACE, chunk_rows, joined, materialise, mix64, out_ba
 
 #: Buckets of the hashed models (as a power of two) and labelled rows that a fit uses at most (expected number).
 BUCKET_BITS, FIT_ROWS = 18, 200_000
-TEMPERATURE, SMOOTHING = 0.1, 0.1
+TEMPERATURE, SMOOTHING = 0.1, 5.0
 _U = np.uint64
 _FIX, _KEY_BITS = 1 << 16, 48
 
@@ -109,9 +109,9 @@ def fit_importance(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", t
     raw[at], tgt[at] = got["raw"].to_numpy(), got["target"].to_numpy()
     if not tgt.any():
         return ImportanceModel(np.zeros(size), bits, False)
-    p = (tgt + smoothing) / (tgt.sum() + smoothing * size)
-    q = (raw + smoothing) / (raw.sum() + smoothing * size)
-    return ImportanceModel(np.log(p) - np.log(q), bits, True)
+    # both counts at the target's scale with the same pseudo count: n-grams too rare to tell weigh nothing
+    expected = raw * (tgt.sum() / raw.sum())
+    return ImportanceModel(np.log(tgt + smoothing) - np.log(expected + smoothing), bits, True)
 
 
 def with_log_weight(docs: DataFrame, model: ImportanceModel, text_col: str = "text",
@@ -190,16 +190,23 @@ def fit_selection(docs: DataFrame, labels: DataFrame, target: Column, id_col: st
 
     Without a labelled target row (or with an empty table) nothing is known
     and every row is kept.  ``k`` overrides the number that the labels suggest."""
-    sample = materialise(labelled_sample(labels, target, id_col, fit_rows), "labelled")
-    model = fit_importance(docs, sample, id_col, text_col)
+    sample = materialise(labelled_sample(labels, target, id_col, fit_rows).withColumn(
+        "__vl_held", F.pmod(F.xxhash64("__vl_id", F.lit(1)), F.lit(5)) == 0), "labelled")
+    # four fifths of the labelled rows fit the target model, the rest (if it has both kinds) chooses the cut
+    fit = sample.where("not __vl_held") if sample.where("__vl_target").select("__vl_held").distinct().count() == 2 else sample
+    model = fit_importance(docs, fit.drop("__vl_held"), id_col, text_col)
+    if not model.fitted:  # its targets are not in docs
+        model = fit_importance(docs, sample.drop("__vl_held"), id_col, text_col)
     thin = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     scored = materialise(with_log_weight(thin, model, "text", "log_weight").drop("text"), "weights")
     if not model.fitted:
         return Selection(model, None, temperature, seed, scored.count()), scored
     if k is None:
         seen = scored.join(F.broadcast(sample), scored["doc_id"] == sample["__vl_id"]) \
-            .select("log_weight", "__vl_target").toArrow()
-        cut = best_cut(seen["log_weight"].to_numpy(), seen["__vl_target"].to_numpy())
+            .select("log_weight", "__vl_target", "__vl_held").toPandas()
+        other = seen[seen["__vl_held"].astype(bool)]
+        seen = other if other["__vl_target"].nunique() == 2 else seen
+        cut = best_cut(seen["log_weight"].to_numpy(), seen["__vl_target"].to_numpy().astype(bool))
         k = scored.where(F.col("log_weight") >= F.lit(cut)).count()
     keys = scored.select(_fixed(gumbel_key(F.col("log_weight"), F.col("doc_id"), temperature, seed)).alias("key"))
     least = kth_largest(keys, k) if k > 0 else 1 << _KEY_BITS
