@@ -22,7 +22,7 @@ from .common import LOWER, SPACE, chunk_rows, joined, materialise, mix64, out_ba
 
 #: Buckets of the hashed models (as a power of two) and labelled rows that a fit uses at most (expected number).
 BUCKET_BITS, FIT_ROWS = 18, 200_000
-TEMPERATURE, SMOOTHING = 0.1, 5.0
+TEMPERATURE, SMOOTHING = 0.1, 2.0
 _U = np.uint64
 _FIX, _KEY_BITS = 1 << 16, 48
 
