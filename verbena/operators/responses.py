@@ -99,9 +99,10 @@ def align_responses(rows: DataFrame, responses: DataFrame, key: str = "batch_id"
     batch key: no positional self-join.  ``answered_only=True`` keeps only
     rows whose batch has an answer row (a streaming answer table joined to a
     static row table).  Of several answers to one batch the smallest non-null
-    one counts, so every row gets one label row.
+    one counts, so every row gets one label row (not on a stream, which takes
+    answers as they come).
     """
-    answers = responses.groupBy(key).agg(F.min(response).alias(response))
+    answers = responses if responses.isStreaming else responses.groupBy(key).agg(F.min(response).alias(response))
     parsed = answers.select(F.col(key), split_response(F.col(response)).alias("__vb_parts"))
     joined = parsed.join(rows, key, "inner") if answered_only else rows.join(parsed, key, "left")
     part = F.get(F.col("__vb_parts"), F.col(pos).cast("int"))
