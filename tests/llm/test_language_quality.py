@@ -65,7 +65,17 @@ def test_quality_separates_labelled_documents(spark):
     assert got.where("kept").count() > 0.7 * got.count()  # unlabelled clean documents stay too
 
 
-@pytest.mark.xfail(reason="open: a few toxic words in a long clean text do not outweigh it", strict=False)
+def test_quality_rejects_documents_with_offensive_words(spark):
+    """Three of the words that only toxic documents have, spread over a long clean text, are enough."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    words = F.regexp_count("text", F.lit(r"(?i)\b(trash|pathetic|idiot|worthless|disgusting|stupid|clown|scum|loser|moron)\b"))
+    got = importance_resample(docs, labels, is_target()).join(docs.select("doc_id", words.alias("words")), "doc_id")
+    assert got.where("words > 2").agg(F.avg(F.col("kept").cast("int"))).first()[0] < 0.05
+    clean = got.join(labels.where("quality = 1 and toxic = 0"), "doc_id")
+    assert clean.agg(F.avg(F.col("kept").cast("int"))).first()[0] > 0.98
+
+
+@pytest.mark.xfail(reason="open: toxic documents in other languages carry no word that clean ones lack", strict=False)
 def test_quality_rejects_toxic_documents(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     seen = importance_resample(docs, labels, is_target()).join(labels.where("toxic = 1"), "doc_id").collect()

@@ -1,12 +1,20 @@
 """Quality classifier by importance resampling.
 
 Two generative models over hashed token n-grams (one- and two-token runs): the
-target text (labelled clean documents) and the raw text (every document).  A
-document's log importance weight is the sum of log(target / raw) over its
-n-grams.  Documents are then drawn without replacement in proportion to their
-weights by Gumbel top-k: weight / temperature plus Gumbel noise, largest k.
-k is the number of documents whose weight reaches the value that separates the
-labelled target documents from the other labelled ones best.
+target text (labelled clean documents) and the raw text.  Each is taken twice:
+
+- occurrences: the raw text is every document; a text's sum of
+  log(target / raw) over its n-grams tells junk from prose;
+- presence: the shares of labelled documents that have an n-gram at all; the
+  distinct n-grams that targets clearly avoid are summed.  A few offensive words
+  in a long clean text vanish in the first sum, but not in this one.
+
+For each sum, a cut separates the labelled target documents from the other
+labelled ones best.  The log importance weight is the occurrence sum; in a text
+with avoided n-grams it is at most the cut plus what the presence sum has over
+its own cut.  Documents are then drawn without replacement in
+proportion to their weights by Gumbel top-k: weight / temperature plus Gumbel
+noise, largest k.  k is the number of documents whose weight reaches the cut.
 """
 
 from __future__ import annotations
@@ -23,6 +31,9 @@ from .common import LOWER, SPACE, chunk_rows, joined, materialise, mix64, out_ba
 #: Buckets of the hashed models (as a power of two) and labelled rows that a fit uses at most (expected number).
 BUCKET_BITS, FIT_ROWS = 18, 200_000
 TEMPERATURE, SMOOTHING = 0.1, 2.0
+#: The presence model: its buckets (as a power of two), pseudo count (a share of the labelled documents, and at
+#: least as many), and the least |log ratio| that counts.
+PRESENCE_BITS, PRESENCE_SHARE, PRESENCE_LEAST, AVOIDED = 20, 0.002, 2.0, 1.5
 _U = np.uint64
 _FIX, _KEY_BITS = 1 << 16, 48
 
@@ -52,16 +63,33 @@ def features(offsets: np.ndarray, data: memoryview, lo: int, hi: int, bits: int)
 
 @dataclass
 class ImportanceModel:
+    """Log ratios per bucket, and the cuts of the two sums."""
+
     log_ratio: np.ndarray
-    bits: int
+    avoided: np.ndarray
     fitted: bool
+    cuts: tuple[float, float] = (0.0, 0.0)
 
-    def weights(self, offsets: np.ndarray, data: memoryview) -> np.ndarray:
-        out = np.zeros(len(offsets) - 1)
+    def sums(self, offsets: np.ndarray, data: memoryview) -> tuple[np.ndarray, np.ndarray]:
+        """The occurrence and the presence sum of every text."""
+        uses, presence = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
         for lo, hi in chunk_rows(offsets):
-            bucket, row = features(offsets, data, lo, hi, self.bits)
-            out[lo:hi] = np.bincount(row, weights=self.log_ratio[bucket], minlength=hi - lo)
-        return out
+            bucket, row = features(offsets, data, lo, hi, PRESENCE_BITS)
+            uses[lo:hi] = np.bincount(row, weights=self.log_ratio[bucket >> (PRESENCE_BITS - BUCKET_BITS)], minlength=hi - lo)
+            hit = self.avoided[bucket] != 0
+            bucket, row = _distinct(bucket[hit], row[hit])
+            presence[lo:hi] = np.bincount(row, weights=self.avoided[bucket], minlength=hi - lo)
+        return uses, presence
+
+    def weights(self, offsets: np.ndarray, data: memoryview) -> np.ndarray:
+        uses, presence = self.sums(offsets, data)
+        return np.where(presence < 0, np.minimum(uses, self.cuts[0] + presence - self.cuts[1]), uses)
+
+
+def _distinct(bucket: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every bucket once per row."""
+    both = np.unique((row.astype(np.int64) << PRESENCE_BITS) + bucket)
+    return both & ((1 << PRESENCE_BITS) - 1), both >> PRESENCE_BITS
 
 
 def labelled_sample(labels: DataFrame, target: Column, id_col: str = "doc_id", fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -78,45 +106,72 @@ def labelled_sample(labels: DataFrame, target: Column, id_col: str = "doc_id", f
 
 
 def fit_importance(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   bits: int = BUCKET_BITS, smoothing: float = SMOOTHING) -> ImportanceModel:
-    """Fit both models: raw on every row of ``docs``, target on the rows whose id is a target of ``sample``.
+                   smoothing: float = SMOOTHING) -> ImportanceModel:
+    """Fit on every row of ``docs``; ``sample`` says which are labelled, and which of those are targets.
 
     ``sample`` is bounded (see ``labelled_sample``) and broadcast.  Each task
-    counts into two arrays of 2^bits and hands on the buckets that occur."""
+    counts into arrays of 2^bits and hands on the buckets that occur; the
+    presence counts only see labelled rows, so they do not grow with the corpus."""
     base = docs.select(docs[id_col].alias("__vl_id"), docs[text_col].cast("string").alias("text")) \
-        .join(F.broadcast(sample.where("__vl_target")), "__vl_id", "left") \
-        .select("text", F.coalesce("__vl_target", F.lit(False)).cast("int").alias("target"))
+        .join(F.broadcast(sample), "__vl_id", "left") \
+        .select("text", F.when(F.col("__vl_target"), 2).when(F.col("__vl_target").isNotNull(), 1).otherwise(0).alias("label"))
     schema = StructType([StructField("bucket", IntegerType()), StructField("raw", LongType()),
                          StructField("target", LongType())])
-    size = 1 << bits
+    size, wide = 1 << BUCKET_BITS, 1 << PRESENCE_BITS
 
     def count(batches):
         raw, tgt = np.zeros(size, dtype=np.int64), np.zeros(size, dtype=np.int64)
+        seen, seen_tgt = np.zeros(wide, dtype=np.int32), np.zeros(wide, dtype=np.int32)
+        labelled = targets = 0
         for batch in batches:
             offsets, data = texts(batch, 0)
-            hit = batch.column(1).to_numpy().astype(bool)
+            label = batch.column(1).to_numpy()
+            labelled += int((label > 0).sum())
+            targets += int((label == 2).sum())
             for lo, hi in chunk_rows(offsets):
-                bucket, row = features(offsets, data, lo, hi, bits)
-                raw += np.bincount(bucket, minlength=size)
-                tgt += np.bincount(bucket[hit[lo:hi][row]], minlength=size)
-        at = np.flatnonzero(raw)
-        yield out_batch(schema, [at, raw[at], tgt[at]])
+                bucket, row = features(offsets, data, lo, hi, PRESENCE_BITS)
+                kind = label[lo:hi][row]
+                narrow = bucket >> (PRESENCE_BITS - BUCKET_BITS)
+                raw += np.bincount(narrow, minlength=size)
+                tgt += np.bincount(narrow[kind == 2], minlength=size)
+                once, row = _distinct(bucket[kind > 0], row[kind > 0])
+                np.add.at(seen, once, 1)
+                np.add.at(seen_tgt, once[label[lo:hi][row] == 2], 1)
+        at, also = np.flatnonzero(raw), np.flatnonzero(seen)
+        yield out_batch(schema, [np.append(at, also + size), np.append(raw[at], seen[also].astype(np.int64)),
+                                 np.append(tgt[at], seen_tgt[also].astype(np.int64))])
+        yield out_batch(schema, [np.array([size + wide]), np.array([labelled]), np.array([targets])])
 
     got = base.mapInArrow(count, schema).groupBy("bucket").agg(
-        F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
-    raw, tgt = np.zeros(size), np.zeros(size)
+        F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()  # at most size + wide + 1 rows
+    raw, tgt = np.zeros(size + wide + 1), np.zeros(size + wide + 1)
     at = got["bucket"].to_numpy()
     raw[at], tgt[at] = got["raw"].to_numpy(), got["target"].to_numpy()
-    if not tgt.any():
-        return ImportanceModel(np.zeros(size), bits, False)
+    if not tgt[:size].any():
+        return ImportanceModel(np.zeros(size), np.zeros(wide), False)
     # both counts at the target's scale with the same pseudo count: n-grams too rare to tell weigh nothing
-    expected = raw * (tgt.sum() / raw.sum())
-    return ImportanceModel(np.log(tgt + smoothing) - np.log(expected + smoothing), bits, True)
+    expected = raw[:size] * (tgt[:size].sum() / raw[:size].sum())
+    ratio = np.log(tgt[:size] + smoothing) - np.log(expected + smoothing)
+    expected = raw[size:-1] * (tgt[-1] / raw[-1])
+    pseudo = max(PRESENCE_LEAST, PRESENCE_SHARE * raw[-1])
+    avoided = np.log(tgt[size:-1] + pseudo) - np.log(expected + pseudo)
+    return ImportanceModel(ratio, np.where(avoided < -AVOIDED, avoided, 0.0), True)
+
+
+def with_sums(thin: DataFrame, model: ImportanceModel) -> DataFrame:
+    """``doc_id, uses, presence`` of ``(doc_id, text)`` (0 for a null or empty text)."""
+    schema = StructType([thin.schema["doc_id"], StructField("uses", DoubleType()), StructField("presence", DoubleType())])
+
+    def run(batches):
+        for batch in batches:
+            yield out_batch(schema, [batch.column(0), *map(pa.array, model.sums(*texts(batch, 1)))])
+
+    return thin.mapInArrow(run, schema)
 
 
 def with_log_weight(docs: DataFrame, model: ImportanceModel, text_col: str = "text",
                     name: str = "__vl_weight") -> DataFrame:
-    """All columns of ``docs`` and the log importance weight (0 for a null or empty text)."""
+    """All columns of ``docs`` and the log importance weight."""
     schema = StructType([*docs.schema.fields, StructField(name, DoubleType())])
     at = docs.columns.index(text_col)
 
@@ -198,16 +253,24 @@ def fit_selection(docs: DataFrame, labels: DataFrame, target: Column, id_col: st
     if not model.fitted:  # its targets are not in docs
         model = fit_importance(docs, sample.drop("__vl_held"), id_col, text_col)
     thin = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
-    scored = materialise(with_log_weight(thin, model, "text", "log_weight").drop("text"), "weights")
-    if not model.fitted:
-        return Selection(model, None, temperature, seed, scored.count()), scored
-    if k is None:
+    scored = materialise(with_sums(thin, model), "weights")
+    if model.fitted:
         seen = scored.join(F.broadcast(sample), scored["doc_id"] == sample["__vl_id"]) \
-            .select("log_weight", "__vl_target", "__vl_held").toPandas()
+            .select("uses", "presence", "__vl_target", "__vl_held").toPandas()  # the bounded sample
         other = seen[seen["__vl_held"].astype(bool)]
         seen = other if other["__vl_target"].nunique() == 2 else seen
-        cut = best_cut(seen["log_weight"].to_numpy(), seen["__vl_target"].to_numpy().astype(bool))
-        k = scored.where(F.col("log_weight") >= F.lit(cut)).count()
+        good = seen["__vl_target"].to_numpy().astype(bool)
+        uses, presence = seen["uses"].to_numpy(), seen["presence"].to_numpy()
+        # the presence sum only rejects: a text without an avoided n-gram has 0 and passes
+        least = min(best_cut(presence, good), 0.0)
+        model.cuts = (best_cut(uses[presence >= least], good[presence >= least]), least)
+    bound = F.lit(model.cuts[0]) + F.col("presence") - F.lit(model.cuts[1])
+    scored = scored.select("doc_id", F.when(F.col("presence") < 0, F.least("uses", bound))
+                           .otherwise(F.col("uses")).alias("log_weight"))
+    if not model.fitted:
+        return Selection(model, None, temperature, seed, scored.count()), scored
+    if k is None:
+        k = scored.where(F.col("log_weight") >= F.lit(model.cuts[0])).count()
     keys = scored.select(_fixed(gumbel_key(F.col("log_weight"), F.col("doc_id"), temperature, seed)).alias("key"))
     least = kth_largest(keys, k) if k > 0 else 1 << _KEY_BITS
     return Selection(model, least, temperature, seed, k), scored
