@@ -177,3 +177,26 @@ def test_model_of_odd_rows(spark, odd, none):
     assert all(r.train_tokens == 0 and r.score == 0 and r.n_known == 0 for r in untrained)
     tree, unigrams = fit_suffix_tree(none)
     assert tree.train_tokens == 0 and unigrams.count() == 0
+
+
+def test_rare_contexts_stay_in_a_large_corpus(spark):
+    """A passage of eight copies is far below a share of 1e-5 of the tokens; its words are frequent."""
+    rng = random.Random(11)
+    passage = " ".join(f"c{i}" for i in range(40))
+    docs = [(i, " ".join(f"c{rng.randrange(1000)}" for _ in range(1000))) for i in range(1200)]
+    docs += [(2000 + i, passage) for i in range(8)] + [(3000, passage)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    got = score_texts(df, F.col("doc_id") < 3000).where("doc_id = 3000").first()
+    assert got.score - got.base_score > 20
+
+
+def test_tree_of_counts_matches_brute_force(spark):
+    docs = corpus(150)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    train = [t for k, t in docs if k % 3]
+    n = sum(len(words(t)) + 1 for t in train)
+    score, states, _, _, _ = brute_tree(train, 2 / n, 8.0)
+    assert {len(c) for c in states} == {1, 2}
+    got = {r.doc_id: r.score for r in score_texts(df, F.col("doc_id") % 3 != 0, divergence=8.0).collect()}
+    for k, t in docs:
+        assert math.isclose(got[k], score(t), rel_tol=1e-9), k

@@ -1,6 +1,6 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-States are contexts of up to two words.  A context is a state if its
+States are contexts of up to ``depth`` words.  A context is a state if its
 next-word distribution differs enough from that of its suffix (count times
 Kullback-Leibler divergence, the likelihood gain in nats, reaches
 ``divergence``) and its suffix is a state too.  A state's distribution is
@@ -8,30 +8,35 @@ discounted, and what the discount frees goes to the suffix state's
 distribution; the empty context is the add-one unigram distribution over all
 training words.  A text is scored from its longest suffix state at each token.
 
-Counts are built level by level: only n-grams whose share of all tokens is at
-least ``min_share`` enter the tree, and an n-gram can only be that frequent if
-its parts are.  So the tree has at most 1 / min_share n-grams a level and may be
-broadcast.  Unigram counts stay a distributed table: words that are too rare
-for the broadcast vocabulary (share under ``vocabulary_share``) meet their
-counts in a join.
+An n-gram is part of the tree if it occurs ``min_count`` times, however large
+the corpus is.  Counts, states and distributions are distributed tables, made
+level by level.  The score of a text is a sum over its n-grams: a state adds
+its backoff wherever it occurs, and an n-gram with a probability of its own
+adds what that differs by from the backed-off one.  So texts are scored by a
+join of their n-grams with one table.  Only n-grams whose share of all tokens
+is at least ``vocabulary_share`` (at most 1 / vocabulary_share an order) are
+looked up in a broadcast copy instead.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import chunk_rows, id_field, materialise, mix64, out_batch, texts, word_hashes
+from .common import chunk_rows, materialise, mix64, out_batch, sized, texts, word_hashes
 
 DISCOUNT = 0.75
-MIN_SHARE, VOCABULARY_SHARE, DIVERGENCE = 1e-5, 1e-6, 20.0
-#: Distinct words that a counting task holds before it hands its counts on.
-HELD_WORDS = 1_000_000
+MIN_COUNT, VOCABULARY_SHARE, DIVERGENCE, DEPTH = 2, 1e-6, 20.0, 2
+#: N-grams that a counting task gathers before it hands their counts on.
+HELD_GRAMS = 2_000_000
+BATCH_ROWS = 200_000
 _U = np.uint64
+_LEFT, _RIGHT = _U(0xD1342543DE82EF95), _U(0xAF251AF3B0F025B5)
 END = int(mix64(np.array([0x5BF0_3635_5A6E_19C3], dtype=np.uint64)).view(np.int64)[0])
 
 
@@ -52,164 +57,149 @@ def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-def _counted(base: DataFrame, keys, names: list[str]) -> DataFrame:
-    """Sum of equal keys over the training rows; ``keys(tokens, lengths)`` gives one key per counted place."""
-    schema = StructType([StructField("key", LongType()), StructField("n", LongType())])
+def gram_key(left: np.ndarray, right: np.ndarray, order: int) -> np.ndarray:
+    """Keys of n-grams from the keys of their parts without the last and without the first word."""
+    return mix64(left.view(np.uint64) * _LEFT + right.view(np.uint64) * _RIGHT + _U(order)).view(np.int64)
 
-    def merge(parts):
-        u, inv = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-        return u, np.bincount(inv, weights=np.concatenate([c for _, c in parts]), minlength=len(u)).astype(np.int64)
 
-    def run(batches):
-        held: list = []
-        for batch in batches:
-            offsets, data = texts(batch, 0)
-            for lo, hi in chunk_rows(offsets):
-                held.append(np.unique(keys(*tokens(offsets, data, lo, hi)), return_counts=True))
-                if len(held) >= 8:
-                    held = [merge(held)]
-                    if len(held[0][0]) > HELD_WORDS:
-                        yield out_batch(schema, list(held.pop()))
-        if held:
-            yield out_batch(schema, list(merge(held)))
+def grams(tok: np.ndarray, lengths: np.ndarray, orders: int):
+    """``order, starts, left, right, key`` of the n-grams inside the rows, for each order from 2."""
+    inside = np.ones(len(tok), dtype=bool)
+    inside[np.cumsum(lengths) - 1] = False  # nothing follows an END
+    key, ok = tok, np.ones(len(tok), dtype=bool)
+    for order in range(2, orders + 1):
+        left, right = key[:-1], key[1:]
+        key = gram_key(left, right, order)
+        ok = ok[1:] & inside[: len(key)]
+        yield order, np.flatnonzero(ok), left[ok], right[ok], key[ok]
 
-    return base.mapInArrow(run, schema).groupBy("key").agg(F.sum("n").alias("n"))
 
+def _counts(base: DataFrame, orders: int, min_count: int) -> DataFrame:
+    """``order, key, left, right, n``: all words, and the n-grams of up to ``orders`` words that occur ``min_count`` times.
 
-def _gram_keys(vocab: np.ndarray, pairs: np.ndarray, order: int):
-    """Keys of the word pairs (order 2) in ``vocab``, or of the triples whose two pairs are in ``pairs``."""
-    v = len(vocab) + 1
+    A word is its own ``left`` and has 0 as ``right``."""
+    fields = [StructField("order", IntegerType()), StructField("left", LongType()), StructField("right", LongType()),
+              StructField("n", LongType())]
+    schema, keyed = StructType(fields), StructType([*fields, StructField("key", LongType())])
 
-    def keys(tok, lengths):
-        ids = find(vocab, tok)
-        last = np.cumsum(lengths) - 1
-        inside = np.ones(len(ids), dtype=bool)
-        inside[last] = False  # nothing follows an END
-        ok = inside[:-1] & (ids[:-1] >= 0) & (ids[1:] >= 0)
-        two = np.where(ok, ids[:-1] * v + ids[1:], -1)
-        if order == 2:
-            return two[ok]
-        p = np.where(two >= 0, find(pairs, two), -1)
-        return (p[:-1] * v + ids[2:])[(p[:-1] >= 0) & (p[1:] >= 0)]
+    def merged(order, parts):
+        left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
+        by = np.lexsort((right, left)) if order > 1 else np.argsort(left)
+        left, right = left[by], right[by]
+        new = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
+        n = np.diff(np.append(new, len(left)))
+        left, right = left[new], right[new]
+        for a in range(0, len(n), BATCH_ROWS):
+            part = slice(a, a + BATCH_ROWS)
+            yield out_batch(schema, [np.full(len(n[part]), order, np.int32), left[part], right[part], n[part]])
 
-    return keys
+    def run(batches):
+        held: dict[int, list] = {}
+        size = 0
+        for batch in batches:
+            offsets, data = texts(batch, 0)
+            for lo, hi in chunk_rows(offsets):
+                tok, lengths = tokens(offsets, data, lo, hi)
+                held.setdefault(1, []).append((tok, np.zeros_like(tok)))
+                for order, _, left, right, _ in grams(tok, lengths, orders):
+                    if len(left):
+                        held.setdefault(order, []).append((left, right))
+                size += orders * len(tok)
+                if size > HELD_GRAMS:
+                    for order in list(held):
+                        yield from merged(order, held.pop(order))
+                    size = 0
+        for order in list(held):
+            yield from merged(order, held.pop(order))
+
+    def key(batches):
+        for batch in batches:
+            order, left, right = (batch.column(i).to_numpy() for i in range(3))
+            out = left.copy()
+            for m in range(2, orders + 1):
+                out[order == m] = gram_key(left[order == m], right[order == m], m)
+            yield out_batch(keyed, [*batch.columns, out])
+
+    summed = base.mapInArrow(run, schema).groupBy("order", "left", "right").agg(F.sum("n").alias("n")) \
+        .where((F.col("order") == 1) | (F.col("n") >= min_count))
+    return summed.mapInArrow(key, keyed)
 
 
 @dataclass
 class SuffixTree:
-    """Level k: states (context keys) with their backoff, and their explicit next words."""
+    """``weights``: ``order, key, n, value`` of all words (their count and, for states, backoff) and of the n-grams
+    that add something to a score; ``frequent``: ``key, value`` of frequent n-grams, ``words``: of frequent words."""
 
     train_tokens: int
     distinct: int
-    words: np.ndarray  # sorted hashes of the broadcast vocabulary
-    word_counts: np.ndarray
-    vocab: np.ndarray  # sorted hashes of the words that are frequent enough for the tree
-    pairs: np.ndarray  # sorted keys of the pairs that are
-    levels: list[dict[str, np.ndarray]]
+    weights: DataFrame
+    words: tuple[np.ndarray, np.ndarray, np.ndarray]  # sorted hashes, counts, backoff
+    frequent: tuple[np.ndarray, np.ndarray]  # sorted keys of n-grams, what they add
+    depth: int
 
     @property
     def denominator(self) -> float:
         return float(self.train_tokens + self.distinct + 1)
 
-    def base_log(self, count: np.ndarray) -> np.ndarray:
-        return np.log10((count + 1) / self.denominator)
-
-    def _log_from(self, level: int, state: np.ndarray, ids: np.ndarray, shorter: np.ndarray) -> np.ndarray:
-        """log10 P(word | state) where ``state`` >= 0, else ``shorter`` (its suffix's value)."""
-        t = self.levels[level]
-        at = find(t["next"], np.where((state >= 0) & (ids >= 0), state * (len(self.vocab) + 1) + ids, -1))
-        own = t["log"][at] if len(t["log"]) else shorter
-        back = t["backoff"][state] if len(t["backoff"]) else 0.0
-        return np.where(state < 0, shorter, np.where(at >= 0, own, back + shorter))
-
-    def score(self, tok: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per token: log10 P without the base term of out-of-vocabulary words, base log10, and whether it is in the vocabulary."""
-        w = find(self.words, tok)
-        known = w >= 0
-        count = self.word_counts[w] if len(self.words) else np.zeros(len(tok))
-        base = np.where(known, self.base_log(count), 0.0)
-        ids = find(self.vocab, tok)
-        first = np.zeros(len(tok), dtype=bool)
-        first[np.cumsum(lengths) - lengths] = True
-        prev = np.where(first, -1, np.append(-1, ids[:-1]))
-        s1 = np.where(prev >= 0, find(self.levels[0]["context"], prev), -1)
-        before = np.where(first, -1, np.append(-1, prev[:-1]))
-        pair = np.where((before >= 0) & (prev >= 0), before * (len(self.vocab) + 1) + prev, -1)
-        p = np.where(pair >= 0, find(self.pairs, pair), -1)
-        s2 = np.where((p >= 0) & (s1 >= 0), find(self.levels[1]["context"], p), -1)
-        one = self._log_from(0, s1, ids, base)
-        return self._log_from(1, s2, ids, one), base, known
-
-    def word_log(self, level: int, state: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """log10 P of vocabulary words at given states of a level (-1: the base)."""
-        base = self.base_log(self.word_counts[find(self.words, self.vocab[ids])])
-        if level < 0:
-            return base
-        return self._log_from(level, state, ids, base)
-
-
-def _level(tree: SuffixTree, level: int, context: np.ndarray, context_n: np.ndarray, follow: np.ndarray,
-           n: np.ndarray, suffix: np.ndarray, divergence: float) -> dict[str, np.ndarray]:
-    """Choose the states of a level and their distributions.
-
-    ``context``: sorted keys with counts ``context_n``; ``follow`` and ``n``: keys context * (V + 1) + word with
-    counts; ``suffix``: state of each context's suffix in the level below (-1: none)."""
-    v = len(tree.vocab) + 1
-    of, word = find(context, follow // v), follow % v
-    ok = of >= 0
-    of, word, n = of[ok], word[ok], n[ok]
-    below = tree.word_log(level - 1, suffix[of], word) if level else tree.word_log(-1, None, word)
-    p = n / context_n[of]
-    explicit = np.bincount(of, weights=p, minlength=len(context))
-    p_below = np.bincount(of, weights=10.0 ** below, minlength=len(context))
-    rest, rest_below = np.clip(1 - explicit, 0, None), np.clip(1 - p_below, 1e-12, None)
-    gain = np.bincount(of, weights=n * (np.log(p) - below * np.log(10)), minlength=len(context))
-    gain += context_n * np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / rest_below), 0.0)
-    state = gain >= divergence
-    if level:
-        state &= suffix >= 0
-    number = np.where(state, np.cumsum(state) - 1, -1)
-    mine = number[of] >= 0
-    of, word, n = of[mine], word[mine], n[mine]
-    prob = (n - DISCOUNT) / context_n[of]
-    free = 1 - np.bincount(of, weights=prob, minlength=len(context))
-    return {"context": context[state], "backoff": np.log10(free / rest_below)[state],
-            "next": number[of] * v + word, "log": np.log10(prob)}
-
-
-def fit_suffix_tree(train: DataFrame, text_col: str = "text", min_share: float = MIN_SHARE,
-                    vocabulary_share: float = VOCABULARY_SHARE,
-                    divergence: float = DIVERGENCE) -> tuple[SuffixTree, DataFrame]:
-    """The tree, and the table ``key, n`` of all training tokens (``key`` hashes the word)."""
+
+def _states(rows: DataFrame, shorter: DataFrame, divergence: float) -> DataFrame:
+    """``context, count, backoff`` of the contexts that are states.
+
+    ``rows``: ``left, n, below`` (log10 P of the last word at the context's suffix); ``shorter``: counts of contexts."""
+    n, ln10 = F.col("n"), float(np.log(10))
+    sums = rows.groupBy("left").agg(
+        F.sum("n").alias("explicit"), F.sum(n * F.log(n.cast("double"))).alias("n_log_n"),
+        F.sum(n * F.col("below") * ln10).alias("n_log_below"), F.sum(F.pow(F.lit(10.0), "below")).alias("p_below"),
+        F.count("*").alias("followers"))
+    count, explicit = F.col("count"), F.col("explicit")
+    rest, rest_below = (count - explicit) / count, F.greatest(1 - F.col("p_below"), F.lit(1e-12))
+    gain = F.col("n_log_n") - explicit * F.log(count.cast("double")) - F.col("n_log_below") \
+        + F.when(rest > 0, count * rest * F.log(rest / rest_below)).otherwise(0.0)
+    free = (count - explicit + DISCOUNT * F.col("followers")) / count
+    return sums.join(shorter.select(F.col("key").alias("left"), F.col("n").alias("count")), "left") \
+        .where(gain >= divergence).select(F.col("left").alias("context"), "count", F.log10(free / rest_below).alias("backoff"))
+
+
+def fit_suffix_tree(train: DataFrame, text_col: str = "text", min_share: float = 0.0,
+                    vocabulary_share: float = VOCABULARY_SHARE, divergence: float = DIVERGENCE,
+                    min_count: int = MIN_COUNT, depth: int = DEPTH) -> tuple[SuffixTree, DataFrame]:
+    """The tree, and the table ``key, n`` of all training tokens (``key`` hashes the word).
+
+    ``min_share`` (none by default) leaves out n-grams under that share of all tokens."""
     base = train.select(train[text_col].cast("string").alias("text"))
-    unigrams = materialise(_counted(base, lambda tok, _: tok, ["key"]), "unigrams")
+    counts = materialise(_counts(base, depth + 1, min_count), "counts")
+    unigrams = counts.where("order = 1").select("key", "n")
     total = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t"), F.count("*").alias("v")).first()
     n_tokens, distinct = int(total["t"]), int(total["v"])
-
-    def frequent(counts: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray]:
-        got = counts.where(F.col("n") >= F.lit(max(1.0, share * n_tokens))).toArrow()
-        key, n = got["key"].to_numpy(), got["n"].to_numpy()
-        order = np.argsort(key)
-        return key[order], n[order]
-
-    words, word_n = frequent(unigrams, vocabulary_share)
-    enough = word_n >= max(1.0, min_share * n_tokens)
-    vocab, vocab_n = words[enough], word_n[enough]
-    empty = {"context": np.zeros(0, np.int64), "backoff": np.zeros(0), "next": np.zeros(0, np.int64), "log": np.zeros(0)}
-    tree = SuffixTree(n_tokens, distinct, words, word_n, vocab, np.zeros(0, np.int64), [empty, empty])
-    if not len(vocab):
-        return tree, unigrams
-    v = len(vocab) + 1
-    pairs, pair_n = frequent(_counted(base, _gram_keys(vocab, None, 2), ["key"]), min_share)
-    contexts = np.flatnonzero(vocab != END)
-    level1 = _level(tree, 0, contexts, vocab_n[contexts], pairs, pair_n, None, divergence)
-    tree.levels, tree.pairs = [level1, empty], pairs
-    if len(pairs):
-        triples, triple_n = frequent(_counted(base, _gram_keys(vocab, pairs, 3), ["key"]), min_share)
-        places = np.flatnonzero(vocab[pairs % v] != END)
-        suffix = find(level1["context"], pairs[places] % v)
-        tree.levels = [level1, _level(tree, 1, places, pair_n[places], triples, triple_n, suffix, divergence)]
-    return tree, unigrams
+    denominator = float(n_tokens + distinct + 1)
+    enough = counts.where(F.col("n") >= F.lit(max(float(min_count), min_share * n_tokens)))
+
+    below = unigrams.select(F.col("key").alias("right"), F.log10((F.col("n") + 1) / F.lit(denominator)).alias("below"))
+    backoffs, own = [], []
+    for order in range(2, depth + 2):
+        rows = enough.where(F.col("order") == order).select("key", "left", "right", "n").join(sized(below), "right")
+        rows = materialise(rows.select("key", "left", "n", "below"), f"follow-{order}")
+        states = materialise(_states(rows, enough.where(F.col("order") == order - 1), divergence), f"states-{order}")
+        log = F.log10((F.col("n") - DISCOUNT) / F.col("count"))
+        level = materialise(rows.join(sized(states), F.col("left") == F.col("context")).select(
+            "key", log.alias("log"), (log - F.col("below") - F.col("backoff")).alias("value")), f"level-{order}")
+        backoffs.append(states.select(F.lit(order - 1).alias("order"), F.col("context").alias("key"), F.col("backoff").alias("value")))
+        own.append(level.select(F.lit(order).alias("order"), "key", "value"))
+        below = level.select(F.col("key").alias("right"), F.col("log").alias("below"))
+
+    added = reduce(DataFrame.unionAll, [*backoffs, *own]).groupBy("order", "key").agg(F.sum("value").alias("value"))
+    words = counts.where("order = 1").select("order", "key", "n").join(added.where("order = 1"), ["order", "key"], "left") \
+        .select("order", "key", "n", F.coalesce("value", F.lit(0.0)).alias("value"))
+    weights = materialise(words.unionAll(added.where("order > 1").select("order", "key", F.lit(0).cast("long"), "value")), "weights")
+
+    often = F.col("n") >= F.lit(max(1.0, vocabulary_share * n_tokens))
+    top = enough.where((F.col("order") > 1) & often).select("order", "key") \
+        .join(weights.select("order", "key", "value"), ["order", "key"], "left").select("key", F.coalesce("value", F.lit(0.0)).alias("value"))
+    tables = []
+    for got in (weights.where((F.col("order") == 1) & often).select("key", "n", "value").toArrow(), top.toArrow()):
+        by = np.argsort(got["key"].to_numpy())
+        tables.append(tuple(c.to_numpy()[by] for c in got.columns))
+    return SuffixTree(n_tokens, distinct, weights, *tables, depth), unigrams
 
 
 def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -221,53 +211,60 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     one by one, also those that repeat an id or have none.
     """
     extra = extra or {}
-    tree, unigrams = fit_suffix_tree(docs.where(train), text_col, **fit)
+    tree, _ = fit_suffix_tree(docs.where(train), text_col, **fit)
     base = docs.select(docs[id_col].alias("doc_id"), *[c.alias(n) for n, c in extra.items()],
                        F.monotonically_increasing_id().alias("row"), docs[text_col].cast("string").alias("text"))
-    names = [*extra, "row"]
     at = len(base.columns) - 1
-    fixed = [base.schema[c] for c in base.columns[:-1]]
-    schema = StructType([*fixed, StructField("tokens", LongType()), StructField("known", LongType()),
-                         StructField("base", DoubleType()), StructField("tree", DoubleType()),
-                         StructField("key", LongType()), StructField("times", LongType())])
+    fixed = [StructField(c, base.schema[c].dataType) for c in base.columns[:-1]]
+    schema = StructType([*fixed, StructField("order", IntegerType()), StructField("key", LongType()),
+                         StructField("tokens", LongType()), StructField("known", LongType()),
+                         StructField("base", DoubleType()), StructField("tree", DoubleType())])
+    words, word_log, word_value = tree.words[0], np.log10((tree.words[1] + 1) / tree.denominator), tree.words[2]
+    frequent, value = tree.frequent
+    orders = tree.depth + 1
 
     def run(batches):
         for batch in batches:
             offsets, data = texts(batch, at)
             rows = len(offsets) - 1
+            ids = batch.column(at - 1).to_numpy()
             sums = np.zeros((2, rows))
             n, known = np.zeros(rows, dtype=np.int64), np.zeros(rows, dtype=np.int64)
-            rare_row, rare_key, rare_n = [], [], []
+
+            def asked(order, row, keys):  # n-grams that are looked up in the join
+                for a in range(0, len(keys), BATCH_ROWS):
+                    k = keys[a: a + BATCH_ROWS]
+                    empty = [pa.nulls(len(k), c.type) for c in batch.columns[: at - 1]]
+                    nothing = [pa.nulls(len(k), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+                    yield out_batch(schema, [*empty, ids[row[a: a + BATCH_ROWS]], np.full(len(k), order, np.int32), k, *nothing])
+
             for lo, hi in chunk_rows(offsets):
                 tok, lengths = tokens(offsets, data, lo, hi)
-                full, flat, in_words = tree.score(tok, lengths)
-                row = np.repeat(np.arange(hi - lo), lengths)
+                row = np.repeat(np.arange(lo, hi), lengths)
+                w = find(words, tok)
+                there = w >= 0
                 n[lo:hi] = lengths
-                known[lo:hi] = np.bincount(row[in_words], minlength=hi - lo)
-                sums[0, lo:hi] = np.bincount(row, weights=flat, minlength=hi - lo)
-                sums[1, lo:hi] = np.bincount(row, weights=full, minlength=hi - lo)
-                r, k = row[~in_words], tok[~in_words]
-                order = np.lexsort((k, r))
-                r, k = r[order], k[order]
-                new = np.append(True, (r[1:] != r[:-1]) | (k[1:] != k[:-1]))[: len(r)]
-                rare_row.append(r[new] + lo)
-                rare_key.append(k[new])
-                rare_n.append(np.diff(np.append(np.flatnonzero(new), len(r))))
-            rr, rk, rn = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rare_row, rare_key, rare_n))
-            nothing = pa.nulls(rows, pa.int64())
-            yield out_batch(schema, [*batch.columns[:at], n, known, sums[0], sums[1], nothing, nothing])
-            take = pa.array(rr, pa.int64())
-            zero = np.zeros(len(rr), dtype=np.int64)
-            yield out_batch(schema, [*[c.take(take) for c in batch.columns[:at]], zero, zero, zero.astype(float),
-                                     zero.astype(float), rk, rn])
-
-    scored = materialise(base.mapInArrow(run, schema), "scores")
-    log = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(tree.denominator)) * F.col("times")
-    rare = scored.where("key is not null").select("row", "key", "times").join(unigrams, "key", "left") \
-        .groupBy("row").agg(F.sum(log).alias("log"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("found"))
-    whole = scored.where("key is null").join(rare, "row", "left")
-    more = F.coalesce("log", F.lit(0.0))
-    return whole.select("doc_id", *extra, F.col("tokens").alias("n_tokens"),
-                        (F.col("known") + F.coalesce("found", F.lit(0))).cast("long").alias("n_known"),
-                        F.lit(tree.train_tokens).cast("long").alias("train_tokens"),
-                        (F.col("base") + more).alias("base_score"), (F.col("tree") + more).alias("score"))
+                known += np.bincount(row[there], minlength=rows)
+                flat = np.bincount(row[there], weights=word_log[w[there]], minlength=rows)
+                sums[0] += flat
+                sums[1] += flat + np.bincount(row[there], weights=word_value[w[there]], minlength=rows)
+                yield from asked(1, row[~there], tok[~there])
+                for order, starts, _, _, keys in grams(tok, lengths, orders):
+                    g = find(frequent, keys)
+                    there = g >= 0
+                    sums[1] += np.bincount(row[starts[there]], weights=value[g[there]], minlength=rows)
+                    yield from asked(order, row[starts[~there]], keys[~there])
+            whole = mix64(ids.astype(np.uint64)).view(np.int64)  # order 0 meets nothing; the keys spread the rows
+            yield out_batch(schema, [*batch.columns[:at], np.zeros(rows, np.int32), whole, n, known, sums[0], sums[1]])
+
+    weights = tree.weights.select(F.col("order").alias("w_order"), F.col("key").alias("w_key"), "n", "value")
+    met = base.mapInArrow(run, schema).join(sized(weights), (F.col("order") == F.col("w_order")) & (F.col("key") == F.col("w_key")), "left") \
+        .where("order < 2 or value is not null")
+    log = F.when(F.col("order") == 1, F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(tree.denominator))).otherwise(F.lit(0.0))
+    seen = F.when((F.col("order") == 1) & (F.col("n") > 0), 1).otherwise(0)
+    return met.groupBy("row").agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in ("doc_id", *extra)], F.sum("tokens").alias("n_tokens"),
+        F.sum(F.coalesce("known", F.lit(0)) + seen).cast("long").alias("n_known"),
+        F.lit(tree.train_tokens).cast("long").alias("train_tokens"),
+        F.sum(F.coalesce("base", F.lit(0.0)) + log).alias("base_score"),
+        F.sum(F.coalesce("tree", F.lit(0.0)) + log + F.coalesce("value", F.lit(0.0))).alias("score")).drop("row")
