@@ -110,3 +110,18 @@ def test_sketch_estimates_similarity():
     assert worst <= limit
     x, y = (odd_sketch(N.min_hashes(rng.integers(0, 1 << 63, 800, dtype=np.uint64))).view(np.uint64) for _ in range(2))
     assert sum(int(v).bit_count() for v in x ^ y) > limit
+
+
+def test_null_ids_inside_groups(spark):
+    base = [f"w{i}" for i in range(80)]
+    near = base[:40] + ["other"] + base[41:]
+    alone = [f"z{i}" for i in range(80)]
+    docs = [(3, base), (None, base), (4, base), (5, near), (None, near), (7, near),
+            (None, alone), (None, alone), (None, [*alone[:-1], "end"]), (None, ["single"])]
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in docs], "doc_id long, text string")
+    got = near_duplicates(df).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got if r.doc_id is not None) == [
+        (3, 3, True), (4, 3, False), (5, 3, False), (7, 3, False)]
+    nameless = sorted((r.component_id or 0, r.n_shingles, r.kept) for r in got if r.doc_id is None)
+    assert nameless[0] == (0, 1, True) and sorted(x[2] for x in nameless[1:4]) == [False, False, True]
+    assert nameless[4:] == [(3, 76, False)] * 2

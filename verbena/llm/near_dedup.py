@@ -113,10 +113,20 @@ def _differing(a: Column, b: Column) -> Column:
 
 
 def class_texts(base: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``cls, text``: one text of each class in ``wanted`` (``cls, doc``)."""
+    """``cls, text``: one text of each class in ``wanted`` (``cls, doc``; a class without any id has a null doc)."""
     schema = StructType([StructField("cls", BinaryType()), StructField("text", pick_type())])
     rows = base.join(sized(wanted), base["doc_id"] == wanted["doc"]).select("cls", "text")
 
+    def named(batches):
+        for batch in batches:
+            offsets, data = texts(batch, 0)
+            keys = [set_key(s) if len(s) else None for lo, hi in chunk_rows(offsets)
+                    for s in shingle_sets(offsets, data, lo, hi, width)]
+            yield out_batch(schema, [pa.array(keys, pa.binary()), batch.column(0)])
+
+    nameless = base.where("doc_id is null").select("text").mapInArrow(named, schema) \
+        .join(sized(wanted.where("doc is null").select("cls")), "cls", "left_semi")
+
     def check(batches):  # a repeated id may carry another text
         for batch in batches:
             offsets, data = texts(batch, 1)
@@ -124,7 +134,7 @@ def class_texts(base: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 shingle_sets(offsets, data, lo, hi, width), batch.column(0)[lo:hi].to_pylist(), strict=True)]
             yield out_batch(schema, batch.filter(pa.array(same, pa.bool_())).columns)
 
-    return rows.mapInArrow(check, schema).dropDuplicates(["cls"])
+    return rows.mapInArrow(check, schema).unionAll(nameless).dropDuplicates(["cls"])
 
 
 def pick_type():
@@ -247,23 +257,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words is one shingle); a component is what links reach, its id the
     smallest doc_id in it, and ``kept`` is doc_id = component_id.  Null, empty
     and wordless texts have no shingles and stay alone.  Rows that repeat an id
-    keep one row each; with equal texts they share component and fate.  Links
+    keep one row each; with equal texts they share component and fate.  A row
+    without an id is kept if it stays alone, or as the one row of a component
+    in which no row has an id (its component_id is null then).  Links
     are found by bands (a pair at the threshold is missed with probability
     under 2e-7) and always confirmed on the full sets.
     """
     base = pick(docs, id_col, text_col)
-    sigs = materialise(signatures(base, width), "signatures")
+    sigs = signatures(base, width).withColumn("row", F.monotonically_increasing_id())
+    sigs = materialise(sigs, "signatures")
     classes = materialise(
         sigs.where("cls is not null").groupBy("cls").agg(
-            F.min(F.struct("doc_id", "sketch", "bands")).alias("x"), F.count("*").alias("n"))
-        .select("cls", F.col("x.doc_id").alias("doc"), F.col("x.sketch").alias("sketch"),
+            F.min(F.struct(F.isnull("doc_id").alias("nameless"), "doc_id", "row", "sketch", "bands")).alias("x"),
+            F.count("*").alias("n"))
+        .select("cls", F.col("x.doc_id").alias("doc"), F.col("x.row").alias("row"), F.col("x.sketch").alias("sketch"),
                 F.col("x.bands").alias("bands"), "n"), "classes")
-    roots = class_components(base, classes.drop("n"), width, percent)
-    rooted = classes.select("cls", "doc", "n").join(sized(roots), "cls", "left") \
+    roots = class_components(base, classes.drop("n", "row"), width, percent)
+    rooted = classes.select("cls", "doc", "row", "n").join(sized(roots), "cls", "left") \
         .where("n > 1 or root is not null").withColumn("root", F.coalesce("root", "cls"))
-    rooted = materialise(rooted.select("cls", "doc", "root"), "rooted")
-    first = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
-    known = materialise(rooted.join(first, "root").select("cls", "component_id"), "components")
-    return sigs.select("doc_id", "n_shingles", "cls").join(sized(known), "cls", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        (F.coalesce("component_id", "doc_id") == F.col("doc_id")).alias("kept"))
+    rooted = materialise(rooted.select("cls", "doc", "row", "root"), "rooted")
+    # without any id in a component, the first row of its classes is the one that is kept
+    first = rooted.groupBy("root").agg(F.min("doc").alias("component_id"), F.min("row").alias("first_row"))
+    known = materialise(rooted.join(first, "root").select("cls", "component_id", "first_row"), "components")
+    alone = F.col("first_row").isNull()
+    nameless = alone | (F.col("component_id").isNull() & (F.col("row") == F.col("first_row")))
+    return sigs.select("doc_id", "n_shingles", "cls", "row").join(sized(known), "cls", "left").select(
+        "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(F.col("doc_id").isNull(), nameless).otherwise(alone | (F.col("component_id") == F.col("doc_id"))).alias("kept"))
