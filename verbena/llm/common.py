@@ -55,6 +55,15 @@ def sized(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+#: Name of the key that ``numbered`` gives each row.
+ROW = "__vl_row"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written with a key of its own for each row: decisions about one row cannot reach another."""
+    return materialise(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
 def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
     """``docs`` with (``left_semi``) or without (``left_anti``) the ids of the materialised one-column ``ids``.
 
