@@ -1,6 +1,6 @@
 from pyspark.sql import Window, functions as F
 
-from conftest import SF001, SF01
+from paths import SF001, SF01
 from verbena.operators.index import batch_rows, row_index
 from verbena.operators.split import stratified_split
 

@@ -3,7 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 from verbena.operators import metrics as M
 from verbena.operators.vocab import encode_fixed, fit_vocab
 from verbena.functions.scoring import argmax, softmax

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from paths import SF001
 from tools.check_oracle import TABLES, digest
 
 SLOW = {"train_sentiment", "train_multitask", "label_stream", "score_stream"}

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 
 
 def test_sinks_round_trip(spark, tmp_path):

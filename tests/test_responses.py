@@ -66,7 +66,7 @@ def test_align_missing_extra_null(spark):
 
 def test_every_row_gets_one_label(spark):
     from verbena.queries import q_align_responses
-    from conftest import SF001
+    from paths import SF001
     out = q_align_responses(spark, SF001)
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     assert out.count() == docs.count() == out.select("id").distinct().count()

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF001, SF01
+from paths import SF001, SF01
 
 
 def test_label_stream_equals_batch(spark):
