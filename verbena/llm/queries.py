@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .bm25 import top_k
 from .common import table_of
 from .decontaminate import contaminated
+from .exact_dedup import exact_duplicates
 from .langid import fit_language_filter, predict_language
 from .near_dedup import near_duplicates
 from .packing import pack_documents
@@ -15,6 +16,7 @@ from .quality import importance_resample
 from .suffix_dedup import remove_repeats
 from .suffix_tree_lm import score_texts
 from .surrogates import replace_entities
+from .sql import SQL  # noqa: F401  (registered beside QUERIES)
 from .token_counts import token_counts
 
 TOKENIZER = "word_bpe_49k.json"
@@ -78,6 +80,10 @@ def q_packing(spark, sf):
     return pack_documents(table_of(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def q_exact_dedup(spark, sf):
+    return exact_duplicates(table_of(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_language_filters": q_langid,
     "op2_importance_resampling": q_quality,
@@ -89,5 +95,5 @@ QUERIES = {
     "op8_suffix_tree_scores": q_suffix_tree,
     "op9_surrogates": q_surrogates,
     "op10_best_fit_packing": q_packing,
+    "op12_exact_dedup": q_exact_dedup,
 }
-SQL: dict[str, str] = {}
