@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .bm25 import top_k
+from .clustering import cluster_vectors
 from .common import table_of
 from .decontaminate import contaminated
 from .exact_dedup import exact_duplicates
@@ -80,6 +81,11 @@ def q_packing(spark, sf):
     return pack_documents(table_of(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def q_clustering(spark, sf):
+    start = F.sha2(F.concat(F.lit("3:"), F.col("vec_id").cast("string")).cast("binary"), 256)
+    return cluster_vectors(table_of(spark, sf, "embeddings"), start_order=start)
+
+
 def q_exact_dedup(spark, sf):
     return exact_duplicates(table_of(spark, sf, "documents"))
 
@@ -95,5 +101,6 @@ QUERIES = {
     "op8_suffix_tree_scores": q_suffix_tree,
     "op9_surrogates": q_surrogates,
     "op10_best_fit_packing": q_packing,
+    "op11_centroid_clustering": q_clustering,
     "op12_exact_dedup": q_exact_dedup,
 }

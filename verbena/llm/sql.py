@@ -11,6 +11,41 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM d
 """
 
+_FINITE = "list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))"
+
+
+def clustering(k: int = 8, rounds: int = 10, dims: int = 64, scale: int = 1024) -> str:
+    """The rounds written out one after the other; a vector's components are rows only in the sums."""
+    far = "list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+    floor = "((s - ((s % n) + n) % n) // n)::BIGINT"
+    parts = [f"""
+k AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = {dims} AND {_FINITE}),
+c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1)::INT AS cluster, v
+  FROM k QUALIFY cluster < {k})"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT k.r, arg_min(c.cluster, {{'d': {far}, 'c': c.cluster}}) AS cluster, min({far}) AS distance
+  FROM k CROSS JOIN c{i} c GROUP BY k.r)""")
+        if i < rounds:
+            parts.append(f"""
+m{i + 1} AS (
+  SELECT cluster, list({floor} ORDER BY j) AS v FROM (
+    SELECT a.cluster, j, sum(k.v[j]) AS s, count(*) AS n
+    FROM a{i} a JOIN k USING (r) CROSS JOIN generate_series(1, {dims}) g(j) GROUP BY a.cluster, j) GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{i + 1} m USING (cluster))""")
+    return f"""WITH {",".join(parts)}
+SELECT k.vec_id, a.cluster, a.distance, (sum(a.distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+       (sum(a.distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN k USING (r) JOIN c{rounds} c ON c.cluster = a.cluster
+"""
+
+
 SQL = {
+    "op11_centroid_clustering": clustering(),
     "op12_exact_dedup": EXACT_DEDUP,
 }
