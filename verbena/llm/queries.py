@@ -10,6 +10,7 @@ from .clustering import cluster_vectors
 from .common import table_of
 from .decontaminate import contaminated
 from .exact_dedup import exact_duplicates
+from .hard_negatives import hard_negatives
 from .langid import fit_language_filter, predict_language
 from .near_dedup import near_duplicates
 from .packing import pack_documents
@@ -90,6 +91,11 @@ def q_exact_dedup(spark, sf):
     return exact_duplicates(table_of(spark, sf, "documents"))
 
 
+def q_hard_negatives(spark, sf):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table_of(spark, sf, "embeddings").withColumn("label", label), F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_language_filters": q_langid,
     "op2_importance_resampling": q_quality,
@@ -103,4 +109,5 @@ QUERIES = {
     "op10_best_fit_packing": q_packing,
     "op11_centroid_clustering": q_clustering,
     "op12_exact_dedup": q_exact_dedup,
+    "op13_hard_negatives": q_hard_negatives,
 }

@@ -45,7 +45,27 @@ FROM a{rounds} a JOIN k USING (r) JOIN c{rounds} c ON c.cluster = a.cluster
 """
 
 
+HARD_NEGATIVES = f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_resize(list_transform(embedding, lambda x: floor(256 * x::DOUBLE)),
+                     (SELECT max(len(embedding)) FROM embeddings), 0.0) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND coalesce({_FINITE}, true)),
+s AS MATERIALIZED (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id AS id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+       (row_number() OVER (PARTITION BY p.ar, p.br ORDER BY s.score DESC, s.id))::INT AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.ar = s.ar AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
 SQL = {
     "op11_centroid_clustering": clustering(),
     "op12_exact_dedup": EXACT_DEDUP,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }
