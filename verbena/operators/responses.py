@@ -86,6 +86,11 @@ def parse_responses(responses: DataFrame, key: str = "batch_id",
         key, "part_no", "p.corrected_text", "p.label", "p.task")
 
 
+def label_of(part: Column, comment: Column) -> Column:
+    """R6 + R7: the parsed part of a row, or the row's own comment with 1, 9 where there is none."""
+    return F.when(part.isNull(), _default(comment)).otherwise(parse_part(part))
+
+
 def align_responses(rows: DataFrame, responses: DataFrame, key: str = "batch_id",
                     pos: str = "pos", comment: str = "comment",
                     response: str = "response", answered_only: bool = False) -> DataFrame:
@@ -106,9 +111,7 @@ def align_responses(rows: DataFrame, responses: DataFrame, key: str = "batch_id"
     parsed = answers.select(F.col(key), split_response(F.col(response)).alias("__vb_parts"))
     joined = parsed.join(rows, key, "inner") if answered_only else rows.join(parsed, key, "left")
     part = F.get(F.col("__vb_parts"), F.col(pos).cast("int"))
-    own = F.col(comment)
-    label = F.when(part.isNull(), _default(own)).otherwise(parse_part(part))
-    return apply_labels(joined.withColumn("__vb_lab", label).drop("__vb_parts"), "__vb_lab",
+    return apply_labels(joined.withColumn("__vb_lab", label_of(part, F.col(comment))).drop("__vb_parts"), "__vb_lab",
                         comment)
 
 

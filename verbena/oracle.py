@@ -470,3 +470,10 @@ SELECT doc_id, sentence_no, {q(PROMPT_TEMPLATE)} || '"' || sentence || '"' AS pr
 FROM s2 WHERE sentence NOT IN (SELECT sentence FROM done)"""
 
 SQL["score_stream"] = SQL["predict_codes"]
+
+SQL["label_stream_timeout"] = f"""
+WITH {RESPONSES.replace("batch_id % 11 = 3", "batch_id % 11 IN (3, 7)")},
+j AS (SELECT b.doc_id, b.id, b.comment, sr.parts[b.pos + 1] AS p, sr.parts IS NOT NULL AS answered
+      FROM b LEFT JOIN sr USING (batch_id)),
+{parsed('j', 'p', 'p', ['doc_id', 'id', 'answered'], 'comment')}
+SELECT doc_id, id, corrected_text AS comment, label, task, answered FROM t3"""

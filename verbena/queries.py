@@ -86,10 +86,10 @@ def q_abbreviation_last_wins(spark, sf):
     return last_wins(_derived_abbreviations(spark, sf))
 
 
-def _batched(spark, sf):
+def _batched(spark, sf, columns=("id", "comment")):
     c = prepare_comments(D.comments(spark, sf).select("doc_id", "id", "comment",
                                                       F.lit("1").alias("label")), keep=("doc_id",))
-    return batch_rows(c, ["doc_id"], 5, ("id", "comment"))
+    return batch_rows(c, ["doc_id"], 5, columns)
 
 
 def q_prompt_batches(spark, sf):
@@ -351,6 +351,12 @@ def q_label_stream(spark, sf):
     return label_stream_from_tables(spark, sf).select("doc_id", "id", "comment", "label", "task")
 
 
+def q_label_stream_timeout(spark, sf):
+    """ST1 + R7 as streams: unanswered and late batches get the defaults when their deadline passes."""
+    from .streaming.timeouts import label_with_timeout_from_tables
+    return label_with_timeout_from_tables(spark, sf).select("doc_id", "id", "comment", "label", "task", "answered")
+
+
 def q_shuffle_order(spark, sf):
     """O1: the repeatable training order (md5 of seed:id, then id) as a 0-based index."""
     from .operators.split import order_key
@@ -415,4 +421,5 @@ QUERIES = {
     "train_multitask": q_train_multitask,
     "label_stream": q_label_stream,
     "score_stream": q_score_stream,
+    "label_stream_timeout": q_label_stream_timeout,
 }
