@@ -346,6 +346,12 @@ def q_train_multitask(spark, sf):
     return train_multitask_experiment(spark, sf)
 
 
+def q_train_joint(spark, sf):
+    """M2-M4: two heads on one shared layer, early stopping inside the fit."""
+    from .plans.joint import train_joint_experiment
+    return train_joint_experiment(spark, sf)
+
+
 def q_label_stream(spark, sf):
     from .streaming.labelling import label_stream_from_tables
     return label_stream_from_tables(spark, sf).select("doc_id", "id", "comment", "label", "task")
@@ -419,6 +425,7 @@ QUERIES = {
     "score_with_batch_udf": q_score_with_batch_udf,
     "train_sentiment": q_train_sentiment,
     "train_multitask": q_train_multitask,
+    "train_joint": q_train_joint,
     "label_stream": q_label_stream,
     "score_stream": q_score_stream,
     "label_stream_timeout": q_label_stream_timeout,
