@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from .functions.labels import SENTIMENT_NAMES, TASK_NAMES
 from .functions.text import SYMBOL, WS
-from .queries import (ABBREVIATION_LINES, LOSS_WEIGHTS, MAX_LEN, PHRASE_DELTA, PHRASE_MIN_COUNT,
+from .queries import (ABBREVIATION_LINES, LOSS_WEIGHTS, MAX_LEN, PHRASE_DELTA, PHRASE_MAX_LEN, PHRASE_MIN_COUNT,
                       PHRASE_THRESHOLD, PROMPT_TEMPLATE, START_ROW)
 
 
@@ -477,3 +477,46 @@ j AS (SELECT b.doc_id, b.id, b.comment, sr.parts[b.pos + 1] AS p, sr.parts IS NO
       FROM b LEFT JOIN sr USING (batch_id)),
 {parsed('j', 'p', 'p', ['doc_id', 'id', 'answered'], 'comment')}
 SELECT doc_id, id, corrected_text AS comment, label, task, answered FROM t3"""
+
+
+
+def _grams(k):
+    parts = ", ".join(f"unnest(toks[{j + 1}:len(toks) - {k - 1 - j}]) AS w{j}" for j in range(k))
+    return (f"SELECT doc_id, pos, {k} AS n_tokens, {" || ' ' || ".join(f'w{j}' for j in range(k))} AS phrase FROM ("
+            f"SELECT doc_id, unnest(range(0, len(toks) - {k - 1})) AS pos, {parts} FROM toks WHERE len(toks) >= {k})")
+
+
+LONG_PHRASES = f"""docs AS (SELECT doc_id, {pre_se(with_emoji(), _dict())} AS processed_text FROM documents),
+toks AS MATERIALIZED (SELECT doc_id, {tokens('processed_text')} AS toks FROM docs),
+g AS MATERIALIZED ({" UNION ALL ".join(_grams(k) for k in range(1, PHRASE_MAX_LEN + 1))}),
+cnt AS MATERIALIZED (
+  SELECT phrase, n_tokens, count(*) AS n FROM g GROUP BY ALL HAVING count(*) >= {PHRASE_MIN_COUNT}),
+spl AS (SELECT phrase, n_tokens, n, string_split(phrase, ' ') AS w, unnest(range(1, n_tokens)) AS k FROM cnt WHERE n_tokens > 1),
+ph AS MATERIALIZED (
+  SELECT s.phrase, s.n_tokens, s.n, min((s.n - {PHRASE_DELTA}) / (CAST(l.n AS DOUBLE) * r.n)) AS score
+  FROM spl s JOIN cnt l ON l.phrase = array_to_string(s.w[1:s.k], ' ')
+             JOIN cnt r ON r.phrase = array_to_string(s.w[s.k + 1:], ' ')
+  GROUP BY ALL HAVING min((s.n - {PHRASE_DELTA}) / (CAST(l.n AS DOUBLE) * r.n)) > {PHRASE_THRESHOLD})"""
+
+SQL["long_phrases"] = f"""
+WITH {LONG_PHRASES}
+SELECT phrase, CAST(n_tokens AS INTEGER) AS n_tokens, n, round(score * 1e6, 3) AS score FROM ph"""
+
+# the scan as a fold: a match that begins behind the one taken before is taken
+SQL["segment_sentiment"] = f"""
+WITH {LONG_PHRASES},
+hits AS (SELECT doc_id, pos, max(g.n_tokens) AS n FROM g JOIN ph USING (phrase) GROUP BY ALL),
+m AS (
+  SELECT doc_id, list({{'at': pos, 'n': n, 'free': 0::BIGINT, 'taken': []::STRUCT(s BIGINT, "at" BIGINT, n BIGINT)[]}} ORDER BY pos) AS ms
+  FROM hits GROUP BY doc_id),
+f AS (
+  SELECT doc_id, list_reduce(list_concat([{{'at': 0::BIGINT, 'n': 0::BIGINT, 'free': 0::BIGINT,
+                                            'taken': []::STRUCT(s BIGINT, "at" BIGINT, n BIGINT)[]}}], ms),
+    lambda acc, h: CASE WHEN h."at" >= acc.free THEN {{'at': h."at", 'n': h.n, 'free': h."at" + h.n,
+        'taken': list_append(acc.taken, {{'s': acc.free, 'at': h."at", 'n': h.n}})}} ELSE acc END) AS r
+  FROM m),
+w AS (SELECT t.doc_id, toks, coalesce(r.taken, []) AS taken, coalesce(r.free, 0) AS free FROM toks t LEFT JOIN f USING (doc_id))
+SELECT doc_id, array_to_string(list_filter(list_concat(
+    flatten(list_transform(taken, lambda c: [array_to_string(toks[c.s + 1:c."at"], ' '), array_to_string(toks[c."at" + 1:c."at" + c.n], '_')])),
+    [array_to_string(toks[free + 1:], ' ')]), lambda p: p <> ''), ' ') AS segmented
+FROM w"""

@@ -34,6 +34,7 @@ PROMPT_TEMPLATE = "Label each comment: "
 START_ROW = 37
 MAX_LEN = 128
 PHRASE_MIN_COUNT, PHRASE_DELTA, PHRASE_THRESHOLD = 5, 5.0, 0.0
+PHRASE_MAX_LEN = 4
 LOSS_WEIGHTS = (0.45, 0.55)
 
 
@@ -262,6 +263,26 @@ def q_apply_phrases(spark, sf):
     return apply_phrases(docs, "processed_text", p, "phrased", key="doc_id").select("doc_id", "phrased")
 
 
+def _sentiment_texts(spark, sf):
+    d = D.with_emoji(D.table(spark, sf, "documents").select("doc_id", "text"))
+    return d.select("doc_id", preprocess_sentiment(F.col("text"), _inline_dict()).alias("processed_text"))
+
+
+def q_long_phrases(spark, sf):
+    """Phrases of up to four tokens fitted on the sentiment texts."""
+    from .operators.segment import fit_phrases
+    p = fit_phrases(_sentiment_texts(spark, sf), "processed_text", PHRASE_MAX_LEN, PHRASE_MIN_COUNT, PHRASE_DELTA, PHRASE_THRESHOLD)
+    return p.select("phrase", "n_tokens", "n", F.round(F.col("score") * 1e6, 3).alias("score"))
+
+
+def q_segment_sentiment(spark, sf):
+    """T10 with T8: sentiment texts, their words joined by longest match."""
+    from .operators.segment import fit_phrases, segment
+    docs = _sentiment_texts(spark, sf)
+    p = fit_phrases(docs, "processed_text", PHRASE_MAX_LEN, PHRASE_MIN_COUNT, PHRASE_DELTA, PHRASE_THRESHOLD)
+    return segment(docs, "processed_text", p, key="doc_id").select("doc_id", "segmented")
+
+
 def _predictions(spark, sf):
     return D.with_predictions(D.labelled_comments(spark, sf))
 
@@ -414,6 +435,8 @@ QUERIES = {
     "encode_fixed": q_encode_fixed,
     "phrase_scores": q_phrase_scores,
     "apply_phrases": q_apply_phrases,
+    "long_phrases": q_long_phrases,
+    "segment_sentiment": q_segment_sentiment,
     "confusion_matrix": q_confusion_matrix,
     "classification_report": q_classification_report,
     "weighted_metrics": q_weighted_metrics,
