@@ -249,6 +249,25 @@ def q_encode_fixed(spark, sf):
         "doc_id", "input_ids", "attention_mask")
 
 
+#: Public tokenizer file of the sub-word queries (a parameter of the operators).
+SUBWORDS = "byte_bpe_50k.json"
+
+
+def q_subword_vocab(spark, sf):
+    """E2 on sub-words: the pieces that the texts use, counted and numbered."""
+    import public_tokenizers
+    from .operators.subwords import subword_counts, subword_vocab
+    return subword_vocab(subword_counts(_processed_docs(spark, sf), "processed_text", public_tokenizers.path(SUBWORDS)))
+
+
+def q_encode_subwords(spark, sf):
+    """E1 on sub-words: no word is unknown."""
+    import public_tokenizers
+    from .operators.subwords import encode_subwords
+    return encode_subwords(_processed_docs(spark, sf), "processed_text", public_tokenizers.path(SUBWORDS), MAX_LEN).select(
+        "doc_id", "input_ids", "attention_mask")
+
+
 def q_phrase_scores(spark, sf):
     from .operators.phrases import phrase_scores
     p = phrase_scores(_processed_docs(spark, sf), "processed_text", PHRASE_MIN_COUNT,
@@ -433,6 +452,8 @@ QUERIES = {
     "stratified_split_sentiment": q_stratified_split_sentiment,
     "fit_vocab": q_fit_vocab,
     "encode_fixed": q_encode_fixed,
+    "subword_vocab": q_subword_vocab,
+    "encode_subwords": q_encode_subwords,
     "phrase_scores": q_phrase_scores,
     "apply_phrases": q_apply_phrases,
     "long_phrases": q_long_phrases,
