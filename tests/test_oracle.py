@@ -7,7 +7,7 @@ import __spark_entry__ as E
 from paths import SF001
 from tools.check_oracle import TABLES, digest
 
-SLOW = {"train_sentiment", "train_multitask", "label_stream", "score_stream", "label_stream_timeout"}
+SLOW = {"train_sentiment", "train_multitask", "label_stream", "score_stream", "label_stream_timeout", "score_text_stream"}
 
 
 @pytest.fixture(scope="module")

@@ -520,3 +520,97 @@ SELECT doc_id, array_to_string(list_filter(list_concat(
     flatten(list_transform(taken, lambda c: [array_to_string(toks[c.s + 1:c."at"], ' '), array_to_string(toks[c."at" + 1:c."at" + c.n], '_')])),
     [array_to_string(toks[free + 1:], ' ')]), lambda p: p <> ''), ' ') AS segmented
 FROM w"""
+
+
+COUNTED = LAB + f""",
+cl AS (SELECT id, label, {pre_mt('comment')} AS processed_text,
+              CAST('0x' || substr(md5('42:' || id), 1, 13) AS BIGINT) / pow(16, 13) AS u FROM lab),
+cr AS (SELECT *, CASE WHEN u < 0.15 THEN 'test' WHEN u < 0.30 THEN 'val' ELSE 'train' END AS split FROM cl),
+ct AS MATERIALIZED (SELECT label, split, unnest({tokens('processed_text')}) AS token FROM cr)"""
+
+
+def counted(name, train, targets):
+    """Multinomial naive Bayes, smoothing 1: ``name`` has (key, pred, confidence) for the rows (key, token, n) of ``targets``
+    and the keys of ``targets`` + '_keys'."""
+    return f"""{name}_tf AS MATERIALIZED (SELECT label, token, count(*) AS n FROM ct WHERE {train} GROUP BY ALL),
+{name}_v AS MATERIALIZED (SELECT DISTINCT token FROM {name}_tf),
+{name}_c AS MATERIALIZED (
+  SELECT d.label, ln((d.n + 1) / (SELECT count(*) + (SELECT count(DISTINCT label) FROM cr WHERE {train}) FROM cr WHERE {train})) AS prior,
+         ln(coalesce(t.n, 0) + (SELECT count(*) FROM {name}_v)) AS total
+  FROM (SELECT label, count(*) AS n FROM cr WHERE {train} GROUP BY label) d
+  LEFT JOIN (SELECT label, sum(n) AS n FROM {name}_tf GROUP BY label) t ON t.label = d.label),
+{name}_s AS (
+  SELECT x.key, c.label, sum(x.n * (ln(coalesce(tf.n, 0) + 1) - c.total)) AS s
+  FROM {targets} x SEMI JOIN {name}_v v ON v.token = x.token CROSS JOIN {name}_c c
+  LEFT JOIN {name}_tf tf ON tf.token = x.token AND tf.label = c.label GROUP BY ALL),
+{name}_p AS (
+  SELECT k.key, c.label, c.prior + coalesce(s.s, 0) AS s
+  FROM {targets}_keys k CROSS JOIN {name}_c c LEFT JOIN {name}_s s ON s.key = k.key AND s.label = c.label),
+{name} AS (
+  SELECT key, arg_max(label, s) AS pred, 1 / sum(exp(s - m)) AS confidence
+  FROM (SELECT *, max(s) OVER (PARTITION BY key) AS m FROM {name}_p) GROUP BY key)"""
+
+
+COUNT_TEST = COUNTED + f""",
+x_keys AS (SELECT id AS key FROM cr WHERE split = 'test'),
+x AS (SELECT key, token, count(*) AS n FROM (
+        SELECT id AS key, unnest({tokens('processed_text')}) AS token FROM cr WHERE split = 'test') GROUP BY ALL),
+{counted('p', "split = 'train'", 'x')}"""
+
+SQL["count_classifier"] = f"""
+WITH {COUNT_TEST}
+SELECT p.key AS id, cr.label, CAST(p.pred AS INTEGER) AS pred, round(p.confidence, 6) AS confidence FROM p JOIN cr ON cr.id = p.key"""
+
+SQL["count_classifier_report"] = f"""
+WITH {COUNT_TEST},
+j AS (SELECT cr.label AS actual, p.pred AS predicted FROM p JOIN cr ON cr.id = p.key),
+k AS (SELECT actual AS cls FROM j UNION SELECT predicted FROM j),
+m AS (SELECT cls, (SELECT count(*) FROM j WHERE actual = cls) AS support, (SELECT count(*) FROM j WHERE predicted = cls) AS guessed,
+             (SELECT count(*) FROM j WHERE actual = cls AND predicted = cls) AS tp FROM k),
+n AS (SELECT *, CASE WHEN guessed = 0 THEN 0.0 ELSE tp / guessed END AS pr, CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS re FROM m)
+SELECT 'sentiment' AS head, round(sum(tp) / sum(support), 6) AS accuracy, round(sum(pr * support) / sum(support), 6) AS precision,
+       round(sum(re * support) / sum(support), 6) AS recall,
+       round(sum(CASE WHEN pr + re = 0 THEN 0.0 ELSE 2 * pr * re / (pr + re) END * support) / sum(support), 6) AS f1,
+       CAST(sum(support) AS BIGINT) AS support FROM n"""
+
+SQL["score_text_stream"] = f"""
+WITH {COUNTED},
+x_keys AS (SELECT doc_id AS key FROM documents),
+x AS MATERIALIZED (SELECT key, token, count(*) AS n FROM (
+        SELECT doc_id AS key, unnest({tokens(pre_mt('text'))}) AS token FROM documents) GROUP BY ALL),
+{counted('p1', "split = 'train'", 'x')},
+{counted('p2', "split <> 'test'", 'x')}
+SELECT key AS doc_id, CAST(pred AS INTEGER) AS pred, round(confidence, 6) AS confidence, 1 AS model_version FROM p1 WHERE key % 2 = 0
+UNION ALL
+SELECT key, CAST(pred AS INTEGER), round(confidence, 6), 2 FROM p2 WHERE key % 2 = 1"""
+
+SQL["append_committed"] = f"WITH {LAB} SELECT id, label, task FROM lab"
+
+SQL["resume_bucketed"] = SQL["resume_by_id"]
+
+SQL["dictionary_rejects"] = """
+WITH d AS (SELECT doc_id % 3 AS part, row_number() OVER (PARTITION BY doc_id % 3 ORDER BY doc_id) AS line_no, doc_id % 7 AS k,
+                  CAST(doc_id AS VARCHAR) AS key, source FROM documents)
+SELECT CAST(part AS INTEGER) AS part, line_no, CASE WHEN k > 2 THEN key END AS abbr, CASE WHEN k > 2 THEN source END AS "full",
+       CASE k WHEN 0 THEN key WHEN 1 THEN key || ':' || source || ':' || source WHEN 2 THEN '' END AS line,
+       CASE WHEN k = 1 THEN 'several colons' WHEN k < 3 THEN 'no colon' END AS reason
+FROM d"""
+
+SQL["comment_rejects"] = """
+WITH d AS (SELECT doc_id, doc_id % 10 AS k, source FROM documents),
+r AS (SELECT *, CASE WHEN k IN (2, 4, 5) THEN 'malformed' WHEN k = 1 THEN 'label' WHEN k = 3 THEN 'task' END AS reason FROM d)
+SELECT doc_id AS id, CASE WHEN reason IS NULL THEN source || ', said "so"' END AS comment,
+       CASE WHEN reason IS NULL THEN CAST(doc_id % 3 AS INTEGER) END AS label,
+       CASE WHEN reason IS NULL THEN CAST(doc_id % 9 + 1 AS INTEGER) END AS task, reason
+FROM r"""
+
+SQL["json_dictionary"] = f"""
+WITH t AS (SELECT doc_id, {clean('text')} AS t FROM documents),
+d AS (SELECT lower(split_part(t, ' ', 1)) AS abbr, split_part(t, ' ', 2) AS f, doc_id FROM t)
+SELECT abbr, arg_max(f, doc_id) AS "full" FROM d WHERE abbr <> '' AND f <> '' GROUP BY abbr"""
+
+SQL["report_files"] = f"""
+WITH r AS ({SQL["classification_report"]}), w AS ({SQL["weighted_metrics"]})
+SELECT head, row, f1, support FROM r UNION ALL SELECT head, 'summary', f1, support FROM w"""
+
+SQL["progress_append"] = f"WITH {LAB} SELECT id, CAST(label AS VARCHAR) AS label, CAST(task AS VARCHAR) AS task FROM lab"

@@ -427,6 +427,164 @@ def q_score_stream(spark, sf):
                       "task", _r6(F.col("task_confidence")).alias("task_confidence"))
 
 
+def _counting_rows(spark, sf):
+    """Labelled rows with their processed text and a part by hash (train / val / test)."""
+    from .operators.split import hash_split
+    lab = D.labelled_comments(spark, sf).select("id", "label", preprocess_multitask(F.col("comment")).alias("processed_text"))
+    return hash_split(lab, "id", 0.15, 0.15, 42)
+
+
+def _counting_predictions(spark, sf):
+    """M1 + M5: fitted on the training part, saved, loaded, applied to the test part."""
+    from .plans.counting import classify, fit_counts
+    from .plans.training import load_model, save_model
+    from .session import shared_dir
+    rows = _counting_rows(spark, sf)
+    path = shared_dir(spark, "count-model")
+    save_model(fit_counts(rows.where("split = 'train'")), path)
+    return classify(load_model(path), rows.where("split = 'test'"))
+
+
+def q_count_classifier(spark, sf):
+    return _counting_predictions(spark, sf).select("id", "label", "pred", _r6(F.col("confidence")).alias("confidence"))
+
+
+def q_count_classifier_report(spark, sf):
+    """M12 + M13: the whole experiment down to the summary of its test part."""
+    cm = M.confusion_long(_counting_predictions(spark, sf), [M.Head("sentiment", "label", "pred", [0, 1, 2])])
+    w = M.weighted_metrics(cm)
+    return w.select("head", *[_r6(F.col(c)).alias(c) for c in ("accuracy", "precision", "recall", "f1")], "support")
+
+
+def q_score_text_stream(spark, sf):
+    """ST3 + M5: texts arrive in two sittings; between them a second model version is published."""
+    from .plans.counting import classify, fit_counts
+    from .session import shared_dir
+    from .streaming.scoring import publish, score_texts
+    base = shared_dir(spark, "text-stream")
+    rows = _counting_rows(spark, sf)
+    for version, part in ((1, "split = 'train'"), (2, "split <> 'test'")):
+        publish(fit_counts(rows.where(part)), f"{base}/models", version)
+        texts = D.table(spark, sf, "documents").where(F.col("doc_id") % 2 == version - 1).select("doc_id", "text")
+        texts.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(texts.schema).parquet(f"{base}/in")
+        stream = stream.select("doc_id", preprocess_multitask(F.col("text")).alias("processed_text"))
+        score_texts(stream, f"{base}/models", classify, f"{base}/out", f"{base}/ckpt", {"availableNow": True}).awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.select("doc_id", "pred", _r6(F.col("confidence")).alias("confidence"), F.col("model_version").cast("int"))
+
+
+def q_append_committed(spark, sf):
+    """U2 + K1: three batches appended; one fails after its files and is retried, one is sent twice."""
+    from .session import shared_dir
+    from .sources.commits import append_once, read_committed, stage
+    path = shared_dir(spark, "committed")
+    rows = D.labelled_comments(spark, sf).select("id", "label", "task")
+    for b in range(3):
+        part = rows.where(F.crc32(F.col("id").cast("binary")) % 3 == b)
+        if b == 1:
+            stage(part, path, f"batch-{b}")  # the attempt that never commits
+        append_once(part, path, f"batch-{b}")
+        if b == 2:
+            append_once(part, path, f"batch-{b}")
+    return read_committed(spark, path, rows.schema)
+
+
+def q_resume_bucketed(spark, sf):
+    """J1 against a bucketed history written by two earlier runs."""
+    import os
+    from .operators.history import add_to_history, open_history, resume_from_history
+    from .session import shared_dir
+    name = f"history_{os.urandom(4).hex()}"
+    open_history(spark, name, shared_dir(spark, "history"), 16)
+    for run in (0, 1):
+        add_to_history(_done(spark, sf).where(F.col("id") % 2 == run), name, "id")
+    return resume_from_history(D.comments(spark, sf).select("doc_id", "id"), name, "id")
+
+
+def q_dictionary_rejects(spark, sf):
+    """S7 over a folder of files: good lines and rejected ones, each with its file and line number."""
+    from .session import shared_dir
+    from .sources.quarantine import REJECTED, read_abbreviation_lines, write_quarantine
+    base = shared_dir(spark, "dictionary")
+    k, key, value = F.col("doc_id") % 7, F.col("doc_id").cast("string"), F.col("source")
+    line = F.when(k == 0, key).when(k == 1, F.concat_ws(":", key, value, value)).when(k == 2, F.lit("")) \
+        .otherwise(F.concat(F.lit("  "), key, F.lit(":"), value, F.lit(" ")))
+    part = (F.col("doc_id") % 3).cast("int")
+    D.table(spark, sf, "documents").select("doc_id", part.alias("part"), line.alias("value")).repartitionByRange(3, "part") \
+        .sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").text(f"{base}/lines")
+    good, rejected = read_abbreviation_lines(spark, f"{base}/lines")
+    write_quarantine(rejected, f"{base}/rejected")
+    rejected = spark.read.schema(REJECTED).parquet(f"{base}/rejected")
+    of = F.regexp_extract("source_file", r"part=(\d+)", 1).cast("int").alias("part")
+    none = F.lit(None).cast("string")
+    return good.select(of, "line_no", "abbr", "full", none.alias("line"), none.alias("reason")).unionByName(
+        rejected.select(of, "line_no", none.alias("abbr"), none.alias("full"), "line", "reason"))
+
+
+def q_comment_rejects(spark, sf):
+    """S1 + P1 over CSV files: rows that fit, and the records that do not, with the reason."""
+    from .session import shared_dir
+    from .sources.quarantine import read_comments_checked
+    base = shared_dir(spark, "csv")
+    k = F.col("doc_id") % 10
+    label = F.when(k == 1, "7").when(k == 2, "x").otherwise((F.col("doc_id") % 3).cast("string"))
+    task = F.when(k == 3, "0").otherwise((F.col("doc_id") % 9 + 1).cast("string"))
+    cells = F.concat_ws(",", F.col("doc_id").cast("string"), F.concat(F.lit('"'), F.col("source"), F.lit(', said ""so""\"')), label, task)
+    line = F.when(k == 4, F.concat(cells, F.lit(",more"))).when(k == 5, F.col("doc_id").cast("string")).otherwise(cells)
+    D.table(spark, sf, "documents").select(line.alias("value")).write.text(f"{base}/in")
+    good, rejected = read_comments_checked(spark, f"{base}/in", "id long, comment string, label int, task int", label="label",
+                                           task="task", header=False)
+    ident = F.coalesce(F.regexp_extract("line", r"^(\d+)", 1).try_cast("long"), F.get_json_object("line", "$.id").try_cast("long"))
+    return good.select("id", "comment", "label", "task", F.lit(None).cast("string").alias("reason")).unionByName(
+        rejected.select(ident.alias("id"), F.lit(None).cast("string").alias("comment"), F.lit(None).cast("int").alias("label"),
+                        F.lit(None).cast("int").alias("task"), "reason"))
+
+
+def q_json_dictionary(spark, sf):
+    """S6 round trip: one JSON object for each 500 lines, read back, the last file's expansion counting."""
+    from .session import shared_dir
+    from .sources.abbreviations import last_wins, read_abbreviations_json
+    base = shared_dir(spark, "json")
+    d = _derived_abbreviations(spark, sf).where((F.col("abbr") != "") & (F.col("full") != "")).withColumn(
+        "part", F.lpad((F.col("line_no") / 500).cast("long").cast("string"), 12, "0"))
+    one = d.groupBy("part", "abbr").agg(F.max_by("full", "line_no").alias("full"))
+    one.groupBy("part").agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("abbr", "full"))))).alias("value")) \
+        .write.partitionBy("part").text(base)
+    return last_wins(read_abbreviations_json(spark, base))
+
+
+def q_report_files(spark, sf):
+    """K2 + K3 round trip: the summary as JSON lines and the class report as CSV, both read back."""
+    from .session import shared_dir
+    from .sources.sinks import write_metrics, write_report
+    base = shared_dir(spark, "reports")
+    cm = M.confusion_long(_predictions(spark, sf), [M.SENTIMENT_HEAD, M.TASK_HEAD])
+    write_metrics(M.weighted_metrics(cm), f"{base}/summary")
+    write_report(M.classification_report(cm), f"{base}/report")
+    summary = spark.read.schema("head string, accuracy double, f1 double, support long").json(f"{base}/summary")
+    report = spark.read.option("header", True).schema("head string, row string, precision double, recall double, f1 double, support long").csv(f"{base}/report")
+    return report.select("head", "row", _r6(F.col("f1")).alias("f1"), "support").unionByName(
+        summary.select("head", F.lit("summary").alias("row"), _r6(F.col("f1")).alias("f1"), "support"))
+
+
+def q_progress_append(spark, sf):
+    """S11 + K1 + U2 + J1: two runs of a job that reads what it has done, does the rest and appends."""
+    from .operators.resume import append_results
+    from .session import shared_dir
+    from .sources.comments import read_progress
+    from .sources.sinks import write_labelled
+    path = f"{shared_dir(spark, 'progress')}/out"
+    rows = D.labelled_comments(spark, sf).select("id", F.lit("c").alias("comment"), F.col("label").cast("string"), F.col("task").cast("string"))
+    for run in range(2):
+        todo = resume_by_id(rows, read_progress(spark, path), "id")
+        if run == 0:
+            write_labelled(todo.where(F.col("id").cast("long") % 3 == 0), path)
+        else:
+            append_results(todo, path)
+    return read_progress(spark, path).select("id", "label", "task")
+
+
 QUERIES = {
     "labelled_counts": q_labelled_counts,
     "clean_comments": q_clean_comments,
@@ -472,5 +630,15 @@ QUERIES = {
     "train_joint": q_train_joint,
     "label_stream": q_label_stream,
     "score_stream": q_score_stream,
+    "score_text_stream": q_score_text_stream,
+    "count_classifier": q_count_classifier,
+    "count_classifier_report": q_count_classifier_report,
+    "append_committed": q_append_committed,
+    "resume_bucketed": q_resume_bucketed,
+    "dictionary_rejects": q_dictionary_rejects,
+    "comment_rejects": q_comment_rejects,
+    "json_dictionary": q_json_dictionary,
+    "report_files": q_report_files,
+    "progress_append": q_progress_append,
     "label_stream_timeout": q_label_stream_timeout,
 }
