@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from .functions.labels import SENTIMENT_NAMES, TASK_NAMES
 from .functions.text import SYMBOL, WS
-from .queries import (ABBREVIATION_LINES, LOSS_WEIGHTS, MAX_LEN, PHRASE_DELTA, PHRASE_MAX_LEN, PHRASE_MIN_COUNT,
+from .queries import (ABBREVIATION_LINES, EMOJI_ROWS, LOSS_WEIGHTS, MAX_LEN, PHRASE_DELTA, PHRASE_MAX_LEN, PHRASE_MIN_COUNT,
                       PHRASE_THRESHOLD, PROMPT_TEMPLATE, START_ROW)
 
 
@@ -614,3 +614,15 @@ WITH r AS ({SQL["classification_report"]}), w AS ({SQL["weighted_metrics"]})
 SELECT head, row, f1, support FROM r UNION ALL SELECT head, 'summary', f1, support FROM w"""
 
 SQL["progress_append"] = f"WITH {LAB} SELECT id, CAST(label AS VARCHAR) AS label, CAST(task AS VARCHAR) AS task FROM lab"
+
+
+def _sequences(x):
+    """Longest sequences first; the texts of the tables hold none of their own."""
+    for e, n in sorted(EMOJI_ROWS, key=lambda r: -len(r[0])):
+        x = f"replace({x}, {q(e)}, {q(f':{n}:')})"
+    return x
+
+
+SQL["demojize_sequences"] = f"""
+SELECT doc_id, {_sequences(f"""CASE doc_id % 5 WHEN 0 THEN text || {q(EMOJI_ROWS[0][0])} WHEN 1 THEN {q(EMOJI_ROWS[3][0])} || text
+  WHEN 2 THEN {q(EMOJI_ROWS[4][0] + EMOJI_ROWS[1][0])} || text ELSE text END""")} AS text FROM documents"""

@@ -72,6 +72,21 @@ def q_demojize_text(spark, sf):
     return d.select("doc_id", demojize(F.col("text")).alias("text"))
 
 
+# Sequences and names of the lexicon table of ``demojize_sequences``
+EMOJI_ROWS = [("\U0001F468\u200d\U0001F4BB", "man_technologist"), ("\U0001F468", "man"), ("\U0001F4BB", "laptop"),
+              ("\U0001F1FB\U0001F1F3", "Vietnam"), ("1\ufe0f\u20e3", "keycap_1")]
+
+
+def q_demojize_sequences(spark, sf):
+    """T3 with a lexicon table: ZWJ, flag and keycap sequences by their own names."""
+    from .operators.emoji_table import demojize_with_table
+    k = F.col("doc_id") % 5
+    injected = F.when(k == 0, F.concat(F.col("text"), F.lit(EMOJI_ROWS[0][0]))).when(k == 1, F.concat(F.lit(EMOJI_ROWS[3][0]), F.col("text"))) \
+        .when(k == 2, F.concat(F.lit(EMOJI_ROWS[4][0] + EMOJI_ROWS[1][0]), F.col("text"))).otherwise(F.col("text"))
+    d = D.table(spark, sf, "documents").select("doc_id", injected.alias("text"))
+    return demojize_with_table(d, "text", spark.createDataFrame(EMOJI_ROWS, "emoji string, name string"))
+
+
 def q_split_sentences(spark, sf):
     c = D.comments(spark, sf).select("doc_id", "comment")
     return explode_sentences(c).select("doc_id", F.col("sentence_no").cast("int"), "sentence")
@@ -591,6 +606,7 @@ QUERIES = {
     "preprocess_multitask": q_preprocess_multitask,
     "preprocess_sentiment": q_preprocess_sentiment,
     "demojize_text": q_demojize_text,
+    "demojize_sequences": q_demojize_sequences,
     "split_sentences": q_split_sentences,
     "abbreviation_last_wins": q_abbreviation_last_wins,
     "prompt_batches": q_prompt_batches,
