@@ -29,6 +29,35 @@ def test_counts_match_library(documents, rows):
         assert (got[k].n_bytes, got[k].n_tokens, got[k].over_limit) == (len(t.encode()), n, n > 2048)
 
 
+@pytest.mark.parametrize("frequent", [0, 50])
+def test_few_frequent_words(documents, rows, odd, frequent):
+    """Words beyond the broadcast part are joined (counts) or tokenized in the task (packing): the same results."""
+    got = {r.doc_id: r.n_tokens for r in token_counts(documents, PATH, frequent=frequent).collect()}
+    assert got == {k: len(ids(t)) for k, t in rows.items()}
+    got = Counter((r.doc_id, r.n_tokens) for r in token_counts(odd, PATH, frequent=frequent).collect())
+    assert got == Counter((i, len(ids(t))) for i, t in ODD)
+    check_packing(pack_documents(documents, PATH, frequent=frequent).collect(), rows.items(), 2048)
+
+
+def test_words_of_one_hash_stay_apart(spark, monkeypatch):
+    """Hashes that collide cost a lookup, never a result."""
+    from verbena.llm import pretokens
+    monkeypatch.setattr(pretokens, "range_hashes", lambda buf, a, b: (b - a).astype(np.uint64) % np.uint64(3))
+    docs = [(1, "internationalisation of words a bb ccc"), (2, "internationalization bb a zz 123456789 abcdefghi"), (3, "ccc ccc ddd")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_tokens) for r in token_counts(df, PATH).collect()) == [(i, len(ids(t))) for i, t in docs]
+    check_packing(pack_documents(df, PATH).collect(), docs, 2048)
+
+
+def test_hashes_of_long_words():
+    """Words of a kilobyte that a polynomial hash modulo 2^64 cannot tell apart."""
+    from verbena.llm.common import range_hashes
+    one = bytes(97 + bin(i).count("1") % 2 for i in range(1024))
+    buf = np.frombuffer(one + bytes(195 - x for x in one), dtype=np.uint8)
+    h = range_hashes(buf, np.array([0, 1024]), np.array([1024, 2048]))
+    assert h[0] != h[1]
+
+
 def test_counts_of_odd_rows(odd, none):
     got = Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in token_counts(odd, PATH).collect())
     assert got == Counter((i, len((t or "").encode()), len(ids(t))) for i, t in ODD)

@@ -126,27 +126,40 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["p"], _powers["q"]
 
 
+#: Byte ranges longer than this are hashed one by one: a polynomial modulo 2^64 has fixed collisions from 1024 bytes on.
+LONG_RANGE = 256
+
+
 def range_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte range [start, end), by value and length only."""
     p, q = powers(len(buf))
     s = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum((buf.astype(np.uint64) + _U(1)) * p[: len(buf)], out=s[1:])
     h = (s[ends] - s[starts]) * q[starts]
-    return mix64(h ^ ((ends - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93)))
+    h = mix64(h ^ ((ends - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93)))
+    long = np.flatnonzero(ends - starts > LONG_RANGE)
+    if len(long):
+        import xxhash
+        h[long] = [xxhash.xxh3_64_intdigest(buf[a:b].tobytes()) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+    return h
 
 
-def word_hashes(offsets: np.ndarray, data: memoryview, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` (A-Z lower-cased) of rows lo..hi, in order, and each row's word count."""
-    buf, row_start = joined(offsets, data, lo, hi, b" ")
-    buf = LOWER[buf]
+def word_spans(buf: np.ndarray, row_start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words ``[^\\x20\\x09-\\x0D]+`` of a joined byte array start and end, and each row's word count."""
     space = SPACE[buf]
     starts = np.flatnonzero(~space[1:] & space[:-1]) + 1
+    ends = np.flatnonzero(space[1:] & ~space[:-1]) + 1
     if len(buf) and not space[-1]:
-        ends = np.append(np.flatnonzero(space[1:] & ~space[:-1]) + 1, len(buf))
-    else:
-        ends = np.flatnonzero(space[1:] & ~space[:-1]) + 1
-    bounds = np.searchsorted(starts, np.append(row_start, len(buf) + 1))
-    return range_hashes(buf, starts, ends), np.diff(bounds)
+        ends = np.append(ends, len(buf))
+    return starts, ends, np.diff(np.searchsorted(starts, np.append(row_start, len(buf) + 1)))
+
+
+def word_hashes(offsets: np.ndarray, data: memoryview, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (A-Z lower-cased) of rows lo..hi, in order, and each row's word count."""
+    buf, row_start = joined(offsets, data, lo, hi, b" ")
+    buf = LOWER[buf]
+    starts, ends, counts = word_spans(buf, row_start)
+    return range_hashes(buf, starts, ends), counts
 
 
 def out_batch(schema: StructType, columns: list) -> pa.RecordBatch:

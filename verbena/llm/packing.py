@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .common import CHUNK_BYTES, chunk_rows, id_field, materialise, out_batch, pick, texts
-from .token_counts import Pieces
+from .common import chunk_rows, id_field, materialise, out_batch, pick, texts
+from .pretokens import CHUNK, FREQUENT, Known, chunk_words, cut_out, frequent_words, load_tokenizer, tokenized
 
 #: Pieces that one ranking task group holds at most (fewer on small inputs).
 RANK_ROWS = 100_000
@@ -85,26 +85,50 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> Plan:
     return Plan(*cols, sequences=opened)
 
 
-def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, separator: int) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` from ``(doc_id, text)``: ids, then ``separator``, cut at ``capacity``."""
+def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, separator: int, frequent: int = FREQUENT) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32`` from ``(doc_id, text)``: ids, then ``separator``, cut at ``capacity``.
+
+    Pre-tokens are tokenized once for all documents; tasks find the frequent
+    ones by hash and tokenize only those that are not among them.
+    """
     schema = StructType([id_field(docs), StructField("piece", IntegerType()), StructField("start", LongType()),
                          StructField("length", LongType()), StructField("ids_crc32", LongType())])
-    end = np.array([separator], dtype="<u4").tobytes()
+    words = frequent_words(tokenized(docs, tokenizer_path, with_ids=True), frequent)
+    shared = docs.sparkSession.sparkContext.broadcast((words.hashes, words.pieces, words.first, words.ids, words.complete))
     step = 4 * capacity
 
     def run(batches):
-        pieces = Pieces(tokenizer_path, lambda ids: np.array(ids, dtype="<u4").tobytes())
+        known, tokenizer = Known(*shared.value), None
         for batch in batches:
             offsets, data = texts(batch, 1)
             row, piece, size, crc = [], [], [], []
-            for lo, hi in chunk_rows(offsets, 2 * CHUNK_BYTES):
-                off = offsets[lo: hi + 1].tolist()
-                words = [bytes(data[a:b]).split() for a, b in zip(off[:-1], off[1:], strict=True)]
-                known = pieces.learn(set().union(*words))
-                for i, w in enumerate(words, lo):
-                    ids = b"".join(map(known.__getitem__, w)) + end
-                    for k, a in enumerate(range(0, len(ids), step)):
-                        part = ids[a: a + step]
+            for lo, hi in chunk_rows(offsets, CHUNK):
+                buf, starts, ends, h, counts = chunk_words(offsets, data, lo, hi)
+                at = known.find(h)
+                length, first, flat = np.append(known.pieces, 1)[at], np.append(known.first, 0)[at], known.ids
+                new = np.flatnonzero(at < 0)
+                if len(new):
+                    tokenizer = tokenizer or load_tokenizer(tokenizer_path)
+                    words = cut_out(buf, starts[new], ends[new])
+                    own = list(dict.fromkeys(words))
+                    ids = [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in own], add_special_tokens=False)]
+                    place = np.cumsum([0, *map(len, ids)]) + len(flat)
+                    number = {w: i for i, w in enumerate(own)}
+                    at_own = np.array([number[w] for w in words])
+                    length[new], first[new] = np.diff(place)[at_own], place[at_own]
+                    flat = np.append(flat, np.array([i for x in ids for i in x], dtype="<u4"))
+                # one separator behind the words of each row
+                end = np.cumsum(counts)
+                length = np.insert(length, end, 1)
+                first = np.insert(first, end, len(flat))
+                flat = np.append(flat, np.array([separator], dtype="<u4"))
+                stop = np.cumsum(length)
+                out = flat[np.repeat(first - (stop - length), length) + np.arange(stop[-1] if len(stop) else 0)]
+                raw = out.astype("<u4").tobytes()
+                row_end = 4 * stop[end + np.arange(len(end))]
+                for i, (a, b) in enumerate(zip(np.append(0, row_end[:-1]).tolist(), row_end.tolist(), strict=True), lo):
+                    for k, c in enumerate(range(a, b, step)):
+                        part = raw[c: min(c + step, b)]
                         row.append(i)
                         piece.append(k)
                         size.append(len(part) // 4)
@@ -117,7 +141,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, separator: in
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                   capacity: int = 2048, separator: int = 0) -> DataFrame:
+                   capacity: int = 2048, separator: int = 0, frequent: int = FREQUENT) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     A document is its ids and ``separator``; only documents longer than
@@ -128,7 +152,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     most ``capacity`` counts, the plan, and one count per ranking group.
     """
     spark = docs.sparkSession
-    pieces = materialise(pieces_of(pick(docs, id_col, text_col), tokenizer_path, capacity, separator), "pieces")
+    pieces = materialise(pieces_of(pick(docs, id_col, text_col), tokenizer_path, capacity, separator, frequent)
+                         .withColumn("__vl_no", F.monotonically_increasing_id()), "pieces")
     counts = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = best_fit_plan(counts, capacity)
 
@@ -137,7 +162,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     lens = StructType([StructField("length", LongType()), StructField("__vl_parts", LongType())])
     parts = spark.createDataFrame([(k, -(-n // target)) for k, n in counts.items()], lens)  # at most capacity rows
     salted = pieces.join(F.broadcast(parts), "length").withColumn(
-        "__vl_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("__vl_parts"))).drop("__vl_parts")
+        "__vl_salt", F.pmod(F.xxhash64("__vl_no"), F.col("__vl_parts"))).drop("__vl_parts")
     sizes = np.array(sorted((int(r["length"]), int(r["__vl_salt"]), int(r["n"])) for r in salted.groupBy(
         "length", "__vl_salt").agg(F.count("*").alias("n")).collect()), dtype=np.int64).reshape(-1, 3)
     before = np.cumsum(sizes[:, 2]) - sizes[:, 2]
@@ -145,7 +170,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     before -= np.array([first[int(k)] for k in sizes[:, 0]], dtype=np.int64)
     group_key = (sizes[:, 0] << 40) + sizes[:, 1]
     slot_key = (plan.length << 48) + plan.rank
-    w = Window.partitionBy("length", "__vl_salt").orderBy("doc_id", "piece", "ids_crc32")
+    w = Window.partitionBy("length", "__vl_salt").orderBy("__vl_no")
     ranked = salted.withColumn("__vl_rank", F.row_number().over(w).cast("long") - 1)
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     schema = StructType([pieces.schema[n] for n in names] + [StructField("sequence_id", LongType()),
