@@ -31,12 +31,18 @@ def test_counts_match_library(documents, rows):
 
 @pytest.mark.parametrize("frequent", [0, 50])
 def test_few_frequent_words(documents, rows, odd, frequent):
-    """Words beyond the broadcast part are joined (counts) or tokenized in the task (packing): the same results."""
+    """Words beyond the broadcast part are joined by a shuffle: the same results."""
     got = {r.doc_id: r.n_tokens for r in token_counts(documents, PATH, frequent=frequent).collect()}
     assert got == {k: len(ids(t)) for k, t in rows.items()}
     got = Counter((r.doc_id, r.n_tokens) for r in token_counts(odd, PATH, frequent=frequent).collect())
     assert got == Counter((i, len(ids(t))) for i, t in ODD)
-    check_packing(pack_documents(documents, PATH, frequent=frequent).collect(), rows.items(), 2048)
+
+
+def test_remembered_words_start_anew(documents, rows, monkeypatch):
+    from verbena.llm import pretokens
+    monkeypatch.setattr(pretokens, "REMEMBERED", 100)
+    monkeypatch.setattr(pretokens, "CHUNK", 5000)
+    check_packing(pack_documents(documents, PATH).collect(), rows.items(), 2048)
 
 
 def test_words_of_one_hash_stay_apart(spark, monkeypatch):

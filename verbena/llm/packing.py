@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from .common import chunk_rows, id_field, materialise, out_batch, pick, texts
-from .pretokens import CHUNK, FREQUENT, Known, chunk_words, cut_out, frequent_words, load_tokenizer, tokenized
+from .pretokens import CHUNK, Pieces, chunk_words
 
 #: Pieces that one ranking task group holds at most (fewer on small inputs).
 RANK_ROWS = 100_000
@@ -85,38 +85,24 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> Plan:
     return Plan(*cols, sequences=opened)
 
 
-def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, separator: int, frequent: int = FREQUENT) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, separator: int) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` from ``(doc_id, text)``: ids, then ``separator``, cut at ``capacity``.
 
-    Pre-tokens are tokenized once for all documents; tasks find the frequent
-    ones by hash and tokenize only those that are not among them.
+    A task tokenizes each pre-token that it meets once.
     """
     schema = StructType([id_field(docs), StructField("piece", IntegerType()), StructField("start", LongType()),
                          StructField("length", LongType()), StructField("ids_crc32", LongType())])
-    words = frequent_words(tokenized(docs, tokenizer_path, with_ids=True), frequent)
-    shared = docs.sparkSession.sparkContext.broadcast((words.hashes, words.pieces, words.first, words.ids, words.complete))
     step = 4 * capacity
 
     def run(batches):
-        known, tokenizer = Known(*shared.value), None
+        pieces = Pieces(tokenizer_path)
         for batch in batches:
             offsets, data = texts(batch, 1)
             row, piece, size, crc = [], [], [], []
             for lo, hi in chunk_rows(offsets, CHUNK):
                 buf, starts, ends, h, counts = chunk_words(offsets, data, lo, hi)
-                at = known.find(h)
-                length, first, flat = np.append(known.pieces, 1)[at], np.append(known.first, 0)[at], known.ids
-                new = np.flatnonzero(at < 0)
-                if len(new):
-                    tokenizer = tokenizer or load_tokenizer(tokenizer_path)
-                    words = cut_out(buf, starts[new], ends[new])
-                    own = list(dict.fromkeys(words))
-                    ids = [e.ids for e in tokenizer.encode_batch_fast([w.decode() for w in own], add_special_tokens=False)]
-                    place = np.cumsum([0, *map(len, ids)]) + len(flat)
-                    number = {w: i for i, w in enumerate(own)}
-                    at_own = np.array([number[w] for w in words])
-                    length[new], first[new] = np.diff(place)[at_own], place[at_own]
-                    flat = np.append(flat, np.array([i for x in ids for i in x], dtype="<u4"))
+                at = pieces.numbers(buf, starts, ends, h)
+                length, first, flat = pieces.length[at], pieces.first[at], pieces.ids
                 # one separator behind the words of each row
                 end = np.cumsum(counts)
                 length = np.insert(length, end, 1)
@@ -141,7 +127,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, separator: in
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                   capacity: int = 2048, separator: int = 0, frequent: int = FREQUENT) -> DataFrame:
+                   capacity: int = 2048, separator: int = 0) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     A document is its ids and ``separator``; only documents longer than
@@ -152,7 +138,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     most ``capacity`` counts, the plan, and one count per ranking group.
     """
     spark = docs.sparkSession
-    pieces = materialise(pieces_of(pick(docs, id_col, text_col), tokenizer_path, capacity, separator, frequent)
+    pieces = materialise(pieces_of(pick(docs, id_col, text_col), tokenizer_path, capacity, separator)
                          .withColumn("__vl_no", F.monotonically_increasing_id()), "pieces")
     counts = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = best_fit_plan(counts, capacity)

@@ -1,7 +1,9 @@
-"""Distinct pre-tokens of a corpus, each tokenized once.
+"""Pre-tokens: the runs between ASCII white space, across which the tokenizers served here never look.
 
-The tokenizers served here never look across ASCII white space, so a text is a
-sequence of white-space pre-tokens.  Every task sends each pre-token of a chunk
+``Pieces`` tokenizes each pre-token that a task meets once and finds it again by
+hash, length and its first and last bytes.
+
+``tokenized`` does so for a whole corpus: every task sends each pre-token of a chunk
 once with its count; one aggregation gives the distinct pre-tokens of the corpus
 and one pass over them their pieces, written in the shared folder.  The most
 frequent ones, up to ``FREQUENT`` of them and ``FREQUENT_BYTES``, are handed to the
@@ -21,10 +23,12 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from .common import CHUNK_BYTES, chunk_rows, joined, materialise, out_batch, range_hashes, texts, word_spans
 
-#: Pre-tokens that are handed to every task at most, and the bytes of their pieces.
-FREQUENT, FREQUENT_BYTES = 1_000_000, 32 << 20
+#: Pre-tokens that are handed to every task at most.
+FREQUENT = 1_000_000
 #: Bytes of text that are hashed at once.
-CHUNK = 4 * CHUNK_BYTES
+CHUNK = CHUNK_BYTES
+#: Pre-tokens that a ``Pieces`` remembers at most before it starts anew.
+REMEMBERED = 1_000_000
 
 
 def load_tokenizer(path: str):
@@ -79,62 +83,89 @@ def distinct_words(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def tokenized(docs: DataFrame, path: str, with_ids: bool) -> DataFrame:
-    """``(word, n, hash, pieces, ids)`` of every distinct pre-token, written; ``ids`` (unsigned 32 bits) is null where not asked for."""
+def tokenized(docs: DataFrame, path: str) -> DataFrame:
+    """``(word, n, hash, pieces)`` of every distinct pre-token, written."""
     schema = StructType([StructField("word", BinaryType()), StructField("n", LongType()), StructField("hash", LongType()),
-                         StructField("pieces", LongType()), StructField("ids", BinaryType())])
+                         StructField("pieces", LongType())])
 
     def run(batches):
         tokenizer = load_tokenizer(path)
         for batch in batches:
             words = batch.column(0).to_pylist()
-            ends = np.cumsum([len(w) for w in words], dtype=np.int64)
-            starts = ends - np.array([len(w) for w in words], dtype=np.int64)
-            h = range_hashes(np.frombuffer(b"".join(words), dtype=np.uint8), starts, ends)
+            size = np.array([len(w) for w in words], dtype=np.int64)
+            ends = np.cumsum(size)
+            h = range_hashes(np.frombuffer(b"".join(words), dtype=np.uint8), ends - size, ends)
             found = tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-            ids = [np.array(e.ids, dtype="<u4").tobytes() if with_ids else None for e in found]
-            yield out_batch(schema, [batch.column(0), batch.column(1), h.view(np.int64), [len(e.ids) for e in found], ids])
+            yield out_batch(schema, [batch.column(0), batch.column(1), h.view(np.int64), [len(e.ids) for e in found]])
 
     return materialise(distinct_words(docs).mapInArrow(run, schema), "pretokens")
 
 
+class Pieces:
+    """The piece ids of a task's pre-tokens: ``ids[first[k]: first[k] + length[k]]`` for pre-token number k."""
+
+    def __init__(self, path: str):
+        self.tokenizer = load_tokenizer(path)
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.number = np.empty(0, np.uint64), np.empty(0, np.int64)  # sorted by hash
+        self.first, self.length, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u4")
+        self.marks = [np.empty(0, t) for t in (np.int64, np.uint64, np.uint64)]  # word length, first and last bytes
+
+    def _learn(self, words: list[bytes], marks: list[np.ndarray]) -> np.ndarray:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        n = np.array([len(x) for x in found], dtype=np.int64)
+        numbers = len(self.length) + np.arange(len(words))
+        self.first = np.append(self.first, len(self.ids) + np.cumsum(n) - n)
+        self.length = np.append(self.length, n)
+        self.ids = np.append(self.ids, np.array([i for x in found for i in x], dtype="<u4"))
+        self.marks = [np.append(a, b) for a, b in zip(self.marks, marks, strict=True)]
+        return numbers
+
+    def numbers(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """The number of each word of a chunk."""
+        if len(self.hashes) > REMEMBERED:
+            self.forget()
+        marks = [ends - starts, *ends_of(buf, starts, ends)]
+        unique, at, back = np.unique(h, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hashes, unique)
+        new = np.flatnonzero(np.append(self.hashes, 0)[place] != unique if len(self.hashes) else np.ones(len(unique), bool))
+        new = np.union1d(new, np.flatnonzero(place == len(self.hashes)))
+        k = at[new]
+        learned = self._learn(cut_out(buf, starts[k], ends[k]), [m[k] for m in marks])
+        self.number = np.insert(self.number, place[new], learned)
+        self.hashes = np.insert(self.hashes, place[new], unique[new])
+        out = self.number[np.searchsorted(self.hashes, unique)][back]
+        # words that share a hash with another one: each is a pre-token of its own
+        odd = np.flatnonzero(np.any([m != x[out] for m, x in zip(marks, self.marks, strict=True)], axis=0))
+        if len(odd):
+            out[odd] = self._learn(cut_out(buf, starts[odd], ends[odd]), [m[odd] for m in marks])
+        return out
+
+
 @dataclass
 class Known:
-    """Frequent pre-tokens by hash: how many pieces, and (if asked for) the pieces."""
+    """Frequent pre-tokens by hash and how many pieces each has; ``complete``: there are no others."""
 
     hashes: np.ndarray
     pieces: np.ndarray
-    first: np.ndarray
-    ids: np.ndarray
     complete: bool
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """The place of each hash, or -1."""
-        if not len(self.hashes):
-            return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, at, -1)
-
 
-def frequent_words(table: DataFrame, limit: int = FREQUENT, limit_bytes: int = FREQUENT_BYTES) -> Known:
-    """Of a ``tokenized`` table the most frequent pre-tokens within both limits (by powers of two of their counts)."""
-    size = F.coalesce(F.octet_length("ids"), F.lit(0)) + 16
+def frequent_words(table: DataFrame, limit: int = FREQUENT) -> Known:
+    """Of a ``tokenized`` table the most frequent pre-tokens, at most ``limit`` (by powers of two of their counts)."""
     level = F.floor(F.log2("n")).cast("int").alias("level")
-    least, rows, size_sum = None, 0, 0
-    levels = table.groupBy(level).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).collect()  # at most 63 rows
+    least, rows = None, 0
+    levels = table.groupBy(level).agg(F.count(F.lit(1)).alias("rows")).collect()  # at most 63 rows
     for r in sorted(levels, key=lambda r: -r.level):
-        rows, size_sum = rows + r.rows, size_sum + r.bytes
-        if rows > limit or size_sum > limit_bytes:
+        rows += r.rows
+        if rows > limit:
             break
         least = 1 << r.level
     shared = materialise(table.groupBy("hash").agg(F.count(F.lit(1)).alias("words")).where("words > 1").select("hash"), "collisions")
     some = table.where(F.col("n") >= least) if least is not None else table.limit(0)
-    some = some.join(shared, "hash", "left_anti").select("hash", "pieces", "ids").toArrow().combine_chunks()
+    some = some.join(shared, "hash", "left_anti").select("hash", "pieces").toArrow().combine_chunks()
     h = some.column("hash").to_numpy().view(np.uint64)
     order = np.argsort(h)
-    ids = some.column("ids").combine_chunks()
-    ids = ids.take(pa.array(order)) if len(order) else ids
-    flat = np.frombuffer(b"".join(x for x in ids.to_pylist() if x), dtype="<u4")
-    pieces = some.column("pieces").to_numpy()[order]
-    complete = rows == len(h) and least == 1 << min([r.level for r in levels], default=0)
-    return Known(h[order], pieces, np.cumsum(pieces) - pieces, flat, complete or not levels)
+    return Known(h[order], some.column("pieces").to_numpy()[order], sum(r.rows for r in levels) == len(h))

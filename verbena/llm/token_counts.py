@@ -31,7 +31,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     broadcast part of the join, not the result.
     """
     base = pick(docs, id_col, text_col)
-    table = tokenized(base, tokenizer_path, with_ids=False)
+    table = tokenized(base, tokenizer_path)
     known = frequent_words(table, frequent)
     shared = docs.sparkSession.sparkContext.broadcast((known.hashes, known.pieces))
     word = StructType([StructField("word", BinaryType()), StructField("n", LongType())])
