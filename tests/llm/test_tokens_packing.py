@@ -55,6 +55,38 @@ def test_words_of_one_hash_stay_apart(spark, monkeypatch):
     check_packing(pack_documents(df, PATH).collect(), docs, 2048)
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json"])
+def test_words_tokenized_together(name):
+    """Also words that hold the sign between them, odd characters and case."""
+    from verbena.llm.pretokens import Tokenizer as Words, folds_case
+    path = public_tokenizers.path(name)
+    words = ["a", "\U0001F602", "x\U0001F602y", "\u0301e", "E\u0301", "it's", "ABC", "字", "\x00", "\x1c", "\x85", "\xa0", "a\u2003b", "İ", "<|endoftext|>", "9" * 400] * 300
+    t = Words(path)
+    assert t.sign is not None and folds_case(path) == b"<"
+    flat, n = t.pieces([w.encode() for w in words])
+    want = [TOK.encode(w, add_special_tokens=False).ids for w in words]
+    assert n.tolist() == [len(x) for x in want] and flat.tolist() == [i for x in want for i in x]
+    t.sign = None
+    assert all((a == b).all() for a, b in zip(t.pieces([w.encode() for w in words]), (flat, n), strict=True))
+    assert folds_case(public_tokenizers.path("byte_bpe_50k.json")) is None
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=40))
+def test_case_folding_before_the_tokenizer(text):
+    text = text.encode("utf-8", "ignore").decode()
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    assert "<" in text or ids(text) == ids(low)
+
+
+def test_special_strings_in_capitals(spark):
+    """Only the exact special string is special: folding must not make one."""
+    docs = [(1, "A<|ENDOFTEXT|>B <|endoftext|> C<|EndOfText|>"), (2, "x<|endoftext|>Y <|STARTOFTEXT|>")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_tokens) for r in token_counts(df, PATH).collect()) == [(i, len(ids(t))) for i, t in docs]
+    check_packing(pack_documents(df, PATH).collect(), docs, 2048)
+
+
 def test_hashes_of_long_words():
     """Words of a kilobyte that a polynomial hash modulo 2^64 cannot tell apart."""
     from verbena.llm.common import range_hashes

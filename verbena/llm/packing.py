@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from .common import chunk_rows, id_field, materialise, out_batch, pick, texts
-from .pretokens import CHUNK, Pieces, chunk_words
+from .pretokens import CHUNK, chunk_words, remembered
 
 #: Pieces that one ranking task group holds at most (fewer on small inputs).
 RANK_ROWS = 100_000
@@ -88,19 +88,19 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> Plan:
 def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, separator: int) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` from ``(doc_id, text)``: ids, then ``separator``, cut at ``capacity``.
 
-    A task tokenizes each pre-token that it meets once.
+    A worker tokenizes each pre-token that it meets once.
     """
     schema = StructType([id_field(docs), StructField("piece", IntegerType()), StructField("start", LongType()),
                          StructField("length", LongType()), StructField("ids_crc32", LongType())])
     step = 4 * capacity
 
     def run(batches):
-        pieces = Pieces(tokenizer_path)
+        pieces = remembered(tokenizer_path)
         for batch in batches:
             offsets, data = texts(batch, 1)
             row, piece, size, crc = [], [], [], []
             for lo, hi in chunk_rows(offsets, CHUNK):
-                buf, starts, ends, h, counts = chunk_words(offsets, data, lo, hi)
+                buf, starts, ends, h, counts = chunk_words(offsets, data, lo, hi, pieces.fold)
                 at = pieces.numbers(buf, starts, ends, h)
                 length, first, flat = pieces.length[at], pieces.first[at], pieces.ids
                 # one separator behind the words of each row

@@ -1,6 +1,6 @@
 """Pre-tokens: the runs between ASCII white space, across which the tokenizers served here never look.
 
-``Pieces`` tokenizes each pre-token that a task meets once and finds it again by
+``Pieces`` tokenizes each pre-token that a worker meets once and finds it again by
 hash, length and its first and last bytes.
 
 ``tokenized`` does so for a whole corpus: every task sends each pre-token of a chunk
@@ -13,7 +13,10 @@ never among them); the others are looked up by the caller.
 
 from __future__ import annotations
 
+import json
 import os
+import sys
+import types
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,29 +24,90 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import CHUNK_BYTES, chunk_rows, joined, materialise, out_batch, range_hashes, texts, word_spans
+from .common import CHUNK_BYTES, LOWER, chunk_rows, joined, materialise, out_batch, range_hashes, texts, word_spans
 
 #: Pre-tokens that are handed to every task at most.
 FREQUENT = 1_000_000
 #: Bytes of text that are hashed at once.
 CHUNK = CHUNK_BYTES
 #: Pre-tokens that a ``Pieces`` remembers at most before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
 
 
-def load_tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
+#: Signs of which one may stand between pre-tokens that are tokenized together.
+SIGNS = ("\U0001F602", "\u2764", "\u2605")
 
 
-def chunk_words(offsets: np.ndarray, data: memoryview, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows lo..hi: the bytes, the words' starts, ends and hashes, and each row's word count."""
+class Tokenizer:
+    """A ``tokenizers`` file applied to pre-tokens."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer as Library
+        self.library = Library.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        #: A sign with a piece of its own, which no pre-token without the sign can give; None where there is no such sign.
+        self.sign = next((x for x in SIGNS if len(self._encode([x])[0]) == 1 and self._encode([f"a {x} a"])[0].count(self._encode([x])[0][0]) == 1), None)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def pieces(self, words: list[bytes], together: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after the other, and how many each word has.
+
+        Many words go through the library as one text, with the sign behind
+        each; words that hold the sign go one by one.
+        """
+        alone = [i for i, w in enumerate(words) if self.sign is None or self.sign.encode() in w]
+        if alone and len(alone) < len(words):
+            apart = set(alone)
+            rest = [i for i in range(len(words)) if i not in apart]
+            both = [self.pieces([words[i] for i in part], together) for part in (alone, rest)]
+            order = np.argsort(np.concatenate([alone, rest]))
+            n = np.concatenate([x[1] for x in both])
+            first = np.cumsum(n) - n
+            flat = np.concatenate([x[0] for x in both])
+            n, first = n[order], first[order]
+            return flat[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
+        if alone or not words:
+            found = self._encode([w.decode() for w in words])
+            return np.array([i for x in found for i in x], dtype="<u4"), np.array([len(x) for x in found], dtype=np.int64)
+        end = f" {self.sign} "
+        found = self._encode([end.join(b"\n".join(words[i: i + together]).decode().split("\n")) + end for i in range(0, len(words), together)])
+        ids = np.concatenate([np.array(x, dtype="<u4") for x in found])
+        is_end = ids == self._encode([self.sign])[0][0]
+        n = np.diff(np.append(-1, np.flatnonzero(is_end))) - 1
+        if len(n) != len(words):
+            raise ValueError("the tokenizer does not take pre-tokens one by one")
+        return ids[~is_end], n
+
+
+def folds_case(path: str) -> bytes | None:
+    """Not None if the tokenizer lower-cases, so that A-Z may be lower-cased before it (composing and white space do
+    not look at case): then the first bytes of its added tokens, which are found before that step."""
+    with open(path, encoding="utf-8") as f:
+        definition = json.load(f)
+    rule = definition.get("normalizer") or {}
+    steps = rule.get("normalizers", [rule])
+    known = all(x.get("type") in ("NFC", "NFKC", "Lowercase") or x.get("type") == "Replace" and x.get("pattern") == {"Regex": "\\s+"} for x in steps)
+    if not known or not any(x.get("type") == "Lowercase" for x in steps):
+        return None
+    return bytes({x["content"].encode()[0] for x in definition.get("added_tokens", []) if x["content"]})
+
+
+def chunk_words(offsets: np.ndarray, data: memoryview, lo: int, hi: int, fold: bytes | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows lo..hi: the bytes, the words' starts, ends and hashes, and each row's word count.
+
+    With ``fold`` A-Z are lower-cased, but in words that hold one of its bytes."""
     buf, row_start = joined(offsets, data, lo, hi, b" ")
     starts, ends, counts = word_spans(buf, row_start)
+    if fold is not None:
+        low = LOWER[buf]
+        as_they_are = np.flatnonzero(np.isin(buf, np.frombuffer(fold, np.uint8)))
+        for k in np.unique(np.searchsorted(starts, as_they_are, side="right") - 1).tolist():
+            low[starts[k]: ends[k]] = buf[starts[k]: ends[k]]
+        buf = low
     return buf, starts, ends, range_hashes(buf, starts, ends), counts
 
 
@@ -62,7 +126,7 @@ def ends_of(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     return first, last
 
 
-def distinct_words(docs: DataFrame) -> DataFrame:
+def distinct_words(docs: DataFrame, fold: bytes | None) -> DataFrame:
     """``(word, n)`` of the second column of ``docs``."""
     schema = StructType([StructField("word", BinaryType()), StructField("n", LongType())])
 
@@ -70,7 +134,7 @@ def distinct_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             offsets, data = texts(batch, 1)
             for lo, hi in chunk_rows(offsets, CHUNK):
-                buf, starts, ends, h, _ = chunk_words(offsets, data, lo, hi)
+                buf, starts, ends, h, _ = chunk_words(offsets, data, lo, hi, fold)
                 order = np.argsort(h, kind="stable")
                 h, starts, ends = h[order], starts[order], ends[order]
                 new = np.zeros(len(h), dtype=bool)  # different words of one hash stay apart
@@ -89,23 +153,22 @@ def tokenized(docs: DataFrame, path: str) -> DataFrame:
                          StructField("pieces", LongType())])
 
     def run(batches):
-        tokenizer = load_tokenizer(path)
+        tokenizer = Tokenizer(path)
         for batch in batches:
             words = batch.column(0).to_pylist()
             size = np.array([len(w) for w in words], dtype=np.int64)
             ends = np.cumsum(size)
             h = range_hashes(np.frombuffer(b"".join(words), dtype=np.uint8), ends - size, ends)
-            found = tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-            yield out_batch(schema, [batch.column(0), batch.column(1), h.view(np.int64), [len(e.ids) for e in found]])
+            yield out_batch(schema, [batch.column(0), batch.column(1), h.view(np.int64), tokenizer.pieces(words)[1]])
 
-    return materialise(distinct_words(docs).mapInArrow(run, schema), "pretokens")
+    return materialise(distinct_words(docs, folds_case(path)).mapInArrow(run, schema), "pretokens")
 
 
 class Pieces:
-    """The piece ids of a task's pre-tokens: ``ids[first[k]: first[k] + length[k]]`` for pre-token number k."""
+    """The piece ids of a worker's pre-tokens: ``ids[first[k]: first[k] + length[k]]`` for pre-token number k."""
 
     def __init__(self, path: str):
-        self.tokenizer = load_tokenizer(path)
+        self.tokenizer, self.fold = Tokenizer(path), folds_case(path)
         self.forget()
 
     def forget(self) -> None:
@@ -114,12 +177,11 @@ class Pieces:
         self.marks = [np.empty(0, t) for t in (np.int64, np.uint64, np.uint64)]  # word length, first and last bytes
 
     def _learn(self, words: list[bytes], marks: list[np.ndarray]) -> np.ndarray:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
-        n = np.array([len(x) for x in found], dtype=np.int64)
+        ids, n = self.tokenizer.pieces(words)
         numbers = len(self.length) + np.arange(len(words))
         self.first = np.append(self.first, len(self.ids) + np.cumsum(n) - n)
         self.length = np.append(self.length, n)
-        self.ids = np.append(self.ids, np.array([i for x in found for i in x], dtype="<u4"))
+        self.ids = np.append(self.ids, ids)
         self.marks = [np.append(a, b) for a, b in zip(self.marks, marks, strict=True)]
         return numbers
 
@@ -144,6 +206,18 @@ class Pieces:
         return out
 
 
+def remembered(path: str) -> Pieces:
+    """The worker's ``Pieces`` of a tokenizer: it outlives the task, so a worker tokenizes a pre-token once for all its tasks.
+
+    (Task code is sent by value, its modules are new in each task; what is to
+    stay has a module name of its own.)
+    """
+    store = sys.modules.setdefault("_verbena_worker_pieces", types.ModuleType("_verbena_worker_pieces")).__dict__
+    if path not in store:
+        store[path] = Pieces(path)
+    return store[path]
+
+
 @dataclass
 class Known:
     """Frequent pre-tokens by hash and how many pieces each has; ``complete``: there are no others."""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from .common import chunk_rows, id_field, materialise, out_batch, pick, texts
-from .pretokens import CHUNK, FREQUENT, chunk_words, cut_out, frequent_words, tokenized
+from .pretokens import CHUNK, FREQUENT, chunk_words, cut_out, folds_case, frequent_words, tokenized
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -32,7 +32,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     """
     base = pick(docs, id_col, text_col)
     table = tokenized(base, tokenizer_path)
-    known = frequent_words(table, frequent)
+    known, fold = frequent_words(table, frequent), folds_case(tokenizer_path)
     shared = docs.sparkSession.sparkContext.broadcast((known.hashes, known.pieces))
     word = StructType([StructField("word", BinaryType()), StructField("n", LongType())])
     schema = StructType([id_field(base), StructField("n_bytes", LongType()), StructField("known", LongType()),
@@ -45,7 +45,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
             offsets, data = texts(batch, 1)
             total, rest = np.zeros(len(offsets) - 1, dtype=np.int64), [[] for _ in range(len(offsets) - 1)]
             for lo, hi in chunk_rows(offsets, CHUNK):
-                buf, starts, ends, h, counts = chunk_words(offsets, data, lo, hi)
+                buf, starts, ends, h, counts = chunk_words(offsets, data, lo, hi, fold)
                 at = np.full(len(h), -1)
                 if len(hashes):
                     at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
