@@ -10,7 +10,7 @@ from llm_samples import ODD
 from pyspark.sql import functions as F
 
 from verbena.llm import near_dedup as N
-from verbena.llm.near_dedup import connected, most_differing_bits, near_duplicates, odd_sketch
+from verbena.llm.near_dedup import connected, most_differing_bits, near_duplicates, odd_sketch, spanning_links
 
 
 def shingles(text, width):
@@ -125,3 +125,55 @@ def test_null_ids_inside_groups(spark):
     nameless = sorted((r.component_id or 0, r.n_shingles, r.kept) for r in got if r.doc_id is None)
     assert nameless[0] == (0, 1, True) and sorted(x[2] for x in nameless[1:4]) == [False, False, True]
     assert nameless[4:] == [(3, 76, False)] * 2
+
+
+def near_misses(n, words=60, seed=8):
+    """Copies of one text, most pairs of which are a little under or over the threshold."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    out = []
+    for k in range(n):
+        w = base[:]
+        for i in rng.sample(range(words), rng.choice([1, 2, 3])):
+            w[i] = f"x{rng.randrange(3) if rng.random() < 0.2 else rng.randrange(10 ** 6)}"
+        out.append((k, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("rows,columns", [(1024, 4096), (16, 50)])
+def test_large_groups_of_near_misses(spark, monkeypatch, rows, columns):
+    monkeypatch.setattr(N, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(N, "BLOCK_COLUMNS", columns)
+    docs = near_misses(160) + [(1000 + i, t.replace("w", "v")) for i, t in near_misses(50, 30, 3)]
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), width=4)
+    assert sorted(map(tuple, got.collect())) == brute(docs, 4, 80)
+
+
+def test_spanning_links():
+    rng = np.random.default_rng(1)
+    m = rng.random((40, 40)) < 0.04
+    m |= m.T
+    np.fill_diagonal(m, False)
+    found = spanning_links(m)
+    assert len(found) < 40 and all(m[i, j] for i, j in found)
+
+    def parts(pairs):
+        up = list(range(40))
+
+        def root(i):
+            while up[i] != i:
+                i = up[i]
+            return i
+        for i, j in pairs:
+            up[root(i)] = root(j)
+        return [root(i) for i in range(40)]
+    a, b = parts(found), parts(zip(*np.nonzero(m), strict=True))
+    assert len(set(zip(a, b, strict=True))) == len(set(a)) == len(set(b))
+
+
+def test_long_words_of_one_polynomial_hash(spark):
+    """Two one-word texts of a kilobyte that a hash modulo 2^64 takes for one."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    docs = [(1, one), (2, one.translate(str.maketrans("ab", "ba")))]
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), width=4)
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 1, True), (2, 1, 2, True)]

@@ -10,7 +10,9 @@ threshold is confirmed on the full shingle sets.
 A large group of near copies never emits all its pairs: in each band group the
 members are first compared with one hub (the member that shares most bands with
 most others), then with a random one, and only members that no link has joined
-yet are compared further, each pair in the first band that it shares.
+yet are compared further: in small band groups each pair in the first band that
+it shares, in large ones exactly and block by block, so that a large group of near
+misses never becomes rows of pairs.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ SAMPLES = 240  # for the sketch; the bands take the first ROWS * BANDS of them
 SKETCH_LONGS = 8
 #: Candidates whose sketch estimates less than the threshold minus this are dropped (over 4.5 standard deviations).
 SLACK = 0.16
+#: Members of a bucket from which on it is compared in blocks; rows and bytes of shingles of a block, shingles taken at once.
+LARGE, BLOCK_ROWS, BLOCK_BYTES, BLOCK_COLUMNS = 32, 1024, 8 << 20, 4096
 _U = np.uint64
 _RNG = np.random.default_rng(20240607)
 _FACTOR = _RNG.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * _U(2) + _U(1)
@@ -196,6 +200,77 @@ def connected(edges: DataFrame) -> DataFrame:
         last = now
 
 
+def spanning_links(links: np.ndarray) -> list[tuple[int, int]]:
+    """Of a symmetric matrix of links, as many as keep together what it joins (fewer than rows)."""
+    out, new = [], np.ones(len(links), dtype=bool)
+    for start in range(len(links)):
+        stack = [start] if new[start] else []
+        new[start] = False
+        while stack:
+            k = stack.pop()
+            found = np.flatnonzero(links[k] & new)
+            new[found] = False
+            out += [(k, int(x)) for x in found]
+            stack += found.tolist()
+    return out
+
+
+def block_links(rows: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(a, b)``: links that join what is linked among the ``(bucket, cls, root)`` of large buckets.
+
+    A bucket is dealt into blocks bounded in rows and bytes, each pair of blocks
+    is a cell, and a cell compares its full shingle sets exactly by matrix
+    products over the shingles that occur twice: near misses cost arithmetic,
+    never a row, and of the links found only a spanning forest is returned.
+    """
+    kept = StructType([StructField("cls", BinaryType()), StructField("set", BinaryType())])
+
+    def sets(batches):
+        for batch in batches:
+            offsets, data = texts(batch, 1)
+            for lo, hi in chunk_rows(offsets):
+                found = [x.tobytes() for x in shingle_sets(offsets, data, lo, hi, width)]
+                yield out_batch(kept, [batch.column(0).slice(lo, hi - lo), pa.array(found, pa.binary())])
+
+    wanted = members.join(rows.select("cls").distinct(), "cls", "left_semi").select("cls", "text")
+    own = materialise(wanted.mapInArrow(sets, kept).withColumn("bytes", F.octet_length("set")), "sets")
+    sized_rows = rows.select("bucket", "cls", "root").join(own.select("cls", "bytes"), "cls")
+    blocks = sized_rows.groupBy("bucket").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).alias("blocks"))
+    dealt = sized_rows.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks"))) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = dealt.join(own.select("cls", "set"), "cls").select(
+        "bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "cls", "root", "set")
+    schema = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
+
+    def compare(table: pa.Table) -> pa.Table:
+        cls, root = table.column("cls").to_pylist(), table.column("root").to_pylist()
+        block, own_sets = table.column("block").to_numpy(), [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
+        size = np.array([len(x) for x in own_sets])
+        _, number, n = np.unique(np.concatenate(own_sets), return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(size)), size)
+        twice = n[number] > 1
+        row, column = row[twice], (np.cumsum(n > 1) - 1)[number[twice]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        common = np.zeros((len(size), len(size)), dtype=np.float32)
+        for at in range(0, int(column[-1]) + 1 if len(column) else 0, BLOCK_COLUMNS):
+            a, b = np.searchsorted(column, [at, at + BLOCK_COLUMNS])
+            m = np.zeros((len(size), min(BLOCK_COLUMNS, int(column[-1]) + 1 - at)), dtype=np.float32)
+            m[row[a:b], column[a:b] - at] = 1
+            common += m @ m.T
+        common = common.astype(np.float64)
+        near = 100 * common >= percent * (size[:, None] + size - common)
+        roots = np.unique(np.array(root, dtype=object).astype("S"), return_inverse=True)[1]
+        near &= roots[:, None] != roots
+        if block.min() != block.max():  # a pair within one block belongs to that block's own cell
+            near &= block[:, None] != block
+        found = spanning_links(near)
+        return pa.Table.from_batches([out_batch(schema, [pa.array([min(cls[i], cls[j]) for i, j in found], pa.binary()),
+                                                         pa.array([max(cls[i], cls[j]) for i, j in found], pa.binary())])])
+
+    return cells.groupBy("bucket", "lo", "hi").applyInArrow(compare, schema).distinct()
+
+
 def _first_common_band(a: Column, b: Column) -> Column:
     return F.array_position(F.zip_with(a, b, lambda x, y: x == y), True) - 1
 
@@ -222,6 +297,10 @@ def class_components(base: DataFrame, classes: DataFrame, width: int, percent: i
                         F.col("hub.root").alias("rr"))
             apart = F.col("root") != F.col("rr")
         else:
+            large = materialise(left.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > LARGE).select("bucket"), "large")
+            blocked = materialise(block_links(left.join(sized(large), "bucket"), members, width, percent), "block-links")
+            linked = linked.unionAll(blocked)
+            left = left.join(sized(large), "bucket", "left_anti")
             other = left.select(F.col("bucket").alias("rb"), F.col("cls").alias("rc"), F.col("sketch").alias("rs"),
                                 F.col("root").alias("rr"), F.col("bands").alias("rx"))
             apart = (F.col("root") != F.col("rr")) & (F.col("cls") < F.col("rc"))
