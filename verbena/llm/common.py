@@ -173,5 +173,18 @@ def out_batch(schema: StructType, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=[f.name for f in want])
 
 
+def give_back() -> None:
+    """At the end of a task: free memory goes back to the system (workers stay, and would keep it)."""
+    import ctypes
+    import gc
+    _powers.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def table_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

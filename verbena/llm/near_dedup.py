@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from .common import chunk_rows, id_field, materialise, mix64, out_batch, pick, sized, texts, word_hashes
+from .common import chunk_rows, give_back, id_field, materialise, mix64, out_batch, pick, sized, texts, word_hashes
 
 ROWS, BANDS = 4, 30
 SAMPLES = 240  # for the sketch; the bands take the first ROWS * BANDS of them
@@ -105,6 +105,7 @@ def signatures(base: DataFrame, width: int) -> DataFrame:
             kind = pa.list_(pa.int64())
             yield out_batch(schema, [batch.column(0), pa.array(n, pa.int64()), pa.array(cls, pa.binary()),
                                      pa.array(sketch, kind), pa.array(bands, kind)])
+        give_back()
 
     return base.mapInArrow(run, schema)
 

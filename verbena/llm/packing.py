@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from .common import chunk_rows, id_field, materialise, out_batch, pick, texts
+from .common import chunk_rows, give_back, id_field, materialise, out_batch, pick, texts
 from .pretokens import CHUNK, chunk_words, remembered
 
 #: Pieces that one ranking task group holds at most (fewer on small inputs).
@@ -122,6 +122,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, separator: in
             piece = np.array(piece, dtype=np.int64)
             yield out_batch(schema, [batch.column(0).take(pa.array(row, pa.int64())), piece, piece * capacity,
                                      pa.array(size, pa.int64()), pa.array(crc, pa.int64())])
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

@@ -31,7 +31,7 @@ FREQUENT = 1_000_000
 #: Bytes of text that are hashed at once.
 CHUNK = CHUNK_BYTES
 #: Pre-tokens that a ``Pieces`` remembers at most before it starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 800_000
 
 
 #: Signs of which one may stand between pre-tokens that are tokenized together.

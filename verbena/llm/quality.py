@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import LOWER, SPACE, chunk_rows, joined, materialise, mix64, out_batch, range_hashes, texts
+from .common import LOWER, SPACE, chunk_rows, give_back, joined, materialise, mix64, out_batch, range_hashes, texts
 
 #: Buckets of the hashed models (as a power of two) and labelled rows that a fit uses at most (expected number).
 BUCKET_BITS, FIT_ROWS = 18, 200_000
@@ -165,6 +165,7 @@ def with_sums(thin: DataFrame, model: ImportanceModel) -> DataFrame:
     def run(batches):
         for batch in batches:
             yield out_batch(schema, [batch.column(0), *map(pa.array, model.sums(*texts(batch, 1)))])
+        give_back()
 
     return thin.mapInArrow(run, schema)
 
@@ -179,6 +180,7 @@ def with_log_weight(docs: DataFrame, model: ImportanceModel, text_col: str = "te
         for batch in batches:
             offsets, data = texts(batch, at)
             yield out_batch(schema, [*batch.columns, pa.array(model.weights(offsets, data))])
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from .common import BROADCAST_ROWS, materialise, out_batch, texts
+from .common import BROADCAST_ROWS, give_back, materialise, out_batch, texts
 
 ROUNDS = 8  # draws until a surrogate may equal another entity's original (only in formats with too few values)
 
@@ -202,6 +202,7 @@ def _draw(table: DataFrame, key: bytes) -> DataFrame:
         for batch in batches:
             made = [surrogate(k, v, key, n) for k, v, n in zip(*[c.to_pylist() for c in batch.columns], strict=True)]
             yield out_batch(schema, [*batch.columns, pa.array(made, pa.string())])
+        give_back()
 
     return table.mapInArrow(run, schema)
 
@@ -281,6 +282,7 @@ def replace_entities(docs: DataFrame, key: bytes, text_col: str = "text", count_
                     kept[i] = t
                 cols[at] = pa.array(kept, pa.large_string())
             yield out_batch(schema, [*cols, *([pa.array(count)] if count_col else [])])
+        give_back()
 
     return source.mapInArrow(run, schema)
 
