@@ -186,5 +186,16 @@ def give_back() -> None:
         pass
 
 
+#: Rows of an Arrow batch between Spark and its Python workers; both sides hold a whole batch of texts.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let this session send texts to Python in batches of at most ``BATCH_ROWS`` rows (fewer, if it is set so)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    spark.conf.set(key, str(min(now, BATCH_ROWS) if now > 0 else BATCH_ROWS))
+
+
 def table_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
