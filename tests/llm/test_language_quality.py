@@ -117,3 +117,13 @@ def test_sample_of_labels_is_bounded(spark):
     labels = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
     n = labelled_sample(labels, is_target(), fit_rows=1000).count()
     assert 850 < n < 1150
+
+
+def test_signs_that_training_knows_are_no_letters(spark):
+    """Dashes, quotes and full stops that are frequent in one language do not make a text of that language."""
+    from verbena.llm.langid import fit_language_filter, predict_language
+    train = [(i, "— he said — “well” … — “and so” 。。 — " * 20, "en") for i in range(20)] + [(100 + i, "und sie sagte nichts dazu " * 20, "de") for i in range(20)]
+    model = fit_language_filter(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    odd = [(1, "————"), (2, "“” “” “”"), (3, "。。。 …"), (4, "😀 12"), (5, ""), (6, None), (7, "— “so” —"), (8, "é"), (9, "字"), (10, "\u0301\u2014")]
+    got = {r.doc_id: r.lang_pred for r in predict_language(spark.createDataFrame(odd, "doc_id long, text string"), model).collect()}
+    assert {k for k, v in got.items() if v == "und"} == {1, 2, 3, 4, 5, 6, 10}

@@ -180,11 +180,11 @@ def predict_language(docs: DataFrame, model: LanguageFilter, id_col: str = "doc_
                 top = fixed.argmax(axis=1)
                 share = fixed[np.arange(hi - lo), top] / np.maximum(n, 1)
                 best[lo:hi], score[lo:hi] = top, np.clip(share, 0, 1)
-                ascii_letters = _LETTER[:128].nonzero()[0]
-                for i in np.flatnonzero(score[lo:hi] < 0.05):  # only such texts can be without letters
-                    raw = bytes(data[offsets[lo + i]: offsets[lo + i + 1]])
-                    if not np.isin(np.frombuffer(raw, np.uint8), ascii_letters).any() \
-                            and not any(c.isalpha() for c in raw.decode()):
+                buf, starts = joined(offsets, data, lo, hi, b"\0")
+                letters = np.append(0, np.cumsum(_LETTER[buf] & (buf < 128)))
+                ends = np.append(starts[1:] - 1, len(buf))
+                for i in np.flatnonzero(letters[ends] == letters[starts]):  # no ASCII letter: is there any other?
+                    if not any(c.isalpha() for c in bytes(data[offsets[lo + i]: offsets[lo + i + 1]]).decode()):
                         best[lo + i], score[lo + i] = len(model.languages), 0.0
             yield out_batch(schema, [batch.column(0), pa.array(names[best], pa.string()), score])
 
