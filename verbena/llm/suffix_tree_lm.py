@@ -9,32 +9,42 @@ distribution; the empty context is the add-one unigram distribution over all
 training words.  A text is scored from its longest suffix state at each token.
 
 An n-gram is part of the tree if it occurs ``min_count`` times, however large
-the corpus is.  Counts, states and distributions are distributed tables, made
-level by level.  The score of a text is a sum over its n-grams: a state adds
-its backoff wherever it occurs, and an n-gram with a probability of its own
-adds what that differs by from the backed-off one.  So texts are scored by a
-join of their n-grams with one table.  Only n-grams whose share of all tokens
-is at least ``vocabulary_share`` (at most 1 / vocabulary_share an order) are
-looked up in a broadcast copy instead.
+the corpus is.  Counting goes level by level: a longer n-gram is counted only
+where both its parts were found often enough.  Tasks send their counts, and
+later what they ask of the tree, as sorted and compressed arrays, one for each
+bucket of keys, so that a shuffled n-gram takes a few bytes.
+
+The score of a text is a sum over its n-grams: a state adds its backoff
+wherever it occurs, and an n-gram with a probability of its own adds what that
+differs by from the backed-off one.  Tasks hold the n-grams whose share of all
+tokens is at least ``vocabulary_share`` (at most 1 / vocabulary_share an
+order) and ask the buckets of the tree for the others; a bit filter of fixed
+size spares them most questions about n-grams that the tree does not have.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from .common import chunk_rows, materialise, mix64, out_batch, sized, texts, word_hashes
 
 DISCOUNT = 0.75
 MIN_COUNT, VOCABULARY_SHARE, DIVERGENCE, DEPTH = 2, 1e-6, 20.0, 2
-#: N-grams that a counting task gathers before it hands their counts on.
-HELD_GRAMS = 2_000_000
-BATCH_ROWS = 200_000
+#: N-grams that a task gathers before it hands them on.
+HELD_GRAMS = 1_000_000
+#: Bytes of text whose n-grams are counted, or looked up, in one bucket of keys.
+COUNT_BYTES, ASK_BYTES = 12 << 20, 32 << 20
+#: 64-bit words of a bit filter.
+FILTER_WORDS = 1 << 20
 _U = np.uint64
 _LEFT, _RIGHT = _U(0xD1342543DE82EF95), _U(0xAF251AF3B0F025B5)
 END = int(mix64(np.array([0x5BF0_3635_5A6E_19C3], dtype=np.uint64)).view(np.int64)[0])
@@ -74,61 +84,135 @@ def grams(tok: np.ndarray, lengths: np.ndarray, orders: int):
         yield order, np.flatnonzero(ok), left[ok], right[ok], key[ok]
 
 
-def _counts(base: DataFrame, orders: int, min_count: int) -> DataFrame:
-    """``order, key, left, right, n``: all words, and the n-grams of up to ``orders`` words that occur ``min_count`` times.
+def squeeze(a: np.ndarray) -> bytes:
+    """An array of numbers, byte plane by byte plane, compressed."""
+    return pa.compress(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes(), codec="zstd", asbytes=True)
 
-    A word is its own ``left`` and has 0 as ``right``."""
-    fields = [StructField("order", IntegerType()), StructField("left", LongType()), StructField("right", LongType()),
-              StructField("n", LongType())]
-    schema, keyed = StructType(fields), StructType([*fields, StructField("key", LongType())])
 
-    def merged(order, parts):
-        left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
+def unsqueeze(packed: bytes, n: int, dtype) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    raw = pa.decompress(packed, n * width, codec="zstd", asbytes=True)
+    return np.frombuffer(raw, dtype=np.uint8).reshape(width, n).T.copy().view(dtype).ravel()
+
+
+def squeeze_sorted(a: np.ndarray) -> bytes:
+    """As ``squeeze``, for rising numbers: the steps between them."""
+    return squeeze(np.diff(a, prepend=a.dtype.type(0)))
+
+
+def unsqueeze_sorted(packed: bytes, n: int, dtype) -> np.ndarray:
+    return np.cumsum(unsqueeze(packed, n, dtype), dtype=dtype)
+
+
+def bucket_slices(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """``bucket, places`` of the keys of each bucket; places keep their order."""
+    bucket = (keys.view(np.uint64) >> _U(32)) % _U(buckets)
+    by = np.argsort(bucket, kind="stable")
+    ends = np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets))
+    for b in np.flatnonzero(np.diff(ends, prepend=0)):
+        yield int(b), by[ends[b - 1] if b else 0: ends[b]]
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """Bits of a one-column table of keys; ``FILTER_WORDS`` numbers however many keys there are."""
+    column = keys.columns[0]
+    got = keys.select(F.expr(f"shiftrightunsigned({column}, 6) & {FILTER_WORDS - 1}").alias("w"),
+                      F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("b")) \
+        .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    bits = np.zeros(FILTER_WORDS, dtype=np.int64)
+    bits[got["w"].to_numpy()] = got["b"].to_numpy()
+    return bits
+
+
+def may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key may be in the table of ``bits``; no key of the table is missed."""
+    u = keys.view(np.uint64)
+    word = bits.view(np.uint64)[(u >> _U(6)) & _U(FILTER_WORDS - 1)]
+    return (word >> (u & _U(63))) & _U(1) != 0
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Inside, Spark removes the shuffle files of a query when its result is written or fetched."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _buckets(base: DataFrame, size: int) -> int:
+    """Buckets for about ``size`` bytes of the texts of ``base`` each."""
+    total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(base.sparkSession.sparkContext.defaultParallelism, -(-int(total) // size))
+
+
+_LONGS = StructType([StructField(c, LongType()) for c in ("key", "left", "right", "n")])
+
+
+def _counts(base: DataFrame, order: int, min_count: int, buckets: int, shorter: np.ndarray | None = None) -> DataFrame:
+    """``key, left, right, n`` of the n-grams of ``order`` words that occur ``min_count`` times (words: all).
+
+    ``shorter``: filter of the n-grams of ``order - 1`` words that do.  A word is its own ``left`` and has 0 as ``right``."""
+    packed = StructType([StructField("bucket", IntegerType()), StructField("size", LongType()),
+                         *[StructField(c, BinaryType()) for c in ("left", "right", "n")]])
+    least = min_count if order > 1 else 1
+
+    def summed(left, right, n):
         by = np.lexsort((right, left)) if order > 1 else np.argsort(left)
-        left, right = left[by], right[by]
+        left, right, n = left[by], right[by], n[by]
         new = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
-        n = np.diff(np.append(new, len(left)))
-        left, right = left[new], right[new]
-        for a in range(0, len(n), BATCH_ROWS):
-            part = slice(a, a + BATCH_ROWS)
-            yield out_batch(schema, [np.full(len(n[part]), order, np.int32), left[part], right[part], n[part]])
+        return left[new], right[new], np.add.reduceat(n, new)
+
+    def keys(left, right):
+        return gram_key(left, right, order) if order > 1 else left
+
+    def hand_on(parts):
+        left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
+        if len(left):
+            left, right, n = summed(left, right, np.ones(len(left), dtype=np.int64))
+            for b, at in bucket_slices(keys(left, right), buckets):
+                yield out_batch(packed, [pa.array([b]), pa.array([len(at)]), *[pa.array([x], pa.binary()) for x in (
+                    squeeze_sorted(left[at]), squeeze(right[at]), squeeze(n[at]))]])
 
     def run(batches):
-        held: dict[int, list] = {}
-        size = 0
+        held, size = [], 0
         for batch in batches:
             offsets, data = texts(batch, 0)
             for lo, hi in chunk_rows(offsets):
                 tok, lengths = tokens(offsets, data, lo, hi)
-                held.setdefault(1, []).append((tok, np.zeros_like(tok)))
-                for order, _, left, right, _ in grams(tok, lengths, orders):
-                    if len(left):
-                        held.setdefault(order, []).append((left, right))
-                size += orders * len(tok)
+                left, right = tok, np.zeros_like(tok)
+                for _, _, left, right, _ in grams(tok, lengths, order):
+                    pass
+                if order > 1:
+                    both = may_have(shorter, left) & may_have(shorter, right)
+                    left, right = left[both], right[both]
+                held.append((left, right))
+                size += len(left)
                 if size > HELD_GRAMS:
-                    for order in list(held):
-                        yield from merged(order, held.pop(order))
-                    size = 0
-        for order in list(held):
-            yield from merged(order, held.pop(order))
+                    yield from hand_on(held)
+                    held, size = [], 0
+        if held:
+            yield from hand_on(held)
 
-    def key(batches):
-        for batch in batches:
-            order, left, right = (batch.column(i).to_numpy() for i in range(3))
-            out = left.copy()
-            for m in range(2, orders + 1):
-                out[order == m] = gram_key(left[order == m], right[order == m], m)
-            yield out_batch(keyed, [*batch.columns, out])
+    def merge(table: pa.Table) -> pa.Table:
+        parts = [(unsqueeze_sorted(r["left"], r["size"], np.int64), unsqueeze(r["right"], r["size"], np.int64),
+                  unsqueeze(r["n"], r["size"], np.int64)) for r in table.to_pylist()]
+        left, right, n = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        enough = n >= least
+        left, right, n = left[enough], right[enough], n[enough]
+        return pa.Table.from_batches([out_batch(_LONGS, [keys(left, right), left, right, n])])
 
-    summed = base.mapInArrow(run, schema).groupBy("order", "left", "right").agg(F.sum("n").alias("n")) \
-        .where((F.col("order") == 1) | (F.col("n") >= min_count))
-    return summed.mapInArrow(key, keyed)
+    with shuffles_removed(base.sparkSession):
+        return materialise(base.mapInArrow(run, packed).groupBy("bucket").applyInArrow(merge, _LONGS), f"counts-{order}")
 
 
 @dataclass
 class SuffixTree:
     """``weights``: ``order, key, n, value`` of all words (their count and, for states, backoff) and of the n-grams
-    that add something to a score; ``frequent``: ``key, value`` of frequent n-grams, ``words``: of frequent words."""
+    that add something to a score; ``words`` and ``frequent``: the frequent ones of either kind, held by every task."""
 
     train_tokens: int
     distinct: int
@@ -166,40 +250,71 @@ def fit_suffix_tree(train: DataFrame, text_col: str = "text", min_share: float =
     """The tree, and the table ``key, n`` of all training tokens (``key`` hashes the word).
 
     ``min_share`` (none by default) leaves out n-grams under that share of all tokens."""
+    spark = train.sparkSession
     base = train.select(train[text_col].cast("string").alias("text"))
-    counts = materialise(_counts(base, depth + 1, min_count), "counts")
-    unigrams = counts.where("order = 1").select("key", "n")
+    buckets = _buckets(base, COUNT_BYTES)
+    unigrams = _counts(base, 1, min_count, buckets)
     total = unigrams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("t"), F.count("*").alias("v")).first()
     n_tokens, distinct = int(total["t"]), int(total["v"])
-    denominator = float(n_tokens + distinct + 1)
-    enough = counts.where(F.col("n") >= F.lit(max(float(min_count), min_share * n_tokens)))
-
-    below = unigrams.select(F.col("key").alias("right"), F.log10((F.col("n") + 1) / F.lit(denominator)).alias("below"))
-    backoffs, own = [], []
-    for order in range(2, depth + 2):
-        rows = enough.where(F.col("order") == order).select("key", "left", "right", "n").join(sized(below), "right")
-        rows = materialise(rows.select("key", "left", "n", "below"), f"follow-{order}")
-        states = materialise(_states(rows, enough.where(F.col("order") == order - 1), divergence), f"states-{order}")
-        log = F.log10((F.col("n") - DISCOUNT) / F.col("count"))
-        level = materialise(rows.join(sized(states), F.col("left") == F.col("context")).select(
-            "key", log.alias("log"), (log - F.col("below") - F.col("backoff")).alias("value")), f"level-{order}")
-        backoffs.append(states.select(F.lit(order - 1).alias("order"), F.col("context").alias("key"), F.col("backoff").alias("value")))
-        own.append(level.select(F.lit(order).alias("order"), "key", "value"))
-        below = level.select(F.col("key").alias("right"), F.col("log").alias("below"))
-
-    added = reduce(DataFrame.unionAll, [*backoffs, *own]).groupBy("order", "key").agg(F.sum("value").alias("value"))
-    words = counts.where("order = 1").select("order", "key", "n").join(added.where("order = 1"), ["order", "key"], "left") \
-        .select("order", "key", "n", F.coalesce("value", F.lit(0.0)).alias("value"))
-    weights = materialise(words.unionAll(added.where("order > 1").select("order", "key", F.lit(0).cast("long"), "value")), "weights")
-
-    often = F.col("n") >= F.lit(max(1.0, vocabulary_share * n_tokens))
-    top = enough.where((F.col("order") > 1) & often).select("order", "key") \
-        .join(weights.select("order", "key", "value"), ["order", "key"], "left").select("key", F.coalesce("value", F.lit(0.0)).alias("value"))
-    tables = []
-    for got in (weights.where((F.col("order") == 1) & often).select("key", "n", "value").toArrow(), top.toArrow()):
-        by = np.argsort(got["key"].to_numpy())
-        tables.append(tuple(c.to_numpy()[by] for c in got.columns))
-    return SuffixTree(n_tokens, distinct, weights, *tables, depth), unigrams
+    denominator, least = float(n_tokens + distinct + 1), F.lit(max(float(min_count), min_share * n_tokens))
+
+    def level_tables():
+        shorter = unigrams.where(F.col("n") >= least)
+        below = unigrams.select(F.col("key").alias("right"), F.log10((F.col("n") + 1) / F.lit(denominator)).alias("below"))
+        for order in range(2, depth + 2):
+            enough = _counts(base, order, min_count, buckets, key_filter(shorter.select("key"))).where(F.col("n") >= least)
+            rows = materialise(enough.join(sized(below), "right").select("key", "left", "n", "below"), f"follow-{order}")
+            states = materialise(_states(rows, shorter, divergence), f"states-{order}")
+            log = F.log10((F.col("n") - DISCOUNT) / F.col("count"))
+            level = materialise(rows.join(sized(states), F.col("left") == F.col("context")).select(
+                "key", "n", log.alias("log"), (log - F.col("below") - F.col("backoff")).alias("value")), f"level-{order}")
+            yield states.select(F.lit(order - 1).alias("order"), F.col("context").alias("key"), F.col("count").alias("n"),
+                                F.col("backoff").alias("value"))
+            yield level.select(F.lit(order).alias("order"), "key", "n", "value")
+            below = level.select(F.col("key").alias("right"), F.col("log").alias("below"))
+            shorter = enough
+
+    with shuffles_removed(spark):
+        added = reduce(DataFrame.unionAll, level_tables()).groupBy("order", "key") \
+            .agg(F.max("n").alias("n"), F.sum("value").alias("value"))
+        words = unigrams.select("key", "n").join(added.where("order = 1").select("key", "value"), "key", "left") \
+            .select(F.lit(1).alias("order"), "key", "n", F.coalesce("value", F.lit(0.0)).alias("value"))
+        weights = materialise(words.unionAll(added.where("order > 1").select("order", "key", "n", "value")), "weights")
+        often = F.col("n") >= F.lit(max(1.0, vocabulary_share * n_tokens))
+        tables = []
+        for kind, columns in (("order = 1", ["key", "n", "value"]), ("order > 1", ["key", "value"])):
+            got = weights.where(F.expr(kind) & often).select(*columns).toArrow()
+            by = np.argsort(got["key"].to_numpy())
+            tables.append(tuple(c.to_numpy()[by] for c in got.columns))
+    return SuffixTree(n_tokens, distinct, weights, *tables, depth), unigrams.select("key", "n")
+
+
+def _packed_tree(weights: DataFrame, buckets: int) -> DataFrame:
+    """``bucket, size, keys, counts, values``: the tree's table as arrays (counts of words only)."""
+    schema = StructType([StructField("bucket", IntegerType()), StructField("size", LongType()),
+                         *[StructField(c, BinaryType()) for c in ("keys", "counts", "values")]])
+
+    def hand_on(parts):
+        order, key, n, value = (np.concatenate(x) for x in zip(*parts, strict=True))
+        n = np.where(order == 1, n, 0)
+        by = np.argsort(key)
+        key, n, value = key[by], n[by], value[by]
+        for b, at in bucket_slices(key, buckets):
+            yield out_batch(schema, [pa.array([b]), pa.array([len(at)]), *[pa.array([x], pa.binary()) for x in (
+                squeeze_sorted(key[at]), squeeze(n[at]), squeeze(value[at]))]])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(tuple(batch.column(i).to_numpy() for i in range(4)))
+            size += batch.num_rows
+            if size > HELD_GRAMS:
+                yield from hand_on(held)
+                held, size = [], 0
+        if size:
+            yield from hand_on(held)
+
+    return weights.select("order", "key", "n", "value").mapInArrow(run, schema)
 
 
 def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -214,57 +329,109 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     tree, _ = fit_suffix_tree(docs.where(train), text_col, **fit)
     base = docs.select(docs[id_col].alias("doc_id"), *[c.alias(n) for n, c in extra.items()],
                        F.monotonically_increasing_id().alias("row"), docs[text_col].cast("string").alias("text"))
-    at = len(base.columns) - 1
-    fixed = [StructField(c, base.schema[c].dataType) for c in base.columns[:-1]]
-    schema = StructType([*fixed, StructField("order", IntegerType()), StructField("key", LongType()),
-                         StructField("tokens", LongType()), StructField("known", LongType()),
-                         StructField("base", DoubleType()), StructField("tree", DoubleType())])
+    at, kept = len(base.columns) - 1, len(base.columns) - 2
+    fixed = [StructField(c, base.schema[c].dataType) for c in base.columns[:kept]]
+    own = [StructField("place", LongType()), StructField("n_tokens", LongType()), StructField("n_known", LongType()),
+           StructField("base_score", DoubleType()), StructField("score", DoubleType())]
+    asked_schema = StructType([StructField("bucket", IntegerType()), StructField("held", LongType()), *fixed, *own,
+                               StructField("size", LongType()), StructField("keys", BinaryType()), StructField("places", BinaryType())])
+    answer_schema = StructType([StructField("held", LongType()), *fixed, *own, StructField("size", LongType()),
+                                *[StructField(c, BinaryType()) for c in ("places", "known", "base", "tree")]])
+    out_schema = StructType([*fixed, own[1], own[2], StructField("train_tokens", LongType()), own[3], own[4]])
+    with shuffles_removed(docs.sparkSession):
+        bits = key_filter(tree.weights.select("key"))
+        buckets = _buckets(base, ASK_BYTES)
     words, word_log, word_value = tree.words[0], np.log10((tree.words[1] + 1) / tree.denominator), tree.words[2]
     frequent, value = tree.frequent
-    orders = tree.depth + 1
+    orders, unseen, train_tokens = tree.depth + 1, float(np.log10(1 / tree.denominator)), tree.train_tokens
+
+    def hand_on(first, columns, n, known, sums, asked):
+        """The rows that a task holds, and for each bucket the keys they ask for, with the places of the rows."""
+        rows = len(n)
+        bare = [pa.nulls(rows, pa.int64()), pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.binary())]
+        yield out_batch(asked_schema, [np.full(rows, first % buckets), np.full(rows, first), *columns, np.arange(rows),
+                                       n, known, sums[0], sums[1], *bare])
+        keys, places = (np.concatenate(x) for x in zip(*asked, strict=True))
+        by = np.lexsort((places, keys))
+        keys, places = keys[by], places[by]
+        for b, some in bucket_slices(keys, buckets):
+            nothing = [pa.nulls(1, f.type) for f in columns] + [pa.nulls(1, pa.int64())] * 3 + [pa.nulls(1, pa.float64())] * 2
+            yield out_batch(asked_schema, [pa.array([b]), pa.array([first]), *nothing, pa.array([len(some)]),
+                                           pa.array([squeeze_sorted(keys[some])], pa.binary()),
+                                           pa.array([squeeze(places[some].astype(np.uint32))], pa.binary())])
 
     def run(batches):
         for batch in batches:
             offsets, data = texts(batch, at)
-            rows = len(offsets) - 1
             ids = batch.column(at - 1).to_numpy()
-            sums = np.zeros((2, rows))
-            n, known = np.zeros(rows, dtype=np.int64), np.zeros(rows, dtype=np.int64)
-
-            def asked(order, row, keys):  # n-grams that are looked up in the join
-                for a in range(0, len(keys), BATCH_ROWS):
-                    k = keys[a: a + BATCH_ROWS]
-                    empty = [pa.nulls(len(k), c.type) for c in batch.columns[: at - 1]]
-                    nothing = [pa.nulls(len(k), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                    yield out_batch(schema, [*empty, ids[row[a: a + BATCH_ROWS]], np.full(len(k), order, np.int32), k, *nothing])
-
+            begin, size, parts = 0, 0, []
             for lo, hi in chunk_rows(offsets):
                 tok, lengths = tokens(offsets, data, lo, hi)
-                row = np.repeat(np.arange(lo, hi), lengths)
+                rows = hi - lo
+                row = np.repeat(np.arange(rows), lengths)
                 w = find(words, tok)
                 there = w >= 0
-                n[lo:hi] = lengths
-                known += np.bincount(row[there], minlength=rows)
-                flat = np.bincount(row[there], weights=word_log[w[there]], minlength=rows)
-                sums[0] += flat
-                sums[1] += flat + np.bincount(row[there], weights=word_value[w[there]], minlength=rows)
-                yield from asked(1, row[~there], tok[~there])
-                for order, starts, _, _, keys in grams(tok, lengths, orders):
+                flat = np.bincount(row, weights=np.where(there, word_log[w], unseen) if len(words) else np.full(len(tok), unseen), minlength=rows)
+                known = np.bincount(row[there], minlength=rows)
+                total = flat + np.bincount(row[there], weights=word_value[w[there]], minlength=rows)
+                ask = ~there & may_have(bits, tok)
+                asked = [(tok[ask], row[ask] + lo - begin)]
+                for _, starts, _, _, keys in grams(tok, lengths, orders):
                     g = find(frequent, keys)
                     there = g >= 0
-                    sums[1] += np.bincount(row[starts[there]], weights=value[g[there]], minlength=rows)
-                    yield from asked(order, row[starts[~there]], keys[~there])
-            whole = mix64(ids.astype(np.uint64)).view(np.int64)  # order 0 meets nothing; the keys spread the rows
-            yield out_batch(schema, [*batch.columns[:at], np.zeros(rows, np.int32), whole, n, known, sums[0], sums[1]])
-
-    weights = tree.weights.select(F.col("order").alias("w_order"), F.col("key").alias("w_key"), "n", "value")
-    met = base.mapInArrow(run, schema).join(sized(weights), (F.col("order") == F.col("w_order")) & (F.col("key") == F.col("w_key")), "left") \
-        .where("order < 2 or value is not null")
-    log = F.when(F.col("order") == 1, F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(tree.denominator))).otherwise(F.lit(0.0))
-    seen = F.when((F.col("order") == 1) & (F.col("n") > 0), 1).otherwise(0)
-    return met.groupBy("row").agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in ("doc_id", *extra)], F.sum("tokens").alias("n_tokens"),
-        F.sum(F.coalesce("known", F.lit(0)) + seen).cast("long").alias("n_known"),
-        F.lit(tree.train_tokens).cast("long").alias("train_tokens"),
-        F.sum(F.coalesce("base", F.lit(0.0)) + log).alias("base_score"),
-        F.sum(F.coalesce("tree", F.lit(0.0)) + log + F.coalesce("value", F.lit(0.0))).alias("score")).drop("row")
+                    total += np.bincount(row[starts[there]], weights=value[g[there]], minlength=rows)
+                    ask = ~there & may_have(bits, keys)
+                    asked.append((keys[ask], row[starts[ask]] + lo - begin))
+                size += sum(len(k) for k, _ in asked)
+                parts.append((lengths, known, flat, total, asked))
+                if size > HELD_GRAMS or hi == batch.num_rows:
+                    n, known, flat, total = (np.concatenate([p[i] for p in parts]) for i in range(4))
+                    columns = [c.slice(begin, hi - begin) for c in batch.columns[:kept]]
+                    yield from hand_on(int(ids[begin]), columns, n, known, (flat, total), [a for p in parts for a in p[4]])
+                    begin, size, parts = hi, 0, []
+
+    def answer(asked: pa.Table, model: pa.Table) -> pa.Table:
+        parts = [(unsqueeze_sorted(r["keys"], r["size"], np.int64), unsqueeze(r["counts"], r["size"], np.int64),
+                  unsqueeze(r["values"], r["size"], np.float64)) for r in model.to_pylist()]
+        keys, counts, values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (
+            np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        by = np.argsort(keys)
+        keys, counts, values = keys[by], counts[by], values[by]
+        whole = asked.filter(pc.is_null(asked["size"])).select([f.name for f in (answer_schema.fields[: 1 + kept + len(own)])])
+        n = whole.num_rows
+        out = [out_batch(answer_schema, [*[c.combine_chunks() for c in whole.columns], pa.nulls(n, pa.int64()),
+                                         *[pa.nulls(n, pa.binary())] * 4])]
+        asked = asked.filter(pc.is_valid(asked["size"]))
+        for held, size, k, p in zip(*(asked[c].to_pylist() for c in ("held", "size", "keys", "places")), strict=True):
+            hit = find(keys, unsqueeze_sorted(k, size, np.int64))
+            there = hit >= 0
+            place, hit = unsqueeze(p, size, np.uint32)[there], hit[there]
+            if not len(place):
+                continue
+            places, which = np.unique(place, return_inverse=True)
+            word = counts[hit] > 0
+            log = np.log10(counts[hit] + 1)
+            sums = [np.bincount(which, weights=x, minlength=len(places)) for x in (word, log, log + values[hit])]
+            nothing = [pa.nulls(1, f.type) for f in whole.schema][1:]
+            out.append(out_batch(answer_schema, [
+                pa.array([held]), *nothing, pa.array([len(places)]), *[pa.array([x], pa.binary()) for x in (
+                    squeeze_sorted(places), squeeze(sums[0].astype(np.uint32)), squeeze(sums[1]), squeeze(sums[2]))]]))
+        return pa.Table.from_batches(out)
+
+    def together(table: pa.Table) -> pa.Table:
+        whole = table.filter(pc.is_null(table["size"])).sort_by("place")
+        n = whole.num_rows
+        known, flat, total = (whole[c].to_numpy().copy() for c in ("n_known", "base_score", "score"))
+        answers = table.filter(pc.is_valid(table["size"]))
+        for size, p, k, b, t in zip(*(answers[c].to_pylist() for c in ("size", "places", "known", "base", "tree")), strict=True):
+            places = unsqueeze_sorted(p, size, np.uint32)
+            known[places] += unsqueeze(k, size, np.uint32)
+            flat[places] += unsqueeze(b, size, np.float64)
+            total[places] += unsqueeze(t, size, np.float64)
+        columns = [whole[f.name].combine_chunks() for f in fixed]
+        return pa.Table.from_batches([out_batch(out_schema, [*columns, whole["n_tokens"].combine_chunks(), known,
+                                                             np.full(n, train_tokens), flat, total])])
+
+    answers = base.mapInArrow(run, asked_schema).groupBy("bucket") \
+        .cogroup(_packed_tree(tree.weights, buckets).groupBy("bucket")).applyInArrow(answer, answer_schema)
+    return answers.groupBy("held").applyInArrow(together, out_schema)
