@@ -49,6 +49,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table of a ``materialise``d frame; nothing that still has to be computed may read it."""
+    spark = df.sparkSession
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def sized(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows are few enough, else as it is."""
     n = df.count() if rows is None else rows

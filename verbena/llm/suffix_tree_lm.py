@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import chunk_rows, materialise, mix64, out_batch, sized, texts, word_hashes
+from .common import chunk_rows, discard, materialise, mix64, out_batch, sized, texts, word_hashes
 
 DISCOUNT = 0.75
 MIN_COUNT, VOCABULARY_SHARE, DIVERGENCE, DEPTH = 2, 1e-6, 20.0, 2
@@ -268,18 +268,27 @@ def fit_suffix_tree(train: DataFrame, text_col: str = "text", min_share: float =
             log = F.log10((F.col("n") - DISCOUNT) / F.col("count"))
             level = materialise(rows.join(sized(states), F.col("left") == F.col("context")).select(
                 "key", "n", log.alias("log"), (log - F.col("below") - F.col("backoff")).alias("value")), f"level-{order}")
+            used.append(states)
             yield states.select(F.lit(order - 1).alias("order"), F.col("context").alias("key"), F.col("count").alias("n"),
                                 F.col("backoff").alias("value"))
             yield level.select(F.lit(order).alias("order"), "key", "n", "value")
             below = level.select(F.col("key").alias("right"), F.col("log").alias("below"))
+            used.append(level)
+            for table in (rows, *([shorter] if order > 2 else [])):
+                discard(table)
             shorter = enough
+        if depth:
+            used.append(shorter)
 
+    used: list[DataFrame] = []  # tables that the weights replace
     with shuffles_removed(spark):
         added = reduce(DataFrame.unionAll, level_tables()).groupBy("order", "key") \
             .agg(F.max("n").alias("n"), F.sum("value").alias("value"))
         words = unigrams.select("key", "n").join(added.where("order = 1").select("key", "value"), "key", "left") \
             .select(F.lit(1).alias("order"), "key", "n", F.coalesce("value", F.lit(0.0)).alias("value"))
         weights = materialise(words.unionAll(added.where("order > 1").select("order", "key", "n", "value")), "weights")
+        for table in used:
+            discard(table)
         often = F.col("n") >= F.lit(max(1.0, vocabulary_share * n_tokens))
         tables = []
         for kind, columns in (("order = 1", ["key", "n", "value"]), ("order > 1", ["key", "value"])):
