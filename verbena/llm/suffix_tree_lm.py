@@ -106,7 +106,7 @@ def unsqueeze_sorted(packed: bytes, n: int, dtype) -> np.ndarray:
 
 def bucket_slices(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """``bucket, places`` of the keys of each bucket; places keep their order."""
-    bucket = (keys.view(np.uint64) >> _U(32)) % _U(buckets)
+    bucket = ((keys.view(np.uint64) >> _U(32)) % _U(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
     by = np.argsort(bucket, kind="stable")
     ends = np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets))
     for b in np.flatnonzero(np.diff(ends, prepend=0)):
@@ -161,19 +161,20 @@ def _counts(base: DataFrame, order: int, min_count: int, buckets: int, shorter:
     least = min_count if order > 1 else 1
 
     def summed(left, right, n):
-        by = np.lexsort((right, left)) if order > 1 else np.argsort(left)
-        left, right, n = left[by], right[by], n[by]
-        new = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
-        return left[new], right[new], np.add.reduceat(n, new)
-
-    def keys(left, right):
-        return gram_key(left, right, order) if order > 1 else left
+        key = gram_key(left, right, order) if order > 1 else left
+        by = np.argsort(key)
+        key = key[by]
+        new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        first = by[new]
+        return key[new], left[first], right[first], np.add.reduceat(n[by], new)
 
     def hand_on(parts):
         left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
         if len(left):
-            left, right, n = summed(left, right, np.ones(len(left), dtype=np.int64))
-            for b, at in bucket_slices(keys(left, right), buckets):
+            key, left, right, n = summed(left, right, np.ones(len(left), dtype=np.int64))
+            by = np.argsort(left)
+            key, left, right, n = key[by], left[by], right[by], n[by]
+            for b, at in bucket_slices(key, buckets):
                 yield out_batch(packed, [pa.array([b]), pa.array([len(at)]), *[pa.array([x], pa.binary()) for x in (
                     squeeze_sorted(left[at]), squeeze(right[at]), squeeze(n[at]))]])
 
@@ -200,10 +201,9 @@ def _counts(base: DataFrame, order: int, min_count: int, buckets: int, shorter:
     def merge(table: pa.Table) -> pa.Table:
         parts = [(unsqueeze_sorted(r["left"], r["size"], np.int64), unsqueeze(r["right"], r["size"], np.int64),
                   unsqueeze(r["n"], r["size"], np.int64)) for r in table.to_pylist()]
-        left, right, n = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        enough = n >= least
-        left, right, n = left[enough], right[enough], n[enough]
-        return pa.Table.from_batches([out_batch(_LONGS, [keys(left, right), left, right, n])])
+        columns = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        enough = columns[-1] >= least
+        return pa.Table.from_batches([out_batch(_LONGS, [c[enough] for c in columns])])
 
     with shuffles_removed(base.sparkSession):
         return materialise(base.mapInArrow(run, packed).groupBy("bucket").applyInArrow(merge, _LONGS), f"counts-{order}")
@@ -361,7 +361,7 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
         yield out_batch(asked_schema, [np.full(rows, first % buckets), np.full(rows, first), *columns, np.arange(rows),
                                        n, known, sums[0], sums[1], *bare])
         keys, places = (np.concatenate(x) for x in zip(*asked, strict=True))
-        by = np.lexsort((places, keys))
+        by = np.argsort(keys)
         keys, places = keys[by], places[by]
         for b, some in bucket_slices(keys, buckets):
             nothing = [pa.nulls(1, f.type) for f in columns] + [pa.nulls(1, pa.int64())] * 3 + [pa.nulls(1, pa.float64())] * 2
@@ -417,10 +417,10 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
             place, hit = unsqueeze(p, size, np.uint32)[there], hit[there]
             if not len(place):
                 continue
-            places, which = np.unique(place, return_inverse=True)
+            places = np.flatnonzero(np.bincount(place)).astype(np.uint32)
             word = counts[hit] > 0
             log = np.log10(counts[hit] + 1)
-            sums = [np.bincount(which, weights=x, minlength=len(places)) for x in (word, log, log + values[hit])]
+            sums = [np.bincount(place, weights=x)[places] for x in (word, log, log + values[hit])]
             nothing = [pa.nulls(1, f.type) for f in whole.schema][1:]
             out.append(out_batch(answer_schema, [
                 pa.array([held]), *nothing, pa.array([len(places)]), *[pa.array([x], pa.binary()) for x in (
