@@ -45,6 +45,9 @@ HELD_GRAMS = 1_000_000
 COUNT_BYTES, ASK_BYTES = 12 << 20, 32 << 20
 #: 64-bit words of a bit filter.
 FILTER_WORDS = 1 << 20
+FILTER_BLOCKS = 16
+#: Bytes of text that are worked on at a time, so that their arrays stay in a core's cache.
+PART_BYTES = 1 << 18
 _U = np.uint64
 _LEFT, _RIGHT = _U(0xD1342543DE82EF95), _U(0xAF251AF3B0F025B5)
 END = int(mix64(np.array([0x5BF0_3635_5A6E_19C3], dtype=np.uint64)).view(np.int64)[0])
@@ -59,12 +62,33 @@ def tokens(offsets: np.ndarray, data: memoryview, lo: int, hi: int) -> tuple[np.
     return out, counts + 1
 
 
-def find(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Index of each key in ``sorted_keys``, or -1."""
-    if not len(sorted_keys):
-        return np.full(len(keys), -1, dtype=np.int64)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return np.where(sorted_keys[at] == keys, at, -1)
+class Places:
+    """Finds keys in sorted, evenly spread ones: their leading bits say where the few that share them begin."""
+
+    def __init__(self, sorted_keys: np.ndarray):
+        self.keys = sorted_keys
+        bits = max(1, len(sorted_keys).bit_length())
+        self.shift = _U(64 - bits)
+        lead = np.bincount(self._lead(sorted_keys), minlength=1 << bits) if len(sorted_keys) else np.zeros(1 << bits, np.int64)
+        self.begin = np.append(0, np.cumsum(lead)).astype(np.int32)
+
+    def _lead(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) ^ _U(1 << 63)) >> self.shift).view(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Index of each key in the sorted ones, or -1."""
+        out = np.full(len(keys), -1, dtype=np.int64)
+        lead = self._lead(keys)
+        at, end = self.begin[lead], self.begin[lead + 1]
+        live = np.flatnonzero(at < end)
+        at, end, keys = at[live], end[live], keys[live]
+        while len(live):
+            same = self.keys[at] == keys
+            out[live[same]] = at[same]
+            at += 1
+            on = np.flatnonzero(~same & (at < end))
+            live, at, end, keys = live[on], at[on], end[on], keys[on]
+        return out
 
 
 def gram_key(left: np.ndarray, right: np.ndarray, order: int) -> np.ndarray:
@@ -115,13 +139,29 @@ def bucket_slices(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndar
 
 def key_filter(keys: DataFrame) -> np.ndarray:
     """Bits of a one-column table of keys; ``FILTER_WORDS`` numbers however many keys there are."""
-    column = keys.columns[0]
-    got = keys.select(F.expr(f"shiftrightunsigned({column}, 6) & {FILTER_WORDS - 1}").alias("w"),
-                      F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("b")) \
-        .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    bits = np.zeros(FILTER_WORDS, dtype=np.int64)
-    bits[got["w"].to_numpy()] = got["b"].to_numpy()
-    return bits
+    schema = StructType([StructField("block", IntegerType()), StructField("bits", BinaryType())])
+    size = FILTER_WORDS * 8 // FILTER_BLOCKS
+
+    def run(batches):
+        bits = np.zeros(FILTER_WORDS * 8, dtype=np.uint8)
+        for batch in batches:
+            place = batch.column(0).to_numpy().view(np.uint64) & _U(FILTER_WORDS * 64 - 1)
+            np.bitwise_or.at(bits, place >> _U(3), np.left_shift(1, place & _U(7), dtype=np.uint64).astype(np.uint8))
+        for i, block in enumerate(bits.reshape(FILTER_BLOCKS, size)):
+            if block.any():
+                yield out_batch(schema, [pa.array([i]), pa.array([squeeze(block)], pa.binary())])
+
+    def either(table: pa.Table) -> pa.Table:
+        bits = np.zeros(size, dtype=np.uint8)
+        for packed in table["bits"]:
+            bits |= unsqueeze(packed.as_py(), size, np.uint8)
+        return pa.Table.from_batches([out_batch(schema, [table["block"][:1].combine_chunks(), pa.array([squeeze(bits)], pa.binary())])])
+
+    got = keys.mapInArrow(run, schema).groupBy("block").applyInArrow(either, schema).toArrow()
+    bits = np.zeros((FILTER_BLOCKS, size), dtype=np.uint8)
+    for block, packed in zip(got["block"].to_pylist(), got["bits"].to_pylist(), strict=True):
+        bits[block] = unsqueeze(packed, size, np.uint8)
+    return bits.ravel().view(np.int64)
 
 
 def may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -182,7 +222,7 @@ def _counts(base: DataFrame, order: int, min_count: int, buckets: int, shorter:
         held, size = [], 0
         for batch in batches:
             offsets, data = texts(batch, 0)
-            for lo, hi in chunk_rows(offsets):
+            for lo, hi in chunk_rows(offsets, PART_BYTES):
                 tok, lengths = tokens(offsets, data, lo, hi)
                 left, right = tok, np.zeros_like(tok)
                 for _, _, left, right, _ in grams(tok, lengths, order):
@@ -350,8 +390,8 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     with shuffles_removed(docs.sparkSession):
         bits = key_filter(tree.weights.select("key"))
         buckets = _buckets(base, ASK_BYTES)
-    words, word_log, word_value = tree.words[0], np.log10((tree.words[1] + 1) / tree.denominator), tree.words[2]
-    frequent, value = tree.frequent
+    words, word_log, word_value = Places(tree.words[0]), np.log10((tree.words[1] + 1) / tree.denominator), tree.words[2]
+    frequent, value = Places(tree.frequent[0]), tree.frequent[1]
     orders, unseen, train_tokens = tree.depth + 1, float(np.log10(1 / tree.denominator)), tree.train_tokens
 
     def hand_on(first, columns, n, known, sums, asked):
@@ -374,23 +414,25 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
             offsets, data = texts(batch, at)
             ids = batch.column(at - 1).to_numpy()
             begin, size, parts = 0, 0, []
-            for lo, hi in chunk_rows(offsets):
+            for lo, hi in chunk_rows(offsets, PART_BYTES):
                 tok, lengths = tokens(offsets, data, lo, hi)
                 rows = hi - lo
                 row = np.repeat(np.arange(rows), lengths)
-                w = find(words, tok)
+                w = words.find(tok)
                 there = w >= 0
-                flat = np.bincount(row, weights=np.where(there, word_log[w], unseen) if len(words) else np.full(len(tok), unseen), minlength=rows)
+                flat = np.bincount(row, weights=np.where(there, word_log[w], unseen) if len(word_log) else np.full(len(tok), unseen), minlength=rows)
                 known = np.bincount(row[there], minlength=rows)
                 total = flat + np.bincount(row[there], weights=word_value[w[there]], minlength=rows)
-                ask = ~there & may_have(bits, tok)
+                ask = np.flatnonzero(~there)
+                ask = ask[may_have(bits, tok[ask])]
                 asked = [(tok[ask], row[ask] + lo - begin)]
                 for _, starts, _, _, keys in grams(tok, lengths, orders):
-                    g = find(frequent, keys)
+                    some = np.flatnonzero(may_have(bits, keys))
+                    keys, of = keys[some], row[starts[some]]
+                    g = frequent.find(keys)
                     there = g >= 0
-                    total += np.bincount(row[starts[there]], weights=value[g[there]], minlength=rows)
-                    ask = ~there & may_have(bits, keys)
-                    asked.append((keys[ask], row[starts[ask]] + lo - begin))
+                    total += np.bincount(of[there], weights=value[g[there]], minlength=rows)
+                    asked.append((keys[~there], of[~there] + lo - begin))
                 size += sum(len(k) for k, _ in asked)
                 parts.append((lengths, known, flat, total, asked))
                 if size > HELD_GRAMS or hi == batch.num_rows:
@@ -405,14 +447,14 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
         keys, counts, values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (
             np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         by = np.argsort(keys)
-        keys, counts, values = keys[by], counts[by], values[by]
+        places_of, counts, values = Places(keys[by]), counts[by], values[by]
         whole = asked.filter(pc.is_null(asked["size"])).select([f.name for f in (answer_schema.fields[: 1 + kept + len(own)])])
         n = whole.num_rows
         out = [out_batch(answer_schema, [*[c.combine_chunks() for c in whole.columns], pa.nulls(n, pa.int64()),
                                          *[pa.nulls(n, pa.binary())] * 4])]
         asked = asked.filter(pc.is_valid(asked["size"]))
         for held, size, k, p in zip(*(asked[c].to_pylist() for c in ("held", "size", "keys", "places")), strict=True):
-            hit = find(keys, unsqueeze_sorted(k, size, np.int64))
+            hit = places_of.find(unsqueeze_sorted(k, size, np.int64))
             there = hit >= 0
             place, hit = unsqueeze(p, size, np.uint32)[there], hit[there]
             if not len(place):
