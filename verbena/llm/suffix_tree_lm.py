@@ -35,14 +35,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import chunk_rows, discard, materialise, mix64, out_batch, sized, texts, word_hashes
+from .common import chunk_rows, discard, give_back, materialise, mix64, out_batch, sized, texts, word_hashes
 
 DISCOUNT = 0.75
 MIN_COUNT, VOCABULARY_SHARE, DIVERGENCE, DEPTH = 2, 1e-6, 20.0, 2
 #: N-grams that a task gathers before it hands them on.
 HELD_GRAMS = 1_000_000
 #: Bytes of text whose n-grams are counted, or looked up, in one bucket of keys.
-COUNT_BYTES, ASK_BYTES = 12 << 20, 32 << 20
+COUNT_BYTES, ASK_BYTES = 12 << 20, 16 << 20
 #: 64-bit words of a bit filter.
 FILTER_WORDS = 1 << 20
 FILTER_BLOCKS = 16
@@ -62,6 +62,12 @@ def tokens(offsets: np.ndarray, data: memoryview, lo: int, hi: int) -> tuple[np.
     return out, counts + 1
 
 
+def looked_up(table: DataFrame) -> DataFrame:
+    """A table of distinct keys as the side of a join that is hashed: whole if it is small, else partition by partition."""
+    small = sized(table)
+    return small if small is not table else table.hint("shuffle_hash")
+
+
 class Places:
     """Finds keys in sorted, evenly spread ones: their leading bits say where the few that share them begin."""
 
@@ -212,8 +218,9 @@ def _counts(base: DataFrame, order: int, min_count: int, buckets: int, shorter:
         left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
         if len(left):
             key, left, right, n = summed(left, right, np.ones(len(left), dtype=np.int64))
-            by = np.argsort(left)
-            key, left, right, n = key[by], left[by], right[by], n[by]
+            if order > 1:  # words are in order already
+                by = np.argsort(left)
+                key, left, right, n = key[by], left[by], right[by], n[by]
             for b, at in bucket_slices(key, buckets):
                 yield out_batch(packed, [pa.array([b]), pa.array([len(at)]), *[pa.array([x], pa.binary()) for x in (
                     squeeze_sorted(left[at]), squeeze(right[at]), squeeze(n[at]))]])
@@ -237,8 +244,11 @@ def _counts(base: DataFrame, order: int, min_count: int, buckets: int, shorter:
                     held, size = [], 0
         if held:
             yield from hand_on(held)
+        held = None
+        give_back()
 
     def merge(table: pa.Table) -> pa.Table:
+        give_back()
         parts = [(unsqueeze_sorted(r["left"], r["size"], np.int64), unsqueeze(r["right"], r["size"], np.int64),
                   unsqueeze(r["n"], r["size"], np.int64)) for r in table.to_pylist()]
         columns = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
@@ -303,10 +313,10 @@ def fit_suffix_tree(train: DataFrame, text_col: str = "text", min_share: float =
         below = unigrams.select(F.col("key").alias("right"), F.log10((F.col("n") + 1) / F.lit(denominator)).alias("below"))
         for order in range(2, depth + 2):
             enough = _counts(base, order, min_count, buckets, key_filter(shorter.select("key"))).where(F.col("n") >= least)
-            rows = materialise(enough.join(sized(below), "right").select("key", "left", "n", "below"), f"follow-{order}")
+            rows = materialise(enough.join(looked_up(below), "right").select("key", "left", "n", "below"), f"follow-{order}")
             states = materialise(_states(rows, shorter, divergence), f"states-{order}")
             log = F.log10((F.col("n") - DISCOUNT) / F.col("count"))
-            level = materialise(rows.join(sized(states), F.col("left") == F.col("context")).select(
+            level = materialise(rows.join(looked_up(states), F.col("left") == F.col("context")).select(
                 "key", "n", log.alias("log"), (log - F.col("below") - F.col("backoff")).alias("value")), f"level-{order}")
             used.append(states)
             yield states.select(F.lit(order - 1).alias("order"), F.col("context").alias("key"), F.col("count").alias("n"),
@@ -440,8 +450,10 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
                     columns = [c.slice(begin, hi - begin) for c in batch.columns[:kept]]
                     yield from hand_on(int(ids[begin]), columns, n, known, (flat, total), [a for p in parts for a in p[4]])
                     begin, size, parts = hi, 0, []
+        give_back()
 
     def answer(asked: pa.Table, model: pa.Table) -> pa.Table:
+        give_back()
         parts = [(unsqueeze_sorted(r["keys"], r["size"], np.int64), unsqueeze(r["counts"], r["size"], np.int64),
                   unsqueeze(r["values"], r["size"], np.float64)) for r in model.to_pylist()]
         keys, counts, values = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (
