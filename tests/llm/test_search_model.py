@@ -200,3 +200,23 @@ def test_tree_of_counts_matches_brute_force(spark):
     got = {r.doc_id: r.score for r in score_texts(df, F.col("doc_id") % 3 != 0, divergence=8.0).collect()}
     for k, t in docs:
         assert math.isclose(got[k], score(t), rel_tol=1e-9), k
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5000])
+def test_places_and_packed_arrays(n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(-(1 << 63), (1 << 63) - 1, n))
+    asked = np.concatenate([keys, rng.integers(-(1 << 63), (1 << 63) - 1, 100), np.array([-(1 << 63), 0, (1 << 63) - 1])])
+    at = {k: i for i, k in enumerate(keys.tolist())}
+    assert S.Places(keys).find(asked).tolist() == [at.get(k, -1) for k in asked.tolist()]
+    if n:
+        assert (S.unsqueeze_sorted(S.squeeze_sorted(keys), len(keys), np.int64) == keys).all()
+    got = dict(S.bucket_slices(keys, 7))
+    assert sorted(i for places in got.values() for i in places.tolist()) == list(range(len(keys)))
+
+
+def test_key_filter_misses_no_key(spark):
+    keys = np.random.default_rng(2).integers(-(1 << 63), (1 << 63) - 1, 3000)
+    bits = S.key_filter(spark.createDataFrame([(int(k),) for k in keys], "key long").repartition(3))
+    assert S.may_have(bits, keys).all()
+    assert S.may_have(bits, np.random.default_rng(3).integers(-(1 << 63), (1 << 63) - 1, 3000)).mean() < 0.01
