@@ -1,6 +1,6 @@
 """Training-data operators (language id, quality, dedup, packing, ...).
 
-Nothing else in the library imports this subpackage; ``llm/queries.py`` holds
+The rest of the library imports only ``common`` of it; ``llm/queries.py`` holds
 its registered queries and ``corpus_pipeline.py`` chains five of them.
 
 Functions that run in Spark tasks are pickled by value, so executors need the

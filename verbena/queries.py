@@ -14,6 +14,7 @@ from .functions.emoji import demojize
 from .functions.labels import SENTIMENT_NAMES, TASK_NAMES, decode_label, task_to_index
 from .functions.scoring import softmax
 from .functions.text import clean_text, preprocess_multitask, preprocess_sentiment
+from .llm.common import materialise
 from .operators import metrics as M
 from .operators.index import batch_rows, row_index
 from .operators.predict import predict_codes, predict_emotion, predict_named
@@ -312,7 +313,7 @@ def q_long_phrases(spark, sf):
 def q_segment_sentiment(spark, sf):
     """T10 with T8: sentiment texts, their words joined by longest match."""
     from .operators.segment import fit_phrases, segment
-    docs = _sentiment_texts(spark, sf)
+    docs = materialise(_sentiment_texts(spark, sf), "sentiment-texts")  # read by the fit and by the segmentation
     p = fit_phrases(docs, "processed_text", PHRASE_MAX_LEN, PHRASE_MIN_COUNT, PHRASE_DELTA, PHRASE_THRESHOLD)
     return segment(docs, "processed_text", p, key="doc_id").select("doc_id", "segmented")
 
