@@ -124,3 +124,13 @@ def test_shared_layer_against_independent_heads(spark):
     joint = J.train_joint(lab, J.Settings(max_steps=24))
     apart = run_multitask(lab, grid=DEFAULT_GRID[:1])
     assert joint_score(joint["summary"]) >= joint_score(apart["summary"]) - 0.05
+
+
+def test_batches_are_cut_by_words():
+    import pyarrow as pa
+    from verbena.plans import joint as J
+    words = [[1] * (J.PART_WORDS // 2)] * 3 + [[2] * (2 * J.PART_WORDS), [], [3]]
+    batch = pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.int32())), pa.array(range(6))], names=["words", "i"])
+    cut = list(J.parts(batch, "words"))
+    assert [c.num_rows for c in cut] == [2, 1, 1, 2]
+    assert [i for c in cut for i in c["i"].to_pylist()] == list(range(6))

@@ -25,7 +25,7 @@ Rows with a null label count for the other heads only; a null text is empty.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -36,11 +36,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.text import tokens
+from ..llm.common import small_batches
 from ..session import shared_dir
 
 #: Gradients are rounded to multiples of this, so that sums of up to 2^21 are exact in a double.
 GRID = 2.0 ** -32
 PIECE = 1 << 14  # numbers in one piece of a gradient
+PART_WORDS = 1 << 17  # words that a task works on at once: each takes a row of the shared layer
 FAN_IN = 64      # tasks that one first-round sum takes in
 
 
@@ -99,6 +101,17 @@ def idf(rows: DataFrame, features: int, words: str = "words") -> np.ndarray:
     return np.log((n + 1) / (counts + 1))
 
 
+def parts(batch: pa.RecordBatch, words: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``PART_WORDS`` words, or of one row."""
+    ends = np.cumsum(np.asarray(batch.column(words).value_lengths().fill_null(0), dtype=np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + PART_WORDS, side="right"))
+        hi = max(hi, lo + 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 class Bags:
     """TF-IDF of some rows, each of unit length, as flat arrays: ``row``, ``bucket``, ``value`` (sorted by row, bucket)."""
 
@@ -187,7 +200,7 @@ def gradient(rows: DataFrame, flat: np.ndarray, weights: np.ndarray, s: Settings
         import pyspark
         flat, weights = shared.value
         total = None
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b, "words")):
             bags = Bags(batch.column("words"), weights)
             loss, g = loss_and_gradient(flat, bags, _targets(batch, s), s)
             g = np.append(g, [loss, bags.n])
@@ -213,13 +226,14 @@ def gradient(rows: DataFrame, flat: np.ndarray, weights: np.ndarray, s: Settings
 def score(df: DataFrame, text: str, model: "JointModel") -> DataFrame:
     """``df`` with ``pred_<head>`` (0-based) and ``prob_<head>`` of a fitted model."""
     s = model.settings
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast((model.flat, model.weights))
     kept = [f for f in df.schema if not any(f.name in (f"pred_{n}", f"prob_{n}") for n, _, _ in s.heads)]
     extra = [StructField(c, t) for n, _, _ in s.heads for c, t in ((f"pred_{n}", IntegerType()), (f"prob_{n}", ArrayType(DoubleType())))]
 
     def run(batches):
         flat, weights = shared.value
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b, "__vb_words")):
             _, probs = forward(flat, Bags(batch.column("__vb_words"), weights), s)
             cols = [batch.column(f.name) for f in kept]
             for n, _, _ in s.heads:
@@ -249,7 +263,7 @@ def validate(rows: DataFrame, model: "JointModel") -> dict[str, float]:
 
     def run(batches):
         flat, weights = shared.value
-        for batch in batches:
+        for batch in (p for b in batches for p in parts(b, "words")):
             _, probs = forward(flat, Bags(batch.column("words"), weights), s)
             y = _targets(batch, s)
             for name, classes, _ in s.heads:
