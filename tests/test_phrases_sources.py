@@ -74,3 +74,13 @@ def test_abbreviations_last_wins_across_files(spark, tmp_path):
     (d / "b.txt").write_text("k:hai\n", encoding="utf-8")
     from verbena.sources.abbreviations import read_abbreviations_txt
     assert dictionary(read_abbreviations_txt(spark, str(d))) == {"k": "hai", "x": "y"}
+
+
+def test_held_and_joined_phrase_tables_agree(spark):
+    """Also for rows whose key repeats (other texts under one id) or is null."""
+    from verbena.operators.phrases import apply_phrases
+    docs = [(0, "a b a b c"), (1, "b a  b"), (2, None), (3, ""), (4, "new york new york"), (4, "a b"), (None, "a b c")]
+    df = spark.createDataFrame(docs, "id long, text string").repartition(2)
+    p = spark.createDataFrame([("a", "b"), ("b", "c"), ("new", "york"), (None, "x"), ("a b", None), ("a ", "b")], "a string, b string")
+    got, want = ([tuple(r) for r in sorted(apply_phrases(df, "text", p, "o", "id", limit=n).collect(), key=str)] for n in (1 << 20, 0))
+    assert got == want and (0, "a b a b c", "a_b a_b c") in got

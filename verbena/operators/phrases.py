@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.phrases import greedy_join, next_tokens
 from ..functions.text import tokens
+from .grams import LOOKUP_BYTES, gram_counts, join_known, spaced
+from .segment import _written, apart
 
 
 def _bigrams(toks):
@@ -23,25 +25,15 @@ def phrase_scores(df: DataFrame, text: str, min_count: int = 5, delta: float = 5
                   threshold: float = 0.0) -> DataFrame:
     """``(a, b, n_ab, n_a, n_b, score)`` for bigrams passing both cuts.
 
-    Unigrams and bigrams are counted in one pass and one shuffle (a unigram is
-    a gram with a null second word); the counts are written once as a table
-    and read by the three joins.
+    The texts' words are written once; unigrams and bigrams are added up in the
+    tasks before they are shuffled (``operators.grams``), and the counts are
+    written once as tables for the joins.
     """
-    toks = df.select(tokens(F.col(text)).alias("t"))
-    unis = F.transform("t", lambda w: F.struct(w.alias("a"), F.lit(None).cast("string").alias("b")))
-    grams = toks.select(F.explode(F.concat(unis, _bigrams(F.col("t")))).alias("g"))
-    counts = grams.groupBy(F.col("g.a").alias("a"), F.col("g.b").alias("b")).agg(
-        F.count(F.lit(1)).alias("n"))
-    # the counts are read three times below (bigrams, first word, second word):
-    # write them once to the shared folder instead of re-reading every text
-    from ..session import shared_dir
-    path = shared_dir(df.sparkSession, "phrase-counts")
-    counts = counts.where(F.col("b").isNull() | (F.col("n") >= min_count))  # rare bigrams are never read again
-    counts.write.mode("overwrite").parquet(path)
-    counts = df.sparkSession.read.parquet(path)
-    uni = counts.filter(F.col("b").isNull()).select(F.col("a").alias("w"), "n")
-    bi = (counts.filter(F.col("b").isNotNull() & (F.col("n") >= min_count))
-          .select("a", "b", F.col("n").alias("n_ab")))
+    texts = _written(df.select(spaced(F.col(text)).alias("t")), "words")
+    uni = _written(gram_counts(texts, 1).select(F.col("phrase").alias("w"), "n"), "phrase-counts")
+    common = uni.where(F.col("n") >= min_count).select("w")
+    bi = _written(gram_counts(texts, 2, min_count, common).select(
+        F.substring_index("phrase", " ", 1).alias("a"), F.substring_index("phrase", " ", -1).alias("b"), F.col("n").alias("n_ab")), "phrase-counts")
     ua = uni.select(F.col("w").alias("a"), F.col("n").alias("n_a"))
     ub = uni.select(F.col("w").alias("b"), F.col("n").alias("n_b"))
     scored = bi.join(ua, "a").join(ub, "b").withColumn(
@@ -51,20 +43,31 @@ def phrase_scores(df: DataFrame, text: str, min_count: int = 5, delta: float = 5
 
 
 def apply_phrases(df: DataFrame, text: str, phrases: DataFrame, out: str = "phrased",
-                  key: str | None = None) -> DataFrame:
+                  key: str | None = None, limit: int = LOOKUP_BYTES) -> DataFrame:
     """Join known phrases inside ``text`` into ``out``.
 
-    Every bigram position is exploded and looked up by a join (broadcast by AQE
-    where the phrase table is small, whatever its size otherwise); hit flags
-    are put back in order per row and the greedy pass runs.  ``key`` is a
+    A phrase table of up to ``limit`` bytes is held by every worker and each row
+    is joined where it lies.  For a larger one every bigram position is exploded
+    and looked up by a join, hit flags are put back in order per row and the
+    greedy pass runs.  ``key`` is a
     unique row key; without one the rows are numbered in a table in the shared
-    folder.  A null text stays null.
+    folder.  Rows whose key repeats or is null are always joined.  A null text
+    stays null.
     """
+    pair = F.concat_ws(" ", "a", "b")
+    known = _written(phrases.select(pair.alias("p"), F.lit(2).alias("n")).where(
+        (F.size(tokens("p")) == 2) & (F.col("p") == spaced(F.col("p")))).distinct(), "phrases")
+    once, more = (df, None) if key is None else apart(df, key)
+    done = join_known(once, spaced(F.col(text)), known, out, limit)
+    if done is None:
+        return _apply_by_join(df, text, phrases, out, key)
+    return done if more is None else done.unionByName(_apply_by_join(more, text, phrases, out, key))
+
+
+def _apply_by_join(df: DataFrame, text: str, phrases: DataFrame, out: str, key: str | None) -> DataFrame:
     if key is None:
-        from ..session import shared_dir
-        path = shared_dir(df.sparkSession, "phrases")
-        df.withColumn("__vb_row", F.monotonically_increasing_id()).write.parquet(path)
-        return apply_phrases(df.sparkSession.read.parquet(path), text, phrases, out, "__vb_row").drop("__vb_row")
+        numbered = _written(df.withColumn("__vb_row", F.monotonically_increasing_id()), "phrases")
+        return _apply_by_join(numbered, text, phrases, out, "__vb_row").drop("__vb_row")
     keyed = phrases.select(F.concat_ws(" ", "a", "b").alias("k"), F.lit(True).alias("v")).distinct()
     t = tokens(F.col(text))
     pos = df.select(F.col(key).alias("__vb_k"), F.posexplode(_bigrams(t)).alias("__vb_p", "bg"))

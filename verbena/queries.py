@@ -250,7 +250,7 @@ def q_stratified_split_sentiment(spark, sf):
 
 
 def _processed_docs(spark, sf):
-    d = D.table(spark, sf, "documents").select("doc_id", "text")
+    d = D.balance(D.table(spark, sf, "documents").select("doc_id", "text"))
     return d.select("doc_id", preprocess_multitask(F.col("text")).alias("processed_text"))
 
 
@@ -259,7 +259,7 @@ def q_fit_vocab(spark, sf):
 
 
 def q_encode_fixed(spark, sf):
-    docs = _processed_docs(spark, sf)
+    docs = materialise(_processed_docs(spark, sf), "processed-docs")  # read by the vocabulary and by the encoding
     vocab = fit_vocab(docs, "processed_text")
     return encode_fixed(docs, "processed_text", vocab, MAX_LEN, key="doc_id").select(
         "doc_id", "input_ids", "attention_mask")
@@ -293,13 +293,13 @@ def q_phrase_scores(spark, sf):
 
 def q_apply_phrases(spark, sf):
     from .operators.phrases import apply_phrases, phrase_scores
-    docs = _processed_docs(spark, sf)
+    docs = materialise(_processed_docs(spark, sf), "processed-docs")
     p = phrase_scores(docs, "processed_text", PHRASE_MIN_COUNT, PHRASE_DELTA, PHRASE_THRESHOLD)
     return apply_phrases(docs, "processed_text", p, "phrased", key="doc_id").select("doc_id", "phrased")
 
 
 def _sentiment_texts(spark, sf):
-    d = D.with_emoji(D.table(spark, sf, "documents").select("doc_id", "text"))
+    d = D.with_emoji(D.balance(D.table(spark, sf, "documents").select("doc_id", "text")))
     return d.select("doc_id", preprocess_sentiment(F.col("text"), _inline_dict()).alias("processed_text"))
 
 
