@@ -72,3 +72,20 @@ def test_empty_table(docs):
     assert encode_subwords(docs.limit(0), "text", path).collect() == [] == subword_counts(docs.limit(0), "text", path).collect()
     with pytest.raises(ValueError):
         encode_subwords(docs, "text", path, 1)
+
+
+def test_python_workers_get_small_batches(spark):
+    """Sub-words and emoji names: a worker holds at most a thousand texts at once."""
+    import public_tokenizers
+    from verbena.operators.emoji_table import demojize_with_table
+    from verbena.operators.subwords import encode_subwords
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    df = spark.createDataFrame([("a b",)], "text string")
+    try:
+        for run in (lambda: encode_subwords(df, "text", public_tokenizers.path("byte_bpe_50k.json")),
+                    lambda: demojize_with_table(df, "text", spark.createDataFrame([("x", "y")], "emoji string, name string"))):
+            spark.conf.set(key, "10000")
+            assert run().count() == 1 and int(spark.conf.get(key)) <= 1000
+    finally:
+        spark.conf.set(key, was)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from ..llm.common import give_back, small_batches
 from .vocab import BOS, EOS, FIRST_ID, PAD, UNK
 from .index import row_index
 
@@ -51,6 +52,7 @@ def subword_counts(df: DataFrame, text: str, tokenizer_path: str) -> DataFrame:
     """``(piece_id, n)``: how often each piece stands in all whole texts; a null text has none."""
     definition = read_definition(tokenizer_path)
     schema = StructType([StructField("piece_id", IntegerType()), StructField("n", LongType())])
+    small_batches(df.sparkSession)
     counted = df.select(F.explode(units(F.col(text))).alias("unit")).groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
 
     def run(batches):
@@ -61,6 +63,7 @@ def subword_counts(df: DataFrame, text: str, tokenizer_path: str) -> DataFrame:
                 for i in e.ids:
                     total[i] = total.get(i, 0) + n
             yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.int32()), pa.array(total.values(), pa.int64())], names=["piece_id", "n"])
+        give_back()
 
     return counted.mapInArrow(run, schema).groupBy("piece_id").agg(F.sum("n").alias("n"))
 
@@ -84,6 +87,7 @@ def encode_subwords(df: DataFrame, text: str, tokenizer_path: str, max_len: int
     """
     if max_len < 2:
         raise ValueError("max_len must be at least 2")
+    small_batches(df.sparkSession)
     definition = read_definition(tokenizer_path)
     ids = None if vocab is None else {r.piece_id: r.token_id for r in vocab.select("piece_id", "token_id").collect()}
     kept = [f for f in df.schema if f.name not in ("input_ids", "attention_mask")]
@@ -101,5 +105,6 @@ def encode_subwords(df: DataFrame, text: str, tokenizer_path: str, max_len: int
                 masks.append([1] * (len(body) + 2) + [0] * (room - len(body)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.int32()))],
                                              names=[f.name for f in kept] + ["input_ids", "attention_mask"])
+        give_back()
 
     return df.select(*[F.col(f"`{f.name}`") for f in kept], head).mapInArrow(run, StructType(kept + list(frame)))
