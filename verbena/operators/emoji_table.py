@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..llm.common import give_back, small_batches
 from .sizes import value_bytes
 
 #: Variation selector 16 asks for the picture form; sequences are compared without it.
@@ -75,6 +76,7 @@ def demojize_with_table(df: DataFrame, text: str, lexicon: DataFrame, out: str |
     empty sequence or a null name are left out.  A null text stays null.  A
     lexicon over ``limit`` bytes is refused: it is held by every worker.
     """
+    small_batches(df.sparkSession)
     pairs = lexicon.select(F.translate("emoji", VS16, "").alias("e"), "name").where(
         (F.col("e") != "") & F.col("name").isNotNull()).groupBy("e").agg(F.min("name").alias("name"))
     size = value_bytes(pairs)
@@ -91,6 +93,7 @@ def demojize_with_table(df: DataFrame, text: str, lexicon: DataFrame, out: str |
             texts = batch.column(batch.num_columns - 1).to_pylist()
             named = [None if t is None else words.named(t, left, right) for t in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(named, pa.string())], names=[f.name for f in schema])
+        give_back()
 
     return df.select(*[F.col(f"`{f.name}`") for f in kept], F.col(text).cast("string").alias("__vb_text")) \
         .mapInArrow(run, schema).select(*[F.col(f"`{c}`") for c in (df.columns if out in df.columns else [*df.columns, out])])
