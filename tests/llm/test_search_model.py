@@ -74,6 +74,57 @@ def test_search_of_odd_rows(spark, odd, none):
     assert [r.doc_id for r in tie[:3]] == [5, 5, 6]
 
 
+@pytest.mark.parametrize("often", [1, 4, 1 << 30])
+def test_long_queries_and_their_estimates(spark, often, monkeypatch):
+    """Long queries are estimated first; copies tie by id, also where more than k of them have one id or none."""
+    monkeypatch.setattr(bm25, "DENSE_SHARE", often)
+    monkeypatch.setattr(bm25, "PRODUCT_CELLS", 1000)
+    rng = random.Random(2)
+    text = [" ".join(f"w{int(rng.paretovariate(0.25)) % 3000}" for _ in range(90)) for _ in range(300)]
+    docs = [(1000 - i if i % 50 else None, text[i % 300] if i < 300 else text[7]) for i in range(400)]
+    ask = [(i, text[i]) for i in range(0, 300, 7)] + [(-1, "w1 w2")]
+    assert any(len(set(t.split())) >= bm25.LONG_QUERY for _, t in ask)
+    df, q = (spark.createDataFrame(x, "doc_id long, text string").coalesce(2) for x in (docs, ask))
+    got = top_k(df, q, k=10)
+    assert sorted(((r.query_id, r["rank"], r.doc_id, round(r.score, 6)) for r in got.collect()), key=str) \
+        == sorted(brute_ids(docs, ask, 10), key=str)
+
+
+def brute_ids(docs, queries, k):
+    n, lengths = len(docs), [len(words(t)) for _, t in docs]
+    bags, mean = [Counter(words(t)) for _, t in docs], sum(lengths) / len(docs)
+    df = Counter(w for b in bags for w in b)
+    for q, t in queries:
+        found = []
+        for (i, _), b, size in zip(docs, bags, lengths, strict=True):
+            s = sum(c * math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * b[w] * 2.2 / (b[w] + 1.2 * (0.25 + 0.75 * size / mean))
+                    for w, c in Counter(words(t)).items() if w in b)
+            if s:
+                found.append((-round(s, 6), i is not None, i))
+        found.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        yield from ((q, r, x[2], -x[0]) for r, x in enumerate(found[:k], 1))
+
+
+def test_a_task_returns_few_of_many_copies():
+    """Of equal scores only those that come first can be among the k best: copies cost no memory."""
+    s, place = np.array([2.0] * 1000 + [3.0, 1.0]), np.append(np.arange(1000)[::-1], [0, 0])
+    assert sorted(bm25._first_of_equals(s, place, 3).tolist()) == [997, 998, 999, 1000, 1001]
+
+
+def test_index_keeps_little_at_a_time(spark, monkeypatch):
+    """Words are hashed chunk by chunk, however large a shard is, and a shard goes on over batches."""
+    monkeypatch.setattr(bm25, "CHUNK_BYTES", 5000)
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('word w' || id || ' ', 20)").alias("text"))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "50")
+    try:
+        shards = bm25.build_index(docs).collect()
+    finally:
+        spark.conf.set(key, before)
+    assert len(shards) == 1 and len(np.frombuffer(shards[0].lengths, "<i4")) == 400
+
+
 def held(k):
     return zlib.crc32(str(k).encode()) % 7 == 2
 
