@@ -174,3 +174,22 @@ def test_plan_packs_as_best_fit_does(counts):
             assert offset == at
             at += length
         assert at <= 50
+
+
+def test_idle_workers_forget_their_pieces(spark, documents):
+    """What workers remember of a tokenizer must not be missing in the jobs that follow."""
+    import sys
+    import time
+
+    import pyarrow as pa
+
+    pack_documents(documents, PATH).collect()
+    time.sleep(4)
+
+    def kept(batches):
+        for _ in batches:
+            time.sleep(0.2)  # every worker gets some
+            held = vars(sys.modules["_verbena_worker_pieces"]) if "_verbena_worker_pieces" in sys.modules else {}
+            yield pa.RecordBatch.from_pydict({"n": pa.array([sum(hasattr(x, "forget") for x in held.values())], pa.int64())})
+
+    assert spark.range(0, 32, 1, 32).mapInArrow(kept, "n long").agg({"n": "sum"}).first()[0] == 0

@@ -128,6 +128,7 @@ def class_texts(base: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             keys = [set_key(s) if len(s) else None for lo, hi in chunk_rows(offsets)
                     for s in shingle_sets(offsets, data, lo, hi, width)]
             yield out_batch(schema, [pa.array(keys, pa.binary()), batch.column(0)])
+        give_back()
 
     nameless = base.where("doc_id is null").select("text").mapInArrow(named, schema) \
         .join(sized(wanted.where("doc is null").select("cls")), "cls", "left_semi")
@@ -138,6 +139,7 @@ def class_texts(base: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             same = [bool(len(s)) and set_key(s) == c for (lo, hi) in chunk_rows(offsets) for s, c in zip(
                 shingle_sets(offsets, data, lo, hi, width), batch.column(0)[lo:hi].to_pylist(), strict=True)]
             yield out_batch(schema, batch.filter(pa.array(same, pa.bool_())).columns)
+        give_back()
 
     return rows.mapInArrow(check, schema).unionAll(nameless).dropDuplicates(["cls"])
 
@@ -172,6 +174,8 @@ def confirmed(pairs: DataFrame, members: DataFrame, width: int, percent: int) ->
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield out_batch(schema, batch.select([0, 1]).filter(pa.array(ok, pa.bool_())).columns)
+        seen.clear()
+        give_back()
 
     return full.mapInArrow(run, schema)
 
@@ -232,6 +236,7 @@ def block_links(rows: DataFrame, members: DataFrame, width: int, percent: int) -
             for lo, hi in chunk_rows(offsets):
                 found = [x.tobytes() for x in shingle_sets(offsets, data, lo, hi, width)]
                 yield out_batch(kept, [batch.column(0).slice(lo, hi - lo), pa.array(found, pa.binary())])
+        give_back()
 
     wanted = members.join(rows.select("cls").distinct(), "cls", "left_semi").select("cls", "text")
     own = materialise(wanted.mapInArrow(sets, kept).withColumn("bytes", F.octet_length("set")), "sets")
@@ -244,6 +249,7 @@ def block_links(rows: DataFrame, members: DataFrame, width: int, percent: int) -
     schema = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
 
     def compare(table: pa.Table) -> pa.Table:
+        give_back()
         cls, root = table.column("cls").to_pylist(), table.column("root").to_pylist()
         block, own_sets = table.column("block").to_numpy(), [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
         size = np.array([len(x) for x in own_sets])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from .common import chunk_rows, give_back, id_field, materialise, out_batch, pick, texts
-from .pretokens import CHUNK, chunk_words, remembered
+from .pretokens import CHUNK, chunk_words, remembered, rest
 
 #: Pieces that one ranking task group holds at most (fewer on small inputs).
 RANK_ROWS = 100_000
@@ -122,6 +122,8 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, capacity: int, separator: in
             piece = np.array(piece, dtype=np.int64)
             yield out_batch(schema, [batch.column(0).take(pa.array(row, pa.int64())), piece, piece * capacity,
                                      pa.array(size, pa.int64()), pa.array(crc, pa.int64())])
+        pieces = None
+        rest()
         give_back()
 
     return docs.mapInArrow(run, schema)
@@ -172,5 +174,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             nth, fill = rank - plan.rank[at], plan.fill[at]
             yield out_batch(schema, [*batch.columns[:5], plan.sequence[at] + nth // fill,
                                      plan.offset[at] + nth % fill * length])
+        give_back()
 
     return ranked.select(*names, "__vl_salt", "__vl_rank").mapInArrow(place, schema)

@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import threading
 import types
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from .common import CHUNK_BYTES, LOWER, chunk_rows, joined, materialise, out_batch, range_hashes, texts, word_spans
+from .common import CHUNK_BYTES, LOWER, chunk_rows, give_back, joined, materialise, out_batch, range_hashes, texts, word_spans
 
 #: Pre-tokens that are handed to every task at most.
 FREQUENT = 1_000_000
@@ -32,6 +33,8 @@ FREQUENT = 1_000_000
 CHUNK = CHUNK_BYTES
 #: Pre-tokens that a ``Pieces`` remembers at most before it starts anew.
 REMEMBERED = 800_000
+#: Seconds after which a worker without a task forgets them.
+REST_SECONDS = 2.0
 
 
 #: Signs of which one may stand between pre-tokens that are tokenized together.
@@ -213,11 +216,32 @@ def remembered(path: str) -> Pieces:
     stay has a module name of its own.)
     """
     store = sys.modules.setdefault("_verbena_worker_pieces", types.ModuleType("_verbena_worker_pieces")).__dict__
+    if (timer := store.pop("timer", None)) is not None:
+        timer.cancel()
     if path not in store:
         store[path] = Pieces(path)
     return store[path]
 
 
+def rest(seconds: float = REST_SECONDS) -> None:
+    """At the end of a task: a worker that gets no other one that asks for its ``Pieces`` for so long forgets them.
+
+    (Workers stay for the jobs that follow; what they keep would be missing there.)
+    """
+    store = sys.modules["_verbena_worker_pieces"].__dict__
+
+    def forget():
+        if store.get("timer") is timer:
+            for path in [p for p, x in store.items() if hasattr(x, "forget")]:
+                del store[path]
+            give_back()
+
+    timer = threading.Timer(seconds, forget)
+    timer.daemon = True
+    store["timer"] = timer
+    timer.start()
+
+
 @dataclass
 class Known:
     """Frequent pre-tokens by hash and how many pieces each has; ``complete``: there are no others."""

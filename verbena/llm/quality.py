@@ -141,6 +141,8 @@ def fit_importance(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", t
         yield out_batch(schema, [np.append(at, also + size), np.append(raw[at], seen[also].astype(np.int64)),
                                  np.append(tgt[at], seen_tgt[also].astype(np.int64))])
         yield out_batch(schema, [np.array([size + wide]), np.array([labelled]), np.array([targets])])
+        raw = tgt = seen = seen_tgt = None
+        give_back()
 
     got = base.mapInArrow(count, schema).groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()  # at most size + wide + 1 rows

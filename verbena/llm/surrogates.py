@@ -191,6 +191,7 @@ def find_entities(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 seen.update((kind, text[a:b]) for a, b, kind in entities(text))
             if seen:
                 yield out_batch(schema, [pa.array(x, pa.string()) for x in zip(*seen, strict=True)])
+        give_back()
 
     return docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(run, schema).distinct()
 
@@ -282,6 +283,7 @@ def replace_entities(docs: DataFrame, key: bytes, text_col: str = "text", count_
                     kept[i] = t
                 cols[at] = pa.array(kept, pa.large_string())
             yield out_batch(schema, [*cols, *([pa.array(count)] if count_col else [])])
+        made.clear()
         give_back()
 
     return source.mapInArrow(run, schema)
@@ -298,6 +300,7 @@ def _with_draws(docs: DataFrame, settled: DataFrame, text_col: str) -> DataFrame
                     for a, b, kind in entities(t)}
             if rows:
                 yield out_batch(schema, [pa.array(x, pa.string()) for x in zip(*rows, strict=True)])
+        give_back()
 
     h = F.sha2(docs[text_col].cast("string"), 256)
     has = docs.select(h.alias("__vl_h"), docs[text_col].cast("string").alias("t")).where("t is not null").mapInArrow(run, schema)
