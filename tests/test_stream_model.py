@@ -94,3 +94,20 @@ def test_parallel_selection_same_choice(spark):
     many = T.select_best(*args, parallelism=3)
     assert one.params == many.params
     assert [h[0] for h in many.history] == [h[0] for h in one.history]
+
+
+def test_selection_keeps_no_texts(spark, monkeypatch):
+    """What is kept for all candidates: features and labels, not the texts and tokens that they come from."""
+    from verbena.plans import training as T
+    seen, fit = [], T.fit_heads
+
+    def noted(feats, heads, params):
+        seen.append(set(feats.columns))
+        return fit(feats, heads, params)
+
+    monkeypatch.setattr(T, "fit_heads", noted)
+    rows = spark.createDataFrame([(i, f"w{i % 3} w{i % 2}", i % 3) for i in range(30)], "id long, processed_text string, label int")
+    rows = T._with_targets(rows, [T.SENTIMENT], {"sentiment": "label"})
+    sel = T.select_best(T.fit_features(rows), rows, rows, [T.SENTIMENT], {"sentiment": "label"}, {"sentiment": [0, 1, 2]},
+                        [{"regParam": 0.1, "maxIter": 3}])
+    assert seen == [{"features", T.SENTIMENT.label}] and sel.score > 0

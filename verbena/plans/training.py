@@ -134,8 +134,8 @@ def select_best(features: PipelineModel, train: DataFrame, val: DataFrame,
                 parallelism: int = 1) -> Selection:
     """M4: strict improvement, counter reset on improvement, stop after ``patience``.
 
-    Train and validation features are computed once and kept (memory, spilling
-    to disk) for all candidates; every fit and evaluation is distributed.
+    Train and validation features are computed once and kept without the texts
+    and tokens (memory, spilling to disk) for all candidates; every fit and evaluation is distributed.
     With ``parallelism > 1`` that many candidates are fitted at once (their
     jobs share the cluster); the patience rule is then applied to the scores
     in grid order, so the chosen model is the same as one at a time.
@@ -143,8 +143,10 @@ def select_best(features: PipelineModel, train: DataFrame, val: DataFrame,
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark import StorageLevel
-    tr = features.transform(train).persist(StorageLevel.MEMORY_AND_DISK)
-    va = features.transform(val).persist(StorageLevel.MEMORY_AND_DISK)
+    targets = [h.label for h in heads]
+    tr = features.transform(train).select("features", *targets).persist(StorageLevel.MEMORY_AND_DISK)
+    va = features.transform(val).select("features", *dict.fromkeys([*targets, *(actual[h.name] for h in heads)])) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
 
     def attempt(params: dict):
         models = fit_heads(tr, heads, params)
@@ -212,7 +214,7 @@ def run_multitask(labelled: DataFrame, abbreviations: dict | None = None,
     split = stratified_split(data, ["label", "task"], "id", 0.15, 0.15, 42)
     heads = [SENTIMENT, TOPIC]
     cols = {"sentiment": "label", "task": "task"}
-    split = _materialize(_with_targets(split, heads, cols))
+    split = _materialize(_with_targets(split, heads, cols).drop("comment"))
     train = split.filter(F.col("split") == "train")
     val = split.filter(F.col("split") == "val")
     test = split.filter(F.col("split") == "test")
