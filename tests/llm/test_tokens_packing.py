@@ -45,6 +45,25 @@ def test_remembered_words_start_anew(documents, rows, monkeypatch):
     check_packing(pack_documents(documents, PATH).collect(), rows.items(), 2048)
 
 
+def test_words_met_again_stay_remembered(monkeypatch):
+    """A full memory keeps the words that came back, at most half of it, and gives the same pieces."""
+    from verbena.llm import pretokens
+    monkeypatch.setattr(pretokens, "REMEMBERED", 6)
+    pieces, learned = pretokens.Pieces(PATH), []
+    found = pieces.tokenizer.pieces
+    monkeypatch.setattr(pieces.tokenizer, "pieces", lambda words, *a: learned.append(list(words)) or found(words, *a))
+    chunks = ["one two twenty", "one two unhappily", "one two four five", "one six", "two seven", "a b c d e f one two", "a b c d e f one two",
+              "a b c d e f one two", "unhappily twenty"]
+    for text in chunks:
+        raw = text.encode()
+        buf, starts, ends, h, _ = pretokens.chunk_words(np.array([0, len(raw)]), memoryview(raw), 0, 1, pieces.fold)
+        for w, n in zip(text.split(), pieces.numbers(buf, starts, ends, h), strict=True):
+            assert pieces.ids[pieces.first[n]: pieces.first[n] + pieces.length[n]].tolist() == ids(w)
+        assert len(pieces.hashes) <= 6 + len(starts)
+    met = Counter(w for words in learned for w in words)
+    assert met[b"one"] == met[b"two"] == 1
+
+
 def test_words_of_one_hash_stay_apart(spark, monkeypatch):
     """Hashes that collide cost a lookup, never a result."""
     from verbena.llm import pretokens

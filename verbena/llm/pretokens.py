@@ -31,14 +31,14 @@ from .common import CHUNK_BYTES, LOWER, chunk_rows, give_back, joined, materiali
 FREQUENT = 1_000_000
 #: Bytes of text that are hashed at once.
 CHUNK = CHUNK_BYTES
-#: Pre-tokens that a ``Pieces`` remembers at most before it starts anew.
+#: Pre-tokens that a ``Pieces`` remembers at most before it forgets those that it met once (and half of them at least).
 REMEMBERED = 800_000
 #: Seconds after which a worker without a task forgets them.
 REST_SECONDS = 2.0
 
 
-#: Signs of which one may stand between pre-tokens that are tokenized together.
-SIGNS = ("\U0001F602", "\u2764", "\u2605")
+#: Signs of which one may stand between pre-tokens that are tokenized together (the shorter, the faster).
+SIGNS = ("\x01", "\U0001F602", "\u2764", "\u2605")
 
 
 class Tokenizer:
@@ -51,7 +51,9 @@ class Tokenizer:
         self.library.no_truncation()
         self.library.no_padding()
         #: A sign with a piece of its own, which no pre-token without the sign can give; None where there is no such sign.
-        self.sign = next((x for x in SIGNS if len(self._encode([x])[0]) == 1 and self._encode([f"a {x} a"])[0].count(self._encode([x])[0][0]) == 1), None)
+        unknown = getattr(self.library.model, "unk_token", None)
+        self.sign = next((x for x in SIGNS if len(self._encode([x])[0]) == 1 and self.library.id_to_token(self._encode([x])[0][0]) != unknown
+                          and self._encode([f"a {x} a"])[0].count(self._encode([x])[0][0]) == 1), None)
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -177,26 +179,41 @@ class Pieces:
     def forget(self) -> None:
         self.hashes, self.number = np.empty(0, np.uint64), np.empty(0, np.int64)  # sorted by hash
         self.first, self.length, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u4")
+        self.again = np.empty(0, np.int32)  # chunks in which a word was met after the first
         self.marks = [np.empty(0, t) for t in (np.int64, np.uint64, np.uint64)]  # word length, first and last bytes
 
+    def _thin_out(self) -> None:
+        """Forget the words that were not met again, and more of them if they are not half of all."""
+        at = np.flatnonzero(self.again[self.number])
+        if len(at) > REMEMBERED // 2:
+            at = np.sort(at[np.argsort(-self.again[self.number[at]], kind="stable")[: REMEMBERED // 2]])
+        k = self.number[at]
+        n = self.length[k]
+        first = np.cumsum(n) - n
+        self.ids = self.ids[np.repeat(self.first[k] - first, n) + np.arange(n.sum())]
+        self.first, self.length, self.again, self.marks = first, n, self.again[k] // 2, [m[k] for m in self.marks]
+        self.hashes, self.number = self.hashes[at], np.arange(len(at))
+
     def _learn(self, words: list[bytes], marks: list[np.ndarray]) -> np.ndarray:
         ids, n = self.tokenizer.pieces(words)
         numbers = len(self.length) + np.arange(len(words))
         self.first = np.append(self.first, len(self.ids) + np.cumsum(n) - n)
         self.length = np.append(self.length, n)
         self.ids = np.append(self.ids, ids)
+        self.again = np.append(self.again, np.zeros(len(words), np.int32))
         self.marks = [np.append(a, b) for a, b in zip(self.marks, marks, strict=True)]
         return numbers
 
     def numbers(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray) -> np.ndarray:
         """The number of each word of a chunk."""
         if len(self.hashes) > REMEMBERED:
-            self.forget()
+            self._thin_out()
         marks = [ends - starts, *ends_of(buf, starts, ends)]
         unique, at, back = np.unique(h, return_index=True, return_inverse=True)
         place = np.searchsorted(self.hashes, unique)
         new = np.flatnonzero(np.append(self.hashes, 0)[place] != unique if len(self.hashes) else np.ones(len(unique), bool))
         new = np.union1d(new, np.flatnonzero(place == len(self.hashes)))
+        self.again[self.number[np.delete(place, new)]] += 1
         k = at[new]
         learned = self._learn(cut_out(buf, starts[k], ends[k]), [m[k] for m in marks])
         self.number = np.insert(self.number, place[new], learned)
