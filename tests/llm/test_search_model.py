@@ -271,3 +271,38 @@ def test_key_filter_misses_no_key(spark):
     bits = S.key_filter(spark.createDataFrame([(int(k),) for k in keys], "key long").repartition(3))
     assert S.may_have(bits, keys).all()
     assert S.may_have(bits, np.random.default_rng(3).integers(-(1 << 63), (1 << 63) - 1, 3000)).mean() < 0.01
+
+
+def test_sent_keys_do_not_grow_with_the_buckets():
+    """Buckets are ranges of keys: the steps between sorted keys stay as small however many buckets there are."""
+    keys = np.sort(np.random.default_rng(4).integers(-(1 << 63), (1 << 63) - 1, 200_000))
+    few, many = ({b: S.squeeze_sorted(keys[at]) for b, at in S.bucket_slices(keys, n)} for n in (4, 400))
+    assert len(many) == 400 and sum(map(len, many.values())) < 1.05 * sum(map(len, few.values()))
+    got = [S.unsqueeze_sorted(many[b], len(at), np.int64) for b, at in S.bucket_slices(keys, 400)]
+    assert (np.concatenate(got) == keys).all()
+    some = got[17]
+    assert (S.Places(some).find(keys) >= 0).sum() == len(some) and (S.Places(some).find(some) == np.arange(len(some))).all()
+    assert np.diff(S.Places(some).begin).max() < 20  # few keys share a place
+
+
+@pytest.mark.parametrize("dtype", [np.int64, np.uint32, np.float64])
+def test_squeezed_numbers(dtype):
+    for a in ([], [0], [0, 0, 3], [1, 255, 256, 70000], [(1 << 31) + 5, 7]):
+        a = np.array(a, dtype=dtype)
+        assert (S.unsqueeze(S.squeeze(a), len(a), dtype) == a).all()
+    a = np.array([-1, 5, -(1 << 63), (1 << 63) - 1], dtype=np.int64)
+    assert (S.unsqueeze(S.squeeze(a), 4, np.int64) == a).all() and (S.unsqueeze_words(S.squeeze_words(a), 4) == a).all()
+    assert len(S.squeeze(np.ones(1000, dtype=np.int64))) < 40
+
+
+def test_key_filter_grows_with_its_keys(spark, monkeypatch):
+    """As sharp for many keys as for few, up to the most it may take."""
+    monkeypatch.setattr(S, "FILTER_WORDS", 1 << 4)
+    monkeypatch.setattr(S, "MOST_FILTER_WORDS", 1 << 11)
+    rng = np.random.default_rng(5)
+    for n, words in ((40, 1 << 4), (4000, 1 << 10), (20_000, 1 << 11)):
+        keys = rng.integers(-(1 << 63), (1 << 63) - 1, n)
+        bits = S.key_filter(spark.createDataFrame([(int(k),) for k in keys], "key long").repartition(3))
+        assert len(bits) == words and S.may_have(bits, keys).all()
+        if words < 1 << 11:
+            assert S.may_have(bits, rng.integers(-(1 << 63), (1 << 63) - 1, 5000)).mean() < 0.08

@@ -12,14 +12,15 @@ An n-gram is part of the tree if it occurs ``min_count`` times, however large
 the corpus is.  Counting goes level by level: a longer n-gram is counted only
 where both its parts were found often enough.  Tasks send their counts, and
 later what they ask of the tree, as sorted and compressed arrays, one for each
-bucket of keys, so that a shuffled n-gram takes a few bytes.
+bucket of keys (a range of them), so that a shuffled n-gram takes a few bytes.
 
 The score of a text is a sum over its n-grams: a state adds its backoff
 wherever it occurs, and an n-gram with a probability of its own adds what that
 differs by from the backed-off one.  Tasks hold the n-grams whose share of all
 tokens is at least ``vocabulary_share`` (at most 1 / vocabulary_share an
-order) and ask the buckets of the tree for the others; a bit filter of fixed
-size spares them most questions about n-grams that the tree does not have.
+order) and ask the buckets of the tree for the others; a bit filter that
+grows with the tree, up to a fixed size, spares them most questions about
+n-grams that the tree does not have.
 """
 
 from __future__ import annotations
@@ -43,8 +44,8 @@ MIN_COUNT, VOCABULARY_SHARE, DIVERGENCE, DEPTH = 2, 1e-6, 20.0, 2
 HELD_GRAMS = 1_000_000
 #: Bytes of text whose n-grams are counted, or looked up, in one bucket of keys.
 COUNT_BYTES, ASK_BYTES = 12 << 20, 16 << 20
-#: 64-bit words of a bit filter.
-FILTER_WORDS = 1 << 20
+#: Bits of a bit filter for each of its keys, and its 64-bit words, at least and at most (64 MB).
+FILTER_BITS, FILTER_WORDS, MOST_FILTER_WORDS = 16, 1 << 20, 1 << 23
 FILTER_BLOCKS = 16
 #: Bytes of text that are worked on at a time, so that their arrays stay in a core's cache.
 PART_BYTES = 1 << 18
@@ -69,17 +70,19 @@ def looked_up(table: DataFrame) -> DataFrame:
 
 
 class Places:
-    """Finds keys in sorted, evenly spread ones: their leading bits say where the few that share them begin."""
+    """Finds keys in sorted ones, spread evenly between the least and the largest: the leading bits of their distance
+    from the least say where the few that share them begin."""
 
     def __init__(self, sorted_keys: np.ndarray):
         self.keys = sorted_keys
-        bits = max(1, len(sorted_keys).bit_length())
-        self.shift = _U(64 - bits)
-        lead = np.bincount(self._lead(sorted_keys), minlength=1 << bits) if len(sorted_keys) else np.zeros(1 << bits, np.int64)
-        self.begin = np.append(0, np.cumsum(lead)).astype(np.int32)
+        self.least = sorted_keys[:1].view(np.uint64).sum(dtype=np.uint64)
+        span = int(sorted_keys[-1]) - int(sorted_keys[0]) if len(sorted_keys) else 0
+        self.shift = _U(max(0, span.bit_length() - max(1, len(sorted_keys).bit_length())))
+        self.cells = (span >> int(self.shift)) + 2  # the last one for keys beyond, and empty
+        self.begin = np.append(0, np.cumsum(np.bincount(self._lead(sorted_keys), minlength=self.cells))).astype(np.int32)
 
     def _lead(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) ^ _U(1 << 63)) >> self.shift).view(np.int64)
+        return np.minimum((keys.view(np.uint64) - self.least) >> self.shift, _U(self.cells - 1)).view(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Index of each key in the sorted ones, or -1."""
@@ -115,14 +118,20 @@ def grams(tok: np.ndarray, lengths: np.ndarray, orders: int):
 
 
 def squeeze(a: np.ndarray) -> bytes:
-    """An array of numbers, byte plane by byte plane, compressed."""
-    return pa.compress(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes(), codec="zstd", asbytes=True)
+    """An array of numbers, byte plane by byte plane, compressed; whole numbers without the planes that are all zero."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize)
+    if a.dtype.kind in "iu" and len(a):
+        most = int(np.bitwise_or.reduce(a.view(f"u{a.itemsize}")))
+        planes = planes[:, : max(1, -(-most.bit_length() // 8))]
+    return bytes([planes.shape[1]]) + pa.compress(planes.T.tobytes(), codec="zstd", asbytes=True)
 
 
 def unsqueeze(packed: bytes, n: int, dtype) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
-    raw = pa.decompress(packed, n * width, codec="zstd", asbytes=True)
-    return np.frombuffer(raw, dtype=np.uint8).reshape(width, n).T.copy().view(dtype).ravel()
+    width = packed[0]
+    raw = pa.decompress(memoryview(packed)[1:], n * width, codec="zstd", asbytes=True)
+    out = np.zeros((n, np.dtype(dtype).itemsize), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(raw, dtype=np.uint8).reshape(width, n).T
+    return out.view(dtype).ravel()
 
 
 def squeeze_sorted(a: np.ndarray) -> bytes:
@@ -134,28 +143,42 @@ def unsqueeze_sorted(packed: bytes, n: int, dtype) -> np.ndarray:
     return np.cumsum(unsqueeze(packed, n, dtype), dtype=dtype)
 
 
+def squeeze_words(a: np.ndarray) -> bytes:
+    """As ``squeeze``, for hashes in no order of which some come again: as they are, compressed."""
+    return pa.compress(np.ascontiguousarray(a), codec="zstd", asbytes=True)
+
+
+def unsqueeze_words(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, n * 8, codec="zstd", asbytes=True), dtype=np.int64)
+
+
 def bucket_slices(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """``bucket, places`` of the keys of each bucket; places keep their order."""
-    bucket = ((keys.view(np.uint64) >> _U(32)) % _U(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
-    by = np.argsort(bucket, kind="stable")
-    ends = np.cumsum(np.bincount(bucket.astype(np.int64), minlength=buckets))
-    for b in np.flatnonzero(np.diff(ends, prepend=0)):
-        yield int(b), by[ends[b - 1] if b else 0: ends[b]]
+    """``bucket, places`` of the sorted keys of each bucket.  A bucket is a range of keys, so that the steps between
+    the keys that a task sends to it depend on how many it sends in all, not on how many buckets there are."""
+    least = [((-(-(b << 32) // buckets) << 32) - (1 << 63)) for b in range(buckets)]
+    ends = np.append(np.searchsorted(keys, np.array(least[1:], dtype=np.int64)), len(keys))
+    begins = np.append(0, ends[:-1])
+    for b in np.flatnonzero(ends > begins):
+        yield int(b), np.arange(begins[b], ends[b])
 
 
 def key_filter(keys: DataFrame) -> np.ndarray:
-    """Bits of a one-column table of keys; ``FILTER_WORDS`` numbers however many keys there are."""
+    """Bits of a one-column table of keys: ``FILTER_BITS`` a key, rounded up to a power of two inside the bounds."""
     schema = StructType([StructField("block", IntegerType()), StructField("bits", BinaryType())])
-    size = FILTER_WORDS * 8 // FILTER_BLOCKS
+    need = -(-FILTER_BITS * keys.count() // 64)
+    words = min(max(FILTER_WORDS, 1 << max(0, need - 1).bit_length()), MOST_FILTER_WORDS)
+    size = words * 8 // FILTER_BLOCKS
 
     def run(batches):
-        bits = np.zeros(FILTER_WORDS * 8, dtype=np.uint8)
+        bits = np.zeros(words * 8, dtype=np.uint8)
         for batch in batches:
-            place = batch.column(0).to_numpy().view(np.uint64) & _U(FILTER_WORDS * 64 - 1)
+            place = batch.column(0).to_numpy().view(np.uint64) & _U(words * 64 - 1)
             np.bitwise_or.at(bits, place >> _U(3), np.left_shift(1, place & _U(7), dtype=np.uint64).astype(np.uint8))
         for i, block in enumerate(bits.reshape(FILTER_BLOCKS, size)):
             if block.any():
                 yield out_batch(schema, [pa.array([i]), pa.array([squeeze(block)], pa.binary())])
+        bits = block = None
+        give_back()
 
     def either(table: pa.Table) -> pa.Table:
         bits = np.zeros(size, dtype=np.uint8)
@@ -173,7 +196,7 @@ def key_filter(keys: DataFrame) -> np.ndarray:
 def may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether each key may be in the table of ``bits``; no key of the table is missed."""
     u = keys.view(np.uint64)
-    word = bits.view(np.uint64)[(u >> _U(6)) & _U(FILTER_WORDS - 1)]
+    word = bits.view(np.uint64)[(u >> _U(6)) & _U(len(bits) - 1)]
     return (word >> (u & _U(63))) & _U(1) != 0
 
 
@@ -218,12 +241,11 @@ def _counts(base: DataFrame, order: int, min_count: int, buckets: int, shorter:
         left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
         if len(left):
             key, left, right, n = summed(left, right, np.ones(len(left), dtype=np.int64))
-            if order > 1:  # words are in order already
-                by = np.argsort(left)
-                key, left, right, n = key[by], left[by], right[by], n[by]
             for b, at in bucket_slices(key, buckets):
+                if order > 1:  # words are in order already
+                    at = at[np.argsort(left[at])]
                 yield out_batch(packed, [pa.array([b]), pa.array([len(at)]), *[pa.array([x], pa.binary()) for x in (
-                    squeeze_sorted(left[at]), squeeze(right[at]), squeeze(n[at]))]])
+                    squeeze_sorted(left[at]), squeeze_words(right[at]), squeeze(n[at]))]])
 
     def run(batches):
         held, size = [], 0
@@ -249,7 +271,7 @@ def _counts(base: DataFrame, order: int, min_count: int, buckets: int, shorter:
 
     def merge(table: pa.Table) -> pa.Table:
         give_back()
-        parts = [(unsqueeze_sorted(r["left"], r["size"], np.int64), unsqueeze(r["right"], r["size"], np.int64),
+        parts = [(unsqueeze_sorted(r["left"], r["size"], np.int64), unsqueeze_words(r["right"], r["size"]),
                   unsqueeze(r["n"], r["size"], np.int64)) for r in table.to_pylist()]
         columns = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
         enough = columns[-1] >= least
@@ -385,7 +407,8 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     one by one, also those that repeat an id or have none.
     """
     extra = extra or {}
-    tree, _ = fit_suffix_tree(docs.where(train), text_col, **fit)
+    tree, unigrams = fit_suffix_tree(docs.where(train), text_col, **fit)
+    discard(unigrams)  # the weights have them
     base = docs.select(docs[id_col].alias("doc_id"), *[c.alias(n) for n, c in extra.items()],
                        F.monotonically_increasing_id().alias("row"), docs[text_col].cast("string").alias("text"))
     at, kept = len(base.columns) - 1, len(base.columns) - 2
