@@ -306,3 +306,26 @@ def test_key_filter_grows_with_its_keys(spark, monkeypatch):
         assert len(bits) == words and S.may_have(bits, keys).all()
         if words < 1 << 11:
             assert S.may_have(bits, rng.integers(-(1 << 63), (1 << 63) - 1, 5000)).mean() < 0.08
+
+
+def test_search_takes_one_shard_at_a_time(spark, documents, monkeypatch):
+    """A batch of the index holds one shard, however many a task has; the session's setting comes back."""
+    load = bm25._load
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    counted = spark.sparkContext.accumulator(0)
+    more = spark.sparkContext.accumulator(0)
+
+    def loaded(batch, i):
+        counted.add(1)
+        more.add(batch.num_rows - 1)
+        return load(batch, i)
+
+    monkeypatch.setattr(bm25, "SHARD_BYTES", 4000)
+    monkeypatch.setattr(bm25, "_load", loaded)
+    before = spark.conf.get(key)
+    bm25.small_batches(spark)
+    small = spark.conf.get(key)
+    top_k(documents, documents.where("doc_id % 20 = 0")).collect()
+    assert spark.conf.get(key) == small
+    spark.conf.set(key, before)
+    assert counted.value > 10 and more.value == 0
