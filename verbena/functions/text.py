@@ -18,6 +18,9 @@ from pyspark.sql import Column, functions as F
 # and ``\w`` on assigned code points.  Written in a form both Java regex and
 # RE2 (DuckDB) accept.
 WS = r"[\t-\r\x{1C}-\x{20}\x{85}\p{Z}]"
+# the characters of WS
+WS_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
+                             0x202F, 0x205F, 0x3000]))
 WORD = r"[\p{L}\p{N}_]"
 # anything that is not a word char, whitespace or '.'
 SYMBOL = r"[^\p{L}\p{N}_\t-\r\x{1C}-\x{20}\x{85}\p{Z}.]"
@@ -30,8 +33,8 @@ def _c(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Python ``str.strip()``: remove leading and trailing whitespace."""
-    return F.regexp_replace(_c(c), "^" + WS + "+|" + WS + r"+\z", "")
+    """Python ``str.strip()``: remove leading and trailing whitespace (only the ends are looked at, not the whole text)."""
+    return F.trim(_c(c), F.lit(WS_CHARS))
 
 
 def collapse_ws(c: Column | str) -> Column:

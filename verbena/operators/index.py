@@ -20,7 +20,7 @@ that only for inputs whose range exchange is known to be reused.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -39,7 +39,8 @@ def _as_cols(cols) -> list[Column]:
 
 def row_index(df: DataFrame, order_by: Sequence, name: str = "row_idx",
               group_by: Sequence[str] = (), num_partitions: int | None = None,
-              materialize: bool = True, group_size: str | None = None) -> DataFrame:
+              materialize: bool = True, group_size: str | None = None,
+              prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Add ``name``: 0-based position of each row in ``order_by`` order.
 
     With ``group_by`` the position restarts in every group (rank within a
@@ -48,13 +49,16 @@ def row_index(df: DataFrame, order_by: Sequence, name: str = "row_idx",
     window partitioned by the group instead.  ``group_size`` adds each
     group's row count, taken from the same small table.  ``order_by`` must be a total
     order (unique), otherwise ties take an arbitrary but consistent order.
+    ``prepare`` is a projection of the rows that keeps the order and group
+    columns as they are: it is done after the range exchange, whose sampling
+    would do it a second time for every row.
     """
     group_by = list(group_by)
     keys = _as_cols(group_by) + _as_cols(order_by)
     n = _partitions(df, num_partitions)
-    base = (df.repartitionByRange(n, *keys)
-            .sortWithinPartitions(*keys)
-            .withColumn(_PID, F.spark_partition_id())
+    base = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    base = prepare(base) if prepare else base
+    base = (base.withColumn(_PID, F.spark_partition_id())
             .withColumn(_MID, F.monotonically_increasing_id()))
     base = base.withColumn(_LOC, F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33))
     if materialize:
@@ -99,15 +103,16 @@ def row_index(df: DataFrame, order_by: Sequence, name: str = "row_idx",
 
 def batch_rows(df: DataFrame, order_by: Sequence, size: int = 5,
                columns: Sequence[str] = ("id", "comment"), index_col: str = "row_idx",
-               num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+               num_partitions: int | None = None,
+               prepare: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """A1: consecutive rows in groups of ``size``; the last group may be short.
 
     Returns ``(rows, batches)``: ``rows`` is the input with ``row_idx``,
     ``batch_id`` and ``pos`` (0-based place in its batch); ``batches`` has one
     row per batch with ``items = array<struct<pos, ...columns>>`` sorted by
-    ``pos``.  Every group holds at most ``size`` rows.
+    ``pos``.  Every group holds at most ``size`` rows.  ``prepare``: as for ``row_index``.
     """
-    rows = row_index(df, order_by, index_col, num_partitions=num_partitions)
+    rows = row_index(df, order_by, index_col, num_partitions=num_partitions, prepare=prepare)
     rows = (rows.withColumn("batch_id", F.floor(F.col(index_col) / F.lit(size)).cast("long"))
             .withColumn("pos", (F.col(index_col) % F.lit(size)).cast("int")))
     item = F.struct(F.col("pos"), *[F.col(c) for c in columns])

@@ -38,10 +38,10 @@ def split_response(response: Column) -> Column:
     With a pipe: split, strip, drop blank parts.  Without one the whole
     answer is the single part, even if blank.  A null answer stays null.
     """
-    r = strip(response)
-    parts = F.filter(F.transform(F.split(r, r"\|", -1), strip), lambda p: p != F.lit(""))
-    return (F.when(r.isNull(), F.lit(None).cast("array<string>"))
-            .when(r.contains("|"), parts).otherwise(F.array(r)))
+    # a pipe is no white space: the whole answer need not be stripped to look for one, nor before its parts are
+    parts = F.filter(F.transform(F.split(response, r"\|", -1), strip), lambda p: p != F.lit(""))
+    return (F.when(response.isNull(), F.lit(None).cast("array<string>"))
+            .when(response.contains("|"), parts).otherwise(F.array(strip(response))))
 
 
 def parse_part(part: Column, mode: str = "batch", comment: Column | None = None) -> Column:

@@ -104,9 +104,8 @@ def q_abbreviation_last_wins(spark, sf):
 
 
 def _batched(spark, sf, columns=("id", "comment")):
-    c = prepare_comments(D.comments(spark, sf).select("doc_id", "id", "comment",
-                                                      F.lit("1").alias("label")), keep=("doc_id",))
-    return batch_rows(c, ["doc_id"], 5, columns)
+    c = D.comments(spark, sf).select("doc_id", "id", "comment", F.lit("1").alias("label"))
+    return batch_rows(c, ["doc_id"], 5, columns, prepare=lambda rows: prepare_comments(rows, keep=("doc_id",)))
 
 
 def q_prompt_batches(spark, sf):

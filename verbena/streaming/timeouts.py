@@ -34,8 +34,10 @@ HEARTBEAT = -1
 
 def _labelled(batches: DataFrame) -> DataFrame:
     """One labelled row for each item of each ``(batch_id, asked_at, items, response)``."""
-    rows = batches.select("batch_id", "asked_at", F.col("response").isNotNull().alias("answered"),
-                          split_response(F.col("response")).alias("__vb_parts"), F.explode("items").alias("__vb_item"))
+    # split in a select of its own: beside the explode Spark would split the whole answer again for each of its items
+    split = batches.select("batch_id", "asked_at", F.col("response").isNotNull().alias("answered"),
+                           split_response(F.col("response")).alias("__vb_parts"), "items")
+    rows = split.select("batch_id", "asked_at", "answered", "__vb_parts", F.explode("items").alias("__vb_item"))
     rows = rows.where(F.col("__vb_item").isNotNull()).select("batch_id", "asked_at", "answered", "__vb_parts", "__vb_item.*")
     part = F.get(F.col("__vb_parts"), F.col("pos").cast("int"))
     return apply_labels(rows.withColumn("__vb_lab", label_of(part, F.col("comment"))).drop("__vb_parts"), "__vb_lab")
@@ -124,9 +126,11 @@ def label_with_timeout_from_tables(spark: SparkSession, sf_dir: str) -> DataFram
     late = F.col("batch_id") % 11 == 7
     wait = F.when(late, 45).otherwise(F.col("batch_id") % 5).cast("int")
     answers = synthetic_responses(rows).select("batch_id", "response", F.timestamp_add("MINUTE", wait, asked_at).alias("answered_at"))
-    again = answers.where((F.col("batch_id") % 13 == 0) & F.col("response").isNotNull()).select(
-        "batch_id", F.lit("again(0-1)").alias("response"), F.timestamp_add("MINUTE", F.lit(50), F.col("answered_at")).alias("answered_at"))
-    answers.unionByName(again).write.parquet(f"{base}/answers")
+    first = F.struct("response", "answered_at")
+    again = F.struct(F.lit("again(0-1)").alias("response"), F.timestamp_add("MINUTE", F.lit(50), F.col("answered_at")).alias("answered_at"))
+    twice = (F.col("batch_id") % 13 == 0) & F.col("response").isNotNull()
+    answers = answers.select("batch_id", F.explode(F.when(twice, F.array(first, again)).otherwise(F.array(first))).alias("a"))
+    answers.select("batch_id", "a.*").write.parquet(f"{base}/answers")
     answers = spark.read.schema(ANSWERS).parquet(f"{base}/answers")
     half = asked.agg(F.max("batch_id")).first()[0]
     half = -1 if half is None else half // 2
