@@ -22,3 +22,11 @@ def test_decontamination_decides_by_row(spark):
     items = spark.createDataFrame([(7, text("a"))], "item_id long, text string")
     got = drop_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items)
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [docs[1], docs[3], docs[4]]))
+
+
+def test_decontamination_takes_passages_without_an_id(spark, tmp_path):
+    items = [(7, text("a")), (None, text("b")), (None, text("b")), (8, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = [(1, text("a")), (2, text("x") + " " + text("b")), (3, text("b", 20)), (None, text("b", 39)), (4, None)]
+    got = corpus_pipeline.decontaminate(spark, spark.createDataFrame(docs, "doc_id long, text string"), str(tmp_path))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [docs[2], docs[4]]))
