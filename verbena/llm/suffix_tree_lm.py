@@ -26,7 +26,6 @@ n-grams that the tree does not have.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -36,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import chunk_rows, discard, give_back, materialise, mix64, out_batch, sized, texts, word_hashes
+from .common import chunk_rows, discard, give_back, materialise, mix64, out_batch, shuffles_removed, sized, texts, word_hashes
 
 DISCOUNT = 0.75
 MIN_COUNT, VOCABULARY_SHARE, DIVERGENCE, DEPTH = 2, 1e-6, 20.0, 2
@@ -200,18 +199,6 @@ def may_have(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (word >> (u & _U(63))) & _U(1) != 0
 
 
-@contextmanager
-def shuffles_removed(spark: SparkSession):
-    """Inside, Spark removes the shuffle files of a query when its result is written or fetched."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _buckets(base: DataFrame, size: int) -> int:
     """Buckets for about ``size`` bytes of the texts of ``base`` each."""
     total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0

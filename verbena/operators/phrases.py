@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.phrases import greedy_join, next_tokens
 from ..functions.text import tokens
-from .grams import LOOKUP_BYTES, gram_counts, join_known, spaced
-from .segment import _written, apart
+from .grams import LOOKUP_BYTES, gram_counts, join_known, shuffles_removed, spaced
+from .segment import _texts, _written, apart
 
 
 def _bigrams(toks):
@@ -22,18 +22,19 @@ def _bigrams(toks):
 
 
 def phrase_scores(df: DataFrame, text: str, min_count: int = 5, delta: float = 5.0,
-                  threshold: float = 0.0) -> DataFrame:
+                  threshold: float = 0.0, written: bool = False) -> DataFrame:
     """``(a, b, n_ab, n_a, n_b, score)`` for bigrams passing both cuts.
 
-    The texts' words are written once; unigrams and bigrams are added up in the
+    The texts are written once, or read as they are from a table (``written``); unigrams and bigrams are added up in the
     tasks before they are shuffled (``operators.grams``), and the counts are
     written once as tables for the joins.
     """
-    texts = _written(df.select(spaced(F.col(text)).alias("t")), "words")
-    uni = _written(gram_counts(texts, 1).select(F.col("phrase").alias("w"), "n"), "phrase-counts")
-    common = uni.where(F.col("n") >= min_count).select("w")
-    bi = _written(gram_counts(texts, 2, min_count, common).select(
-        F.substring_index("phrase", " ", 1).alias("a"), F.substring_index("phrase", " ", -1).alias("b"), F.col("n").alias("n_ab")), "phrase-counts")
+    texts = _texts(df, text, written)
+    with shuffles_removed(df.sparkSession):
+        uni = _written(gram_counts(texts, 1).select(F.col("phrase").alias("w"), "n"), "phrase-counts")
+        common = uni.where(F.col("n") >= min_count).select("w")
+        bi = _written(gram_counts(texts, 2, min_count, common).select(
+            F.substring_index("phrase", " ", 1).alias("a"), F.substring_index("phrase", " ", -1).alias("b"), F.col("n").alias("n_ab")), "phrase-counts")
     ua = uni.select(F.col("w").alias("a"), F.col("n").alias("n_a"))
     ub = uni.select(F.col("w").alias("b"), F.col("n").alias("n_b"))
     scored = bi.join(ua, "a").join(ub, "b").withColumn(
@@ -55,10 +56,11 @@ def apply_phrases(df: DataFrame, text: str, phrases: DataFrame, out: str = "phra
     stays null.
     """
     pair = F.concat_ws(" ", "a", "b")
-    known = _written(phrases.select(pair.alias("p"), F.lit(2).alias("n")).where(
-        (F.size(tokens("p")) == 2) & (F.col("p") == spaced(F.col("p")))).distinct(), "phrases")
+    with shuffles_removed(df.sparkSession):
+        known = _written(phrases.select(pair.alias("p"), F.lit(2).alias("n")).where(
+            (F.size(tokens("p")) == 2) & (F.col("p") == spaced(F.col("p")))).distinct(), "phrases")
     once, more = (df, None) if key is None else apart(df, key)
-    done = join_known(once, spaced(F.col(text)), known, out, limit)
+    done = join_known(once, F.col(text).cast("string"), known, out, limit)
     if done is None:
         return _apply_by_join(df, text, phrases, out, key)
     return done if more is None else done.unionByName(_apply_by_join(more, text, phrases, out, key))

@@ -293,7 +293,7 @@ def q_phrase_scores(spark, sf):
 def q_apply_phrases(spark, sf):
     from .operators.phrases import apply_phrases, phrase_scores
     docs = materialise(_processed_docs(spark, sf), "processed-docs")
-    p = phrase_scores(docs, "processed_text", PHRASE_MIN_COUNT, PHRASE_DELTA, PHRASE_THRESHOLD)
+    p = phrase_scores(docs, "processed_text", PHRASE_MIN_COUNT, PHRASE_DELTA, PHRASE_THRESHOLD, written=True)
     return apply_phrases(docs, "processed_text", p, "phrased", key="doc_id").select("doc_id", "phrased")
 
 
@@ -313,7 +313,7 @@ def q_segment_sentiment(spark, sf):
     """T10 with T8: sentiment texts, their words joined by longest match."""
     from .operators.segment import fit_phrases, segment
     docs = materialise(_sentiment_texts(spark, sf), "sentiment-texts")  # read by the fit and by the segmentation
-    p = fit_phrases(docs, "processed_text", PHRASE_MAX_LEN, PHRASE_MIN_COUNT, PHRASE_DELTA, PHRASE_THRESHOLD)
+    p = fit_phrases(docs, "processed_text", PHRASE_MAX_LEN, PHRASE_MIN_COUNT, PHRASE_DELTA, PHRASE_THRESHOLD, written=True)
     return segment(docs, "processed_text", p, key="doc_id").select("doc_id", "segmented")
 
 
