@@ -48,12 +48,12 @@ def apply_phrases(df: DataFrame, text: str, phrases: DataFrame, out: str = "phra
     """Join known phrases inside ``text`` into ``out``.
 
     A phrase table of up to ``limit`` bytes is held by every worker and each row
-    is joined where it lies.  For a larger one every bigram position is exploded
-    and looked up by a join, hit flags are put back in order per row and the
-    greedy pass runs.  ``key`` is a
-    unique row key; without one the rows are numbered in a table in the shared
-    folder.  Rows whose key repeats or is null are always joined.  A null text
-    stays null.
+    is joined where it lies; a larger one goes over the rows in several passes.
+    Rows whose ``key`` repeats or is null are always joined to it (all, with a
+    ``limit`` of 0): every bigram position is exploded and looked up by a join,
+    hit flags are put back in order per row and the greedy pass runs; without a
+    key the rows are numbered for that in a table in the shared folder.  A null
+    text stays null.
     """
     pair = F.concat_ws(" ", "a", "b")
     with shuffles_removed(df.sparkSession):
