@@ -110,3 +110,17 @@ def test_an_answer_is_split_once_for_its_batch_not_for_each_item(spark):
     got = T.label_in_time(spark.createDataFrame(BATCHES, T.BATCHES), spark.createDataFrame(ANSWERS, T.ANSWERS), "30 minutes")
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate explode") < plan.index("\\|, -1")
+
+
+def test_texts_go_when_the_streams_have_taken_them(spark, monkeypatch):
+    """Of the two streams' input, their state and the numbered rows only the labelled rows are left; no table is kept beside the streams' folders."""
+    import os
+    from verbena import session
+    from verbena.streaming.timeouts import label_with_timeout_from_tables
+    made = []
+    monkeypatch.setattr(session, "shared_dir", lambda s, name, f=session.shared_dir: made.append(f(s, name)) or made[-1])
+    out = label_with_timeout_from_tables(spark, SF001)
+    assert out.count() == spark.read.parquet(f"{SF001}/documents.parquet").count()
+    paths = [m.removeprefix("file:") for m in made]
+    left = {x for p in paths if "label-timeout" in p for x in os.listdir(p) if not x.startswith(".")}
+    assert left == {"out"} and not any(os.path.exists(p) for p in paths if "row-index" in p)

@@ -21,6 +21,8 @@ a filter drops would not move it.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.responses import apply_labels, label_of, split_response
@@ -106,6 +108,24 @@ def heartbeat(spark: SparkSession, batches: str, answers: str, at: str) -> None:
                           time.alias("answered_at")).write.mode("append").parquet(answers)
 
 
+@contextmanager
+def _small_state(spark: SparkSession):
+    """Inside, a stream that starts packs its state closer (its files hold the texts that wait)."""
+    key = "spark.sql.streaming.stateStore.compression.codec"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "zstd")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _delete(spark: SparkSession, *folders: str) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def label_with_timeout_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The labelling job over the driver's tables as two streams, in two sittings on one checkpoint.
 
@@ -113,6 +133,7 @@ def label_with_timeout_from_tables(spark: SparkSession, sf_dir: str) -> DataFram
     five minutes, one batch in eleven is never answered, one in eleven is
     answered late (delivered in the second sitting), and some are answered twice.
     """
+    from ..llm.common import discard, shuffles_removed
     from ..queries import _batched
     from ..session import shared_dir
     from ..sources.derived import synthetic_responses
@@ -121,29 +142,38 @@ def label_with_timeout_from_tables(spark: SparkSession, sf_dir: str) -> DataFram
     rows, batches = _batched(spark, sf_dir, ("doc_id", "id", "comment"))
     start = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
     asked_at = F.timestamp_add("SECOND", F.col("batch_id").cast("int"), start)
-    batches.select("batch_id", asked_at.alias("asked_at"), "items").write.parquet(f"{base}/asked")
-    asked = spark.read.schema(BATCHES).parquet(f"{base}/asked")
+    asked = batches.select("batch_id", asked_at.alias("asked_at"), "items")
     late = F.col("batch_id") % 11 == 7
     wait = F.when(late, 45).otherwise(F.col("batch_id") % 5).cast("int")
-    answers = synthetic_responses(rows).select("batch_id", "response", F.timestamp_add("MINUTE", wait, asked_at).alias("answered_at"))
-    first = F.struct("response", "answered_at")
-    again = F.struct(F.lit("again(0-1)").alias("response"), F.timestamp_add("MINUTE", F.lit(50), F.col("answered_at")).alias("answered_at"))
-    twice = (F.col("batch_id") % 13 == 0) & F.col("response").isNotNull()
-    answers = answers.select("batch_id", F.explode(F.when(twice, F.array(first, again)).otherwise(F.array(first))).alias("a"))
-    answers.select("batch_id", "a.*").write.parquet(f"{base}/answers")
-    answers = spark.read.schema(ANSWERS).parquet(f"{base}/answers")
-    half = asked.agg(F.max("batch_id")).first()[0]
+    twice = F.col("batch_id") % 13 == 0
+    half = rows.agg(F.max("batch_id")).first()[0]
     half = -1 if half is None else half // 2
 
-    def sitting(some: DataFrame, answered: DataFrame) -> None:
-        some.write.mode("append").parquet(f"{base}/in-batches")
-        answered.write.mode("append").parquet(f"{base}/in-answers")
-        start_labelling(spark.readStream.schema(BATCHES).parquet(f"{base}/in-batches"),
-                        spark.readStream.schema(ANSWERS).parquet(f"{base}/in-answers"),
-                        f"{base}/out", f"{base}/ckpt", "30 minutes", "1 hour", {"availableNow": True}).awaitTermination()
+    def answers(rows: DataFrame) -> DataFrame:
+        one = synthetic_responses(rows).select("batch_id", "response", F.timestamp_add("MINUTE", wait, asked_at).alias("answered_at"))
+        first = F.struct("response", "answered_at")
+        again = F.struct(F.lit("again(0-1)").alias("response"), F.timestamp_add("MINUTE", F.lit(50), F.col("answered_at")).alias("answered_at"))
+        all_ = F.when(twice & F.col("response").isNotNull(), F.array(first, again)).otherwise(F.array(first))
+        return one.select("batch_id", F.explode(all_).alias("a")).select("batch_id", "a.*")
+
+    def sitting(some: DataFrame, answered: DataFrame, used_up: DataFrame | None = None) -> None:
+        # straight to the streams' folders: texts lie on the disk once on either side, and go when both have taken them
+        with shuffles_removed(spark):
+            some.write.mode("append").parquet(f"{base}/in-batches", compression="zstd")
+            answered.write.mode("append").parquet(f"{base}/in-answers", compression="zstd")
+        if used_up is not None:
+            discard(used_up)
+        with _small_state(spark):
+            start_labelling(spark.readStream.schema(BATCHES).parquet(f"{base}/in-batches"),
+                            spark.readStream.schema(ANSWERS).parquet(f"{base}/in-answers"),
+                            f"{base}/out", f"{base}/ckpt", "30 minutes", "1 hour", {"availableNow": True}).awaitTermination()
+        _delete(spark, f"{base}/in-batches", f"{base}/in-answers")
+        spark.sparkContext._jvm.System.gc()  # Spark removes the streams' shuffle files when the driver's garbage goes
 
     early = (F.col("batch_id") <= half) & ~late & (F.col("response").isNull() | (F.col("response") != "again(0-1)"))
-    sitting(asked.where(F.col("batch_id") <= half), answers.where(early))
+    sitting(asked.where(F.col("batch_id") <= half), answers(rows.where((F.col("batch_id") <= half) & ~late)).where(early))
     heartbeat(spark, f"{base}/in-batches", f"{base}/in-answers", "2100-01-01 00:00:00")
-    sitting(asked.where(F.col("batch_id") > half), answers.where(~F.coalesce(early, F.lit(False))))
+    sitting(asked.where(F.col("batch_id") > half),
+            answers(rows.where((F.col("batch_id") > half) | late | twice)).where(~F.coalesce(early, F.lit(False))), rows)
+    _delete(spark, f"{base}/ckpt")
     return spark.read.parquet(f"{base}/out")
