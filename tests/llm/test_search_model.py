@@ -329,3 +329,31 @@ def test_search_takes_one_shard_at_a_time(spark, documents, monkeypatch):
     assert spark.conf.get(key) == small
     spark.conf.set(key, before)
     assert counted.value > 10 and more.value == 0
+
+
+def test_index_is_written_and_read_a_shard_at_a_time(spark, documents, monkeypatch):
+    """Neither the writer nor the reader holds all the shards of a partition, and no pass leaves its terms on the executors."""
+    import pyarrow.parquet as pq
+    from pyspark.core.broadcast import Broadcast
+    from verbena.llm import bm25
+    monkeypatch.setattr(bm25, "SHARD_BYTES", 50_000)
+    monkeypatch.setattr(bm25, "QUERY_BYTES", 20_000)
+    monkeypatch.setitem(bm25.SHARD_FILES, "parquet.block.size", 1000)
+    groups, gone, batches = [], [], []
+
+    def noted(df, name, f=bm25.materialise, **options):
+        batches.append((name, spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")))
+        out = f(df, name, **options)
+        if name == "index":
+            for x in out.inputFiles():
+                m = pq.read_metadata(x.removeprefix("file:"))
+                groups.extend(m.row_group(k).num_rows for k in range(m.num_row_groups))
+        return out
+
+    monkeypatch.setattr(bm25, "materialise", noted)
+    monkeypatch.setattr(Broadcast, "destroy", lambda b, *a, f=Broadcast.destroy: gone.append(1) or f(b, *a))
+    bm25.top_k(documents.coalesce(1), documents.where("doc_id % 20 = 0")).count()
+    assert len(groups) > 3 and set(groups) == {1}
+    passes = [size for name, size in batches if name == "hits"]
+    assert len(passes) == len(gone) > 1 and set(passes) == {"1"}
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) > 1
